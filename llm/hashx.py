@@ -142,7 +142,7 @@ def answer(asked: DataFrame, reply: Callable[[list[dict[str, np.ndarray]]], list
         batches = table.column("batch").to_pylist()
         requests = [restore(x.as_py()) for x in table.column("payload")]
         for r in requests:
-            np.cumsum(r["hash"], out=r["hash"])
+            r["hash"] = np.cumsum(r["hash"], dtype=U64)
         rows = [(b, key[0].as_py(), dump(**a)) for b, a in zip(batches, reply(requests), strict=True)]
         return pa.Table.from_batches([_table(rows, ANSWERED)])
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from llm import op9_substring_dedup
+from llm import op5_quality_rules, op8_suffix_dedup, op9_substring_dedup
 
 MODULES = {
+    "op5_quality_rules": op5_quality_rules,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_substring_dedup": op9_substring_dedup,
 }
 

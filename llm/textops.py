@@ -111,3 +111,19 @@ def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(lengths)
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def slices(offsets: np.ndarray, limit: int = 4 << 20):
+    """Row ranges (from, to) of at most limit bytes each, but of one row at least."""
+    at, n = 0, len(offsets) - 1
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
+        yield at, min(to, n)
+        at = to
+
+
+def per_row(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many flags are set in each row."""
+    total = np.zeros(len(flags) + 1, np.int64)
+    np.cumsum(flags, out=total[1:])
+    return np.diff(total[offsets])
