@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from llm import op5_quality_rules, op8_suffix_dedup, op9_substring_dedup
+from llm import op4_ngram_jaccard, op5_quality_rules, op8_suffix_dedup, op9_substring_dedup
 
 MODULES = {
+    "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_quality_rules": op5_quality_rules,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_substring_dedup": op9_substring_dedup,
