@@ -25,7 +25,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from llm import hashx, textops as T
 from llm.common import load, scratch, written
@@ -212,7 +211,6 @@ def write_tokens(docs: DataFrame, path: str | None = None, end_id: int = END_ID,
     return folder, written(docs.sparkSession, rows.mapInArrow(run, MANIFEST), "manifest")
 
 
-BINARY_FILE = StructType([StructField("path", StringType()), StructField("content", BinaryType()), StructField("length", LongType())])
 
 
 def read_tokens(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from llm import op3_bpe, op4_ngram_jaccard, op5_quality_rules, op6_token_output, op8_suffix_dedup, op9_substring_dedup
+from llm import op10_warc, op3_bpe, op4_ngram_jaccard, op5_quality_rules, op6_token_output, op8_suffix_dedup, op9_substring_dedup
 
 MODULES = {
     "op3_bpe": op3_bpe,
@@ -11,6 +11,7 @@ MODULES = {
     "op6_token_output": op6_token_output,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_warc": op10_warc,
 }
 
 

@@ -13,17 +13,18 @@ from pyspark.sql import DataFrame, functions as F
 SAMPLES_PER_SHARD = 20
 
 
-def sharded(df: DataFrame, key: str, rows_per_shard: int, ties: list[str] = ()) -> DataFrame:
+def sharded(df: DataFrame, key: str, rows_per_shard: int, ties: list[str] = (), of: DataFrame | None = None) -> DataFrame:
     """df with a column _shard: consecutive ranges of key (a long; null sorts first) of about equal rows,
     one range a partition, sorted by key and ties.
 
     Borders come from the keys with the smallest hashes, so the same rows always give the same shards. The driver
-    sees SAMPLES_PER_SHARD longs per shard and nothing else.
+    sees SAMPLES_PER_SHARD longs per shard and nothing else. of: the table that has the keys, where df has other rows too.
     """
-    n = max(1, -(-df.count() // rows_per_shard))
+    of = df if of is None else of
+    n = max(1, -(-of.count() // rows_per_shard))
     borders = np.zeros(0, np.int64)
     if n > 1:
-        sample = df.select(key).filter(F.col(key).isNotNull()).orderBy(F.xxhash64(key), key).limit(n * SAMPLES_PER_SHARD)
+        sample = of.select(key).filter(F.col(key).isNotNull()).orderBy(F.xxhash64(key), key).limit(n * SAMPLES_PER_SHARD)
         keys = np.sort(np.array([r[0] for r in sample.collect()], np.int64))
         borders = np.unique(keys[np.arange(1, n) * len(keys) // n])
 
