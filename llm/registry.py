@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from llm import op10_warc, op2_mixing, op3_bpe, op4_ngram_jaccard, op5_quality_rules, op6_token_output, op8_suffix_dedup, op9_substring_dedup
+from llm import op10_warc, op2_mixing, op3_bpe, op4_ngram_jaccard, op5_quality_rules, op6_token_output, op7_language_id, op8_suffix_dedup, op9_substring_dedup
 
 MODULES = {
     "op2_mixing": op2_mixing,
@@ -10,6 +10,7 @@ MODULES = {
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_quality_rules": op5_quality_rules,
     "op6_token_output": op6_token_output,
+    "op7_language_id": op7_language_id,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_warc": op10_warc,
