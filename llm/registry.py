@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from llm import op10_warc, op2_mixing, op3_bpe, op4_ngram_jaccard, op5_quality_rules, op6_token_output, op7_language_id, op8_suffix_dedup, op9_substring_dedup
+from llm import op10_warc, op1_nn_descent, op2_mixing, op3_bpe, op4_ngram_jaccard, op5_quality_rules, op6_token_output, op7_language_id, op8_suffix_dedup, op9_substring_dedup
 
 MODULES = {
+    "op1_nn_descent": op1_nn_descent,
     "op2_mixing": op2_mixing,
     "op3_bpe": op3_bpe,
     "op4_ngram_jaccard": op4_ngram_jaccard,
