@@ -16,8 +16,11 @@ separately. Extra columns are ignored by the query and kept by `mixed`.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from llm import textops as T
 from llm.common import WORD_PATTERN, load, ship, written
 
 WEIGHTS, FACTOR, LIMIT = (5, 2, 1), 1.5, 2
@@ -105,6 +108,52 @@ def mixed(docs: DataFrame, block: int = BLOCK, shard_words: int = SHARD_WORDS, s
     return placed(sizes, shares, seed).withColumn("taken", F.expr(f"{_upto('(start + size)', block)} - {_upto('start', block)}").cast("long"))
 
 
+def taken_texts(docs: DataFrame, block: int = BLOCK, **options) -> DataFrame:
+    """docs as mixed, with their columns: up to two rows per document, with the words that the first and second taking of its
+    blocks hold. Runs of taken words keep their spacing and are joined by a line break; n_chars is made anew.
+
+    doc_id must tell documents apart. Documents of which nothing is taken go.
+    """
+    shares = mixed(docs, block, **options).select(F.col("doc_id").alias("_id"), "start", "blocks", "quota", "first")
+    joined = docs.join(shares, F.col("doc_id") == F.col("_id")).drop("_id")
+    names, schema = docs.columns, docs.schema
+    text_at, chars_at = names.index("text"), names.index("n_chars")
+
+    def run(batches):
+        for b in batches:
+            _, whole = T.utf8(b.column(text_at))
+            for lo, hi in T.slices(whole):
+                part = b.slice(lo, hi - lo)
+                buf, offsets = T.utf8(part.column(text_at))
+                s, e, off = T.words(buf, offsets)
+                size = np.diff(off)
+                start, blocks, quota, first = (np.repeat(c.to_numpy(), size) for c in part.columns[len(names) :])
+                j = (start + T.gather(np.zeros(len(size), np.int64), size)) // block
+                times = ((j + 1) * quota + first) // np.maximum(blocks, 1) - (j * quota + first) // np.maximum(blocks, 1)
+                row = np.repeat(np.arange(len(size)), size)
+                for copy in (1, 2):
+                    on = times >= copy
+                    if not on.any():
+                        continue
+                    begin, end = on.copy(), on.copy()
+                    begin[1:] &= ~on[:-1] | (row[1:] != row[:-1])
+                    end[:-1] &= ~on[1:] | (row[1:] != row[:-1])
+                    a, z, of = s[begin], e[end], row[begin]
+                    kept = np.unique(of)
+                    # a text that is taken whole stays as it is
+                    all_on = np.bincount(row, on, minlength=len(size)) == size
+                    edges = np.searchsorted(of, kept)
+                    texts = [
+                        buf[offsets[r] : offsets[r + 1]].tobytes().decode() if all_on[r] else b"\n".join(buf[x:y].tobytes() for x, y in zip(a[i:k], z[i:k], strict=True)).decode()
+                        for r, i, k in zip(kept, edges, np.append(edges[1:], len(of)), strict=True)
+                    ]
+                    columns = list(part.take(pa.array(kept)).columns[: len(names)])
+                    columns[text_at], columns[chars_at] = pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())
+                    yield pa.RecordBatch.from_arrays(columns, names)
+
+    return joined.select(*names, "start", "blocks", "quota", "first").mapInArrow(run, schema)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(load(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 

@@ -33,7 +33,7 @@ LENGTH, GRAM = 50, 24
 #: Bits of an anchor's hash in the first round, a filter only.
 PROBE_BITS = 44
 CHUNK = 1 << 19
-SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, kept_text string"
 DIGEST = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
 
@@ -171,7 +171,7 @@ def earliest(doc: np.ndarray, group: np.ndarray, before: np.ndarray, after: np.n
 
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, texts: bool = True) -> DataFrame:
-    """Per document: n_bytes, n_removed, n_spans, kept_sha256 and, if texts, the kept bytes."""
+    """Per document: n_bytes, n_removed, n_spans, kept_sha256 and, if texts, the kept bytes and their whole characters."""
     n, cut, back = buckets(docs.sparkSession), T.U64(64 - PROBE_BITS), length - gram
     if not 0 <= back < 32:
         raise ValueError("length - gram must be 0 to 31")
@@ -287,6 +287,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, texts:
         return pa.table({
             "doc_id": pa.array(ids), "n_bytes": pa.array(size), "n_removed": pa.array(size - np.diff(before)), "n_spans": pa.array(T.per_row(edge, offsets)),
             "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in kept]), "kept": pa.array(kept if texts else [None] * len(ids), pa.binary()),
+            "kept_text": pa.array([t.decode(errors="ignore") for t in kept] if texts else [None] * len(ids), pa.string()),
         })
 
     packed = hashx.pack(docs)
