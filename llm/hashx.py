@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from llm.textops import U64, utf8
 
 #: Bytes of text after which a batch is closed; one longer text is a batch of its own.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 PACKED = "batch long, docs long, blob binary"
 ASKED = "bucket int, batch long, payload binary"
@@ -136,13 +136,14 @@ def ask(packed: DataFrame, request: Callable[[int, np.ndarray, np.ndarray, np.nd
 
 
 def answer(asked: DataFrame, reply: Callable[[list[dict[str, np.ndarray]]], list[dict[str, np.ndarray]]]) -> DataFrame:
-    """reply(requests of one bucket, each with hash restored) returns the arrays for each asker."""
+    """reply(requests of one bucket, each with its hashes, if sent, restored) returns the arrays for each asker."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         batches = table.column("batch").to_pylist()
         requests = [restore(x.as_py()) for x in table.column("payload")]
         for r in requests:
-            r["hash"] = np.cumsum(r["hash"], dtype=U64)
+            if "hash" in r:
+                r["hash"] = np.cumsum(r["hash"], dtype=U64)
         rows = [(b, key[0].as_py(), dump(**a)) for b, a in zip(batches, reply(requests), strict=True)]
         return pa.Table.from_batches([_table(rows, ANSWERED)])
 

@@ -173,6 +173,7 @@ def earliest(doc: np.ndarray, group: np.ndarray, before: np.ndarray, after: np.n
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, texts: bool = True) -> DataFrame:
     """Per document: n_bytes, n_removed, n_spans, kept_sha256 and, if texts, the kept bytes and their whole characters."""
     n, cut, back = buckets(docs.sparkSession), T.U64(64 - PROBE_BITS), length - gram
+    fine = 4 * n  # contexts are wide: smaller buckets
     if not 0 <= back < 32:
         raise ValueError("length - gram must be 0 to 31")
 
@@ -238,7 +239,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, texts:
         text = buf[np.clip(at, 0, max(len(buf) - 1, 0))] if len(p) else np.zeros((0, width), np.uint8)
         column = np.arange(width)
         text = np.where((column >= back - room_left[:, None]) & (column < back + room_right[:, None]), text, 0).astype(np.uint8)
-        return hashx.ask_rows(batch, h[new], n, doc=ids[doc[new]], left=room_left.astype(np.uint8), right=room_right.astype(np.uint8), text=text)
+        return hashx.ask_rows(batch, h[new], fine, doc=ids[doc[new]], left=room_left.astype(np.uint8), right=room_right.astype(np.uint8), text=text)
 
     def reply_contexts(requests):
         h = np.concatenate([r["hash"] for r in requests])

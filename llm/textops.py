@@ -22,7 +22,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) mod 2**64, kept between calls."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        size = max(1 << 16, 1 << int(n - 1).bit_length())
+        size = -(-max(n, 1) // (1 << 18)) * (1 << 18)
         steps = np.full(size, base, U64)
         steps[0] = 1
         have = _powers[base] = np.multiply.accumulate(steps)
