@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import zipfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -90,7 +91,8 @@ def route_types(stops: DataFrame, times: DataFrame, trips: DataFrame) -> DataFra
 
 
 def generic_feed(spark: SparkSession, op: str, path: str, types: Sequence[str]) -> dict[str, DataFrame]:
-    """E2 for one operator: no resolution, all ids prefixed."""
+    """E2 for one operator: no resolution, all ids prefixed. Raises at once if there is no archive."""
+    feeds.members(path)
     defaults = F.array(*map(F.lit, types)) if types else F.array().cast("array<string>")
     stops = feeds.read_member(spark, path, "stops.txt", ["stop_id", "stop_name", "stop_lat", "stop_lon"])
     stops = stops.withColumn("stop_id", prefixed(op, F.col("stop_id"))).withColumns({"clean_uic": first_digits(F.col("stop_id")), "stop_lat": lenient_double(F.col("stop_lat")), "stop_lon": lenient_double(F.col("stop_lon"))})
@@ -115,12 +117,13 @@ def generic_feed(spark: SparkSession, op: str, path: str, types: Sequence[str])
 
 
 def generic(spark: SparkSession, sources: Sequence[Feed]) -> dict[str, DataFrame]:
-    """E2: the union of all feeds; a feed that can't be planned is logged and left out (ERR-01)."""
+    """E2: the union of all feeds; one without a readable archive is logged and left out (ERR-01). What a job finds later, such
+    as a word for a number, fails the run before anything is replaced."""
     done = []
     for op, path, types in sources:
         try:
             done.append(generic_feed(spark, op, path, types))
-        except (OSError, ValueError) as e:
+        except (OSError, zipfile.BadZipFile) as e:
             log.error("feed %s left out: %s", op, e)
     if not done:
         raise ValueError("no feed could be read")

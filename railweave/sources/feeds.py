@@ -113,6 +113,12 @@ def read_member(spark: SparkSession, path: str, member: str, columns: Sequence[s
     return spark.read.format("gtfs").schema(member_schema(columns)).options(**options).load()
 
 
+def members(path: str) -> list[str]:
+    """SRC-04: names of an archive's members; raises where there is no readable archive."""
+    with _open(path) as raw, zipfile.ZipFile(raw) as z:
+        return z.namelist()
+
+
 def has_column(path: str, member: str, column: str) -> bool:
     """SRC-07: whether a member's header has a column."""
     with _open(path) as raw, zipfile.ZipFile(raw) as z:
@@ -152,14 +158,6 @@ def download(url: str, path: str, timeout: float = 180) -> str:
     return path
 
 
-def calendar_columns(dates: DataFrame) -> DataFrame:
-    """SRC-10 and SRC-11: cleaned names, the three columns, and exception_type '1' where the column is absent."""
-    dates = dates.toDF(*map(clean_header, dates.columns))
-    if "exception_type" not in dates.columns:
-        dates = dates.withColumn("exception_type", F.lit("1"))
-    return dates.select(*(c for c in ("service_id", "date", "exception_type", ROW) if c in dates.columns))
-
-
 def read_stations(spark: SparkSession, path: str | None) -> DataFrame | None:
     """SRC-09: the ';'-separated station table with a place for each row, or None where there is no file."""
     if path is None:

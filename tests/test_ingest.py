@@ -78,7 +78,7 @@ def test_generic(spark, three, tmp_path):
         tmp_path / "d.zip", stops="stop_id,stop_name,stop_lat,stop_lon\na12b3,A,x,2\n", routes="route_id,agency_id\nr,eurostar_channel\n", trips="trip_id,route_id,service_id,trip_headsign\nt,r,s,h\n",
         stop_times="trip_id,arrival_time,departure_time,stop_id,stop_sequence\nt,1:00,1:00,a12b3,1\n", calendar_dates="service_id,date,exception_type\ns,20240101,2\n",
     )
-    out = ingest.generic(spark, [("E", full, ["Train"]), ("SNCF", full, ["Car TER"]), bad][:2])
+    out = ingest.generic(spark, [("E", full, ["Train"]), ("SNCF", full, ["Car TER"]), bad])
     assert rows(out["stops"], "stop_id", "stop_lat", "clean_uic") == [("E_a12b3", None, "12"), ("SNCF_a12b3", None, "12")]
     assert rows(out["trips"], "trip_id", "train_type") == [("E_t", "Eurostar"), ("SNCF_t", "Car TER")]
     assert rows(out["calendar_dates"], "service_id", "date", "exception_type") == [("E_s", "2024-01-01", 2), ("SNCF_s", "2024-01-01", 2)]
