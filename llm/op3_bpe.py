@@ -27,6 +27,8 @@ from llm import hashx, textops as T
 from llm.common import buckets, load
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>, decoded string"
+#: Larger batches than usual: the more text in one, the fewer of its words are new.
+BATCH_BYTES = 8 << 20
 DIGEST = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
 
@@ -71,7 +73,7 @@ def bpe(docs: DataFrame, path: str | None = None, texts: bool = True) -> DataFra
         at, ends = hashx.bounds(own, n), np.concatenate([[0], np.cumsum(size)])
         for b in np.flatnonzero(np.diff(at)):
             lo, hi = at[b], at[b + 1]
-            yield int(b), batch, hashx.dump(hash=hashx.deltas(own[lo:hi]), size=size[lo:hi].astype(np.uint32), text=text[ends[lo] : ends[hi]])
+            yield int(b), batch, hashx.dump(size=size[lo:hi].astype(np.uint32), text=text[ends[lo] : ends[hi]])
 
     def reply(requests):
         tokenizer = _tokenizer(path)
@@ -87,7 +89,7 @@ def bpe(docs: DataFrame, path: str | None = None, texts: bool = True) -> DataFra
         start = np.cumsum(count) - count
         out, at = [], 0
         for r in requests:
-            mine = place[at : at + len(r["hash"])]
+            mine = place[at : at + len(r["size"])]
             at += len(mine)
             out.append({"count": count[mine].astype(np.uint16 if count.max(initial=0) < 65536 else np.uint32), "ids": ids[T.gather(start[mine], count[mine])]})
         return out
@@ -111,7 +113,7 @@ def bpe(docs: DataFrame, path: str | None = None, texts: bool = True) -> DataFra
             "ids": pa.array([token[a:b] for a, b in spans] if texts else [None] * len(ids), pa.list_(pa.int32())), "decoded": pa.array(decoded if texts else [None] * len(ids), pa.binary()).cast(pa.string()),
         })
 
-    packed = hashx.pack(docs)
+    packed = hashx.pack(docs, batch_bytes=BATCH_BYTES)
     words = hashx.answer(hashx.ask(packed, request), reply)
     return hashx.finish(packed, [words], result, SCHEMA)
 
