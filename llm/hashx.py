@@ -20,7 +20,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from llm.textops import U64, utf8
+from llm.textops import U64, release, utf8
 
 #: Bytes of text after which a batch is closed; one longer text is a batch of its own.
 BATCH_BYTES = 4 << 20
@@ -130,6 +130,7 @@ def ask(packed: DataFrame, request: Callable[[int, np.ndarray, np.ndarray, np.nd
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in tables:
             for batch, blob in zip(table.column(0).to_pylist(), table.column(2), strict=True):
+                release()
                 yield _table(request(batch, *unpack(blob.as_py())), ASKED)
 
     return packed.mapInArrow(run, ASKED)
@@ -139,6 +140,7 @@ def answer(asked: DataFrame, reply: Callable[[list[dict[str, np.ndarray]]], list
     """reply(requests of one bucket, each with its hashes, if sent, restored) returns the arrays for each asker."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
+        release()
         batches = table.column("batch").to_pylist()
         requests = [restore(x.as_py()) for x in table.column("payload")]
         for r in requests:
@@ -154,13 +156,14 @@ def answered(table: pa.Table) -> dict[str, np.ndarray]:
     """Answers to one batch, in the order in which it asked."""
     order = np.argsort(table.column("bucket").to_numpy(), kind="stable")
     parts = [restore(table.column("payload")[int(i)].as_py()) for i in order]
-    return {k: np.concatenate([p[k] for p in parts]) for k in (parts[0] if parts else ())}
+    return {k: np.concatenate([p[k] for p in parts if k in p]) for k in dict.fromkeys(k for p in parts for k in p)}
 
 
 def ask_again(packed: DataFrame, answers: DataFrame, request: Callable[..., Iterator]) -> DataFrame:
     """A later round: request(batch, ids, buf, offsets, answers so far) yields rows of ASKED."""
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        release()
         out = [_table(request(key[0].as_py(), *unpack(b.as_py()), answered(right)), ASKED) for b in left.column("blob")]
         return pa.Table.from_batches(out, schema=_table([], ASKED).schema)
 
@@ -175,6 +178,7 @@ def finish(packed: DataFrame, rounds: list[DataFrame], result: Callable[..., pa.
         tagged = r if tagged is None else tagged.unionAll(r)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        release()
         rounds_no = right.column("round").to_numpy()
         given = [answered(right.filter(pa.array(rounds_no == i))) for i in range(count)]
         return pa.concat_tables([result(*unpack(b.as_py()), *given) for b in left.column("blob")])

@@ -9,6 +9,8 @@ string is its anchor (leftmost and equal minima alike), so equal strings have eq
     neighbours are verified on the bytes. A string at offset o equals another when both lie in one run of
     neighbours with >= 50 - o common bytes after, and one run with >= o common bytes before the anchor; its
     earliest document follows.
+    An anchor with more than `many` different contexts in its batches (the edges of a passage that very many documents share) doesn't
+    meet in one bucket: its strings are asked about one by one, dealt out by their own hashes, and compared on the bytes.
  3. Each batch marks the bytes of strings whose earliest document is an earlier one.
 
 Scale: text moves once, compressed; equal contexts are merged in their batch and again in their bucket before
@@ -30,6 +32,8 @@ from llm import hashx, textops as T
 from llm.common import buckets, load
 
 LENGTH, GRAM = 50, 24
+#: Contexts of one anchor, beyond one in each batch, from which on its strings are dealt out one by one.
+MANY = 4096
 #: Bits of an anchor's hash in the first round, a filter only.
 PROBE_BITS = 44
 CHUNK = 1 << 19
@@ -170,7 +174,7 @@ def earliest(doc: np.ndarray, group: np.ndarray, before: np.ndarray, after: np.n
     return out
 
 
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, texts: bool = True) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, texts: bool = True, many: int = MANY) -> DataFrame:
     """Per document: n_bytes, n_removed, n_spans, kept_sha256 and, if texts, the kept bytes and their whole characters."""
     n, cut, back = buckets(docs.sparkSession), T.U64(64 - PROBE_BITS), length - gram
     fine = 4 * n  # contexts are wide: smaller buckets
@@ -190,8 +194,21 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, texts:
         whole_place[by_id] = place[len(p) :]
         return p, h, doc, own, place[: len(p)], whole_place
 
+    def rooms(p, doc, offsets):
+        return np.minimum(p - offsets[doc], back), np.minimum(offsets[doc + 1] - p, length)
+
+    def context_keys(prefix, p, left, right):
+        return T.mix(T.spans_hash(prefix, p - left, p + right) ^ T.mix((left * 64 + right).astype(T.U64)))
+
     def ask_first(batch, ids, buf, offsets):
         p, h, doc, own, place, whole_place = first(ids, buf, offsets)
+        keys = context_keys(T.prefix_hash(T.TABLE[buf]), p, *rooms(p, doc, offsets))
+        different = np.zeros(len(own), np.uint32)
+        if len(p):
+            _, key_place, _ = hashx.distinct(T.mix(keys) + T.mix(h))
+            one = np.zeros(key_place.max() + 1, np.int64)
+            one[key_place] = place
+            different = np.bincount(one, minlength=len(own)).astype(np.uint32)
         order = np.argsort(place, kind="stable")
         flags, texts_ = np.zeros(len(own), np.uint8), np.zeros(len(own), np.int64)
         if len(p):
@@ -202,7 +219,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, texts:
         np.minimum.at(texts_, whole_place, ids)
         is_text = np.zeros(len(own), bool)
         is_text[whole_place] = True
-        return hashx.ask_rows(batch, own, n, flags=flags | (is_text << 1).astype(np.uint8), ids=np.where(is_text, texts_, 0))
+        return hashx.ask_rows(batch, own, n, flags=flags | (is_text << 1).astype(np.uint8), ids=np.where(is_text, texts_, 0), different=different)
 
     def reply_first(requests):
         _, place = hashx.merged(requests)
@@ -210,38 +227,69 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, texts:
         several = np.bincount(place) + np.bincount(place, flags & 1) > 1
         least = np.full(len(several), np.iinfo(np.int64).max)
         np.minimum.at(least, place[flags > 1], ids[flags > 1])
-        hit = np.where(flags > 1, least[place] < ids, several[place])
-        return [{"hit": hashx.bits(x)} for x in hashx.parted(hit, requests)]
+        different = np.concatenate([r["different"] for r in requests]).astype(np.int64)
+        crowded = np.bincount(place, np.maximum(different - 1, 0)) > many
+        hit = np.where(flags > 1, least[place] < ids, several[place] * (1 + crowded[place]))
+        return [{"hit": x.astype(np.uint8)} for x in hashx.parted(hit, requests)]
 
-    def contexts(ids, buf, offsets, given):
-        """Common anchors of texts that aren't later copies; their distinct contexts, ordered by anchor."""
+    def common_anchors(ids, buf, offsets, given):
+        """Which texts are later copies; the common anchors of the others, and which of these are crowded."""
         p, h, doc, own, place, whole_place = first(ids, buf, offsets)
-        copy = given["hit"][whole_place] > 0 if len(ids) else np.zeros(0, bool)
         lowest = np.full(len(own) + 1, np.iinfo(np.int64).max)
         np.minimum.at(lowest, whole_place, ids)
-        copy |= ids > lowest[whole_place]
-        keep = (given["hit"][place] > 0) & ~copy[doc] if len(p) else np.zeros(0, bool)
-        p, h, doc = p[keep], h[keep], doc[keep]
-        room_left, room_right = np.minimum(p - offsets[doc], back), np.minimum(offsets[doc + 1] - p, length)
-        prefix = T.prefix_hash(T.TABLE[buf])
-        key = T.mix(T.spans_hash(prefix, p - room_left, p + room_right) ^ T.mix((room_left * 64 + room_right).astype(T.U64)))
+        copy = (given["hit"][whole_place] > 0) | (ids > lowest[whole_place]) if len(ids) else np.zeros(0, bool)
+        hit = given["hit"][place] if len(p) else np.zeros(0, np.uint8)
+        keep = (hit > 0) & ~copy[doc] if len(p) else np.zeros(0, bool)
+        return copy, p[keep], h[keep], doc[keep], hit[keep] > 1
+
+    def contexts(ids, buf, offsets, prefix, p, h, doc):
+        """Occurrences ordered by anchor, context and id, and which of them begin a new context."""
+        left, right = rooms(p, doc, offsets)
+        key = context_keys(prefix, p, left, right)
         order = np.lexsort((ids[doc], key, h))
-        p, h, doc, key, room_left, room_right = (x[order] for x in (p, h, doc, key, room_left, room_right))
+        p, h, doc, key, left, right = (x[order] for x in (p, h, doc, key, left, right))
         new = np.ones(len(p), bool)
         new[1:] = (h[1:] != h[:-1]) | (key[1:] != key[:-1])
-        return copy, p, h, doc, room_left, room_right, new
+        return p, h, doc, left, right, new
+
+    def strings(ids, offsets, prefix, p, doc):
+        """The strings around crowded anchors, ordered by hash and id: starts, documents, hashes, and which begin a new hash."""
+        left, right = rooms(p, doc, offsets)
+        start = np.unique(np.concatenate([np.zeros(0, np.int64), *(p[(left >= o) & (right >= length - o)] - o for o in range(back + 1))]))
+        doc = np.searchsorted(offsets, start, side="right") - 1
+        h = T.spans_hash(prefix, start, start + length)
+        order = np.lexsort((ids[doc], h))
+        start, doc, h = start[order], doc[order], h[order]
+        return start, doc, h, np.r_[True, h[1:] != h[:-1]] if len(h) else np.zeros(0, bool)
 
     def ask_contexts(batch, ids, buf, offsets, given):
-        _, p, h, doc, room_left, room_right, new = contexts(ids, buf, offsets, given)
-        p, room_left, room_right = p[new], room_left[new], room_right[new]
-        width = back + length
-        at = p[:, None] + np.arange(-back, length)
-        text = buf[np.clip(at, 0, max(len(buf) - 1, 0))] if len(p) else np.zeros((0, width), np.uint8)
-        column = np.arange(width)
-        text = np.where((column >= back - room_left[:, None]) & (column < back + room_right[:, None]), text, 0).astype(np.uint8)
-        return hashx.ask_rows(batch, h[new], fine, doc=ids[doc[new]], left=room_left.astype(np.uint8), right=room_right.astype(np.uint8), text=text)
+        _, p, h, doc, crowded = common_anchors(ids, buf, offsets, given)
+        prefix = T.prefix_hash(T.TABLE[buf])
+        start, of, hashes, new = strings(ids, offsets, prefix, p[crowded], doc[crowded])
+        text = buf[start[new][:, None] + np.arange(length)] if len(start) else np.zeros((0, length), np.uint8)
+        for bucket, *row in hashx.ask_rows(batch, hashes[new], fine, doc=ids[of[new]], text=text):
+            yield fine + bucket, *row
+        p, h, doc, left, right, new = contexts(ids, buf, offsets, prefix, p[~crowded], h[~crowded], doc[~crowded])
+        p, left, right = p[new], left[new], right[new]
+        column = np.arange(back + length)
+        text = buf[np.clip(p[:, None] + column - back, 0, max(len(buf) - 1, 0))] if len(p) else np.zeros((0, back + length), np.uint8)
+        text = np.where((column >= back - left[:, None]) & (column < back + right[:, None]), text, 0).astype(np.uint8)
+        yield from hashx.ask_rows(batch, h[new], fine, doc=ids[doc[new]], left=left.astype(np.uint8), right=right.astype(np.uint8), text=text)
+
+    def reply_strings(requests):
+        h, doc, text = (np.concatenate([r[k] for r in requests]) for k in ("hash", "doc", "text"))
+        words_ = np.ascontiguousarray(text).view(f"S{length}").ravel()  # equal hashes are told apart on the bytes
+        order = np.lexsort((doc, words_, h))
+        new = np.ones(len(h), bool)
+        a, b = order[1:], order[:-1]
+        new[1:] = (h[a] != h[b]) | (text[a] != text[b]).any(1)
+        least = np.empty(len(h), np.int64)
+        least[order] = doc[order][new][np.cumsum(new) - 1]
+        return [{"early": hashx.bits(x)} for x in hashx.parted(least < doc, requests)]
 
     def reply_contexts(requests):
+        if "left" not in requests[0]:
+            return reply_strings(requests)
         h = np.concatenate([r["hash"] for r in requests])
         doc, left, right, text = (np.concatenate([r[k] for r in requests]) for k in ("doc", "left", "right", "text"))
         width = back + length
@@ -267,14 +315,20 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, texts:
         return [{"mask": x} for x in hashx.parted(mask, requests)]
 
     def result(ids, buf, offsets, given, given_contexts):
-        copy, p, h, doc, room_left, room_right, new = contexts(ids, buf, offsets, given)
-        gone = np.zeros(len(buf), bool)
-        if len(p):
+        copy, p, h, doc, crowded = common_anchors(ids, buf, offsets, given)
+        prefix, starts = T.prefix_hash(T.TABLE[buf]), [np.zeros(0, np.int64)]
+        if crowded.any():
+            start, of, _, new = strings(ids, offsets, prefix, p[crowded], doc[crowded])
+            place = np.cumsum(new) - 1
+            later = ids[of] > ids[of[new]][place]
+            starts.append(start[later | (given_contexts["early"][place] > 0)])
+        if not crowded.all():
+            p, h, doc, left, right, new = contexts(ids, buf, offsets, prefix, p[~crowded], h[~crowded], doc[~crowded])
             place = np.cumsum(new) - 1
             later = ids[doc] > ids[doc[new]][place]
             mask = np.where(later, np.uint32((1 << back + 1) - 1), given_contexts["mask"][place])
-            starts = [p[((mask >> np.uint32(o)) & 1 > 0) & (room_left >= o) & (room_right >= length - o)] - o for o in range(back + 1)]
-            gone = T.covered(np.concatenate(starts), length, len(buf))
+            starts += [p[((mask >> np.uint32(o)) & 1 > 0) & (left >= o) & (right >= length - o)] - o for o in range(back + 1)]
+        gone = T.covered(np.concatenate(starts), length, len(buf)) if len(buf) else np.zeros(0, bool)
         size = np.diff(offsets)
         for i in np.flatnonzero(copy & (size >= length)):
             gone[offsets[i] : offsets[i + 1]] = True

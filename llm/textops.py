@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -18,6 +20,16 @@ TABLE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=U64) * U
 _powers: dict[int, np.ndarray] = {}
 
 
+_libc = ctypes.CDLL(None)
+
+
+def release() -> None:
+    """Gives freed memory back to the system: Python workers live on between tasks and stages, beside a JVM that needs it."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) mod 2**64, kept between calls."""
     have = _powers.get(base)

@@ -53,8 +53,9 @@ def got(df, *columns):
     return sorted(map(tuple, df.select(*columns).collect()))
 
 
-def test_suffix_dedup(docs, rows):
-    assert got(op8_suffix_dedup.suffix_dedup(docs), *op8_suffix_dedup.DIGEST) == bytes_dedup(rows)
+@pytest.mark.parametrize("many", [4096, 2, -1])
+def test_suffix_dedup(docs, rows, many):
+    assert got(op8_suffix_dedup.suffix_dedup(docs, many=many), *op8_suffix_dedup.DIGEST) == bytes_dedup(rows)
 
 
 def test_suffix_sort():
