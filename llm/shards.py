@@ -30,10 +30,10 @@ def sharded(df: DataFrame, key: str, rows_per_shard: int, ties: list[str] = (),
 
     @F.pandas_udf("int")
     def shard(keys: pd.Series) -> pd.Series:
-        known = keys.notna()
-        return pd.Series(np.where(known, np.searchsorted(borders, keys.fillna(0).astype("int64"), side="right"), 0))
+        return pd.Series(np.searchsorted(borders, keys, side="right"))
 
-    return df.withColumn("_shard", shard(F.col(key).cast("long"))).repartitionById(len(borders) + 1, F.col("_shard")).sortWithinPartitions("_shard", key, *ties)
+    # a null would turn the batch's keys into doubles
+    return df.withColumn("_shard", shard(F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))))).repartitionById(len(borders) + 1, F.col("_shard")).sortWithinPartitions("_shard", key, *ties)
 
 
 def put(uri: str, name: str, data: bytes) -> None:
