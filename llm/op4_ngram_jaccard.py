@@ -5,7 +5,8 @@ Method: set-relation skipping over an exact prefix-filter index.
     another document can't have a partner. The rest are ordered rarest first, equal sets become one.
  2. Index: the tokens of a set's prefix (n - ceil(0.8 n) + 1 rarest) that occur elsewhere. A list is headed by its
     smallest document; lists with one head are relatives and are joined into one group, so that a set
-    travels once per relative instead of once per token. Large groups are split into pairs of blocks.
+    travels once per relative instead of once per token. Large groups are split into blocks, each with the head; then only
+    members that are still apart from the head meet the other blocks.
  3. In a group, sets are ordered by size, and lists skip by position to the block of sizes that can match. The first
     set of a kind gets its answers (overlaps with all others) from the lists; those of a highly similar set are
     derived from them: |r & z| - |r - y| <= |y & z| <= |r & z| + |y - r|, and only what these bounds leave open, and
@@ -30,7 +31,7 @@ from llm.graph import components
 
 WORDS = 5
 PROBE_BITS = 44
-#: Sets of a group that one task takes; a larger group becomes pairs of blocks.
+#: Sets of a group that one task takes at once; a larger group is split into blocks.
 BLOCK = 1500
 SETS = "doc_id long, n long, fp1 long, fp2 long, prefix array<long>, shingles binary"
 
@@ -167,28 +168,44 @@ def _edges(groups: DataFrame) -> DataFrame:
     return groups.groupBy("head", "i", "j").applyInArrow(run, "a long, b long")
 
 
+def _between_blocks(large: DataFrame, found: DataFrame, sets_of: DataFrame, block: int) -> DataFrame:
+    """Edges across the blocks of large groups: members that aren't connected with their group's head yet meet all blocks.
+
+    The others need not meet one another, so that a large group of near copies costs as much as it has members.
+    """
+    part = found.select(F.col("id").alias("doc_id"), F.col("component_id").alias("part"))
+    head_part = found.select(F.col("id").alias("head"), F.col("component_id").alias("head_part"))
+    known = large.join(part, "doc_id", "left").join(head_part, "head", "left")
+    known = known.withColumn("apart", F.coalesce("part", "doc_id") != F.coalesce("head_part", "head"))
+    left = known.filter("apart").groupBy("head").agg(F.ceil(F.count("*") / block).cast("int").alias("rest"))
+    known = written(large.sparkSession, known.join(left, "head").withColumn("mine", F.pmod(F.xxhash64("doc_id", "own"), F.col("rest")).cast("int")), "apart")
+    pairs = known.filter("apart").selectExpr("head", "doc_id", "mine AS i", "explode(sequence(0, blocks - 1)) AS j").unionAll(known.selectExpr("head", "doc_id", "explode(sequence(0, rest - 1)) AS i", "own AS j"))
+    return _edges(pairs.distinct().join(sets_of, "doc_id"))
+
+
 def jaccard_join(docs: DataFrame, k: int = WORDS, block: int = BLOCK) -> DataFrame:
     """Per document: doc_id, n_shingles and component_id."""
     spark = docs.sparkSession
     sets = written(spark, shingled(docs, k), "sets")
     able = sets.filter("shingles IS NOT NULL")
-    same = able.groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("rep"))
-    alike = able.select("doc_id", "fp1", "fp2", "n").join(same, ["fp1", "fp2", "n"]).select("doc_id", "rep")
-    alike = written(spark, alike.distinct(), "alike")
+    # written first, so that the join has an exchange on either side and a large class of copies can be split
+    same = written(spark, able.groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("rep")), "same")
+    alike = written(spark, able.select("doc_id", "fp1", "fp2", "n").join(same, ["fp1", "fp2", "n"]).select("doc_id", "rep"), "alike")
     reps = able.join(alike.filter("doc_id = rep").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "fp1"])
     posted = reps.select("doc_id", F.explode("prefix").alias("token"))
     heads = posted.groupBy("token").agg(F.min("doc_id").alias("head"), F.count("*").alias("c")).filter("c > 1").drop("c")
     members = posted.join(heads, "token").select("head", "doc_id").distinct()
     members = written(spark, members, "members")
-    count = members.groupBy("head").agg(F.count("*").alias("c"))
-    own = "CAST(pmod(xxhash64(doc_id), blocks) AS INT)"
-    pairs = (
-        members.join(count, "head").withColumn("blocks", F.ceil(F.col("c") / block))
-        .selectExpr("head", "doc_id", f"{own} AS own", "explode(sequence(0, CAST(blocks AS INT) - 1)) AS other")
-        .selectExpr("head", "doc_id", "least(own, other) AS i", "greatest(own, other) AS j")
-    )
-    links = _edges(pairs.join(reps.select("doc_id", "shingles"), "doc_id"))
+    count = members.groupBy("head").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    members = members.join(count, "head").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    # first each block with the head of its group
+    first = members.filter("doc_id <> head").selectExpr("head", "doc_id", "own AS i", "0 AS j").unionAll(members.filter("doc_id = head").selectExpr("head", "doc_id", "explode(sequence(0, blocks - 1)) AS i", "0 AS j"))
+    sets_of = reps.select("doc_id", "shingles")
+    links = written(spark, _edges(first.join(sets_of, "doc_id")), "links")
     edges = links.unionAll(alike.filter("doc_id <> rep").selectExpr("doc_id AS a", "rep AS b"))
+    large = members.filter("blocks > 1")
+    if large.take(1):
+        edges = edges.unionAll(_between_blocks(large, components(spark, edges), sets_of, block))
     found = components(spark, edges)
     return sets.select("doc_id", F.col("n").alias("n_shingles")).join(found, F.col("doc_id") == F.col("id"), "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
