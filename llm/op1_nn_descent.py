@@ -2,10 +2,11 @@
 
 Vectors of one label (and length) whose cosine is 0.98 or more, in double precision, are linked.
  1. Equal directions become one node with a weight.
- 2. A random-projection forest gives first neighbours: the nodes of a leaf are compared with one another. Leaves hold about
-    LEAF nodes; a leaf that many near copies share is cut at random into parts of at most 2 * LEAF.
- 3. NN-descent: nodes that share a neighbour are compared, round after round, until the number of links grows by less
-    than 1%. A node keeps its K best neighbours; if all K reach the threshold the list is saturated and doubles.
+ 2. A random-projection forest gives first neighbours: the nodes of a leaf are compared with one another. Planes go through the
+    centre of the label; a leaf of more than 2 * LEAF nodes is split by further planes through its own centre or median.
+ 3. NN-descent: nodes that share a neighbour are compared, round after round, until no further node gets a link. A node keeps
+    its K best neighbours whatever their cosine; if all K may be links the list is saturated and doubles. Forest and rounds
+    compare in half precision; a pair that this leaves open (SLACK) is compared in double precision before it is a link.
  4. Links of the lists give components. All links of a node lie in its component, so what lists leave out in dense components is
     counted exactly there: components are compared with themselves, large ones in pairs of blocks; only counts leave a task.
  5. Audit: a bounded sample of AUDIT nodes is compared with all nodes. If fewer than RECALL of its links join one component,
@@ -24,11 +25,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from llm import textops as T
 from llm.common import load, ship, written
 from llm.graph import components
 
-THRESHOLD, FLOOR = 0.98, 0.95
-TREES, LEAF, NEIGHBOURS, ROUNDS = 8, 32, 12, 4
+THRESHOLD, SLACK = 0.98, 0.0015
+MAYBE = THRESHOLD - SLACK
+TREES, LEAF, NEIGHBOURS, WALK, ROUNDS = 8, 256, 12, 4, 4
+#: Leaves above CROWD nodes are split by Spark, up to SPLITS times; smaller ones in their task.
+CROWD, SPLITS = 4096, 8
 AUDIT, RECALL, GROWTHS = 256, 0.99, 3
 BLOCK = 2048
 NODE = "id long, label int, dim int, unit binary"
@@ -54,85 +59,184 @@ def units(vectors: DataFrame) -> DataFrame:
     return vectors.select(F.col("vec_id").cast("long"), "embedding", F.col("label").cast("int")).mapInArrow(run, NODE)
 
 
-def _matrix(column) -> np.ndarray:
+def _matrix(column, kind=np.float64) -> np.ndarray:
     values = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return np.stack([np.frombuffer(v.as_py(), np.float64) for v in values])
+    return np.stack([np.frombuffer(v.as_py(), kind) for v in values])
 
 
 def _pairs(ids: np.ndarray, x: np.ndarray, most: int) -> pa.Table:
-    """For each row its `most` best partners of at least FLOOR, each pair once."""
+    """For each row its `most` best partners that may be links and its WALK best whatever their cosine, each pair once."""
     sims = x @ x.T
-    np.fill_diagonal(sims, -1)
-    if len(x) > most + 1:
-        border = np.partition(sims, len(x) - most, axis=1)[:, len(x) - most]
-        good = (sims >= border[:, None]) & (sims >= FLOOR)
-        good |= good.T
-    else:
-        good = sims >= FLOOR
-    i, j = np.nonzero(np.triu(good, 1))
+    np.fill_diagonal(sims, -2)
+
+    def best(k: int) -> np.ndarray:
+        return sims >= (np.partition(sims, len(x) - k, axis=1)[:, len(x) - k, None] if len(x) > k else -1.5)
+
+    good = (best(most) & (sims >= MAYBE)) | best(WALK)
+    np.fill_diagonal(good, False)
+    i, j = np.nonzero(np.triu(good | good.T, 1))
     a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
     keep = a != b
-    return pa.table({"a": a[keep], "b": b[keep], "sim": sims[i, j][keep]})
+    return pa.table({"a": a[keep], "b": b[keep], "sim": sims[i, j][keep].astype(np.float64)})
 
 
 PAIRS = "a long, b long, sim double"
+LEAVES = ["label", "dim", "tree", "code"]
+PLACED = "id long, label int, dim int, tree int, code long"
 
 
-def forest(nodes: DataFrame, trees: range) -> DataFrame:
-    """Pairs of nodes that share a leaf."""
-    sizes = nodes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("c"))
-    bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("c") / LEAF))).cast("int")
-    known = nodes.join(sizes.select("label", "dim", bits.alias("bits")), ["label", "dim"]).select("id", "label", "dim", "unit", "bits")
-    first, last = trees.start, trees.stop
+def coarsened(nodes: DataFrame) -> DataFrame:
+    """id, label, dim and the unit vector in half precision, whose cosines are off by less than SLACK."""
 
     def run(batches):
         for b in batches:
-            dims, all_bits = b.column(2).to_numpy(), b.column(4).to_numpy()
-            for dim in np.unique(dims):
-                rows = np.flatnonzero(dims == dim)
-                part = b.take(pa.array(rows))
-                x = _matrix(part.column(3))
+            halves = pa.array([np.frombuffer(v.as_py(), np.float64).astype(np.float16).tobytes() for v in b.column(3)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], halves], ["id", "label", "dim", "half"])
+
+    return nodes.select("id", "label", "dim", "unit").mapInArrow(run, "id long, label int, dim int, half binary")
+
+
+def centres(inside: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, c (rows) and the mean of the vectors (column half) of each group, from sums that tasks make of their own rows."""
+    kinds = ", ".join(f"{k} {dict(inside.dtypes)[k]}" for k in keys)
+
+    def partial(batches):
+        sums: dict[tuple, list] = {}
+        for b in batches:
+            for *key, v in zip(*(b.column(i).to_pylist() for i in range(len(keys) + 1)), strict=True):
+                x = np.frombuffer(v, np.float16)
+                held = sums.setdefault(tuple(key), [np.zeros(len(x)), 0])
+                held[0] += x
+                held[1] += 1
+            if len(sums) > 1000:
+                yield table(sums)
+                sums = {}
+        if sums:
+            yield table(sums)
+
+    def table(sums: dict) -> pa.RecordBatch:
+        columns = [pa.array([k[i] for k in sums], pa.int64() if keys[i] == "code" else pa.int32()) for i in range(len(keys))]
+        return pa.RecordBatch.from_arrays([*columns, pa.array([v[0].tobytes() for v in sums.values()], pa.binary()), pa.array([v[1] for v in sums.values()], pa.int64())], [*keys, "total", "c"])
+
+    def whole(t: pa.Table) -> pa.Table:
+        n = sum(t.column("c").to_pylist())
+        mean = (_matrix(t.column("total")).sum(0) / n).tobytes()
+        return t.slice(0, 1).select(keys).append_column("c", pa.array([n], pa.int64())).append_column("centre", pa.array([mean], pa.binary()))
+
+    return inside.select(*keys, "half").mapInArrow(partial, f"{kinds}, total binary, c long").groupBy(*keys).applyInArrow(whole, f"{kinds}, c long, centre binary")
+
+
+def _sides(x: np.ndarray, centre: np.ndarray, count: int, seed: list[int]) -> np.ndarray:
+    """A number for the sides of `count` planes through centre that the rows of x are on."""
+    bits = min(count, 40)
+    planes = np.random.default_rng(seed).normal(size=(x.shape[1], 40))[:, :bits]
+    return ((x - centre) @ planes > 0).astype(np.int64) @ (1 << np.arange(bits, dtype=np.int64))
+
+
+def halved(x: np.ndarray, most: int, seed: list[int]) -> list[np.ndarray]:
+    """Rows of x in parts of at most `most`, halved by random planes through the parts' own medians."""
+    out, open_, rng = [], [np.arange(len(x))], np.random.default_rng(seed)
+    while open_:
+        rows = open_.pop()
+        if len(rows) <= most:
+            out.append(rows)
+        else:
+            order = np.argsort(x[rows] @ rng.normal(size=x.shape[1]), kind="stable")
+            open_ += [rows[order[: len(rows) // 2]], rows[order[len(rows) // 2 :]]]
+    return out
+
+
+def placed(spark: SparkSession, coarse: DataFrame, trees: range) -> DataFrame:
+    """A row of PLACED per node and tree: sides of planes through the label's centre; crowded leaves, of planes through their own."""
+    first, last = trees.start, trees.stop
+
+    def plant(batches):
+        for b in batches:
+            ids, labels, dims, counts = (b.column(i).to_numpy() for i in (0, 1, 2, 4))
+            for at in (np.flatnonzero((labels == label) & (dims == dim)) for label, dim in sorted(set(zip(labels.tolist(), dims.tolist(), strict=True)))):
+                x, centre = _matrix(b.column(3).take(pa.array(at)), np.float16).astype(np.float64), np.frombuffer(b.column(5)[int(at[0])].as_py(), np.float64)
+                count = max(0, int(np.ceil(np.log2(counts[at[0]] / LEAF))))
                 for t in range(first, last):
-                    planes = np.random.default_rng([t, int(dim)]).normal(size=(int(dim), 40))
-                    signs = (x @ planes > 0).astype(np.int64)
-                    signs[np.arange(40)[None, :] >= all_bits[rows][:, None]] = 0
-                    code = signs @ (1 << np.arange(40, dtype=np.int64))
-                    yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(np.full(len(rows), t, np.int32)), pa.array(code)], ["id", "label", "dim", "unit", "tree", "code"])
+                    code = _sides(x, centre, count, [t, x.shape[1]])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(labels[at]), pa.array(dims[at]), pa.array(np.full(len(at), t, np.int32)), pa.array(code)], ["id", *LEAVES])
 
-    leaf = ["label", "dim", "tree", "code"]
-    placed = known.mapInArrow(run, f"{NODE}, tree int, code long")
-    parts = placed.groupBy(*leaf).agg(F.count(F.lit(1)).alias("c")).select(*leaf, F.ceil(F.col("c") / (2 * LEAF)).alias("parts"))
-    dealt = placed.join(parts, leaf).withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
+    middle = written(spark, centres(coarse, ["label", "dim"]), "centres")
+    leaves = written(spark, coarse.join(middle, ["label", "dim"]).select("id", "label", "dim", "half", "c", "centre").mapInArrow(plant, PLACED), "leaves")
 
-    def compare(table: pa.Table) -> pa.Table:
-        return _pairs(table.column("id").to_numpy(), _matrix(table.column("unit")), NEIGHBOURS)
+    for level in range(1, SPLITS + 1):
+        crowded = written(spark, leaves.groupBy(*LEAVES).agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > CROWD).drop("c"), "crowded")
+        if not crowded.take(1):
+            break
+
+        def split(batches, level=level):
+            for b in batches:
+                ids, labels, dims, trees_, codes, counts = (b.column(i).to_numpy() for i in (0, 1, 2, 3, 4, 6))
+                keys = np.stack([labels, dims, trees_, codes]).astype(np.int64)
+                groups, of = np.unique(keys, axis=1, return_inverse=True)
+                for g in range(groups.shape[1]):
+                    at = np.flatnonzero(of.ravel() == g)
+                    x, centre = _matrix(b.column(5).take(pa.array(at)), np.float16).astype(np.float64), np.frombuffer(b.column(7)[int(at[0])].as_py(), np.float64)
+                    side = _sides(x, centre, max(1, int(np.ceil(np.log2(counts[at[0]] / LEAF)))), [int(trees_[at[0]]), x.shape[1], level])
+                    code = T.mix(codes[at].view(T.U64) * T.U64(0x9E3779B97F4A7C15) ^ T.mix(side.view(T.U64) + T.U64(level))).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(labels[at]), pa.array(dims[at]), pa.array(trees_[at]), pa.array(code)], ["id", *LEAVES])
+
+        inside = leaves.join(crowded, LEAVES).join(coarse.select("id", "half"), "id").select("id", *LEAVES, "half")
+        middle = written(spark, centres(inside, LEAVES), "centres")
+        anew = inside.join(middle, LEAVES).select("id", *LEAVES, "half", "c", "centre").mapInArrow(split, PLACED)
+        leaves = written(spark, leaves.join(crowded, LEAVES, "left_anti").select("id", *LEAVES).unionAll(anew), "leaves")
+    return leaves
+
+
+def forest(spark: SparkSession, coarse: DataFrame, trees: range) -> DataFrame:
+    """Pairs of nodes that share a leaf."""
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        ids, x = table.column("id").to_numpy(), _matrix(table.column("half"), np.float16).astype(np.float32)
+        parts = halved(x, 2 * LEAF, [key[2].as_py(), key[3].as_py() & (1 << 62) - 1])
+        return pa.concat_tables([_pairs(ids[rows], x[rows], NEIGHBOURS) for rows in parts])
 
-    return dealt.groupBy(*leaf, "part").applyInArrow(compare, PAIRS).groupBy("a", "b").agg(F.max("sim").alias("sim"))
+    dealt = placed(spark, coarse, trees).join(coarse.select("id", "half"), "id")
+    return dealt.groupBy(*LEAVES).applyInArrow(compare, PAIRS).groupBy("a", "b").agg(F.max("sim").alias("sim"))
 
 
 def lists(pairs: DataFrame, growth: int) -> DataFrame:
-    """(src, dst): each node's best neighbours. A list doubles, up to `growth` times, while all of it reaches the threshold."""
+    """(src, dst): each node's best neighbours. A list doubles, up to `growth` times, while all of it may be links."""
     both = pairs.selectExpr("a AS src", "b AS dst", "sim").unionAll(pairs.selectExpr("b AS src", "a AS dst", "sim"))
     w = Window.partitionBy("src")
-    full = F.sum((F.col("sim") >= THRESHOLD).cast("int")).over(w)
+    full = F.sum((F.col("sim") >= MAYBE).cast("int")).over(w)
     doubled = F.when(full < NEIGHBOURS, 0).otherwise(F.least(F.lit(growth), 1 + F.floor(F.log2(full / NEIGHBOURS))))
     ranked = both.withColumns({"rank": F.row_number().over(w.orderBy(F.col("sim").desc(), "dst")), "room": NEIGHBOURS * F.pow(F.lit(2), doubled)})
     return ranked.filter("rank <= room").select("src", "dst")
 
 
-def descend(nodes: DataFrame, pairs: DataFrame, growth: int) -> DataFrame:
+def descend(coarse: DataFrame, pairs: DataFrame, growth: int) -> DataFrame:
     """pairs and those of nodes that share a neighbour."""
     near = lists(pairs, growth)
     members = near.selectExpr("src AS centre", "dst AS id").unionAll(near.selectExpr("src AS centre", "src AS id")).distinct()
     most = NEIGHBOURS * 2**growth
 
     def compare(table: pa.Table) -> pa.Table:
-        return _pairs(table.column("id").to_numpy(), _matrix(table.column("unit")), most)
+        return _pairs(table.column("id").to_numpy(), _matrix(table.column("half"), np.float16).astype(np.float32), most)
 
-    found = members.join(nodes.select("id", "unit"), "id").groupBy("centre").applyInArrow(compare, PAIRS)
+    found = members.join(coarse.select("id", "half"), "id").groupBy("centre").applyInArrow(compare, PAIRS)
     return pairs.unionAll(found).groupBy("a", "b").agg(F.max("sim").alias("sim"))
 
 
+def links(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b): pairs that are links; those that half precision leaves open are compared in double precision."""
+    sure = pairs.filter(F.col("sim") >= THRESHOLD + SLACK).select("a", "b")
+    near = pairs.filter((F.col("sim") >= MAYBE) & (F.col("sim") < THRESHOLD + SLACK)).select("a", "b")
+    ends = [nodes.select(F.col("id").alias(k), F.col("unit").alias(f"unit_{k}")) for k in "ab"]
+
+    def run(batches):
+        for t in batches:
+            if t.num_rows:
+                hit = [np.frombuffer(x.as_py(), np.float64) @ np.frombuffer(y.as_py(), np.float64) >= THRESHOLD for x, y in zip(t.column(2), t.column(3), strict=True)]
+                yield pa.RecordBatch.from_arrays(t.columns[:2], ["a", "b"]).filter(pa.array(hit, pa.bool_()))
+
+    return sure.unionAll(near.join(ends[0], "a").join(ends[1], "b").select("a", "b", "unit_a", "unit_b").mapInArrow(run, "a long, b long"))
+
+
 def counted(nodes: DataFrame, parts: DataFrame, block: int = BLOCK) -> DataFrame:
     """(id, linked): the weight of all nodes in a node's component that it links with."""
     inside = parts.join(nodes.select("id", "unit", "weight"), "id")
@@ -157,6 +261,12 @@ def counted(nodes: DataFrame, parts: DataFrame, block: int = BLOCK) -> DataFrame
     return dealt.groupBy("component_id", "i", "j").applyInArrow(count, "id long, linked long").groupBy("id").agg(F.sum("linked").alias("linked"))
 
 
+def _reached(pairs: DataFrame) -> int:
+    """How many nodes have a partner that may be a link."""
+    near = pairs.filter(F.col("sim") >= MAYBE)
+    return near.select("a").unionAll(near.select("b")).distinct().count()
+
+
 def recall(nodes: DataFrame, parts: DataFrame) -> float:
     """Share of the links of a bounded sample of nodes whose ends have one component."""
     sample = nodes.join(parts, "id", "left").select("id", "label", "dim", "unit", F.coalesce("component_id", "id").alias("component")).orderBy(F.xxhash64("id"), "id").limit(AUDIT)
@@ -185,17 +295,18 @@ def near_dedup(vectors: DataFrame, trees: int = TREES, rounds: int = ROUNDS) ->
     every = written(spark, units(vectors), "units")
     able = every.filter("unit IS NOT NULL")
     nodes = written(spark, able.groupBy("label", "dim", "unit").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight")), "nodes")
+    coarse = written(spark, coarsened(nodes), "coarse")
     grown, pairs, parts = 0, None, None
     for _ in range(GROWTHS):
-        fresh = forest(nodes, range(grown, grown + trees))
+        fresh = forest(spark, coarse, range(grown, grown + trees))
         pairs = written(spark, fresh if pairs is None else fresh.unionAll(pairs).groupBy("a", "b").agg(F.max("sim").alias("sim")), "pairs")
-        grown, links = grown + trees, pairs.filter(F.col("sim") >= THRESHOLD).count()
+        grown, reached = grown + trees, _reached(pairs)
         for r in range(1, rounds + 1):
-            pairs = written(spark, descend(nodes, pairs, min(r, 2)), "pairs")
-            before, links = links, pairs.filter(F.col("sim") >= THRESHOLD).count()
-            if links <= before * 1.01:
+            pairs = written(spark, descend(coarse, pairs, min(r, 2)), "pairs")
+            before, reached = reached, _reached(pairs)
+            if reached == before:
                 break
-        parts = written(spark, components(spark, pairs.filter(F.col("sim") >= THRESHOLD).select("a", "b")), "parts")
+        parts = written(spark, components(spark, links(nodes, pairs)), "parts")
         if recall(nodes, parts) >= RECALL:
             break
     tally = written(spark, counted(nodes, parts), "tally")

@@ -210,6 +210,35 @@ def test_vectors(spark):
     assert got(op1_nn_descent.near_dedup(df), "vec_id", "n_links", "component_id", "kept") == vectors(data)
 
 
+def leaning(spark, n=3000, isolated=120, group=600):
+    """Vectors with a common direction (mean cosine 0.7), isolated pairs of cosine 0.985 and a group of near copies."""
+    r = np.random.default_rng(3)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    x = unit(np.sqrt(0.7) * unit(r.normal(size=64)) + np.sqrt(0.3) * unit(r.normal(size=(n, 64))))
+    off = r.normal(size=(isolated, 64))
+    off = unit(off - (off * x[:isolated]).sum(1, keepdims=True) * x[:isolated])
+    x[isolated : 2 * isolated] = 0.985 * x[:isolated] + np.sqrt(1 - 0.985**2) * off
+    x[n - group :] = unit(x[-1] + 0.02 * unit(r.normal(size=(group, 64))))
+    hit = (x @ x.T >= 0.98) & ~np.eye(n, dtype=bool)
+    return x, hit, spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int").repartition(3)
+
+
+def test_vectors_with_a_common_direction(spark):
+    x, hit, df = leaning(spark)
+    out = {r["vec_id"]: r for r in op1_nn_descent.near_dedup(df).collect()}
+    assert [out[i]["n_links"] for i in range(len(x))] == hit.sum(1).tolist()
+    assert all(out[i]["component_id"] == out[i + 120]["component_id"] == i for i in range(120))
+    assert len({out[i]["component_id"] for i in range(2400, 3000)}) == 1
+
+
+def test_crowded_leaves(spark, monkeypatch):
+    x, hit, df = leaning(spark, 1500, 60, 500)
+    monkeypatch.setattr(op1_nn_descent, "CROWD", 100)
+    monkeypatch.setattr(op1_nn_descent, "LEAF", 20)
+    out = {r["vec_id"]: r["n_links"] for r in op1_nn_descent.near_dedup(df).collect()}
+    assert [out[i] for i in range(len(x))] == hit.sum(1).tolist()
+
+
 def test_counted_in_blocks(spark):
     r = np.random.default_rng(9)
     x = r.normal(size=8) + r.normal(size=(70, 8)) * 0.07
