@@ -9,8 +9,9 @@ Vectors of one label (and length) whose cosine is 0.98 or more, in double precis
     compare in half precision; a pair that this leaves open (SLACK) is compared in double precision before it is a link.
  4. Links of the lists give components. All links of a node lie in its component, so what lists leave out in dense components is
     counted exactly there: components are compared with themselves, large ones in pairs of blocks; only counts leave a task.
- 5. Audit: a bounded sample of AUDIT nodes is compared with all nodes. If fewer than RECALL of its links join one component,
-    more trees are grown and the rounds go on.
+ 5. Audit, by node: samples of the nodes of small components (and alone) and of large ones are compared with all nodes, until
+    enough nodes with links are seen. If of either fewer than RECALL have all their links in their component, more trees are
+    grown and the rounds go on; if that doesn't help, labels are compared with themselves in pairs of blocks, exactly.
 
 No pairs of a group are emitted beyond the lists. Counting in a component takes time in the square of its distinct vectors,
 which the number of links itself may have; copies cost nothing. Edges and rounds are tables in the shared folder.
@@ -34,7 +35,7 @@ MAYBE = THRESHOLD - SLACK
 TREES, LEAF, NEIGHBOURS, WALK, ROUNDS = 8, 256, 12, 4, 4
 #: Leaves above CROWD nodes are split by Spark, up to SPLITS times; smaller ones in their task.
 CROWD, SPLITS = 4096, 8
-AUDIT, RECALL, GROWTHS = 256, 0.99, 3
+AUDIT, AUDIT_MOST, ENOUGH, SMALL, RECALL, GROWTHS = 512, 8192, 64, 64, 0.99, 3
 BLOCK = 2048
 NODE = "id long, label int, dim int, unit binary"
 
@@ -237,6 +238,34 @@ def links(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     return sure.unionAll(near.join(ends[0], "a").join(ends[1], "b").select("a", "b", "unit_a", "unit_b").mapInArrow(run, "a long, b long"))
 
 
+def exhaustive(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(a, b): links that connect all linked nodes, from comparing each label with itself in pairs of blocks."""
+    sizes = nodes.groupBy("label", "dim").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    dealt = (
+        nodes.select("id", "label", "dim", "unit").join(sizes, ["label", "dim"]).selectExpr("*", "CAST(pmod(xxhash64(id), blocks) AS INT) AS own").selectExpr("*", "explode(sequence(0, blocks - 1)) AS other")
+        .selectExpr("id", "label", "dim", "unit", "least(own, other) AS i", "greatest(own, other) AS j")
+    )
+
+    def compare(table: pa.Table) -> pa.Table:
+        ids, x = table.column("id").to_numpy(), _matrix(table.column("unit"))
+        left, a, b = np.ones(len(ids), bool), [], []
+        for seed in range(len(ids)):
+            # all that the seed reaches; each node is compared with the others once
+            front = np.array([seed]) if left[seed] else np.zeros(0, np.int64)
+            left[seed] = False
+            while len(front):
+                hit = np.zeros(len(ids), bool)
+                for lo in range(0, len(front), 256):
+                    hit |= (x[front[lo : lo + 256]] @ x.T >= THRESHOLD).any(0)
+                front = np.flatnonzero(hit & left)
+                left[front] = False
+                a.append(np.full(len(front), ids[seed]))
+                b.append(ids[front])
+        return pa.table({"a": np.concatenate([np.zeros(0, np.int64), *a]), "b": np.concatenate([np.zeros(0, np.int64), *b])})
+
+    return dealt.groupBy("label", "dim", "i", "j").applyInArrow(compare, "a long, b long")
+
+
 def counted(nodes: DataFrame, parts: DataFrame, block: int = BLOCK) -> DataFrame:
     """(id, linked): the weight of all nodes in a node's component that it links with."""
     inside = parts.join(nodes.select("id", "unit", "weight"), "id")
@@ -261,34 +290,58 @@ def counted(nodes: DataFrame, parts: DataFrame, block: int = BLOCK) -> DataFrame
     return dealt.groupBy("component_id", "i", "j").applyInArrow(count, "id long, linked long").groupBy("id").agg(F.sum("linked").alias("linked"))
 
 
+def audit(nodes: DataFrame, parts: DataFrame) -> list[tuple[int, int]]:
+    """For nodes of components of up to SMALL nodes (and alone), and of others: how many sampled nodes have links, and of how
+    many of these all links lie in their component. Samples grow until ENOUGH nodes with links are seen, AUDIT_MOST at most."""
+    every = nodes.join(parts, "id", "left").select("id", "label", "dim", "unit", F.coalesce("component_id", "id").alias("component"))
+    large = parts.groupBy("component_id").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > SMALL).select(F.col("component_id").alias("component"))
+    out = []
+    for pool in (every.join(large, "component", "left_anti"), every.join(large, "component", "left_semi")):
+        size = AUDIT
+        while True:
+            asked = pool.orderBy(F.xxhash64("id"), "id").limit(size).select("id", "label", "dim", "unit", "component").collect()
+            found = _audited(every, asked)
+            if len(found) >= ENOUGH or len(asked) < size or size >= AUDIT_MOST:
+                break
+            size *= 4
+        out.append((len(found), sum(linked == joined for linked, joined in found)))
+    return out
+
+
 def _reached(pairs: DataFrame) -> int:
     """How many nodes have a partner that may be a link."""
     near = pairs.filter(F.col("sim") >= MAYBE)
     return near.select("a").unionAll(near.select("b")).distinct().count()
 
 
-def recall(nodes: DataFrame, parts: DataFrame) -> float:
-    """Share of the links of a bounded sample of nodes whose ends have one component."""
-    sample = nodes.join(parts, "id", "left").select("id", "label", "dim", "unit", F.coalesce("component_id", "id").alias("component")).orderBy(F.xxhash64("id"), "id").limit(AUDIT)
-    asked = [(r.id, r.label, r.dim, np.frombuffer(bytes(r.unit), np.float64), r.component) for r in sample.collect()]
+def _audited(every: DataFrame, asked: list) -> list[tuple[int, int]]:
+    """Links, and links within the component, of each asked node that has links."""
+    kinds: dict[tuple, list] = {}
+    for k, r in enumerate(asked):
+        kinds.setdefault((r.label, r.dim), []).append((k, r.id, r.component, bytes(r.unit)))
+    kinds = {kind: (np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), b"".join(r[3] for r in rows)) for kind, rows in kinds.items()}
 
     def run(batches):
-        links = joined = 0
+        linked, joined = np.zeros(len(asked_range), np.int64), np.zeros(len(asked_range), np.int64)
         for b in batches:
             ids, labels, dims, component = (b.column(c).to_numpy() for c in (0, 1, 2, 4))
-            for i, label, dim, x, own in asked:
-                rows = np.flatnonzero((labels == label) & (dims == dim) & (ids != i))
-                if len(rows):
-                    hit = _matrix(b.column(3).take(pa.array(rows))) @ x >= THRESHOLD
-                    links, joined = links + int(hit.sum()), joined + int((component[rows][hit] == own).sum())
-        yield pa.RecordBatch.from_arrays([pa.array([links]), pa.array([joined])], ["links", "joined"])
-
-    every = nodes.join(parts, "id", "left").select("id", "label", "dim", "unit", F.coalesce("component_id", "id").alias("component"))
-    links, joined = every.mapInArrow(run, "links long, joined long").agg(F.sum("links"), F.sum("joined")).first()
-    return 1.0 if not links else joined / links
-
-
-def near_dedup(vectors: DataFrame, trees: int = TREES, rounds: int = ROUNDS) -> DataFrame:
+            for (label, dim), (k, own_id, own, units_) in kinds.items():
+                rows = np.flatnonzero((labels == label) & (dims == dim))
+                y = np.frombuffer(units_, np.float64).reshape(len(k), dim)
+                for lo in range(0, len(rows), 1024):
+                    at = rows[lo : lo + 1024]
+                    hit = (_matrix(b.column(3).take(pa.array(at))) @ y.T >= THRESHOLD) & (ids[at][:, None] != own_id[None, :])
+                    linked[k] += hit.sum(0)
+                    joined[k] += (hit & (component[at][:, None] == own[None, :])).sum(0)
+        k = np.flatnonzero(linked)
+        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(linked[k]), pa.array(joined[k])], ["k", "linked", "joined"])
+
+    asked_range = range(len(asked))
+    rows = every.select("id", "label", "dim", "unit", "component").mapInArrow(run, "k long, linked long, joined long").groupBy("k").agg(F.sum("linked").alias("linked"), F.sum("joined").alias("joined")).collect()
+    return [(r.linked, r.joined) for r in rows]
+
+
+def near_dedup(vectors: DataFrame, trees: int = TREES, rounds: int = ROUNDS, growths: int = GROWTHS) -> DataFrame:
     """Per vector: vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
     ship(spark)
@@ -297,7 +350,7 @@ def near_dedup(vectors: DataFrame, trees: int = TREES, rounds: int = ROUNDS) ->
     nodes = written(spark, able.groupBy("label", "dim", "unit").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight")), "nodes")
     coarse = written(spark, coarsened(nodes), "coarse")
     grown, pairs, parts = 0, None, None
-    for _ in range(GROWTHS):
+    for _ in range(growths):
         fresh = forest(spark, coarse, range(grown, grown + trees))
         pairs = written(spark, fresh if pairs is None else fresh.unionAll(pairs).groupBy("a", "b").agg(F.max("sim").alias("sim")), "pairs")
         grown, reached = grown + trees, _reached(pairs)
@@ -307,8 +360,10 @@ def near_dedup(vectors: DataFrame, trees: int = TREES, rounds: int = ROUNDS) ->
             if reached == before:
                 break
         parts = written(spark, components(spark, links(nodes, pairs)), "parts")
-        if recall(nodes, parts) >= RECALL:
+        if all(whole >= RECALL * linked for linked, whole in audit(nodes, parts)):
             break
+    else:
+        parts = written(spark, components(spark, exhaustive(nodes)), "parts")
     tally = written(spark, counted(nodes, parts), "tally")
     found = nodes.join(parts, "id", "left").join(tally, "id", "left").select("label", "dim", "unit", (F.coalesce("linked", F.lit(0)) + F.col("weight") - 1).alias("n"), F.coalesce("component_id", "id").alias("c"))
     return every.join(found, ["label", "dim", "unit"], "left").select(

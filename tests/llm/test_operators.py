@@ -223,20 +223,26 @@ def leaning(spark, n=3000, isolated=120, group=600):
     return x, hit, spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int").repartition(3)
 
 
-def test_vectors_with_a_common_direction(spark):
+@pytest.mark.parametrize("options", [{}, {"growths": 0}])
+def test_vectors_with_a_common_direction(spark, options):
     x, hit, df = leaning(spark)
-    out = {r["vec_id"]: r for r in op1_nn_descent.near_dedup(df).collect()}
+    out = {r["vec_id"]: r for r in op1_nn_descent.near_dedup(df, **options).collect()}
     assert [out[i]["n_links"] for i in range(len(x))] == hit.sum(1).tolist()
     assert all(out[i]["component_id"] == out[i + 120]["component_id"] == i for i in range(120))
     assert len({out[i]["component_id"] for i in range(2400, 3000)}) == 1
 
 
-def test_crowded_leaves(spark, monkeypatch):
+def test_crowded_leaves_and_audit(spark, monkeypatch):
     x, hit, df = leaning(spark, 1500, 60, 500)
     monkeypatch.setattr(op1_nn_descent, "CROWD", 100)
     monkeypatch.setattr(op1_nn_descent, "LEAF", 20)
     out = {r["vec_id"]: r["n_links"] for r in op1_nn_descent.near_dedup(df).collect()}
     assert [out[i] for i in range(len(x))] == hit.sum(1).tolist()
+    nodes = spark.createDataFrame([(i, 0, 64, bytes(v.tobytes())) for i, v in enumerate(x)], "id long, label int, dim int, unit binary")
+    parts = spark.createDataFrame([(i, 1000) for i in range(1000, 1500)], "id long, component_id long")
+    # all pairs outside the group are missing: the group must not hide it
+    small, large = op1_nn_descent.audit(nodes, parts)
+    assert small[0] >= 40 and small[1] == 0 and large[0] == large[1] > 0
 
 
 def test_counted_in_blocks(spark):
