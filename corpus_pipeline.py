@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from llm import op2_mixing, op3_bpe, op4_ngram_jaccard, op5_quality_rules, op8_suffix_dedup
-from llm.common import load, ship, written
+from llm.common import load, ship, with_row, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -20,23 +20,29 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id stays; rows that share that id stay together."""
+    """Of each group of linked documents the one with the smallest doc_id stays; rows that share that id stay together.
+
+    Rows are linked by their own texts, whatever their ids. Null ids stand last; of a group of null ids one row stays.
+    """
     ship(spark)
-    linked = op4_ngram_jaccard.jaccard_join(docs)
-    gone = linked.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    rows = with_row(docs.select(*COLUMNS), "row")
+    group = op4_ngram_jaccard.jaccard_join(rows.select(F.col("row").alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), F.col("component_id").alias("group"))
+    linked = written(spark, group.join(rows.select("row", "doc_id", F.xxhash64("text").alias("h")), "row"), "linked")
+    kept = linked.groupBy("group").agg(F.min("doc_id").alias("least"), F.min(F.struct("h", "row"))["row"].alias("one"), F.count("*").alias("c")).filter("c > 1")
+    gone = linked.join(kept, "group").filter("CASE WHEN least IS NULL THEN row <> one ELSE NOT doc_id <=> least END").select("row")
+    return rows.join(gone, "row", "left_anti").select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts bytes of 50-byte strings that an earlier document has; documents of which no word is left go.
 
-    A character that is cut in part goes whole. Rows with one doc_id take the columns of one of them.
+    A character that is cut in part goes whole. Each row keeps its own columns, whatever its doc_id; null ids stand last.
     """
     ship(spark)
-    kept = op8_suffix_dedup.suffix_dedup(docs).select(F.col("doc_id").alias("id"), "n_removed", F.col("kept_text").alias("text"))
-    rest = docs.select("doc_id", "lang", "source").dropDuplicates(["doc_id"])
+    rows = with_row(docs.select(*COLUMNS), "row")
+    kept = op8_suffix_dedup.suffix_dedup(rows, row_col="row").select("row", "n_removed", F.col("kept_text").alias("text"))
     left = kept.filter("n_removed = 0 OR regexp_count(text, '[^\\\\x20\\\\x09-\\\\x0D]') > 0")
-    return left.join(rest, F.col("id").eqNullSafe(F.col("doc_id"))).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    return left.join(rows.select("row", "doc_id", "lang", "source"), "row").withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: A word is a maximal run of characters other than these six (space, tab, LF, VT, FF, CR).
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -52,6 +52,11 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_row(docs: DataFrame, name: str) -> DataFrame:
+    """docs, written, with a number (long) that tells its rows apart."""
+    return written(docs.sparkSession, docs.withColumn(name, F.monotonically_increasing_id()), "rows")
+
+
 def buckets(spark: SparkSession) -> int:
     """Number of hash buckets of an exchange: a multiple of the shuffle partitions the user has sized."""
     return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))

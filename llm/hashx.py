@@ -55,8 +55,12 @@ def restore(data: bytes) -> dict[str, np.ndarray]:
     return out
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """Rows (batch, docs, blob), dealt out by batch. Null texts count as empty."""
+#: What a null id counts as in comparisons: it stands last. finish gives it back as null.
+NO_ID = np.iinfo(np.int64).max
+
+
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES, row_col: str | None = None) -> DataFrame:
+    """Rows (batch, docs, blob), dealt out by batch. Null texts count as empty. A row_col (long) comes back from finish as `row`."""
 
     def packed(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, no, held, size = TaskContext.get().partitionId(), 0, [], 0
@@ -65,19 +69,24 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch_
             ids = np.concatenate([h[0] for h in held])
             lengths = np.concatenate([h[1] for h in held])
             text = b"".join(h[2] for h in held)
-            head = dump(ids=ids, lengths=lengths)
+            more = {"null": np.concatenate([h[3] for h in held])}
+            if row_col:
+                more["row"] = np.concatenate([h[4] for h in held])
+            head = dump(ids=ids, lengths=lengths, **more)
             blob = struct.pack("<I", len(head)) + head + zstandard.ZstdCompressor(level=3).compress(text)
             return pa.RecordBatch.from_arrays([pa.array([(part << 32) | no]), pa.array([len(ids)], pa.int64()), pa.array([blob], pa.binary())], ["batch", "docs", "blob"])
 
         for table in tables:
-            ids = table.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            column = table.column(0).cast(pa.int64())  # nulls are filled first: through floats, ids above 2**53 would change
+            ids, null = column.fill_null(NO_ID).to_numpy(zero_copy_only=False), bits(column.is_null().to_numpy(zero_copy_only=False))
+            row = table.column(2).to_numpy(zero_copy_only=False) if row_col else ids
             buf, offsets = utf8(table.column(1))
             at = 0
             while at < len(ids):
                 to = int(np.searchsorted(offsets, offsets[at] + batch_bytes - size, side="right")) - 1
                 to = min(max(to, at + (not held)), len(ids))
                 if to > at:
-                    held.append((ids[at:to], np.diff(offsets[at : to + 1]), buf[offsets[at] : offsets[to]].tobytes()))
+                    held.append((ids[at:to], np.diff(offsets[at : to + 1]), buf[offsets[at] : offsets[to]].tobytes(), null[at:to], row[at:to]))
                     size += int(offsets[to] - offsets[at])
                     at = to
                 if at < len(ids) or size >= batch_bytes:
@@ -86,13 +95,17 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch_
         if held:
             yield close()
 
-    return docs.select(id_col, text_col).mapInArrow(packed, PACKED).repartition("batch")
+    return docs.select(id_col, text_col, *([row_col] if row_col else [])).mapInArrow(packed, PACKED).repartition("batch")
+
+
+def _head(blob: bytes) -> tuple[dict[str, np.ndarray], int]:
+    n = struct.unpack_from("<I", blob)[0]
+    return restore(blob[4 : 4 + n]), n
 
 
 def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids, bytes and offsets of a batch's documents."""
-    n = struct.unpack_from("<I", blob)[0]
-    head = restore(blob[4 : 4 + n])
+    head, n = _head(blob)
     text = zstandard.ZstdDecompressor().decompress(blob[4 + n :]) if head["lengths"].sum() else b""
     return head["ids"], np.frombuffer(text, np.uint8), np.concatenate([[0], np.cumsum(head["lengths"])]).astype(np.int64)
 
@@ -171,7 +184,10 @@ def ask_again(packed: DataFrame, answers: DataFrame, request: Callable[..., Iter
 
 
 def finish(packed: DataFrame, rounds: list[DataFrame], result: Callable[..., pa.Table], schema: str) -> DataFrame:
-    """result(ids, buf, offsets, answers of each round) makes the rows of a batch, with the columns of schema."""
+    """result(ids, buf, offsets, answers of each round) makes a row for each document of a batch, with the columns of schema.
+
+    The first column is the id, null where it was; a last column `row` of schema is what pack was given.
+    """
     tagged, count = None, len(rounds)
     for i, r in enumerate(rounds):
         r = r.selectExpr("batch", "bucket", "payload", f"{i} AS round")
@@ -181,7 +197,14 @@ def finish(packed: DataFrame, rounds: list[DataFrame], result: Callable[..., pa.
         release()
         rounds_no = right.column("round").to_numpy()
         given = [answered(right.filter(pa.array(rounds_no == i))) for i in range(count)]
-        return pa.concat_tables([result(*unpack(b.as_py()), *given) for b in left.column("blob")])
+        return pa.concat_tables([own(b.as_py(), given) for b in left.column("blob")])
+
+    def own(blob: bytes, given: list) -> pa.Table:
+        head, _ = _head(blob)
+        out = result(*unpack(blob), *given)
+        if head["null"].any():
+            out = out.set_column(0, out.column_names[0], pa.array(head["ids"], mask=head["null"] > 0))
+        return out.append_column("row", pa.array(head["row"])) if "row" in head else out
 
     return packed.groupBy("batch").cogroup(tagged.groupBy("batch")).applyInArrow(run, schema)
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from llm import textops as T
-from llm.common import WORD_PATTERN, load, ship, written
+from llm.common import WORD_PATTERN, load, ship, with_row, written
 
 WEIGHTS, FACTOR, LIMIT = (5, 2, 1), 1.5, 2
 BLOCK, SHARD_WORDS, SEED = 64, 1 << 19, 17
@@ -32,10 +32,10 @@ def number(text: Column, below: Column | int) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long"), F.lit(below) if isinstance(below, int) else below)
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, key (a source's name that is never null) and size in words."""
+def sized(docs: DataFrame, row: list[str]) -> DataFrame:
+    """doc_id, source, key (a source's name that is never null), size in words, and the columns of row."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
-    return docs.select("doc_id", "source", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("key"), size.alias("size"))
+    return docs.select("doc_id", "source", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("key"), size.alias("size"), *row)
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, factor: float = FACTOR, limit: int = LIMIT) -> DataFrame:
@@ -81,9 +81,9 @@ def quotas(sizes: DataFrame, sources: DataFrame, block: int = BLOCK, shard_words
     return out.select("key", "shard", blocks.alias("blocks"), F.least("quota", 2 * blocks).alias("quota"))
 
 
-def placed(sizes: DataFrame, shares: DataFrame, seed: int) -> DataFrame:
+def placed(sizes: DataFrame, shares: DataFrame, seed: int, row: list[str]) -> DataFrame:
     """sizes with start (words before the document in its shard), blocks, quota and first (the seeded start)."""
-    order = Window.partitionBy("key", "shard").orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"))), "doc_id", "size")
+    order = Window.partitionBy("key", "shard").orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"))), "doc_id", "size", *row)
     at = sizes.withColumn("start", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     first = number(F.concat_ws(":", F.lit(str(seed)), F.col("key"), F.col("shard").cast("string")), F.greatest("blocks", F.lit(1)))
     return at.join(shares, ["key", "shard"]).withColumn("first", first)
@@ -96,26 +96,31 @@ def _upto(x: str, block: int) -> str:
     return f"(({before}) * {block} + ({x} % {block}) * (({after}) - ({before})))"
 
 
-def mixed(docs: DataFrame, block: int = BLOCK, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
-    """A row per document: doc_id, size, source_size, target, taken, and the block arithmetic (start, blocks, quota, first)."""
+def mixed(docs: DataFrame, block: int = BLOCK, shard_words: int = SHARD_WORDS, seed: int = SEED, row: str | None = None) -> DataFrame:
+    """A row per document: doc_id, size, source_size, target, taken, and the block arithmetic (start, blocks, quota, first).
+
+    row: a column that tells rows apart; it is kept.
+    """
     spark = docs.sparkSession
     ship(spark)
-    sizes = written(spark, sized(docs), "sizes")
+    rows = [row] if row else []
+    sizes = written(spark, sized(docs, rows), "sizes")
     sources = written(spark, targets(sizes), "sources")
     shard = number(F.concat_ws(":", F.lit(str(seed)), F.lit("shard"), F.col("doc_id").cast("string")), F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1)))
     sizes = sizes.join(sources.select("key", "source_size", "target"), "key").withColumn("shard", shard)
     shares = written(spark, quotas(sizes, sources, block, shard_words), "quotas")
-    return placed(sizes, shares, seed).withColumn("taken", F.expr(f"{_upto('(start + size)', block)} - {_upto('start', block)}").cast("long"))
+    return placed(sizes, shares, seed, rows).withColumn("taken", F.expr(f"{_upto('(start + size)', block)} - {_upto('start', block)}").cast("long"))
 
 
 def taken_texts(docs: DataFrame, block: int = BLOCK, **options) -> DataFrame:
     """docs as mixed, with their columns: up to two rows per document, with the words that the first and second taking of its
     blocks hold. Runs of taken words keep their spacing and are joined by a line break; n_chars is made anew.
 
-    doc_id must tell documents apart. Documents of which nothing is taken go.
+    Rows are told apart by numbers of their own, so doc_id may be null or repeated. Documents of which nothing is taken go.
     """
-    shares = mixed(docs, block, **options).select(F.col("doc_id").alias("_id"), "start", "blocks", "quota", "first")
-    joined = docs.join(shares, F.col("doc_id") == F.col("_id")).drop("_id")
+    numbered = with_row(docs, "_row")
+    shares = mixed(numbered, block, row="_row", **options).select("_row", "start", "blocks", "quota", "first")
+    joined = numbered.join(shares, "_row")
     names, schema = docs.columns, docs.schema
     text_at, chars_at = names.index("text"), names.index("n_chars")
 

@@ -16,7 +16,8 @@ Method: set-relation skipping over an exact prefix-filter index.
 Scale: text moves once, compressed; shingle counts as sorted hash lists, one entry per distinct shingle and batch.
 Results and edges are linear in the documents. Null, empty and wordless texts have an empty set and no links. A
 text of under five words is one shingle. Repeated rows are equal sets. Shingles are compared as 64-bit hashes, in a
-group by 48 bits of them. Extra columns are ignored.
+group by 48 bits of them. Rows with a null
+doc_id are returned and link with nothing. Extra columns are ignored.
 """
 
 from __future__ import annotations

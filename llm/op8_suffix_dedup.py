@@ -17,7 +17,7 @@ Scale: text moves once, compressed; equal contexts are merged in their batch and
 sorting, so a passage in a third of all documents is one context per batch. No pairs are formed.
 
 Null and empty texts keep nothing. Whole copies are found by a 64-bit hash of the text; rows with an equal
-doc_id are not earlier than one another. Extra columns are ignored.
+doc_id are not earlier than one another. Null ids stand last. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -174,8 +174,11 @@ def earliest(doc: np.ndarray, group: np.ndarray, before: np.ndarray, after: np.n
     return out
 
 
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, texts: bool = True, many: int = MANY) -> DataFrame:
-    """Per document: n_bytes, n_removed, n_spans, kept_sha256 and, if texts, the kept bytes and their whole characters."""
+def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, texts: bool = True, many: int = MANY, row_col: str | None = None) -> DataFrame:
+    """Per document: n_bytes, n_removed, n_spans, kept_sha256 and, if texts, the kept bytes and their whole characters.
+
+    A row_col (long) tells rows apart and is returned as `row`.
+    """
     n, cut, back = buckets(docs.sparkSession), T.U64(64 - PROBE_BITS), length - gram
     fine = 4 * n  # contexts are wide: smaller buckets
     if not 0 <= back < 32:
@@ -345,10 +348,10 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, texts:
             "kept_text": pa.array([t.decode(errors="ignore") for t in kept] if texts else [None] * len(ids), pa.string()),
         })
 
-    packed = hashx.pack(docs)
+    packed = hashx.pack(docs, row_col=row_col)
     common = hashx.answer(hashx.ask(packed, ask_first), reply_first)
     masks = hashx.answer(hashx.ask_again(packed, common, ask_contexts), reply_contexts)
-    return hashx.finish(packed, [common, masks], result, SCHEMA)
+    return hashx.finish(packed, [common, masks], result, SCHEMA + ", row long" if row_col else SCHEMA)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import random
+
 from brute import jaccard
 
 import corpus_pipeline
+from llm import hashx, op2_mixing
 from llm.common import load
 
 
@@ -19,3 +22,32 @@ def test_stages(spark, tmp_path):
             want = {i for i, _, c in jaccard([(r["doc_id"], r["text"]) for r in before.collect()]) if i == c}
             assert {r["doc_id"] for r in docs.collect()} == want
     assert docs.count() > 50 and docs.filter("n_tokens <> size(ids)").count() == 0
+
+
+def test_null_and_repeated_ids(spark, tmp_path):
+    r = random.Random(4)
+    text = lambda n=80: " ".join("".join(r.choices("abcdefghijklmnop", k=7)) for _ in range(n))
+    near = text()
+    big = 2**53 + 1
+    # ids: repeated with equal and with other texts, null, and large; one null is a near copy, two are near copies of one another
+    twin, other = text(), text()
+    ids = [(5, twin), (5, twin), (5, text()), (None, text()), (None, text()), (big, near), (None, near + " end"), (None, other), (None, other + " end")]
+    docs = spark.createDataFrame([(i, t, "xx", f"s{k % 2}", len(t)) for k, (i, t) in enumerate(ids)], "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    want = sorted(ids[:6], key=str)
+    rows = lambda df: [(x["doc_id"], x["text"]) for x in df.collect()]
+
+    assert sorted(rows(corpus_pipeline.quality(spark, docs, "")), key=str) == sorted(ids, key=str)
+    found = rows(corpus_pipeline.near_duplicates(spark, docs, ""))
+    assert sorted((x for x in found if not x[1].startswith(other)), key=str) == want and len(found) == 7
+
+    seven = docs.filter(~docs.text.endswith(" end"))
+    cut = corpus_pipeline.repeated_passages(spark, seven, "")
+    assert sorted(map(tuple, cut.collect()), key=str) == sorted(map(tuple, seven.collect()), key=str)
+
+    mixed = corpus_pipeline.mix(spark, seven, "")
+    words = sum(len(t.split()) for _, t in rows(mixed))
+    assert words == sum(x["taken"] for x in op2_mixing.mixed(seven).collect()) and any(i is None for i, _ in rows(mixed))
+
+    out = corpus_pipeline.encode(spark, docs, "").collect()
+    assert sorted((x["doc_id"] for x in out), key=str) == sorted((i for i, _ in ids), key=str) and len({x["ids_sha256"] for x in out}) == len({t for _, t in ids})
+    assert sorted(i for row in hashx.pack(docs).collect() for i in hashx.unpack(bytes(row["blob"]))[0].tolist()) == sorted(hashx.NO_ID if i is None else i for i, _ in ids)
