@@ -38,11 +38,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     A character that is cut in part goes whole. Each row keeps its own columns, whatever its doc_id; null ids stand last.
     """
-    ship(spark)
-    rows = with_row(docs.select(*COLUMNS), "row")
-    kept = op8_suffix_dedup.suffix_dedup(rows, row_col="row").select("row", "n_removed", F.col("kept_text").alias("text"))
-    left = kept.filter("n_removed = 0 OR regexp_count(text, '[^\\\\x20\\\\x09-\\\\x0D]') > 0")
-    return left.join(rows.select("row", "doc_id", "lang", "source"), "row").withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    cut = op8_suffix_dedup.suffix_dedup(docs.select(*COLUMNS), keep="string", carry=["lang", "source"]).withColumnRenamed("kept", "text")
+    left = cut.filter("n_removed = 0 OR regexp_count(text, '[^\\\\x20\\\\x09-\\\\x0D]') > 0")
+    return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +52,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row, with the digests of the ids and of the text that they decode to."""
     ship(spark)
-    return op3_bpe.bpe(docs).select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
+    return op3_bpe.bpe(docs, keep_text=False).select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 
 STAGES = [

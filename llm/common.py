@@ -35,11 +35,13 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path under the folder that the cluster names in spark.checkpoint.dir.
 
-    Where that is unset (tests, local sessions) a temporary folder is set once for the session.
+    Where that is unset a local session (tests) gets a temporary folder, once; on a cluster it raises.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         root = sc.getCheckpointDir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -52,11 +54,13 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    while name.lower() in map(str.lower, df.columns):
+        name = f"_{name}"
+    return name
+
+
 def with_row(docs: DataFrame, name: str) -> DataFrame:
     """docs, written, with a number (long) that tells its rows apart."""
     return written(docs.sparkSession, docs.withColumn(name, F.monotonically_increasing_id()), "rows")
-
-
-def buckets(spark: SparkSession) -> int:
-    """Number of hash buckets of an exchange: a multiple of the shuffle partitions the user has sized."""
-    return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))

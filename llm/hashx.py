@@ -5,31 +5,44 @@ that same exchange. In a round each batch asks, per bucket of the hash space, ab
 hashes (sorted, as byte planes of their differences, compressed); the bucket's task sees all askers of a
 hash together and answers each batch with one value per hash, in the order asked. A hash that is common in
 the corpus is asked about once per batch, never once per occurrence, so no key grows hot. Nothing
-passes through the driver.
+passes through the driver but one number, the bytes of text, from which the number of buckets follows: what a bucket
+holds at once stays the same however large the corpus. Its price is a row for each batch and bucket, so batches
+(and with them executors' memory) should grow with the square root of a corpus beyond some TB (batch_bytes).
 """
 
 from __future__ import annotations
 
 import json
 import struct
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructField, StructType
 
+from llm.common import ship
 from llm.textops import U64, release, utf8
 
 #: Bytes of text after which a batch is closed; one longer text is a batch of its own.
 BATCH_BYTES = 4 << 20
 
+#: Bytes of text for which there is one hash bucket, at least.
+BUCKET_BYTES = 4 << 20
+
 PACKED = "batch long, docs long, blob binary"
 ASKED = "bucket int, batch long, payload binary"
 ANSWERED = "batch long, bucket int, payload binary"
 
 
+def spread(docs: DataFrame, text_col: str = "text") -> int:
+    """Number of hash buckets of an exchange: by the bytes of text, and twice the shuffle partitions that the user has sized at least."""
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+
+
 def dump(**arrays: np.ndarray) -> bytes:
     """Arrays as compressed byte planes: the high bytes of small numbers cost next to nothing."""
     head, body, press = [], [], zstandard.ZstdCompressor(level=1)
@@ -59,34 +72,36 @@ def restore(data: bytes) -> dict[str, np.ndarray]:
 NO_ID = np.iinfo(np.int64).max
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES, row_col: str | None = None) -> DataFrame:
-    """Rows (batch, docs, blob), dealt out by batch. Null texts count as empty. A row_col (long) comes back from finish as `row`."""
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES, carry: Sequence[str] = ()) -> DataFrame:
+    """Rows (batch, docs, blob), dealt out by batch. Null texts count as empty. Columns in carry come back from finish as they were."""
+    ship(docs.sparkSession)
 
     def packed(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, no, held, size = TaskContext.get().partitionId(), 0, [], 0
 
         def close() -> pa.RecordBatch:
-            ids = np.concatenate([h[0] for h in held])
-            lengths = np.concatenate([h[1] for h in held])
-            text = b"".join(h[2] for h in held)
-            more = {"null": np.concatenate([h[3] for h in held])}
-            if row_col:
-                more["row"] = np.concatenate([h[4] for h in held])
-            head = dump(ids=ids, lengths=lengths, **more)
-            blob = struct.pack("<I", len(head)) + head + zstandard.ZstdCompressor(level=3).compress(text)
+            ids, lengths, null = (np.concatenate([h[i] for h in held]) for i in (0, 1, 3))
+            text, carried = b"".join(h[2] for h in held), b""
+            if carry:
+                sink, more = pa.BufferOutputStream(), pa.Table.from_batches([h[4] for h in held])
+                with pa.ipc.new_stream(sink, more.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_table(more)
+                carried = sink.getvalue().to_pybytes()
+            head = dump(ids=ids, lengths=lengths, null=null)
+            blob = struct.pack("<II", len(head), len(carried)) + head + carried + zstandard.ZstdCompressor(level=3).compress(text)
             return pa.RecordBatch.from_arrays([pa.array([(part << 32) | no]), pa.array([len(ids)], pa.int64()), pa.array([blob], pa.binary())], ["batch", "docs", "blob"])
 
         for table in tables:
             column = table.column(0).cast(pa.int64())  # nulls are filled first: through floats, ids above 2**53 would change
             ids, null = column.fill_null(NO_ID).to_numpy(zero_copy_only=False), bits(column.is_null().to_numpy(zero_copy_only=False))
-            row = table.column(2).to_numpy(zero_copy_only=False) if row_col else ids
+            more = pa.RecordBatch.from_arrays(table.columns[2:], list(carry))
             buf, offsets = utf8(table.column(1))
             at = 0
             while at < len(ids):
                 to = int(np.searchsorted(offsets, offsets[at] + batch_bytes - size, side="right")) - 1
                 to = min(max(to, at + (not held)), len(ids))
                 if to > at:
-                    held.append((ids[at:to], np.diff(offsets[at : to + 1]), buf[offsets[at] : offsets[to]].tobytes(), null[at:to], row[at:to]))
+                    held.append((ids[at:to], np.diff(offsets[at : to + 1]), buf[offsets[at] : offsets[to]].tobytes(), null[at:to], more.slice(at, to - at)))
                     size += int(offsets[to] - offsets[at])
                     at = to
                 if at < len(ids) or size >= batch_bytes:
@@ -95,18 +110,19 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch_
         if held:
             yield close()
 
-    return docs.select(id_col, text_col, *([row_col] if row_col else [])).mapInArrow(packed, PACKED).repartition("batch")
+    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *(F.col(c).alias(f"_carry{i}") for i, c in enumerate(carry))).mapInArrow(packed, PACKED).repartition("batch")
 
 
-def _head(blob: bytes) -> tuple[dict[str, np.ndarray], int]:
-    n = struct.unpack_from("<I", blob)[0]
-    return restore(blob[4 : 4 + n]), n
+def _head(blob: bytes) -> tuple[dict[str, np.ndarray], bytes, int]:
+    """Numbers of a batch's documents, their carried columns, and where the text begins."""
+    n, m = struct.unpack_from("<II", blob)
+    return restore(blob[8 : 8 + n]), blob[8 + n : 8 + n + m], 8 + n + m
 
 
 def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids, bytes and offsets of a batch's documents."""
-    head, n = _head(blob)
-    text = zstandard.ZstdDecompressor().decompress(blob[4 + n :]) if head["lengths"].sum() else b""
+    head, _, at = _head(blob)
+    text = zstandard.ZstdDecompressor().decompress(blob[at:]) if head["lengths"].sum() else b""
     return head["ids"], np.frombuffer(text, np.uint8), np.concatenate([[0], np.cumsum(head["lengths"])]).astype(np.int64)
 
 
@@ -183,10 +199,10 @@ def ask_again(packed: DataFrame, answers: DataFrame, request: Callable[..., Iter
     return packed.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(run, ASKED)
 
 
-def finish(packed: DataFrame, rounds: list[DataFrame], result: Callable[..., pa.Table], schema: str) -> DataFrame:
+def finish(packed: DataFrame, rounds: list[DataFrame], result: Callable[..., pa.Table], schema: str, carried: Sequence[StructField] = ()) -> DataFrame:
     """result(ids, buf, offsets, answers of each round) makes a row for each document of a batch, with the columns of schema.
 
-    The first column is the id, null where it was; a last column `row` of schema is what pack was given.
+    The first column is the id, null where it was; the carried columns follow those of schema.
     """
     tagged, count = None, len(rounds)
     for i, r in enumerate(rounds):
@@ -200,13 +216,17 @@ def finish(packed: DataFrame, rounds: list[DataFrame], result: Callable[..., pa.
         return pa.concat_tables([own(b.as_py(), given) for b in left.column("blob")])
 
     def own(blob: bytes, given: list) -> pa.Table:
-        head, _ = _head(blob)
+        head, more, _ = _head(blob)
         out = result(*unpack(blob), *given)
         if head["null"].any():
             out = out.set_column(0, out.column_names[0], pa.array(head["ids"], mask=head["null"] > 0))
-        return out.append_column("row", pa.array(head["row"])) if "row" in head else out
+        if more:
+            for name, column in zip(names, pa.ipc.open_stream(more).read_all().columns, strict=True):
+                out = out.append_column(name, column)
+        return out
 
-    return packed.groupBy("batch").cogroup(tagged.groupBy("batch")).applyInArrow(run, schema)
+    names = [f.name for f in carried]
+    return packed.groupBy("batch").cogroup(tagged.groupBy("batch")).applyInArrow(run, StructType([*StructType.fromDDL(schema).fields, *carried]))
 
 
 def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -11,7 +11,8 @@ the pieces joined by a space. Scale: text moves once, compressed; words move onc
 word is hot; buckets hold distinct words only.
 
 Null and empty texts have no tokens and decode to "". Special-token strings in a text become their ids, as in the
-library. Repeated rows are encoded alike. Extra columns are ignored.
+library. Repeated rows, and rows with an equal doc_id, are encoded each by itself; ids, null ones too, come back as they are. Hashes
+only deal words out: batches and buckets tell them apart by spelling. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from llm import hashx, textops as T
-from llm.common import buckets, load
+from llm.common import load
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>, decoded string"
 #: Larger batches than usual: the more text in one, the fewer of its words are new.
@@ -54,19 +55,21 @@ def _pieces(path: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _words(buf: np.ndarray, offsets: np.ndarray):
-    """Distinct words in order of hash; for each word of the texts its place among them."""
+    """Distinct words, told apart by their spelling, in order of hash; for each word of the texts its place among them."""
     s, e, off = T.words(buf, offsets)
-    hashes = T.word_hashes(buf, s, e)
-    own, place, _ = hashx.distinct(hashes)
-    one = np.zeros(len(own), np.int64)
-    one[place] = np.arange(len(s))
-    size = e - s
-    return off, own, place, buf[T.gather(s[one], size[one])] if len(own) else np.zeros(0, np.uint8), size[one]
+    table = T.spelled(buf, s, e).dictionary_encode()
+    text, ends = T.utf8(table.dictionary)
+    hashes = T.word_hashes(text, ends[:-1], ends[1:])
+    order = np.argsort(hashes, kind="stable")
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    size = np.diff(ends)[order]
+    return off, hashes[order], place[table.indices.to_numpy()], text[T.gather(ends[:-1][order], size)], size
 
 
-def bpe(docs: DataFrame, path: str | None = None, texts: bool = True) -> DataFrame:
-    """Per document: n_tokens, digests and, if texts, the ids and the decoded text."""
-    path, n = path or default_path(), buckets(docs.sparkSession)
+def bpe(docs: DataFrame, path: str | None = None, keep_ids: bool = True, keep_text: bool = True) -> DataFrame:
+    """Per document: n_tokens, digests and, if kept, the ids and the decoded text (else null)."""
+    path, n = path or default_path(), hashx.spread(docs)
 
     def request(batch, ids, buf, offsets):
         _, own, _, text, size = _words(buf, offsets)
@@ -110,7 +113,7 @@ def bpe(docs: DataFrame, path: str | None = None, texts: bool = True) -> DataFra
         return pa.table({
             "doc_id": pa.array(ids), "n_tokens": pa.array(np.diff(ends)),
             "ids_sha256": pa.array([hashlib.sha256(raw[a:b].tobytes()).hexdigest() for a, b in spans]), "decoded_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in decoded]),
-            "ids": pa.array([token[a:b] for a, b in spans] if texts else [None] * len(ids), pa.list_(pa.int32())), "decoded": pa.array(decoded if texts else [None] * len(ids), pa.binary()).cast(pa.string()),
+            "ids": pa.array([token[a:b] for a, b in spans] if keep_ids else [None] * len(ids), pa.list_(pa.int32())), "decoded": pa.array(decoded if keep_text else [None] * len(ids), pa.binary()).cast(pa.string()),
         })
 
     packed = hashx.pack(docs, batch_bytes=BATCH_BYTES)
@@ -119,4 +122,4 @@ def bpe(docs: DataFrame, path: str | None = None, texts: bool = True) -> DataFra
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe(load(spark, sf_dir, "documents"), texts=False).select(*DIGEST)
+    return bpe(load(spark, sf_dir, "documents"), keep_ids=False, keep_text=False).select(*DIGEST)

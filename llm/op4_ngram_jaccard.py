@@ -15,25 +15,26 @@ Method: set-relation skipping over an exact prefix-filter index.
 
 Scale: text moves once, compressed; shingle counts as sorted hash lists, one entry per distinct shingle and batch.
 Results and edges are linear in the documents. Null, empty and wordless texts have an empty set and no links. A
-text of under five words is one shingle. Repeated rows are equal sets. Shingles are compared as 64-bit hashes, in a
-group by 48 bits of them. Rows with a null
-doc_id are returned and link with nothing. Extra columns are ignored.
+text of under five words is one shingle. Repeated rows are equal sets; rows with an equal doc_id share a component. Shingles are
+compared as 64-bit hashes (chains of a bijective mixer, without structural collisions), in a group by 56 bits of them. Rows with a
+null doc_id are returned and link with nothing. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from llm import hashx, textops as T
-from llm.common import buckets, load, written
+from llm.common import load, written
 from llm.graph import components
 
 WORDS = 5
 PROBE_BITS = 44
-#: Sets of a group that one task takes at once; a larger group is split into blocks.
-BLOCK = 1500
+#: Sets of a group, and shingles of them together, that one task takes at once; a larger group is split into blocks.
+BLOCK, SHINGLES = 1500, 1_500_000
 SETS = "doc_id long, n long, fp1 long, fp2 long, prefix array<long>, shingles binary"
 
 
@@ -49,7 +50,7 @@ def shingle_sets(buf: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarr
     start, grams = T.windows(hashes, off, k)
     doc = np.searchsorted(off, start, side="right") - 1
     short = np.flatnonzero((np.diff(off) > 0) & (np.diff(off) < k))
-    whole = T.spans_hash(T.prefix_hash(hashes), off[short], off[short + 1]) ^ T.U64(0x5851F42D4C957F2D)
+    whole = T.chained(hashes, off[short], off[short + 1])
     doc, grams = np.concatenate([doc, short]), np.concatenate([grams, whole])
     order = np.lexsort((grams, doc))
     doc, grams = doc[order], grams[order]
@@ -60,7 +61,7 @@ def shingle_sets(buf: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarr
 
 def shingled(docs: DataFrame, k: int = WORDS) -> DataFrame:
     """A row of SETS per document; prefix and shingles only where a partner is possible."""
-    n, cut = buckets(docs.sparkSession), T.U64(64 - PROBE_BITS)
+    n, cut = hashx.spread(docs), T.U64(64 - PROBE_BITS)
 
     def counted(buf, offsets):
         doc, grams = shingle_sets(buf, offsets, k)
@@ -82,9 +83,7 @@ def shingled(docs: DataFrame, k: int = WORDS) -> DataFrame:
         size = np.bincount(doc, minlength=len(ids))
         shared = np.bincount(doc[level > 0], minlength=len(ids))
         at = np.concatenate([[0], np.cumsum(size)])
-        mixed = T.prefix_hash(grams)
-        fp1 = T.spans_hash(mixed, at[:-1], at[1:])
-        fp2 = T.spans_hash(T.prefix_hash(T.mix(grams)), at[:-1], at[1:])
+        prints = np.zeros((len(ids), 2), np.int64)
         prefix, sets = [], []
         for i in range(len(ids)):
             if not size[i] or 5 * shared[i] < 4 * size[i]:
@@ -94,9 +93,10 @@ def shingled(docs: DataFrame, k: int = WORDS) -> DataFrame:
             g, lv = grams[at[i] : at[i + 1]], level[at[i] : at[i + 1]]
             rare = np.lexsort((g, lv))[: size[i] - (4 * size[i] + 4) // 5 + 1]
             prefix.append(g[rare[lv[rare] > 0]].view(np.int64))
-            sets.append(hashx.dump(t=hashx.deltas(g >> T.U64(16))))
+            prints[i] = np.frombuffer(xxhash.xxh3_128_digest(np.ascontiguousarray(g).tobytes()), np.int64)
+            sets.append(hashx.dump(t=hashx.deltas(g >> T.U64(8))))
         return pa.table({
-            "doc_id": pa.array(ids), "n": pa.array(size.astype(np.int64)), "fp1": pa.array(fp1.view(np.int64)), "fp2": pa.array(fp2.view(np.int64)),
+            "doc_id": pa.array(ids), "n": pa.array(size.astype(np.int64)), "fp1": pa.array(prints[:, 0]), "fp2": pa.array(prints[:, 1]),
             "prefix": pa.array(prefix, pa.list_(pa.int64())), "shingles": pa.array(sets, pa.binary()),
         })
 
@@ -169,6 +169,11 @@ def _edges(groups: DataFrame) -> DataFrame:
     return groups.groupBy("head", "i", "j").applyInArrow(run, "a long, b long")
 
 
+def _blocks(block: int) -> Column:
+    """How many blocks rows with n shingles each make."""
+    return F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum("n") / SHINGLES)).cast("int")
+
+
 def _between_blocks(large: DataFrame, found: DataFrame, sets_of: DataFrame, block: int) -> DataFrame:
     """Edges across the blocks of large groups: members that aren't connected with their group's head yet meet all blocks.
 
@@ -178,7 +183,7 @@ def _between_blocks(large: DataFrame, found: DataFrame, sets_of: DataFrame, bloc
     head_part = found.select(F.col("id").alias("head"), F.col("component_id").alias("head_part"))
     known = large.join(part, "doc_id", "left").join(head_part, "head", "left")
     known = known.withColumn("apart", F.coalesce("part", "doc_id") != F.coalesce("head_part", "head"))
-    left = known.filter("apart").groupBy("head").agg(F.ceil(F.count("*") / block).cast("int").alias("rest"))
+    left = known.filter("apart").groupBy("head").agg(_blocks(block).alias("rest"))
     known = written(large.sparkSession, known.join(left, "head").withColumn("mine", F.pmod(F.xxhash64("doc_id", "own"), F.col("rest")).cast("int")), "apart")
     pairs = known.filter("apart").selectExpr("head", "doc_id", "mine AS i", "explode(sequence(0, blocks - 1)) AS j").unionAll(known.selectExpr("head", "doc_id", "explode(sequence(0, rest - 1)) AS i", "own AS j"))
     return _edges(pairs.distinct().join(sets_of, "doc_id"))
@@ -193,11 +198,11 @@ def jaccard_join(docs: DataFrame, k: int = WORDS, block: int = BLOCK) -> DataFra
     same = written(spark, able.groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("rep")), "same")
     alike = written(spark, able.select("doc_id", "fp1", "fp2", "n").join(same, ["fp1", "fp2", "n"]).select("doc_id", "rep"), "alike")
     reps = able.join(alike.filter("doc_id = rep").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "fp1"])
-    posted = reps.select("doc_id", F.explode("prefix").alias("token"))
+    posted = reps.select("doc_id", "n", F.explode("prefix").alias("token"))
     heads = posted.groupBy("token").agg(F.min("doc_id").alias("head"), F.count("*").alias("c")).filter("c > 1").drop("c")
-    members = posted.join(heads, "token").select("head", "doc_id").distinct()
+    members = posted.join(heads, "token").groupBy("head", "doc_id").agg(F.max("n").alias("n"))
     members = written(spark, members, "members")
-    count = members.groupBy("head").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    count = members.groupBy("head").agg(_blocks(block).alias("blocks"))
     members = members.join(count, "head").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     # first each block with the head of its group
     first = members.filter("doc_id <> head").selectExpr("head", "doc_id", "own AS i", "0 AS j").unionAll(members.filter("doc_id = head").selectExpr("head", "doc_id", "explode(sequence(0, blocks - 1)) AS i", "0 AS j"))

@@ -11,8 +11,9 @@ group being junk cannot move, and never above twice the limit of the language as
 `min_group` documents use the language's. Mean word length also has a lower limit. The limits (a row for each
 lang and source, joined by Spark as their written size allows) then filter the documents.
 
-Null text has no words and fails the base rules. Null lang and source are groups of their own. Repeated rows
-are judged alike. Documents that fail the base rules do not enter sketches. Extra columns are kept as they are.
+Null text has no words and fails the base rules. Null lang and source are groups of their own. Repeated rows,
+and rows with an equal or null doc_id are judged each by itself. Documents that fail the base rules do not enter sketches. Extra
+columns are kept as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,27 +24,33 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as ST
 
 from llm import textops as T
-from llm.common import load, ship, written
-from llm.hashx import distinct
+from llm.common import fresh, load, ship, written
 
 #: Measure: least spread. Ratios are per 10,000; word length is in hundredths of a character.
 SPREAD = {"symbols": 500, "dup_lines": 1500, "repeats": 1200, "length": 100}
 MIN_GROUP = 30
+#: Bytes of text measured at once; one longer text is measured by itself.
+SLICE = 1 << 20
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
 
 
+def _alike(keys: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """In order of key and row: the rows, and whether each equals the one before it in key and text."""
+    order = np.argsort(keys, kind="stable")  # rows ascend by text, so equal keys of one text are neighbours
+    same = np.zeros(len(keys), bool)
+    same[1:] = (keys[order][1:] == keys[order][:-1]) & (doc[order][1:] == doc[order][:-1])
+    return order, same
+
+
 def measures(buf: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-    """The COUNTS of each text."""
+    """The COUNTS of each text. Lines and words are told apart by their spelling, not by hashes."""
     s, e, off = T.words(buf, offsets)
     n = len(offsets) - 1
-    doc = np.repeat(np.arange(n), np.diff(off))
-    salt = T.mix(np.arange(n, dtype=T.U64) + T.U64(1))
-    inside = ~T.SPACE[buf]
-    chars = T.per_row(inside & ((buf & 0xC0) != 0x80), offsets)
+    chars = T.per_row(~T.SPACE[buf] & ((buf & 0xC0) != 0x80), offsets)
     symbols = T.per_row(SYMBOL[buf], offsets)
-    # lines that hold a word
+    # lines
     first = np.zeros(len(buf), bool)
     first[offsets[:-1][np.diff(offsets) > 0]] = True
     after = np.flatnonzero(buf == 10) + 1
@@ -51,20 +58,29 @@ def measures(buf: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     start = np.flatnonzero(first)
     end = np.append(start[1:], len(buf))
     full = np.searchsorted(s, end) > np.searchsorted(s, start) if len(start) else np.zeros(0, bool)
-    start, end = start[full], end[full]
-    end = end - (buf[end - 1] == 10)
-    line_doc = np.searchsorted(offsets, start, side="right") - 1
-    prefix = T.prefix_hash(T.TABLE[buf])
-    lines = np.bincount(line_doc, minlength=n)
-    # a line counts as a duplicate when an equal one came before it in its text
-    order = np.argsort(line_hash := T.mix(T.spans_hash(prefix, start, end) ^ salt[line_doc]), kind="stable")
-    again = np.zeros(len(start), bool)
-    again[order[1:]] = line_hash[order[1:]] == line_hash[order[:-1]]
+    size = end - start - (buf[end - 1] == 10) if len(start) else start
+    spelled = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int64)), pa.py_buffer(buf[buf != 10])])
+    # of lines that hold a word, one counts as a duplicate when an equal one came before it in its text
+    line = spelled.dictionary_encode().indices.to_numpy()[full].astype(np.int64)
+    line_doc = np.searchsorted(offsets, start[full], side="right") - 1
+    order, again = _alike(line, line_doc)
     # words in windows of three that occur twice
-    begin, grams = T.windows(T.spans_hash(prefix, s, e), off, 3)
-    _, place, count = distinct(T.mix(grams ^ salt[doc[begin]]))
-    repeated = T.covered(begin[count[place] > 1] if len(begin) else begin, 3, len(s))
-    return [np.diff(off), chars, symbols, np.bincount(line_doc[again], minlength=n), T.per_row(repeated, off), lines]
+    table = T.spelled(buf, s, e).dictionary_encode()
+    place, distinct = table.indices.to_numpy().astype(np.int64), len(table.dictionary)
+    begin = np.zeros(0, np.int64)
+    if len(s) >= 3:
+        last = np.repeat(off[1:], np.diff(off))[:-2]
+        begin = np.flatnonzero(np.arange(len(s) - 2) + 3 <= last)
+    if distinct < 1 << 21:
+        grams = (place[begin] << 42) | (place[begin + 1] << 21) | place[begin + 2]
+    else:  # of a text that large, pairs are numbered first
+        pairs = np.unique(place[begin] * distinct + place[begin + 1], return_inverse=True)[1].ravel()
+        grams = pairs * distinct + place[begin + 2]
+    by_gram, same = _alike(grams, np.searchsorted(off, begin, side="right") - 1)
+    twice = same.copy()
+    twice[:-1] |= same[1:]
+    repeated = T.covered(begin[by_gram[twice]], 3, len(s))
+    return [np.diff(off), chars, symbols, np.bincount(line_doc[order[again]], minlength=n), T.per_row(repeated, off), np.bincount(line_doc, minlength=n)]
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -76,7 +92,7 @@ def measured(docs: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             _, whole = T.utf8(b.column(text_at))
-            for lo, hi in T.slices(whole):
+            for lo, hi in T.slices(whole, SLICE):
                 part = b.slice(lo, hi - lo)
                 counts = measures(*T.utf8(part.column(text_at)))
                 yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(c.astype(np.int64)) for c in counts)], [*names, *COUNTS])
@@ -84,22 +100,21 @@ def measured(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _verdict_columns(df: DataFrame) -> DataFrame:
-    return df.withColumns({
-        "base_failed": (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
-        "m_symbols": F.expr("10000 * n_symbols div greatest(n_words, 1)"),
-        "m_dup_lines": F.expr("10000 * n_dup_lines div greatest(n_lines, 1)"),
-        "m_repeats": F.expr("10000 * n_repeat_words div greatest(n_words, 1)"),
-        "m_length": F.expr("100 * word_chars div greatest(n_words, 1)"),
-    })
+BASE_FAILED = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
+MEASURES = {
+    "symbols": "10000 * n_symbols div greatest(n_words, 1)",
+    "dup_lines": "10000 * n_dup_lines div greatest(n_lines, 1)",
+    "repeats": "10000 * n_repeat_words div greatest(n_words, 1)",
+    "length": "100 * word_chars div greatest(n_words, 1)",
+}
 
 
 def sketches(df: DataFrame) -> DataFrame:
     """Counts by (lang, source, measure, bucket)."""
-    stack = ", ".join(f"'{m}', m_{m}" for m in SPREAD)
+    stack = ", ".join(f"'{m}', {value}" for m, value in MEASURES.items())
     shift = "greatest(length(bin(value)) - 6, 0)"
     return (
-        df.filter("NOT base_failed").selectExpr("lang", "source", f"stack({len(SPREAD)}, {stack}) AS (measure, value)")
+        df.filter(f"NOT ({BASE_FAILED})").selectExpr("lang", "source", f"stack({len(MEASURES)}, {stack}) AS (measure, value)")
         .selectExpr("lang", "source", "measure", f"(value >> {shift}) << {shift} AS bucket")
         .groupBy("lang", "source", "measure", "bucket").agg(F.count("*").alias("n"))
     )
@@ -131,32 +146,30 @@ def limits(sketch: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     )
 
 
-def quality_rules(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
-    """docs with COUNTS, base_failed and kept."""
+def quality_rules(docs: DataFrame, min_group: int = MIN_GROUP, texts: bool = True) -> DataFrame:
+    """docs (without text unless texts) with COUNTS, base_failed and kept, which replace columns of these names; all others stay.
+
+    Measured documents are a table in the shared folder: they are measured once, sketched, and judged against the limits.
+    """
     spark = docs.sparkSession
     ship(spark)
-    seen = written(spark, _verdict_columns(measured(docs.select("doc_id", "text", "lang", "source"))).drop("text"), "measures")
-    return _judged(_verdict_columns(measured(docs)), limits_table(seen, min_group))
-
-
-def limits_table(seen: DataFrame, min_group: int) -> DataFrame:
-    cut = written(seen.sparkSession, limits(sketches(seen), min_group), "limits")
-    return cut.withColumnsRenamed({"lang": "limit_lang", "source": "limit_source"})
-
-
-def _judged(df: DataFrame, cut: DataFrame) -> DataFrame:
-    within = [F.col(f"m_{m}") <= F.col(f"hi_{m}") for m in SPREAD] + [F.col("m_length") >= F.col("lo_length")]
+    seen = measured(docs)
+    seen = written(spark, seen if texts else seen.drop("text"), "measures")
+    cut = written(spark, limits(sketches(seen), min_group), "limits")
+    own, limit = (fresh(seen, name) for name in ("judged", "limit"))
+    values = F.struct("lang", "source", *(F.expr(v).alias(m) for m, v in MEASURES.items()))
+    df = seen.withColumn("base_failed", F.expr(BASE_FAILED)).withColumn(own, values).join(
+        cut.select(F.struct("*").alias(limit)), F.col(f"{own}.lang").eqNullSafe(F.col(f"{limit}.lang")) & F.col(f"{own}.source").eqNullSafe(F.col(f"{limit}.source")), "left"
+    )
     good = ~F.col("base_failed")
-    for w in within:
+    for w in [F.col(f"{own}.{m}") <= F.col(f"{limit}.hi_{m}") for m in MEASURES] + [F.col(f"{own}.length") >= F.col(f"{limit}.lo_length")]:
         good = good & F.coalesce(w, F.lit(True))
-    joined = df.join(cut, F.col("lang").eqNullSafe(F.col("limit_lang")) & F.col("source").eqNullSafe(F.col("limit_source")), "left")
-    return joined.withColumn("kept", good).drop(*(f"m_{m}" for m in SPREAD), *cut.columns)
+    return df.withColumn("kept", good).drop(own, limit)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    seen = written(spark, _verdict_columns(measured(docs)).drop("text"), "measures")
-    return _judged(seen, limits_table(seen, MIN_GROUP)).select("doc_id", *COUNTS[:5], "base_failed", "kept")
+    return quality_rules(docs, texts=False).select("doc_id", *COUNTS[:5], "base_failed", "kept")
 
 
 ORACLE_SQL = r"""

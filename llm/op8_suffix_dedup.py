@@ -2,42 +2,49 @@
 
 Method: hash-compared suffix sort, over the suffixes that can matter. The smallest 24-byte hash of each 50-byte
 string is its anchor (leftmost and equal minima alike), so equal strings have equal anchors at equal offsets.
- 1. Batches ask which anchors (and which whole texts) occur in several documents. Whole copies need no more.
+ 1. Batches ask which anchors occur in several documents, and which whole texts (by their SHA-256). Whole copies need no more.
  2. The remaining common anchors move with their contexts: 26 bytes before, 50 from the anchor on. Each bucket
     merge-sorts the suffixes of the anchors, and likewise the reversed texts before them: prefix polynomial
-    hashes and binary search give the common extension of two suffixes in log(50) steps. Common extensions of
-    neighbours are verified on the bytes. A string at offset o equals another when both lie in one run of
+    hashes (two primes) and binary search give the common extension of two suffixes in log(50) steps. The order and the common
+    extensions of neighbours are verified on the bytes; if a hash misled the sort, the bytes are sorted themselves.
+    A string at offset o equals another when both lie in one run of
     neighbours with >= 50 - o common bytes after, and one run with >= o common bytes before the anchor; its
     earliest document follows.
     An anchor with more than `many` different contexts in its batches (the edges of a passage that very many documents share) doesn't
     meet in one bucket: its strings are asked about one by one, dealt out by their own hashes, and compared on the bytes.
  3. Each batch marks the bytes of strings whose earliest document is an earlier one.
 
+Hashes only bring strings together: whole texts are told apart by SHA-256, all else by its bytes, in batches and in buckets.
+
 Scale: text moves once, compressed; equal contexts are merged in their batch and again in their bucket before
-sorting, so a passage in a third of all documents is one context per batch. No pairs are formed.
+sorting, so a passage in a third of all documents is one context per batch. No pairs are formed. Long texts are hashed
+in pieces; a batch holds its text, its anchors (one in 14 bytes) and the contexts of the common ones.
 
-Null and empty texts keep nothing. Whole copies are found by a 64-bit hash of the text; rows with an equal
-doc_id are not earlier than one another. Null ids stand last. Extra columns are ignored.
+Null and empty texts keep nothing. Rows with an equal doc_id are not earlier than one another. Null ids stand last and come back
+null. Extra columns are ignored, but for those named in carry.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from llm import hashx, textops as T
-from llm.common import buckets, load
+from llm.common import load
 
 LENGTH, GRAM = 50, 24
 #: Contexts of one anchor, beyond one in each batch, from which on its strings are dealt out one by one.
 MANY = 4096
 #: Bits of an anchor's hash in the first round, a filter only.
 PROBE_BITS = 44
-CHUNK = 1 << 19
-SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, kept_text string"
+CHUNK = 1 << 18
+#: Fixed primes and bases of the prefix hashes of suffix_sort.
+PRIMES, BASES = (2147483647, 2147483629), (1103515245, 1812433253)
+SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept {}"
 DIGEST = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
 
@@ -56,16 +63,15 @@ def anchors(buf: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tup
     ends = np.zeros(n + 1, np.int32)  # strings that start near a text's end don't fit
     np.add.at(ends, np.maximum(offsets[:-1], offsets[1:] - (length - 1)), 1)
     np.add.at(ends, offsets[1:], -1)
-    fits = np.cumsum(ends[:-1]) == 0
+    fits = np.cumsum(ends[:-1], dtype=np.int32) == 0
     out_p, out_h = [], []
     for a in range(0, n - gram + 1, CHUNK):
         b = min(a + CHUNK, n - gram + 1)
         lo, hi = max(0, a - w + 1), min(n - gram + 1, b + w - 1)
-        prefix = T.prefix_hash(T.TABLE[buf[lo : hi + gram - 1]])
         count = hi - lo
-        g = T.mix((prefix[gram : gram + count] - prefix[:count]) * T.powers(T.INVERSE, count)) | T.U64(1)
         if count < w:
             continue
+        g = T.gram_hashes(buf[lo : hi + gram - 1], gram) | T.U64(1)
         low = _slide(g, w, np.minimum)
         low[~fits[lo : lo + len(low)]] = 0
         padded = np.zeros(len(low) + 2 * (w - 1), T.U64)
@@ -102,8 +108,11 @@ def suffix_sort(text: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.nda
     """
     n, width = text.shape
     hashes = np.zeros((n, width + 1), T.U64)
-    for j in range(width):
-        hashes[:, j + 1] = hashes[:, j] * T.U64(T.BASE) + T.TABLE[text[:, j] & 0xFF] * (text[:, j] > 0)
+    for shift, p, base in zip((32, 0), map(T.U64, PRIMES), map(T.U64, BASES), strict=True):
+        h = np.zeros(n, T.U64)
+        for j in range(width):
+            h = (h * base + text[:, j].astype(T.U64)) % p
+            hashes[:, j + 1] |= h << T.U64(shift)
     padded = np.concatenate([text, np.zeros((n, 1), text.dtype)], axis=1).ravel()
     start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     size = np.diff(np.append(start, n))
@@ -132,12 +141,20 @@ def suffix_sort(text: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.nda
         order[base + pair + (own - own // run * run) + (lo - first)] = me
         run *= 2
     common = np.zeros(n, np.int64)
-    if n > 1:
-        a, b = order[:-1], order[1:]
-        found = _extension(hashes, a, b)
-        equal = (text[a] == text[b]) & (text[a] > 0)  # verified on the bytes
+    if n < 2:
+        return order, common
+
+    def verified(a, b):
+        """The bytes in common, from the bytes themselves, and whether rows of a group stand in order."""
+        equal = (text[a] == text[b]) & (text[a] > 0)
         true = np.where(equal.all(1), width, np.argmin(equal, 1))
-        common[1:] = np.where(group[1:] == group[:-1], np.minimum(found, true) if (found >= true).all() else true, 0)
+        within = group[1:] == group[:-1]  # groups keep their places
+        return np.where(within, true, 0), bool((padded[a * (width + 1) + true] <= padded[b * (width + 1) + true])[within].all())
+
+    common[1:], sorted_ = verified(order[:-1], order[1:])
+    if not sorted_:  # unequal strings with equal hashes led the sort astray
+        order = np.lexsort([*text.T[::-1], group])
+        common[1:], _ = verified(order[:-1], order[1:])
     return order, common
 
 
@@ -174,118 +191,147 @@ def earliest(doc: np.ndarray, group: np.ndarray, before: np.ndarray, after: np.n
     return out
 
 
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, texts: bool = True, many: int = MANY, row_col: str | None = None) -> DataFrame:
-    """Per document: n_bytes, n_removed, n_spans, kept_sha256 and, if texts, the kept bytes and their whole characters.
+def _beginnings(*columns: np.ndarray) -> np.ndarray:
+    """Which rows of sorted columns (numbers or byte rows) differ from the row before."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        differs = c[1:] != c[:-1]
+        new[1:] |= differs.any(1) if c.ndim > 1 else differs
+    return new
+
 
-    A row_col (long) tells rows apart and is returned as `row`.
+def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: str | None = "binary", many: int = MANY, carry: Sequence[str] = ()) -> DataFrame:
+    """Per document: n_bytes, n_removed, n_spans, kept_sha256, and kept: the bytes left ("binary"), their whole characters ("string") or null.
+
+    The columns named in carry follow as they are.
     """
-    n, cut, back = buckets(docs.sparkSession), T.U64(64 - PROBE_BITS), length - gram
+    n, cut, back = hashx.spread(docs), T.U64(64 - PROBE_BITS), length - gram
     fine = 4 * n  # contexts are wide: smaller buckets
     if not 0 <= back < 32:
         raise ValueError("length - gram must be 0 to 31")
 
-    def first(ids, buf, offsets):
-        """Anchors, and the sorted distinct hashes of anchors and of whole texts."""
+    def digests(buf, offsets):
+        """Texts that are long enough to lose something, and their SHA-256 as four numbers."""
+        able = np.flatnonzero(np.diff(offsets) >= length)
+        raw = b"".join(hashlib.sha256(buf[offsets[i] : offsets[i + 1]]).digest() for i in able)
+        return able, np.frombuffer(raw, "<u8").reshape(-1, 4)
+
+    def classes(ids, buf, offsets):
+        """Texts in order of digest and id, their digests, and which begin a new digest."""
+        able, digest = digests(buf, offsets)
+        order = np.lexsort((ids[able], *digest.T[::-1]))
+        able, digest = able[order], digest[order]
+        return able, digest, _beginnings(digest)
+
+    def first(buf, offsets):
+        """Anchors, their documents, the sorted distinct (shortened) hashes, each anchor's place among these, and their numbers."""
         p, h = anchors(buf, offsets, length, gram)
-        doc = np.searchsorted(offsets, p, side="right") - 1
-        probe = (h >> cut) << cut
-        prefix_ends = T.prefix_hash(T.TABLE[buf])
-        whole = T.mix(T.spans_hash(prefix_ends, offsets[:-1], offsets[1:]) ^ T.mix(np.diff(offsets).astype(T.U64))) | T.U64(1)
-        by_id = np.argsort(ids, kind="stable")
-        own, place, _ = hashx.distinct(np.concatenate([probe, whole[by_id]]))
-        whole_place = np.empty(len(ids), np.int64)
-        whole_place[by_id] = place[len(p) :]
-        return p, h, doc, own, place[: len(p)], whole_place
-
-    def rooms(p, doc, offsets):
-        return np.minimum(p - offsets[doc], back), np.minimum(offsets[doc + 1] - p, length)
-
-    def context_keys(prefix, p, left, right):
-        return T.mix(T.spans_hash(prefix, p - left, p + right) ^ T.mix((left * 64 + right).astype(T.U64)))
+        return p, h, np.searchsorted(offsets, p, side="right") - 1, *hashx.distinct((h >> cut) << cut)
+
+    def around(buf, offsets, p, doc):
+        """The bytes around anchors (0 beyond the text), and how many there are before and from the anchor on."""
+        left, right = np.minimum(p - offsets[doc], back), np.minimum(offsets[doc + 1] - p, length)
+        padded = np.concatenate([np.zeros(back, np.uint8), buf, np.zeros(length, np.uint8)])
+        rows = np.lib.stride_tricks.sliding_window_view(padded, back + length)[p]
+        short = np.flatnonzero((left < back) | (right < length))
+        column = np.arange(back + length)
+        rows[short] *= (column >= back - left[short, None]) & (column < back + right[short, None])
+        return rows, left.astype(np.uint8), right.astype(np.uint8)
+
+    def context_keys(rows, left, right):
+        return T.row_hashes(rows) ^ T.mix(left.astype(T.U64) * T.U64(64) + right)
 
     def ask_first(batch, ids, buf, offsets):
-        p, h, doc, own, place, whole_place = first(ids, buf, offsets)
-        keys = context_keys(T.prefix_hash(T.TABLE[buf]), p, *rooms(p, doc, offsets))
-        different = np.zeros(len(own), np.uint32)
-        if len(p):
-            _, key_place, _ = hashx.distinct(T.mix(keys) + T.mix(h))
-            one = np.zeros(key_place.max() + 1, np.int64)
-            one[key_place] = place
-            different = np.bincount(one, minlength=len(own)).astype(np.uint32)
+        able, digest, new = classes(ids, buf, offsets)
+        if len(able):
+            for bucket, *row in hashx.ask_rows(batch, digest[new][:, 0], n, rest=digest[new][:, 1:], ids=ids[able[new]]):
+                yield n + bucket, *row
+        p, h, doc, own, place, count = first(buf, offsets)
+        if not len(p):
+            return
         order = np.argsort(place, kind="stable")
-        flags, texts_ = np.zeros(len(own), np.uint8), np.zeros(len(own), np.int64)
-        if len(p):
-            start = np.flatnonzero(np.r_[True, place[order][1:] != place[order][:-1]])
-            last = np.append(start[1:], len(p)) - 1
-            flags[place[order][start]] = doc[order][start] != doc[order][last]
-        texts_[:] = np.iinfo(np.int64).max
-        np.minimum.at(texts_, whole_place, ids)
-        is_text = np.zeros(len(own), bool)
-        is_text[whole_place] = True
-        return hashx.ask_rows(batch, own, n, flags=flags | (is_text << 1).astype(np.uint8), ids=np.where(is_text, texts_, 0), different=different)
+        ends = np.cumsum(count)
+        several = doc[order[ends - count]] != doc[order[ends - 1]]
+        different = np.ones(len(own), np.uint32)
+        again = np.flatnonzero(count[place] > 1)
+        if len(again):
+            keys = context_keys(*around(buf, offsets, p[again], doc[again])) + h[again]
+            _, key_place, _ = hashx.distinct(keys)
+            one = np.zeros(key_place.max() + 1, np.int64)
+            one[key_place] = place[again]
+            different = np.maximum(np.bincount(one, minlength=len(own)), 1).astype(np.uint32)
+        yield from hashx.ask_rows(batch, own, n, several=hashx.bits(several), different=different)
+
+    def reply_texts(requests):
+        ids, rest, h = (np.concatenate([r[k] for r in requests]) for k in ("ids", "rest", "hash"))
+        order = np.lexsort((ids, *rest.T[::-1], h))
+        new = _beginnings(h[order], rest[order])
+        least = np.empty(len(ids), np.int64)
+        least[order] = ids[order][new][np.cumsum(new) - 1]
+        return [{"copy": hashx.bits(x)} for x in hashx.parted(least < ids, requests)]
 
     def reply_first(requests):
+        if "rest" in requests[0]:
+            return reply_texts(requests)
         _, place = hashx.merged(requests)
-        flags, ids = np.concatenate([r["flags"] for r in requests]), np.concatenate([r["ids"] for r in requests])
-        several = np.bincount(place) + np.bincount(place, flags & 1) > 1
-        least = np.full(len(several), np.iinfo(np.int64).max)
-        np.minimum.at(least, place[flags > 1], ids[flags > 1])
+        several = np.bincount(place) + np.bincount(place, np.concatenate([r["several"] for r in requests])) > 1
         different = np.concatenate([r["different"] for r in requests]).astype(np.int64)
         crowded = np.bincount(place, np.maximum(different - 1, 0)) > many
-        hit = np.where(flags > 1, least[place] < ids, several[place] * (1 + crowded[place]))
-        return [{"hit": x.astype(np.uint8)} for x in hashx.parted(hit, requests)]
+        return [{"hit": x.astype(np.uint8)} for x in hashx.parted((several * (1 + crowded))[place], requests)]
 
     def common_anchors(ids, buf, offsets, given):
         """Which texts are later copies; the common anchors of the others, and which of these are crowded."""
-        p, h, doc, own, place, whole_place = first(ids, buf, offsets)
-        lowest = np.full(len(own) + 1, np.iinfo(np.int64).max)
-        np.minimum.at(lowest, whole_place, ids)
-        copy = (given["hit"][whole_place] > 0) | (ids > lowest[whole_place]) if len(ids) else np.zeros(0, bool)
-        hit = given["hit"][place] if len(p) else np.zeros(0, np.uint8)
-        keep = (hit > 0) & ~copy[doc] if len(p) else np.zeros(0, bool)
-        return copy, p[keep], h[keep], doc[keep], hit[keep] > 1
-
-    def contexts(ids, buf, offsets, prefix, p, h, doc):
-        """Occurrences ordered by anchor, context and id, and which of them begin a new context."""
-        left, right = rooms(p, doc, offsets)
-        key = context_keys(prefix, p, left, right)
+        able, _, new = classes(ids, buf, offsets)
+        copy = np.zeros(len(ids), bool)
+        if len(able):
+            group = np.cumsum(new) - 1
+            copy[able] = (given["copy"][group] > 0) | (ids[able] > ids[able[new]][group])
+        p, h, doc, _, place, _ = first(buf, offsets)
+        if not len(p):
+            return copy, p, h, doc, np.zeros(0, bool)
+        hit = given["hit"][place]
+        kept = (hit > 0) & ~copy[doc]
+        return copy, p[kept], h[kept], doc[kept], hit[kept] > 1
+
+    def contexts(ids, buf, offsets, p, h, doc):
+        """Occurrences ordered by anchor, context and id, the bytes around, and which of them begin a new context."""
+        rows, left, right = around(buf, offsets, p, doc)
+        key = context_keys(rows, left, right)
         order = np.lexsort((ids[doc], key, h))
         p, h, doc, key, left, right = (x[order] for x in (p, h, doc, key, left, right))
-        new = np.ones(len(p), bool)
-        new[1:] = (h[1:] != h[:-1]) | (key[1:] != key[:-1])
-        return p, h, doc, left, right, new
-
-    def strings(ids, offsets, prefix, p, doc):
-        """The strings around crowded anchors, ordered by hash and id: starts, documents, hashes, and which begin a new hash."""
-        left, right = rooms(p, doc, offsets)
-        start = np.unique(np.concatenate([np.zeros(0, np.int64), *(p[(left >= o) & (right >= length - o)] - o for o in range(back + 1))]))
-        doc = np.searchsorted(offsets, start, side="right") - 1
-        h = T.spans_hash(prefix, start, start + length)
+        rows = rows[order]
+        return p, h, doc, rows, left, right, _beginnings(h, key, left, right, rows)
+
+    def strings(ids, buf, offsets, p, doc):
+        """The strings around crowded anchors, ordered by hash and id: starts, documents, hashes, bytes, and which begin a new string."""
+        before, after = p - offsets[doc], offsets[doc + 1] - p
+        on = np.zeros(len(buf) + 1, bool)
+        for o in range(back + 1):
+            on[p[(before >= o) & (after >= length - o)] - o] = True
+        start = np.flatnonzero(on)
+        h = [T.gram_hashes(buf[a : a + CHUNK + length - 1], length)[start[(start >= a) & (start < a + CHUNK)] - a] for a in range(0, len(buf), CHUNK)]
+        h, doc = np.concatenate([np.zeros(0, T.U64), *h]), np.searchsorted(offsets, start, side="right") - 1
         order = np.lexsort((ids[doc], h))
         start, doc, h = start[order], doc[order], h[order]
-        return start, doc, h, np.r_[True, h[1:] != h[:-1]] if len(h) else np.zeros(0, bool)
+        rows = np.lib.stride_tricks.sliding_window_view(buf, length)[start] if len(start) else np.zeros((0, length), np.uint8)
+        return start, doc, h, rows, _beginnings(h, rows)
 
     def ask_contexts(batch, ids, buf, offsets, given):
         _, p, h, doc, crowded = common_anchors(ids, buf, offsets, given)
-        prefix = T.prefix_hash(T.TABLE[buf])
-        start, of, hashes, new = strings(ids, offsets, prefix, p[crowded], doc[crowded])
-        text = buf[start[new][:, None] + np.arange(length)] if len(start) else np.zeros((0, length), np.uint8)
-        for bucket, *row in hashx.ask_rows(batch, hashes[new], fine, doc=ids[of[new]], text=text):
-            yield fine + bucket, *row
-        p, h, doc, left, right, new = contexts(ids, buf, offsets, prefix, p[~crowded], h[~crowded], doc[~crowded])
-        p, left, right = p[new], left[new], right[new]
-        column = np.arange(back + length)
-        text = buf[np.clip(p[:, None] + column - back, 0, max(len(buf) - 1, 0))] if len(p) else np.zeros((0, back + length), np.uint8)
-        text = np.where((column >= back - left[:, None]) & (column < back + right[:, None]), text, 0).astype(np.uint8)
-        yield from hashx.ask_rows(batch, h[new], fine, doc=ids[doc[new]], left=left.astype(np.uint8), right=right.astype(np.uint8), text=text)
+        if crowded.any():
+            _, of, hashes, rows, new = strings(ids, buf, offsets, p[crowded], doc[crowded])
+            for bucket, *row in hashx.ask_rows(batch, hashes[new], fine, doc=ids[of[new]], text=rows[new]):
+                yield fine + bucket, *row
+        if not crowded.all():
+            p, h, doc, rows, left, right, new = contexts(ids, buf, offsets, p[~crowded], h[~crowded], doc[~crowded])
+            yield from hashx.ask_rows(batch, h[new], fine, doc=ids[doc[new]], left=left[new], right=right[new], text=rows[new])
 
     def reply_strings(requests):
         h, doc, text = (np.concatenate([r[k] for r in requests]) for k in ("hash", "doc", "text"))
-        words_ = np.ascontiguousarray(text).view(f"S{length}").ravel()  # equal hashes are told apart on the bytes
-        order = np.lexsort((doc, words_, h))
-        new = np.ones(len(h), bool)
-        a, b = order[1:], order[:-1]
-        new[1:] = (h[a] != h[b]) | (text[a] != text[b]).any(1)
+        spelled = np.ascontiguousarray(text).view(f"S{length}").ravel()  # equal hashes are told apart on the bytes
+        order = np.lexsort((doc, spelled, h))
+        new = _beginnings(h[order], text[order])
         least = np.empty(len(h), np.int64)
         least[order] = doc[order][new][np.cumsum(new) - 1]
         return [{"early": hashx.bits(x)} for x in hashx.parted(least < doc, requests)]
@@ -293,22 +339,15 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, texts:
     def reply_contexts(requests):
         if "left" not in requests[0]:
             return reply_strings(requests)
-        h = np.concatenate([r["hash"] for r in requests])
-        doc, left, right, text = (np.concatenate([r[k] for r in requests]) for k in ("doc", "left", "right", "text"))
-        width = back + length
+        h, doc, left, right, text = (np.concatenate([r[k] for r in requests]) for k in ("hash", "doc", "left", "right", "text"))
         # equal contexts of several batches become one, with their earliest document
-        key = np.zeros(len(h), T.U64)
-        for j in range(width):
-            key = key * T.U64(T.BASE) + T.TABLE[text[:, j]]
-        key = T.mix(key ^ T.mix(left.astype(T.U64) * T.U64(64) + right))
+        key = context_keys(text, left, right)
         order = np.lexsort((doc, key, h))
-        new = np.ones(len(h), bool)
-        a, b = order[1:], order[:-1]
-        new[1:] = (h[a] != h[b]) | (key[a] != key[b]) | (text[a] != text[b]).any(1) | (left[a] != left[b]) | (right[a] != right[b])
+        new = _beginnings(h[order], key[order], left[order], right[order], text[order])
         place = np.empty(len(h), np.int64)
         place[order] = np.cumsum(new) - 1
         rep = order[new]
-        column = np.arange(width)
+        column = np.arange(back + length)
         there = (column >= back - left[rep].astype(int)[:, None]) & (column < back + right[rep].astype(int)[:, None])
         codes = np.where(there, text[rep].astype(np.int16) + 1, 0).astype(np.int16)
         least = earliest(doc[rep], h[rep], np.ascontiguousarray(codes[:, :back][:, ::-1]), np.ascontiguousarray(codes[:, back:]), length)
@@ -319,40 +358,44 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, texts:
 
     def result(ids, buf, offsets, given, given_contexts):
         copy, p, h, doc, crowded = common_anchors(ids, buf, offsets, given)
-        prefix, starts = T.prefix_hash(T.TABLE[buf]), [np.zeros(0, np.int64)]
+        starts = [np.zeros(0, np.int64)]
         if crowded.any():
-            start, of, _, new = strings(ids, offsets, prefix, p[crowded], doc[crowded])
+            start, of, _, _, new = strings(ids, buf, offsets, p[crowded], doc[crowded])
             place = np.cumsum(new) - 1
             later = ids[of] > ids[of[new]][place]
             starts.append(start[later | (given_contexts["early"][place] > 0)])
         if not crowded.all():
-            p, h, doc, left, right, new = contexts(ids, buf, offsets, prefix, p[~crowded], h[~crowded], doc[~crowded])
+            p, h, doc, _, left, right, new = contexts(ids, buf, offsets, p[~crowded], h[~crowded], doc[~crowded])
             place = np.cumsum(new) - 1
             later = ids[doc] > ids[doc[new]][place]
             mask = np.where(later, np.uint32((1 << back + 1) - 1), given_contexts["mask"][place])
             starts += [p[((mask >> np.uint32(o)) & 1 > 0) & (left >= o) & (right >= length - o)] - o for o in range(back + 1)]
         gone = T.covered(np.concatenate(starts), length, len(buf)) if len(buf) else np.zeros(0, bool)
         size = np.diff(offsets)
-        for i in np.flatnonzero(copy & (size >= length)):
+        for i in np.flatnonzero(copy):
             gone[offsets[i] : offsets[i + 1]] = True
         edge = gone.copy()
         edge[1:] &= ~gone[:-1]
         inner = offsets[:-1][size > 0]
         edge[inner] = gone[inner]
-        before = np.concatenate([[0], np.cumsum(~gone)])[offsets]
+        before = T.counts(~gone, offsets)
         out = buf[~gone]
-        kept = [out[a:b].tobytes() for a, b in zip(before[:-1], before[1:], strict=True)]
+        left_over = [out[a:b].tobytes() for a, b in zip(before[:-1], before[1:], strict=True)]
+        kept = pa.nulls(len(ids), pa.binary())
+        if keep == "binary":
+            kept = pa.array(left_over, pa.binary())
+        elif keep == "string":
+            kept = pa.array([t.decode(errors="ignore") for t in left_over], pa.string())
         return pa.table({
             "doc_id": pa.array(ids), "n_bytes": pa.array(size), "n_removed": pa.array(size - np.diff(before)), "n_spans": pa.array(T.per_row(edge, offsets)),
-            "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in kept]), "kept": pa.array(kept if texts else [None] * len(ids), pa.binary()),
-            "kept_text": pa.array([t.decode(errors="ignore") for t in kept] if texts else [None] * len(ids), pa.string()),
+            "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in left_over]), "kept": kept,
         })
 
-    packed = hashx.pack(docs, row_col=row_col)
+    packed = hashx.pack(docs, carry=carry)
     common = hashx.answer(hashx.ask(packed, ask_first), reply_first)
     masks = hashx.answer(hashx.ask_again(packed, common, ask_contexts), reply_contexts)
-    return hashx.finish(packed, [common, masks], result, SCHEMA + ", row long" if row_col else SCHEMA)
+    return hashx.finish(packed, [common, masks], result, SCHEMA.format(keep or "binary"), [docs.schema[c] for c in carry])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup(load(spark, sf_dir, "documents"), texts=False).select(*DIGEST)
+    return suffix_dedup(load(spark, sf_dir, "documents"), keep=None).select(*DIGEST)

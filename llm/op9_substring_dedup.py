@@ -10,9 +10,10 @@ Scale: text moves once, compressed. The probes (truncated hashes) and the extens
 sorted lists, one entry per distinct hash and batch, so a passage in a third of all documents costs each
 bucket one entry per batch. No pairs of occurrences are formed.
 
-Null and empty texts have no words: they keep sha256 of "". Repeated rows are documents of their own and
-repeat each other. Extra columns are ignored. 64-bit hashes stand for windows; among n windows a window is
-taken for repeated wrongly with probability n / 2**64.
+Null and empty texts have no words: they keep sha256 of "". Repeated rows, and rows with an equal doc_id, are documents of
+their own and repeat each other; ids, null ones too, come back as they are. Extra columns are ignored. 64-bit hashes stand for
+windows: chains of a bijective mixer, over which no text has structural collisions; among n windows one is taken for
+repeated wrongly with probability n / 2**64.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from llm import hashx, textops as T
-from llm.common import buckets, load
+from llm.common import load
 
 WINDOW, BLOCK = 35, 18
 #: Bits of a probe's hash. A filter only: its false hits are settled by the 64-bit windows.
@@ -43,7 +44,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, block: int = BLOCK, t
     """Per document: n_words, n_removed, kept_sha256 and, if texts, the kept words joined by a space."""
     if 2 * block - 1 > window:
         raise ValueError("a window must hold a whole block: 2 * block - 1 <= window")
-    n, cut = buckets(docs.sparkSession), np.uint64(64 - PROBE_BITS)
+    n, cut = hashx.spread(docs), np.uint64(64 - PROBE_BITS)
 
     def probes(buf, offsets):
         s, e, off, hashes, start, grams = _grams(buf, offsets, block)

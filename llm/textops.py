@@ -7,17 +7,18 @@ import ctypes
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 U64 = np.uint64
-#: Odd multiplier of the polynomial hashes (mod 2**64) and its inverse.
-BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 1 << 64)
-TABLE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=U64) * U64(2) + U64(1)
-
-_powers: dict[int, np.ndarray] = {}
+#: Keys of the hashes. Hashes are chains of the bijection `mix`, eight bytes a step: no sum of terms can cancel, whatever the text.
+KEYS = np.random.default_rng(20240229).integers(1, 1 << 63, 64, dtype=U64) * U64(2) + U64(1)
+#: Bytes of text whose numbers of eight bytes are made at once.
+CHUNK = 1 << 18
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 256
 
 
 _libc = ctypes.CDLL(None)
@@ -30,24 +31,16 @@ def release() -> None:
         _libc.malloc_trim(0)
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) mod 2**64, kept between calls."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        size = -(-max(n, 1) // (1 << 18)) * (1 << 18)
-        steps = np.full(size, base, U64)
-        steps[0] = 1
-        have = _powers[base] = np.multiply.accumulate(steps)
-    return have[:n]
-
-
 def mix(h: np.ndarray) -> np.ndarray:
-    """The finaliser of splitmix64: every input bit reaches every output bit."""
-    h = h ^ (h >> U64(30))
-    h = h * U64(0xBF58476D1CE4E5B9)
-    h ^= h >> U64(27)
+    """The finaliser of splitmix64, in place: a bijection in which every input bit reaches every output bit."""
+    t = h >> U64(30)
+    h ^= t
+    h *= U64(0xBF58476D1CE4E5B9)
+    np.right_shift(h, U64(27), out=t)
+    h ^= t
     h *= U64(0x94D049BB133111EB)
-    h ^= h >> U64(31)
+    np.right_shift(h, U64(31), out=t)
+    h ^= t
     return h
 
 
@@ -81,39 +74,114 @@ def words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return s, np.flatnonzero(end) + 1, np.searchsorted(s, offsets)
 
 
-def prefix_hash(values: np.ndarray) -> np.ndarray:
-    """n + 1 prefix sums of values[i] * BASE**i mod 2**64."""
-    out = np.zeros(len(values) + 1, U64)
-    np.cumsum(values * powers(BASE, len(values)), out=out[1:])
+def eights(buf: np.ndarray) -> np.ndarray:
+    """For each byte the number that it and the next seven spell; zeros stand beyond the end."""
+    padded = np.zeros(len(buf) + 8, np.uint8)
+    padded[: len(buf)] = buf
+    out = np.empty(len(buf), U64)
+    for j in range(min(8, len(buf))):
+        part = out[j::8]
+        part[:] = np.frombuffer(padded, "<u8", len(part), j)
     return out
 
 
-def spans_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of value spans [start, end) that depend on their contents alone."""
-    return mix((prefix[end] - prefix[start]) * powers(INVERSE, len(prefix))[start])
+def gram_hashes(buf: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all strings of k >= 8 bytes of buf, by their first byte."""
+    n = max(0, len(buf) - k + 1)
+    x = eights(buf)
+    h = mix(x[:n] ^ KEYS[0])
+    for step, at in enumerate([*range(8, k - 7, 8), *([k - 8] if k % 8 else [])], 1):
+        h += KEYS[step]
+        h ^= x[at : at + n]
+        mix(h)
+    return h
+
+
+def row_hashes(rows: np.ndarray) -> np.ndarray:
+    """Hashes of the rows of a byte matrix."""
+    wide = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), np.uint8)
+    wide[:, : rows.shape[1]] = rows
+    x = wide.view("<u8")
+    h = mix(x[:, 0] ^ KEYS[0])
+    for j in range(1, x.shape[1]):
+        h += KEYS[j]
+        h ^= x[:, j]
+        mix(h)
+    return h
 
 
 def word_hashes(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    return spans_hash(prefix_hash(TABLE[buf]), s, e)
+    """Hashes of the byte spans [s, e), which ascend and do not overlap."""
+    out = np.empty(len(s), U64)
+    at = 0
+    while at < len(s):
+        to = max(at + 1, int(np.searchsorted(e, s[at] + CHUNK, side="right")))
+        if e[to - 1] - s[at] <= max(CHUNK, LONG_WORD):
+            x, start = eights(buf[s[at] : e[to - 1]]), s[at:to] - s[at]
+            left = e[at:to] - s[at:to]
+            h = mix(_first_bytes(x[start], left) ^ (left.astype(U64) * KEYS[0]))
+            more = np.flatnonzero(left > 8)
+            for step in range(1, LONG_WORD // 8):
+                if not len(more):
+                    break
+                h[more] = mix((h[more] + KEYS[step]) ^ _first_bytes(x[start[more] + 8 * step], left[more] - 8 * step))
+                more = more[left[more] > 8 * (step + 1)]
+            out[at:to] = h
+        at = to
+    for i in np.flatnonzero(e - s > LONG_WORD):
+        out[i] = xxhash.xxh3_64_intdigest(buf[s[i] : e[i]].tobytes(), int(KEYS[0]))
+    return out
+
+
+def _first_bytes(x: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The low n bytes (all of them from eight on) of numbers."""
+    return x & (U64(0xFFFFFFFFFFFFFFFF) >> (U64(64) - U64(8) * np.minimum(n, 8).astype(U64)))
+
+
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hashes of pairs, in order."""
+    return mix(a * KEYS[1] + b)
 
 
 def windows(hashes: np.ndarray, word_offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of all windows of k words that stay in their row, and their hashes."""
+    """Starts of all windows of k words that stay in their row, and their hashes: pairs, pairs of pairs, and so on."""
     n = len(hashes)
     if n < k:
         return np.zeros(0, np.int64), np.zeros(0, U64)
+    have, h = 1, hashes
+    while have < k:
+        step = min(have, k - have)
+        h = joined(h[:-step], h[step:])
+        have += step
     last = np.repeat(word_offsets[1:], np.diff(word_offsets))[: n - k + 1]
     start = np.flatnonzero(np.arange(n - k + 1) + k <= last)
-    prefix = prefix_hash(hashes)
-    return start, spans_hash(prefix, start, start + k)
+    return start, h[start]
+
+
+def chained(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of short sequences [start, end) of hashes, in order and with their lengths."""
+    out = mix((end - start).astype(U64) + KEYS[2])
+    for i in range(int((end - start).max(initial=0))):
+        rows = np.flatnonzero(start + i < end)
+        out[rows] = joined(out[rows], hashes[start[rows] + i])
+    return out
+
+
+def spelled(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> pa.LargeBinaryArray:
+    """All words of buf as an Arrow array."""
+    ends = np.concatenate([[0], np.cumsum(e - s)]).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(s), [None, pa.py_buffer(ends), pa.py_buffer(buf[~SPACE[buf]])])
 
 
 def covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
     """Which of n positions lie in one of the spans [start, start + length)."""
+    on = np.zeros(n, bool)
+    on[starts] = True
+    starts = np.flatnonzero(on)
     change = np.zeros(n + 1, np.int32)
-    np.add.at(change, starts, 1) if len(starts) < 1000 else change.__iadd__(np.bincount(starts, minlength=n + 1).astype(np.int32))
-    change -= np.bincount(starts + length, minlength=n + 1)[: n + 1].astype(np.int32)
-    return np.cumsum(change[:-1]) > 0
+    change[starts] = 1
+    change[starts + length] -= 1
+    return np.cumsum(change[:-1], out=change[:-1]) > 0
 
 
 def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -134,8 +202,13 @@ def slices(offsets: np.ndarray, limit: int = 4 << 20):
         at = to
 
 
+def counts(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many flags are set before each row (n + 1 values)."""
+    total = np.zeros(len(flags) + 1, np.int32 if len(flags) < 1 << 31 else np.int64)
+    np.cumsum(flags, out=total[1:])
+    return total[offsets].astype(np.int64)
+
+
 def per_row(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """How many flags are set in each row."""
-    total = np.zeros(len(flags) + 1, np.int64)
-    np.cumsum(flags, out=total[1:])
-    return np.diff(total[offsets])
+    return np.diff(counts(flags, offsets))
