@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: A word is a maximal run of characters other than these six (space, tab, LF, VT, FF, CR).
@@ -51,7 +52,17 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared scratch folder and reads it back, which cuts its lineage."""
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables that `written` made and that no later step reads."""
+    for t in tables:
+        if path := getattr(t, "_scratch_path", None):
+            fs, at = pyarrow.fs.FileSystem.from_uri(path)
+            fs.delete_dir(at)
 
 
 def fresh(df: DataFrame, name: str) -> str:

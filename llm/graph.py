@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm.common import written
+from llm.common import dropped, written
 
 
 def components(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -25,7 +25,8 @@ def components(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> D
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(low, "a")
         small = joined.selectExpr("b AS a", "m AS b").unionAll(low.selectExpr("a", "m AS b")).filter("a <> b").distinct()
-        edges = written(spark, small, "stars")
+        before, edges = edges, written(spark, small, "stars")
+        dropped(before)
         n, total, hashed = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("b", "a"))).first()
         if (n, total, hashed) == state:
             break

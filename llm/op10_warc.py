@@ -3,7 +3,8 @@
 Pages are dealt out in ranges of page_id and sorted; each record is a gzip member of its own, files are closed once their
 compressed size reaches FILE_BYTES, and headers and digests are made anew from the payload. Names, record ids, dates and gzip
 headers depend on the rows alone, so a repeated task or run writes the same bytes. Files are written under a
-temporary name and renamed; a manifest lists those of tasks that succeeded, and the reader keeps no others.
+temporary name of their own and renamed; a manifest lists those of tasks that succeeded, and the reader keeps no others.
+Ranges come from exact counts by key range, which the driver sees one number each of, 65,536 at most.
 
 Of equal payloads (SHA-1 and size) of at least min_bytes, the page with the largest id is the response and the others are revisits
 of it. The revisits' targets, a few bytes each, travel to the pages' shards as rows of their own, so pages move once.
@@ -23,10 +24,12 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm.common import load, scratch, written
+from llm.common import load, scratch, ship, written
 from llm.shards import put, sharded
 
 PAGES_PER_SHARD, FILE_BYTES, MIN_BYTES, DATE = 1024, 8 << 20, 0, "2024-01-01T00:00:00Z"
+#: Rows turned into Python values at once.
+ROWS = 64
 SPACE_ID = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "shard int, part int, file string, records long, bytes long"
@@ -64,12 +67,17 @@ def record(page_id, url: str | None, payload: bytes, refers_to: int | None, date
 
 def records(data: bytes):
     """Headers, HTTP headers and payload of each record of an archive; damage raises ValueError."""
-    while data:
-        member = zlib.decompressobj(31)
-        raw = member.decompress(data)
-        if not member.eof:
-            raise ValueError("archive is cut off")
-        data = member.unused_data
+    view, at = memoryview(data), 0
+    while at < len(view):
+        member, parts, step = zlib.decompressobj(31), [], 1 << 12
+        while not member.eof:
+            if at >= len(view):
+                raise ValueError("archive is cut off")
+            fed = view[at : at + step]  # pieces, so that what is left over of one is small
+            parts.append(member.decompress(fed))
+            at += len(fed) - len(member.unused_data)
+            step = min(2 * step, 1 << 20)
+        raw = b"".join(parts)
         head, _, rest = raw.partition(b"\r\n\r\n")
         version, *lines = head.decode().split("\r\n")
         if not version.startswith("WARC/"):
@@ -93,6 +101,7 @@ def revisits(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
 def write_warc(pages: DataFrame, min_bytes: int = MIN_BYTES, pages_per_shard: int = PAGES_PER_SHARD, file_bytes: int = FILE_BYTES, date: str = DATE) -> tuple[str, DataFrame]:
     """Writes all pages; returns the folder and the manifest (MANIFEST)."""
     spark = pages.sparkSession
+    ship(spark)
     folder = scratch(spark, "warc")
     pages = pages.select(F.col("page_id").cast("long"), "url", "html")
     none = F.lit(None)
@@ -109,8 +118,7 @@ def write_warc(pages: DataFrame, min_bytes: int = MIN_BYTES, pages_per_shard: in
             return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([part], pa.int32()), pa.array([name]), pa.array([count]), pa.array([size])], ["shard", "part", "file", "records", "bytes"])
 
         for b in batches:
-            for i in range(len(b)):
-                page_id, kind, url, html, digest, refers_to, own = (c[i].as_py() for c in b.columns)
+            for page_id, kind, url, html, digest, refers_to, own in (row for lo in range(0, len(b), ROWS) for row in zip(*(c.to_pylist() for c in b.slice(lo, ROWS).columns), strict=True)):
                 if own != shard:
                     if held:
                         yield close()

@@ -1,33 +1,38 @@
 """Embedding near-dedup by NN-descent.
 
 Vectors of one label (and length) whose cosine is 0.98 or more, in double precision, are linked.
- 1. Equal directions become one node with a weight.
- 2. A random-projection forest gives first neighbours: the nodes of a leaf are compared with one another. Planes go through the
-    centre of the label; a leaf of more than 2 * LEAF nodes is split by further planes through its own centre or median.
- 3. NN-descent: nodes that share a neighbour are compared, round after round, until no further node gets a link. A node keeps
-    its K best neighbours whatever their cosine; if all K may be links the list is saturated and doubles. Forest and rounds
-    compare in half precision; a pair that this leaves open (SLACK) is compared in double precision before it is a link.
- 4. Links of the lists give components. All links of a node lie in its component, so what lists leave out in dense components is
-    counted exactly there: components are compared with themselves, large ones in pairs of blocks; only counts leave a task.
- 5. Audit, by node: samples of the nodes of small components (and alone) and of large ones are compared with all nodes, until
-    enough nodes with links are seen. If of either fewer than RECALL have all their links in their component, more trees are
-    grown and the rounds go on; if that doesn't help, labels are compared with themselves in pairs of blocks, exactly.
-
-No pairs of a group are emitted beyond the lists. Counting in a component takes time in the square of its distinct vectors,
-which the number of links itself may have; copies cost nothing. Edges and rounds are tables in the shared folder.
+ 1. Equal directions (by a 128-bit hash of the unit vector) become one node with a weight.
+ 2. A random-projection forest gives first neighbours: the nodes of a leaf are compared with one another.
+ 3. NN-descent: nodes are compared with the neighbours of their neighbours (and of those whose neighbour they are), round after round,
+    until no further node gets a link. A node keeps its K best neighbours whatever their cosine; if all K may be links the list is
+    saturated and doubles. Forest and rounds compare in low precision; a pair that this leaves open (SLACK) is compared in
+    double precision before it is a link.
+ 4. Links give components. All links of a node lie in its component, so what lists leave out in dense components is
+    counted exactly there: components are compared with themselves in blocks; only counts leave a task.
+ 5. Audit, by node: samples of the nodes of small components (and alone) and of large ones are compared with all nodes.
+    If of either fewer than RECALL have all their links in their component, more trees are
+    grown and the rounds go on; if that doesn't help, the label is compared with itself in pairs of blocks, exactly.
+
+Links never cross labels. A label of up to LOCAL numbers (nodes times length) is one group: its vectors move once and a task does all
+steps on them. The nodes of larger labels are dealt out by leaf, by list and by block of a component, in tables of the shared
+folder; there planes go through the centre of the label, and a leaf of more than 2 * LEAF nodes is split by further planes through
+its own centre or median. Either way no pairs of a group are emitted beyond the lists. Counting in a component takes time in
+the square of its distinct vectors, which the number of links itself may have; copies cost nothing.
 
 Vectors that are null, empty, zero, or hold null or non-finite components, and those with a null label, link with nothing. Rows
-with equal ids are vectors of their own that share a component. Extra columns are ignored.
+with equal ids are vectors of their own, each with the component of its own links. A row without an id links like any other, stands
+last, and names no component: one without any id has a null component_id. Rows without an id are not kept. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from llm import textops as T
-from llm.common import load, ship, written
+from llm.common import dropped, load, ship, written
 from llm.graph import components
 
 THRESHOLD, SLACK = 0.98, 0.0015
@@ -37,16 +42,23 @@ TREES, LEAF, NEIGHBOURS, WALK, ROUNDS = 8, 256, 12, 4, 4
 CROWD, SPLITS = 4096, 8
 AUDIT, AUDIT_MOST, ENOUGH, SMALL, RECALL, GROWTHS = 512, 8192, 64, 64, 0.99, 3
 BLOCK = 2048
+#: Numbers (nodes times length) of the largest label that is one group.
+LOCAL = 1 << 21
 NODE = "id long, label int, dim int, unit binary"
 
 
+#: What a null id counts as.
+NO_ID = np.iinfo(np.int64).max
+
+
 def units(vectors: DataFrame) -> DataFrame:
-    """NODE: unit vectors as bytes of float64; null where a vector can't link."""
+    """NODE and a 128-bit hash of the unit vector (bytes of float64); null where a vector can't link."""
 
     def run(batches):
         for b in batches:
-            ids, labels, out, dims = b.column(0), b.column(2), [], []
-            for label, v in zip(labels.to_pylist(), b.column(1), strict=True):
+            ids, labels, out, dims = b.column(0).fill_null(NO_ID), b.column(2), [], []
+            prints = np.zeros((len(b), 2), np.int64)
+            for k, (label, v) in enumerate(zip(labels.to_pylist(), b.column(1), strict=True)):
                 x = None
                 if label is not None and v.is_valid and len(v.values) and not v.values.null_count:
                     x = v.values.to_numpy(zero_copy_only=False).astype(np.float64)
@@ -55,14 +67,20 @@ def units(vectors: DataFrame) -> DataFrame:
                         x = None if x is None else x / np.sqrt(x @ x)
                 dims.append(0 if x is None else len(x))
                 out.append(None if x is None else (x + 0.0).tobytes())
-            yield pa.RecordBatch.from_arrays([ids, labels, pa.array(dims, pa.int32()), pa.array(out, pa.binary())], ["id", "label", "dim", "unit"])
+                if x is not None:
+                    prints[k] = np.frombuffer(xxhash.xxh3_128_digest(out[-1]), np.int64)
+            yield pa.RecordBatch.from_arrays([ids, labels, pa.array(dims, pa.int32()), pa.array(out, pa.binary()), pa.array(prints[:, 0]), pa.array(prints[:, 1])], ["id", "label", "dim", "unit", "h1", "h2"])
 
-    return vectors.select(F.col("vec_id").cast("long"), "embedding", F.col("label").cast("int")).mapInArrow(run, NODE)
+    return vectors.select(F.col("vec_id").cast("long"), "embedding", F.col("label").cast("int")).mapInArrow(run, f"{NODE}, h1 long, h2 long")
 
 
 def _matrix(column, kind=np.float64) -> np.ndarray:
+    """Equally long binary values as the rows of a matrix."""
     values = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return np.stack([np.frombuffer(v.as_py(), kind) for v in values])
+    if not len(values):
+        return np.zeros((0, 0), kind)
+    offsets = np.frombuffer(values.buffers()[1], np.int64 if pa.types.is_large_binary(values.type) else np.int32)[values.offset : values.offset + len(values) + 1]
+    return np.frombuffer(values.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(kind).reshape(len(values), -1)
 
 
 def _pairs(ids: np.ndarray, x: np.ndarray, most: int) -> pa.Table:
@@ -341,21 +359,172 @@ def _audited(every: DataFrame, asked: list) -> list[tuple[int, int]]:
     return [(r.linked, r.joined) for r in rows]
 
 
-def near_dedup(vectors: DataFrame, trees: int = TREES, rounds: int = ROUNDS, growths: int = GROWTHS) -> DataFrame:
-    """Per vector: vec_id, n_links, component_id, kept."""
-    spark = vectors.sparkSession
-    ship(spark)
-    every = written(spark, units(vectors), "units")
-    able = every.filter("unit IS NOT NULL")
-    nodes = written(spark, able.groupBy("label", "dim", "unit").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight")), "nodes")
+class Lists:
+    """Neighbour lists of the rows of x: `near` (places, -1 where there is none) and `sims`, best first."""
+
+    def __init__(self, x: np.ndarray):
+        self.x, n = x, len(x)
+        self.near, self.sims = np.full((n, NEIGHBOURS), -1), np.full((n, NEIGHBOURS), -2, np.float32)
+
+    def offer(self, rows: np.ndarray, others: np.ndarray, sims: np.ndarray) -> None:
+        """Candidates (a row of places for each row) enter the lists where they are better."""
+        others, sims = np.concatenate([self.near[rows], others], 1), np.concatenate([self.sims[rows], sims], 1)
+        sims = np.where((others < 0) | (others == rows[:, None]), np.float32(-2), sims)
+        by_place = np.argsort(others, axis=1, kind="stable")
+        others, sims = np.take_along_axis(others, by_place, 1), np.take_along_axis(sims, by_place, 1)
+        sims[:, 1:][others[:, 1:] == others[:, :-1]] = -2
+        best = np.argsort(-sims, axis=1, kind="stable")[:, : self.near.shape[1]]
+        self.sims[rows] = np.take_along_axis(sims, best, 1)
+        self.near[rows] = np.where(self.sims[rows] > -2, np.take_along_axis(others, best, 1), -1)
+
+    def leaf(self, rows: np.ndarray) -> None:
+        """All rows of a leaf are compared with one another."""
+        sims = self.x[rows] @ self.x[rows].T
+        np.fill_diagonal(sims, -2)
+        k = min(self.near.shape[1], len(rows) - 1)
+        if k > 0:
+            best = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+            self.offer(rows, rows[best], np.take_along_axis(sims, best, 1))
+
+    def reverse(self) -> np.ndarray:
+        """For each row up to NEIGHBOURS of the rows in whose lists it is, the nearest ones."""
+        source, target, sims = np.repeat(np.arange(len(self.x)), self.near.shape[1]), self.near.ravel(), self.sims.ravel()
+        order = np.lexsort((source, -sims, target))
+        order = order[target[order] >= 0]
+        target = target[order]
+        place = np.arange(len(target)) - np.searchsorted(target, target)
+        out = np.full((len(self.x), NEIGHBOURS), -1)
+        near = place < NEIGHBOURS
+        out[target[near], place[near]] = source[order[near]]
+        return out
+
+    def walk(self) -> None:
+        """Each row is compared with the nearest neighbours of its nearest neighbours, either way."""
+        first = np.concatenate([self.near[:, :NEIGHBOURS], self.reverse()], 1)
+        step = max(1, (1 << 22) // (2 * NEIGHBOURS * NEIGHBOURS * self.x.shape[1]))
+        for lo in range(0, len(self.x), step):
+            rows = np.arange(lo, min(lo + step, len(self.x)))
+            over = first[rows]
+            others = np.where(over[:, :, None] < 0, -1, first[over][:, :, :NEIGHBOURS]).reshape(len(rows), -1)
+            self.offer(rows, others, np.einsum("md,mcd->mc", self.x[rows], self.x[others]))
+
+    def widen(self, growth: int) -> None:
+        """Lists double while one that may still grow holds links only."""
+        n, k = self.near.shape
+        if k < NEIGHBOURS << growth and (self.sims[:, -1] >= MAYBE).any():
+            self.near, self.sims = np.concatenate([self.near, np.full((n, k), -1)], 1), np.concatenate([self.sims, np.full((n, k), -2, np.float32)], 1)
+
+    def linked(self) -> int:
+        return int((self.sims >= MAYBE).sum())
+
+
+def _merged(parts: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """parts (each row's smallest place reachable) after rows a and b are linked."""
+    while True:
+        low = np.minimum(parts[a], parts[b])
+        new = parts.copy()
+        np.minimum.at(new, parts[a], low)
+        np.minimum.at(new, parts[b], low)
+        while (new[new] != new).any():
+            new = new[new]
+        new = new[parts]
+        if (new == parts).all():
+            return parts
+        parts = new
+
+
+def _at_once(n: int) -> int:
+    """Rows that are compared with n others at once."""
+    return max(1, min(512, (1 << 21) // max(1, n)))
+
+
+def solved(ids: np.ndarray, x: np.ndarray, weight: np.ndarray, trees: int, rounds: int, growths: int) -> tuple[np.ndarray, np.ndarray]:
+    """component_id and the weight of all links of each node of a label, by steps 2 to 5 on its vectors (float64, ids ascending)."""
+    n, lists = len(ids), Lists(x.astype(np.float32))
+    parts = np.arange(n)
+    for grown in range(growths):
+        for t in range(grown * trees, (grown + 1) * trees):
+            for rows in halved(lists.x, 2 * LEAF, [t, x.shape[1]]):
+                lists.leaf(np.sort(rows))
+        before = -1
+        for _ in range(rounds):
+            lists.widen(2)
+            if (now := lists.linked()) == before:
+                break
+            before = now
+            lists.walk()
+        a, k = np.nonzero(lists.sims >= MAYBE)
+        b = lists.near[a, k]
+        true = np.concatenate([np.zeros(0, bool), *(np.einsum("md,md->m", x[a[i : i + 65536]], x[b[i : i + 65536]]) >= THRESHOLD for i in range(0, len(a), 65536))])
+        parts = _merged(np.arange(n), a[true], b[true])
+        if _in_components(x, parts):
+            break
+    else:
+        for lo in range(0, n, step := _at_once(n)):  # exactly
+            a, b = np.nonzero(x[lo : lo + step] @ x.T >= THRESHOLD)
+            parts = _merged(parts, a + lo, b)
+    linked = np.zeros(n, np.int64)
+    order = np.argsort(parts, kind="stable")
+    ends = np.flatnonzero(np.r_[parts[order][1:] != parts[order][:-1], True]) + 1 if n else []
+    for lo, hi in zip(np.r_[0, ends[:-1]].astype(int), ends, strict=True):
+        rows = order[lo:hi]
+        for at in range(0, len(rows) if len(rows) > 1 else 0, step := _at_once(len(rows))):
+            hit = x[rows[at : at + step]] @ x[rows].T >= THRESHOLD
+            hit[np.arange(len(hit)), np.arange(at, at + len(hit))] = False
+            linked[rows[at : at + step]] = hit @ weight[rows]
+    return ids[parts], linked
+
+
+def _in_components(x: np.ndarray, parts: np.ndarray) -> bool:
+    """The audit within a label: of nodes of small and of large components, RECALL have all their links in their component."""
+    size, rng = np.bincount(parts, minlength=len(parts))[parts], np.random.default_rng(7)
+    for pool in (np.flatnonzero(size <= SMALL), np.flatnonzero(size > SMALL)):
+        pool, seen, whole = rng.permutation(pool), 0, 0
+        for lo in range(0, min(len(pool), AUDIT_MOST), step := _at_once(len(x))):
+            asked = pool[lo : lo + step]
+            hit = x[asked] @ x.T >= THRESHOLD
+            hit[np.arange(len(asked)), asked] = False
+            some = hit.any(1)
+            seen += some.sum()
+            whole += (some & ~(hit & (parts[asked][:, None] != parts[None, :])).any(1)).sum()
+            if seen >= ENOUGH:
+                break
+        if whole < RECALL * seen:
+            return False
+    return True
+
+
+FOUND = "label int, dim int, h1 long, h2 long, weight long, component_id long, linked long"
+
+
+def within_labels(nodes: DataFrame, trees: int, rounds: int, growths: int) -> DataFrame:
+    """FOUND of nodes whose labels are one group each."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids = table.column("id").to_numpy()
+        order = np.argsort(ids, kind="stable")
+        part, linked = solved(ids[order], _matrix(table.column("unit"))[order], table.column("weight").to_numpy()[order], trees, rounds, growths)
+        out = table.select(["label", "dim", "h1", "h2", "weight"]).take(pa.array(order))
+        return out.append_column("component_id", pa.array(part)).append_column("linked", pa.array(linked))
+
+    return nodes.groupBy("label", "dim").applyInArrow(run, FOUND)
+
+
+def across_tasks(nodes: DataFrame, trees: int, rounds: int, growths: int) -> DataFrame:
+    """FOUND of nodes of large labels, whose graphs grow by joins."""
+    spark = nodes.sparkSession
+    # nodes are told apart by numbers of their own: rows without an id, or with equal ones, may be several nodes
+    nodes = written(spark, nodes.withColumnRenamed("id", "vec").withColumn("id", F.monotonically_increasing_id()), "numbered")
     coarse = written(spark, coarsened(nodes), "coarse")
     grown, pairs, parts = 0, None, None
     for _ in range(growths):
-        fresh = forest(spark, coarse, range(grown, grown + trees))
-        pairs = written(spark, fresh if pairs is None else fresh.unionAll(pairs).groupBy("a", "b").agg(F.max("sim").alias("sim")), "pairs")
+        more = forest(spark, coarse, range(grown, grown + trees))
+        old, pairs = pairs, written(spark, more if pairs is None else more.unionAll(pairs).groupBy("a", "b").agg(F.max("sim").alias("sim")), "pairs")
+        dropped(*([] if old is None else [old]))
         grown, reached = grown + trees, _reached(pairs)
         for r in range(1, rounds + 1):
-            pairs = written(spark, descend(coarse, pairs, min(r, 2)), "pairs")
+            old, pairs = pairs, written(spark, descend(coarse, pairs, min(r, 2)), "pairs")
+            dropped(old)
             before, reached = reached, _reached(pairs)
             if reached == before:
                 break
@@ -364,11 +533,31 @@ def near_dedup(vectors: DataFrame, trees: int = TREES, rounds: int = ROUNDS, gro
             break
     else:
         parts = written(spark, components(spark, exhaustive(nodes)), "parts")
-    tally = written(spark, counted(nodes, parts), "tally")
-    found = nodes.join(parts, "id", "left").join(tally, "id", "left").select("label", "dim", "unit", (F.coalesce("linked", F.lit(0)) + F.col("weight") - 1).alias("n"), F.coalesce("component_id", "id").alias("c"))
-    return every.join(found, ["label", "dim", "unit"], "left").select(
-        F.col("id").alias("vec_id"), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("c", "id").alias("component_id"), (F.col("id") == F.coalesce("c", "id")).alias("kept")
-    )
+    tally = counted(nodes, parts)
+    found = nodes.join(parts, "id", "left").join(tally, "id", "left").withColumn("c", F.coalesce("component_id", "id"))
+    found = written(spark, found.select("label", "dim", "h1", "h2", "weight", "vec", "c", F.coalesce("linked", F.lit(0)).alias("linked")), "found")
+    return found.join(found.groupBy("c").agg(F.min("vec").alias("component_id")), "c").select("label", "dim", "h1", "h2", "weight", "component_id", "linked")
+
+
+def near_dedup(vectors: DataFrame, trees: int = TREES, rounds: int = ROUNDS, growths: int = GROWTHS, local: int = LOCAL) -> DataFrame:
+    """Per vector: vec_id, n_links, component_id, kept."""
+    spark = vectors.sparkSession
+    ship(spark)
+    node = ["label", "dim", "h1", "h2"]
+    every = units(vectors)
+    grouped = every.filter("unit IS NOT NULL").groupBy(*node).agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight"), F.any_value("unit").alias("unit"))
+    nodes = written(spark, grouped, "nodes")
+    sizes = written(spark, nodes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("c")).withColumn("large", F.col("c") * F.col("dim") > local), "sizes")
+    large = sizes.filter("large").select("label", "dim")
+    found = within_labels(nodes.join(sizes.filter("NOT large").select("label", "dim"), ["label", "dim"], "left_semi"), trees, rounds, growths)
+    if large.take(1):
+        found = found.unionAll(across_tasks(nodes.join(large, ["label", "dim"], "left_semi"), trees, rounds, growths))
+    own = every.select("id", F.coalesce("label", F.lit(0)).alias("label"), "dim", "h1", "h2")
+    component = F.coalesce("component_id", "id")
+    return own.join(found, node, "left").select(
+        F.when(F.col("id") != NO_ID, F.col("id")).alias("vec_id"), F.coalesce(F.col("linked") + F.col("weight") - 1, F.lit(0)).alias("n_links"),
+        F.when(component != NO_ID, component).alias("component_id"), ((F.col("id") == component) & (F.col("id") != NO_ID)).alias("kept"),
+    )
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import os
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ from llm.common import load
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>, decoded string"
 #: Larger batches than usual: the more text in one, the fewer of its words are new.
 BATCH_BYTES = 8 << 20
+#: Bytes of text whose ids and pieces are put together at once.
+SLICE = 1 << 20
 DIGEST = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
 
@@ -43,6 +46,8 @@ def default_path() -> str:
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+
     return Tokenizer.from_file(path)
 
 
@@ -100,20 +105,27 @@ def bpe(docs: DataFrame, path: str | None = None, keep_ids: bool = True, keep_te
     def result(ids, buf, offsets, given):
         off, own, place, _, _ = _words(buf, offsets)
         count = given["count"].astype(np.int64) if len(own) else np.zeros(0, np.int64)
-        start = np.cumsum(count) - count
-        token = given["ids"][T.gather(start[place], count[place])] if len(own) else np.zeros(0, np.int32)
-        ends = np.concatenate([[0], np.cumsum(count[place])])[off]
+        start, coded = np.cumsum(count) - count, given["ids"] if len(own) else np.zeros(0, np.int32)
         piece, at = _pieces(path)
+        out = [coded_rows(off, place, count, start, coded, piece, at, lo, hi) for lo, hi in T.slices(offsets, SLICE)]
+        return pa.concat_tables(out).add_column(0, "doc_id", pa.array(ids)) if out else pa.table({"doc_id": pa.array(ids)})
+
+    def coded_rows(off, place, count, start, coded, piece, at, lo, hi):
+        """Rows lo to hi: what a text holds per byte (indices, pieces) is made for some texts at once."""
+        mine = place[off[lo] : off[hi]]
+        token = coded[T.gather(start[mine], count[mine])]
+        ends = np.concatenate([[0], np.cumsum(count[mine])])[off[lo : hi + 1] - off[lo]]
         size = np.diff(at)[token]
-        spelled = piece[T.gather(at[token], size)] if len(token) else np.zeros(0, np.uint8)
+        spelled = piece[T.gather(at[token], size)]
         text_ends = np.concatenate([[0], np.cumsum(size)])[ends]
-        raw = token.astype("<u4")
-        spans, text_spans = list(zip(ends[:-1], ends[1:], strict=True)), list(zip(text_ends[:-1], text_ends[1:], strict=True))
-        decoded = [spelled[a : max(a, b - 1)].tobytes() for a, b in text_spans]
+        raw, n = token.astype("<u4"), hi - lo
+        spans = zip(text_ends[:-1], text_ends[1:], strict=True)
+        decoded = [spelled[a : max(a, b - 1)] for a, b in spans]
         return pa.table({
-            "doc_id": pa.array(ids), "n_tokens": pa.array(np.diff(ends)),
-            "ids_sha256": pa.array([hashlib.sha256(raw[a:b].tobytes()).hexdigest() for a, b in spans]), "decoded_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in decoded]),
-            "ids": pa.array([token[a:b] for a, b in spans] if keep_ids else [None] * len(ids), pa.list_(pa.int32())), "decoded": pa.array(decoded if keep_text else [None] * len(ids), pa.binary()).cast(pa.string()),
+            "n_tokens": pa.array(np.diff(ends)), "ids_sha256": pa.array([hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string()),
+            "decoded_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in decoded], pa.string()),
+            "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(token, pa.int32())) if keep_ids else pa.nulls(n, pa.list_(pa.int32())),
+            "decoded": pa.array([t.tobytes() for t in decoded], pa.binary()).cast(pa.string()) if keep_text else pa.nulls(n, pa.string()),
         })
 
     packed = hashx.pack(docs, batch_bytes=BATCH_BYTES)

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from llm import hashx, textops as T
-from llm.common import load, written
+from llm.common import dropped, load, written
 from llm.graph import components
 
 WORDS = 5
@@ -194,6 +194,7 @@ def jaccard_join(docs: DataFrame, k: int = WORDS, block: int = BLOCK) -> DataFra
     spark = docs.sparkSession
     sets = written(spark, shingled(docs, k), "sets")
     able = sets.filter("shingles IS NOT NULL")
+    sizes = written(spark, sets.select("doc_id", "n"), "sizes")
     # written first, so that the join has an exchange on either side and a large class of copies can be split
     same = written(spark, able.groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("rep")), "same")
     alike = written(spark, able.select("doc_id", "fp1", "fp2", "n").join(same, ["fp1", "fp2", "n"]).select("doc_id", "rep"), "alike")
@@ -213,7 +214,8 @@ def jaccard_join(docs: DataFrame, k: int = WORDS, block: int = BLOCK) -> DataFra
     if large.take(1):
         edges = edges.unionAll(_between_blocks(large, components(spark, edges), sets_of, block))
     found = components(spark, edges)
-    return sets.select("doc_id", F.col("n").alias("n_shingles")).join(found, F.col("doc_id") == F.col("id"), "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    dropped(sets, same, alike, members, links)
+    return sizes.select("doc_id", F.col("n").alias("n_shingles")).join(found, F.col("doc_id") == F.col("id"), "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -149,13 +149,13 @@ def limits(sketch: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
 def quality_rules(docs: DataFrame, min_group: int = MIN_GROUP, texts: bool = True) -> DataFrame:
     """docs (without text unless texts) with COUNTS, base_failed and kept, which replace columns of these names; all others stay.
 
-    Measured documents are a table in the shared folder: they are measured once, sketched, and judged against the limits.
+    With texts, documents are measured once for the sketches and once more as they are judged: that takes less than to write all
+    texts with their measures and to read them again, and leaves no copy of the corpus in the shared folder.
     """
     spark = docs.sparkSession
     ship(spark)
-    seen = measured(docs)
-    seen = written(spark, seen if texts else seen.drop("text"), "measures")
-    cut = written(spark, limits(sketches(seen), min_group), "limits")
+    seen = measured(docs) if texts else written(spark, measured(docs).drop("text"), "measures")
+    cut = written(spark, limits(written(spark, sketches(seen), "sketches"), min_group), "limits")
     own, limit = (fresh(seen, name) for name in ("judged", "limit"))
     values = F.struct("lang", "source", *(F.expr(v).alias(m) for m, v in MEASURES.items()))
     df = seen.withColumn("base_failed", F.expr(BASE_FAILED)).withColumn(own, values).join(

@@ -8,16 +8,15 @@ Documents are dealt out in ranges of doc_id, sorted, encoded and written in file
 (one longer text is a file of its own); a manifest lists the files whose tasks succeeded. The reader takes files through Spark's binaryFile source and keeps what
 the manifest lists; first positions are running sums over the manifest.
 
-Ids are those of the tokenizers library. Texts of ASCII and Latin letters, on whose character classes no library differs, are merged by
-tiktoken with the ranks of the same file, several times faster; all others by tokenizers itself. Tests hold one against the other.
+Ids are those of the tokenizers library. Long texts are given to it in pieces, cut before a single space between two ASCII
+letters, where byte-level BPE always cuts; a text without such a place goes whole.
 
 Null and empty texts consist of the end id alone. Rows with equal ids are all written, in an order given by their text. Null ids sort
-first. Extra columns are ignored. An empty table gives no files and no rows.
+first and come back null. Extra columns are ignored. An empty table gives no files and no rows.
 """
 
 from __future__ import annotations
 
-import functools
 import json
 import struct
 import zlib
@@ -28,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from llm import textops as T
-from llm.common import load, scratch, written
+from llm.common import load, scratch, ship, written
 from llm.op3_bpe import _tokenizer
 from llm.shards import put, runs, sharded
 
@@ -36,11 +35,10 @@ END_ID, BITS, DOCS_PER_SHARD, FILE_BYTES = 2, 8, 2048, 16 << 20
 MAGIC = b"DACTOKEN"
 RANK = 512
 MANIFEST = "shard int, part int, file string, docs long, tokens long"
-#: Fixed value: the pattern by which byte-level BPE cuts texts.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-ASCII_PLAIN = np.zeros(256, bool)
-ASCII_PLAIN[0x20:0x7F] = True
-ASCII_PLAIN[[9, 10, 13]] = True
+#: Bytes of a piece of a long text, at least, and bytes of text encoded at once.
+PIECE = 1 << 16
+ASCII_LETTER = np.zeros(256, bool)
+ASCII_LETTER[65:91] = ASCII_LETTER[97:123] = True
 
 
 def default_path() -> str:
@@ -49,53 +47,41 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-@functools.lru_cache(2)
-def _ranked(path: str):
-    """The file's merges as byte ranks, and its special tokens; None if the file isn't byte-level BPE with the usual pattern."""
-    import tiktoken
+def pieces(buf: np.ndarray, offsets: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where texts, and the pieces of long ones, begin and end, and for each text its place among these (n + 1 values)."""
+    long, more = np.flatnonzero(np.diff(offsets) > 2 * PIECE), []
+    if len(long) and _cuts_at_spaces(path):
+        for i in long:
+            b = buf[offsets[i] : offsets[i + 1]]
+            places, at = np.flatnonzero((b[1:-1] == 32) & ASCII_LETTER[b[:-2]] & ASCII_LETTER[b[2:]]) + 1, PIECE
+            while (k := np.searchsorted(places, at)) < len(places):
+                more.append(offsets[i] + places[k])
+                at = places[k] + PIECE
+    more = np.array(more, np.int64)
+    return np.sort(np.concatenate([offsets, more])), np.arange(len(offsets)) + np.searchsorted(more, offsets)
 
+
+def _cuts_at_spaces(path: str) -> bool:
+    """Whether the file is byte-level BPE by the usual pattern, with nothing that changes texts first."""
     with open(path) as f:
         spec = json.load(f)
     cut = spec["pre_tokenizer"] or {}
-    if spec["normalizer"] or cut.get("type") != "ByteLevel" or not cut.get("use_regex") or cut.get("add_prefix_space"):
-        return None
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves; the others follow from U+0100
-    hidden = [b for b in range(256) if b not in shown]
-    byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-    ranks = {bytes(byte[c] for c in piece): i for piece, i in spec["model"]["vocab"].items()}
-    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-    return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special), set(special)
-
-
-def plain_rows(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Texts of printable ASCII, tab, line breaks and U+00C0 to U+00FF only."""
-    plain = ASCII_PLAIN[buf]
-    if len(buf) > 1:
-        latin = (buf[:-1] == 0xC3) & (buf[1:] >= 0x80) & (buf[1:] < 0xC0)
-        plain[:-1] |= latin
-        plain[1:] |= latin
-    return T.per_row(~plain, offsets) == 0
+    return not spec["normalizer"] and cut.get("type") == "ByteLevel" and bool(cut.get("use_regex")) and not cut.get("add_prefix_space") and all(" " not in t["content"] and not t["lstrip"] and not t["rstrip"] for t in spec["added_tokens"])
 
 
 def encode(buf: np.ndarray, offsets: np.ndarray, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts end to end, each with end_id after it, and the end of each text."""
-    n, ranked = len(offsets) - 1, _ranked(path)
-    plain = plain_rows(buf, offsets) if ranked else np.zeros(n, bool)
-    raw = buf.tobytes()
-    texts = [raw[a:b].decode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-    coded: list = [None] * n
-    for i in np.flatnonzero(plain):
-        coded[i] = ranked[0].encode_to_numpy(texts[i], allowed_special=ranked[1])
-    rest = np.flatnonzero(~plain)
-    for at in range(0, len(rest), 256):
-        some = rest[at : at + 256]
-        for i, e in zip(some, _tokenizer(path).encode_batch_fast([texts[i] for i in some], add_special_tokens=False), strict=True):
-            coded[i] = np.array(e.ids, np.int32)
-    ends = np.cumsum([len(c) + 1 for c in coded])
-    out = np.full(int(ends[-1]) if n else 0, end_id, np.int32)
-    for c, end in zip(coded, ends, strict=True):
-        out[end - 1 - len(c) : end - 1] = c
-    return out, ends.astype(np.int64)
+    n, (cut, place) = len(offsets) - 1, pieces(buf, offsets, path)
+    coded = []
+    for lo, hi in T.slices(cut, 4 * PIECE):
+        raw = buf[cut[lo] : cut[hi]].tobytes()
+        texts = [raw[a:b].decode() for a, b in zip(cut[lo:hi] - cut[lo], cut[lo + 1 : hi + 1] - cut[lo], strict=True)]
+        coded += [np.array(e.ids, np.int32) for e in _tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)]
+    before = np.concatenate([[0], np.cumsum([len(c) for c in coded])]).astype(np.int64)[place]
+    ids = np.concatenate([np.zeros(0, np.int32), *coded])
+    out = np.full(len(ids) + n, end_id, np.int32)
+    out[np.arange(len(ids)) + np.repeat(np.arange(n), np.diff(before))] = ids
+    return out, before[1:] + np.arange(1, n + 1)
 
 
 def write_codes(doc_ids: np.ndarray, ids: np.ndarray, ends: np.ndarray, bits: int = BITS) -> bytes:
@@ -176,6 +162,7 @@ class TokenFile:
 def write_tokens(docs: DataFrame, path: str | None = None, end_id: int = END_ID, bits: int = BITS, docs_per_shard: int = DOCS_PER_SHARD, file_bytes: int = FILE_BYTES) -> tuple[str, DataFrame]:
     """Writes all documents; returns the folder and the manifest (MANIFEST)."""
     path = path or default_path()
+    ship(docs.sparkSession)
     folder = scratch(docs.sparkSession, "tokens")
 
     def run(batches):
@@ -214,7 +201,6 @@ def write_tokens(docs: DataFrame, path: str | None = None, end_id: int = END_ID,
 
 
 
-
 def read_tokens(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """Per document: doc_id, start, n_tokens, ids_crc32, from the files that the manifest lists."""
     schema = "file string, doc_id long, inside long, n_tokens long, ids_crc32 long"

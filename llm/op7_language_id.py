@@ -2,11 +2,14 @@
 
 Texts are lower-cased letters (as bytes) with single bytes of anything else as spaces; features are the frequencies of hashed
 two- and three-byte runs over the whole text. One-versus-one machines tell language families apart, and in the family
-that wins, one-versus-one machines tell its languages apart; most votes win, then the sum of margins.
+that wins, one-versus-one machines tell its languages apart; most votes win, then the sum of margins. Signs beyond ASCII (Latin-1
+signs, general punctuation and symbols, CJK punctuation) count as spaces; all other characters beyond ASCII count as letters.
 
 Learning uses text and lang of documents whose crc32(doc_id as text) mod 4 is not 2, and of these at most `sample`
-per language (those with the smallest hashes of doc_id), a documented bound on what the driver fits: vectors of `DIM` numbers,
-never texts. Prediction runs in the map tasks over all documents, with some kilobytes of weights a machine, and shuffles nothing.
+per language and per family (those with the smallest hashes of doc_id and text; copies count once), a documented bound. Only ids
+and hashes are ranked; the few chosen texts are then fetched from the table. Each machine is fitted by a task of its own from at most
+2 * `sample` vectors of DIM numbers; the driver receives the weights, 16 KB a machine, and never vectors or texts. Prediction runs
+in the map tasks over all documents and shuffles nothing; machines within a family see that family's texts only.
 
 Null texts and texts without a letter are `und` with score 0, as is everything when no row has a language. The score is
 the product of the two levels' confidences (a logistic of the least margin of the winner). A language without a known
@@ -23,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from llm import textops as T
-from llm.common import load, ship
+from llm.common import load, ship, written
 
 DIM, SAMPLE = 4096, 400
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -43,6 +46,8 @@ FAMILIES = {
     "austronesian": "id jv mg ms tl",
 }
 
+#: UTF-8 ranges of signs beyond ASCII, as the number of bytes and the first and last character.
+SIGNS = [(2, "\u0080", "\u00a9"), (2, "\u00ab", "\u00b4"), (2, "\u00b6", "\u00b9"), (2, "\u00bb", "\u00bf"), (2, "×", "×"), (2, "÷", "÷"), (3, "\u2000", "\u206f"), (3, "\u20a0", "\u20cf"), (3, "\u2190", "\u2bff"), (3, "\u3000", "\u3004"), (3, "\u3008", "\u3020")]
 LETTER = np.full(256, 32, np.uint8)
 LETTER[65:91] = LETTER[97:123] = np.arange(97, 123)
 LETTER[128:] = np.arange(128, 256)
@@ -58,11 +63,24 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def features(buf: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For runs of two and of three bytes: the feature of each run, and how many runs there are before each text."""
+def letters(buf: np.ndarray) -> np.ndarray:
+    """Lower-cased letters, and spaces for all other bytes."""
     b = LETTER[buf]
     b[1:][(buf[:-1] == 0xC3) & (buf[1:] >= 0x80) & (buf[1:] <= 0x9E) & (buf[1:] != 0x97)] += 0x20  # Latin capitals
-    b = b.astype(np.uint32)
+    for size, first, last in SIGNS:
+        lead = np.flatnonzero((buf >= first.encode()[0]) & (buf <= last.encode()[0]))
+        code = np.zeros(len(lead), np.int64)
+        for j in range(size):
+            code = code << 8 | buf[np.minimum(lead + j, len(buf) - 1)]
+        sign = lead[(code >= int.from_bytes(first.encode())) & (code <= int.from_bytes(last.encode()))]
+        for j in range(size):
+            b[sign + j] = 32
+    return b
+
+
+def features(buf: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For runs of two and of three bytes: the feature of each run, and how many runs there are before each text."""
+    b = letters(buf).astype(np.uint32)
     out = []
     for k in (2, 3):
         code = np.zeros(max(0, len(b) - k + 1), np.uint32)
@@ -75,6 +93,15 @@ def features(buf: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.
     return out
 
 
+def chosen(grams: list[tuple[np.ndarray, np.ndarray]], rows: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The features of some of the texts."""
+    out = []
+    for feature, at in grams:
+        size = np.diff(at)[rows]
+        out.append((feature[T.gather(at[rows], size)], np.concatenate([[0], np.cumsum(size)])))
+    return out
+
+
 def has_letter(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     found = T.per_row(ASCII_LETTER[buf], offsets) > 0
     for i in np.flatnonzero(~found & (T.per_row(buf >= 128, offsets) > 0)):
@@ -83,30 +110,36 @@ def has_letter(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _vectors(docs: DataFrame) -> DataFrame:
-    """lang and the feature frequencies of each text, as bytes of float32."""
+    """lang, r and the feature frequencies of each text, as bytes of float32."""
 
     def run(batches):
         for b in batches:
-            _, whole = T.utf8(b.column(1))
+            _, whole = T.utf8(b.column(2))
             for lo, hi in T.slices(whole):
                 part = b.slice(lo, hi - lo)
-                buf, offsets = T.utf8(part.column(1))
+                buf, offsets = T.utf8(part.column(2))
                 x = np.zeros((hi - lo, DIM), np.float32)
                 for feature, at in features(buf, offsets):
                     for i in range(hi - lo):
                         x[i] += np.bincount(feature[at[i] : at[i + 1]], minlength=DIM) / max(1, at[i + 1] - at[i])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r.tobytes() for r in x], pa.binary())], ["lang", "x"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([r.tobytes() for r in x], pa.binary())], ["lang", "r", "x"])
 
-    return docs.select("lang", "text").mapInArrow(run, "lang string, x binary")
+    return docs.select("lang", "r", "text").mapInArrow(run, "lang string, r int, x binary")
 
 
 def sampled(docs: DataFrame, sample: int) -> DataFrame:
-    """Labelled documents to learn from: for each language at most `sample`, those with the smallest hashes of doc_id."""
-    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", "lang", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("h"))
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("c"))
+    """(lang, r, text): for each language at most `sample` labelled texts, those with the smallest hashes of doc_id and text.
+
+    Ids and hashes alone are ranked. Counts and the chosen ids are tables of a size that Spark knows, so the texts stay where they are.
+    """
+    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+    known = known.select("doc_id", "lang", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)).alias("h"))
+    counts = written(docs.sparkSession, known.groupBy("lang").agg(F.count(F.lit(1)).alias("c")), "counts")
     # four times the expected hash border of the sample: what is ranked is small however common a language is
-    near = known.join(counts, "lang").filter(F.col("h") < 4.0 * sample / F.col("c") * (1 << 40))
-    return near.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).filter(F.col("r") <= sample)
+    near = known.join(counts, "lang").filter(F.col("h") < 4.0 * sample / F.col("c") * (1 << 40)).select("doc_id", "lang", "h").distinct()
+    few = near.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).filter(F.col("r") <= sample)
+    few = written(docs.sparkSession, few, "chosen")
+    return known.join(few, ["doc_id", "lang", "h"]).dropDuplicates(["doc_id", "lang", "h"]).select("lang", "r", "text")
 
 
 def machine(x: np.ndarray, y: np.ndarray, rounds: int = 120, reg: float = 1e-3) -> tuple[np.ndarray, float]:
@@ -123,78 +156,81 @@ def machine(x: np.ndarray, y: np.ndarray, rounds: int = 120, reg: float = 1e-3)
     return mean_w / (rounds - rounds // 2), mean_b / (rounds - rounds // 2)
 
 
-def fit(rows: list[tuple[str, bytes]]) -> dict:
-    """Families with their languages, and a machine (weights, bias) for each pair of families and of languages in one."""
-    if not rows:
-        return {"families": {}, "pairs": {}}
-    rows = sorted(rows)
-    langs = np.array([r[0] for r in rows], object)
-    x = np.stack([np.frombuffer(r[1], np.float32) for r in rows]).astype(np.float64)
+def fitted(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """A machine on features scaled to equal spread, its weights given for the features as they are."""
     mean, spread = x.mean(0), x.std(0) + 1e-4
-    z = (x - mean) / spread / math.sqrt(x.shape[1])
+    w, bias = machine((x - mean) / spread / math.sqrt(x.shape[1]), y)
+    w = w / spread / math.sqrt(x.shape[1])
+    return w.astype(np.float32), bias - float(w @ mean)
+
+
+def fit(docs: DataFrame, sample: int) -> dict:
+    """Families with their languages, and a machine (weights, bias) for each pair of families and of languages in one."""
+    spark = docs.sparkSession
+    texts = written(spark, sampled(docs, sample), "sample")
     groups: dict[str, list[str]] = {}
-    for lang in sorted(set(langs)):
+    for lang in sorted(r[0] for r in texts.select("lang").distinct().collect()):
         groups.setdefault(family(lang), []).append(lang)
-    of = np.array([family(v) for v in langs], object)
-    pairs = {}
-    for label, names in [(of, sorted(groups))] + [(langs, g) for g in groups.values()]:
-        for a, b in itertools.combinations(names, 2):
-            rows_ = (label == a) | (label == b)
-            w, bias = machine(z[rows_], np.where(label[rows_] == a, 1.0, -1.0))
-            w = w / spread / math.sqrt(x.shape[1])
-            pairs[a, b] = (w, bias - float(w @ mean))
-    return {"families": groups, "pairs": pairs}
-
-
-def _choose(names: list[str], pairs: dict, score) -> tuple[np.ndarray, np.ndarray]:
-    """Index of the winner among names and its confidence, for each text; score(pair) gives the margins."""
-    votes, sums, least = (np.zeros((len(names), *score(None).shape)) for _ in range(3))
-    least[:] = np.inf
+    # a row for each pair and each language that one of its sides has
+    sides = [("", a, b, lang, y) for a, b in itertools.combinations(sorted(groups), 2) for name, y in ((a, 1), (b, -1)) for lang in groups[name]]
+    sides += [(f, a, b, lang, y) for f, langs in groups.items() for a, b in itertools.combinations(langs, 2) for lang, y in ((a, 1), (b, -1))]
+    if not sides:
+        return {"families": groups, "pairs": {}}
+    sizes = {lang: len(langs) for langs in groups.values() for lang in langs}
+    # a family's languages share its part of the sample
+    rows = [(*side, sample if side[0] else -(-sample // sizes[side[3]])) for side in sides]
+    pairs = spark.createDataFrame(rows, "level string, a string, b string, lang string, y int, most int")
+    vectors = written(spark, _vectors(texts), "vectors")
+
+    def one(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by([("lang", "ascending"), ("r", "ascending")])
+        w, bias = fitted(np.stack([np.frombuffer(v.as_py(), np.float32) for v in table.column("x")]).astype(np.float64), table.column("y").to_numpy().astype(np.float64))
+        return pa.table({"a": [key[1].as_py()], "b": [key[2].as_py()], "w": [w.tobytes()], "bias": [bias]})
+
+    dealt = vectors.join(pairs, "lang").filter("r <= most").select("level", "a", "b", "lang", "r", "y", "x")
+    found = dealt.groupBy("level", "a", "b").applyInArrow(one, "a string, b string, w binary, bias double").collect()
+    return {"families": groups, "pairs": {(r["a"], r["b"]): (np.frombuffer(bytes(r["w"]), np.float32).astype(np.float64), r["bias"]) for r in found}}
+
+
+def _choose(names: list[str], pairs: dict, grams: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the winner among names and its confidence, for each text."""
+    n = len(grams[0][1]) - 1
+    votes, sums = np.zeros((len(names), n)), np.zeros((len(names), n))
+    least = np.full((len(names), n), np.inf)
     for (i, a), (j, b) in itertools.combinations(enumerate(names), 2):
-        m = score((a, b))
+        w, bias = pairs[a, b]
+        m = np.full(n, bias)
+        for feature, at in grams:
+            m += np.diff(np.concatenate([[0.0], np.cumsum(w[feature])])[at]) / np.maximum(np.diff(at), 1)
         votes[i] += m >= 0
         votes[j] += m < 0
         sums[i], sums[j] = sums[i] + m, sums[j] - m
         least[i], least[j] = np.minimum(least[i], m), np.minimum(least[j], -m)
     best = np.lexsort((sums, votes), axis=0)[-1]
-    picked = least[best, np.arange(least.shape[1])]
+    picked = least[best, np.arange(n)]
     return best, 1 / (1 + np.exp(-np.clip(12 * picked, -30, 30)))
 
 
 def predict(model: dict, buf: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray]:
-    n = len(offsets) - 1
-    grams = features(buf, offsets)
-
-    def score(pair, rows=None):
-        if pair is None:
-            return np.zeros(n)
-        w, bias = model["pairs"][pair]
-        total = np.full(n, bias)
-        for feature, at in grams:
-            upto = np.concatenate([[0.0], np.cumsum(w[feature])])[at]
-            total += np.diff(upto) / np.maximum(np.diff(at), 1)
-        return total
-
-    names = sorted(model["families"])
-    lettered = has_letter(buf, offsets)
+    n, names = len(offsets) - 1, sorted(model["families"])
     if not names:
         return ["und"] * n, np.zeros(n)
-    which, sure = _choose(names, model["pairs"], score)
+    grams, lettered = features(buf, offsets), has_letter(buf, offsets)
+    which, sure = _choose(names, model["pairs"], grams)
     lang = np.full(n, "und", object)
     for i, f in enumerate(names):
-        if (which == i).any():
-            inner, inner_sure = _choose(model["families"][f], model["pairs"], score)
-            mine = which == i
-            lang[mine] = np.array(model["families"][f], object)[inner[mine]]
-            sure[mine] *= inner_sure[mine]
-    lang[~lettered] = "und"
+        rows = np.flatnonzero((which == i) & lettered)
+        if len(rows):
+            inner, inner_sure = _choose(model["families"][f], model["pairs"], chosen(grams, rows))
+            lang[rows] = np.array(model["families"][f], object)[inner]
+            sure[rows] *= inner_sure
     return list(lang), np.where(lettered, sure, 0.0)
 
 
 def language_id(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score."""
     ship(docs.sparkSession)
-    model = fit([(r[0], bytes(r[1])) for r in _vectors(sampled(docs, sample)).collect()])
+    model = fit(docs, sample)
 
     def run(batches):
         for b in batches:

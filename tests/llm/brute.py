@@ -36,19 +36,22 @@ def jaccard(rows):
     return sorted((i, len(s), of[i]) for i, s in sets)
 
 
-def bytes_dedup(rows, n=50):
+def bytes_left(rows, n=50):
+    """(id, bytes, positions removed) of each text."""
     enc, first = [(i, (t or "").encode()) for i, t in rows], {}
     for i, b in enc:
         for j in range(len(b) - n + 1):
             first[b[j : j + n]] = min(i, first.get(b[j : j + n], i))
-    out = []
     for i, b in enc:
         gone = set()
         for j in range(len(b) - n + 1):
             if first[b[j : j + n]] < i:
                 gone.update(range(j, j + n))
-        out.append((i, len(b), len(gone), sum(j - 1 not in gone for j in gone), sha(bytes(x for j, x in enumerate(b) if j not in gone))))
-    return sorted(out)
+        yield i, b, gone
+
+
+def bytes_dedup(rows, n=50):
+    return sorted((i, len(b), len(gone), sum(j - 1 not in gone for j in gone), sha(bytes(x for j, x in enumerate(b) if j not in gone))) for i, b, gone in bytes_left(rows, n))
 
 
 def words_dedup(rows, n=35):
@@ -69,6 +72,85 @@ def quality(t):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), len(lines) - len(set(lines)), len(repeated), len(lines)
 
 
+def kept_by_rules(rows, least={"s": 500, "d": 1500, "r": 1200, "l": 100}, min_group=30):  # noqa: B006
+    """Verdict for each row (text, lang, source)."""
+    measured = []
+    for t, lang, source in rows:
+        n, chars, symbols, dup, rep, lines = quality(t)
+        m = {"s": 10000 * symbols // max(n, 1), "d": 10000 * dup // max(lines, 1), "r": 10000 * rep // max(n, 1), "l": 100 * chars // max(n, 1)}
+        measured.append((n < 50 or 100 * rep > 50 * n, m, lang, source))
+    groups = defaultdict(list)
+    for failed, m, lang, source in measured:
+        if not failed:
+            groups[lang, source].append(m)
+            groups[lang,].append(m)
+
+    def limits(ms, k):
+        values = sorted((v := m[k]) >> max(v.bit_length() - 6, 0) << max(v.bit_length() - 6, 0) for m in ms)
+        q1, q2 = values[-(-len(values) // 4) - 1], values[-(-len(values) // 2) - 1]
+        reach = 3 * max(2 * (q2 - q1), least[k])
+        return q2 - reach, q2 + reach
+
+    out = []
+    for failed, m, lang, source in measured:
+        good = not failed
+        for k in least if good else ():
+            own, whole = limits(groups[lang, source], k), limits(groups[lang,], k)
+            lo, hi = whole if len(groups[lang, source]) < min_group else (own[0], min(own[1], 2 * whole[1]))
+            good &= m[k] <= hi and (k != "l" or m[k] >= lo)
+        out.append(good)
+    return out
+
+
+def mixture(rows, block=64, fine=128, shard_words=1 << 19, seed=17):
+    """(doc_id, text) of each taking of each row (doc_id, text, source), one block at a time."""
+    number = lambda t, below: int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % below
+    key = lambda s: "" if s is None else "=" + s
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += len(words(t))
+    target = water(sizes)
+    places = sorted(sizes, key=lambda s: (s is None, s or ""))
+    unit = {s: next((x for x in (block >> i for i in range(block.bit_length())) if target[s] >= fine * x), 1) for s in places}
+
+    def apportion(names, votes, seats, most):
+        given = dict.fromkeys(names, 0)
+        for _ in range(seats):
+            able = [x for x in names if given[x] < most[x] and votes[x] > 0]
+            if not able:
+                break
+            given[max(able, key=lambda x: (votes[x] / (2 * given[x] + 1), -names.index(x)))] += 1
+        return given
+
+    out = []
+    for size in set(unit.values()):
+        names = [s for s in places if unit[s] == size]
+        quota = apportion(names, target, int(sum(target[s] for s in names) / size + 0.5), {s: 2 * -(-sizes[s] // size) for s in names})
+        for s in names:
+            shards = defaultdict(list)
+            for i, t, x in rows:
+                if x == s:
+                    shards[number(f"{seed}:shard:{i}", max(1, -(-sizes[s] // shard_words)))].append((hashlib.md5(f"{seed}:{i}".encode()).hexdigest(), i, len(words(t)), t))
+            held = {k: sum(r[2] for r in v) for k, v in shards.items()}
+            parts = apportion(sorted(held), held, quota[s], {k: 2 * -(-n // size) for k, n in held.items()})
+            for k, docs in shards.items():
+                blocks, at = -(-held[k] // size), 0
+                first = number(f"{seed}:{key(s)}:{k}", max(1, blocks))
+                for _, i, n, t in sorted(docs):
+                    times = [((x // size + 1) * parts[k] + first) // blocks - (x // size * parts[k] + first) // blocks for x in range(at, at + n)]
+                    at += n
+                    spans = [m.span() for m in WORD.finditer(t or "")]
+                    for copy in (1, 2):
+                        on = [x >= copy for x in times]
+                        if n and all(on):
+                            out.append((i, t))
+                        elif any(on):
+                            starts = [j for j in range(n) if on[j] and (j == 0 or not on[j - 1])]
+                            ends = [j for j in range(n) if on[j] and (j == n - 1 or not on[j + 1])]
+                            out.append((i, "\n".join(t[spans[a][0] : spans[b][1]] for a, b in zip(starts, ends, strict=True))))
+    return out
+
+
 def water(sizes, weights=(5, 2, 1), factor=1.5, limit=2):
     """Targets by sharing excess again and again."""
     keys = sorted(sizes, key=lambda s: (s is None, s or ""))
@@ -110,3 +192,46 @@ def vectors(rows, threshold=0.98):
                 pairs.append((rows[a][0], rows[b][0]))
     of = parts([r[0] for r in rows], pairs)
     return sorted((r[0], links[k], of[r[0]], r[0] == of[r[0]]) for k, r in enumerate(rows))
+
+
+def language(model, text, dim=4096):
+    """One text's prediction, feature by feature and pair by pair."""
+    import itertools
+    import math
+
+    if not any(c.isalpha() for c in text or "") or not model["families"]:
+        return "und", 0.0
+    out = b""
+    for c in text:
+        n = ord(c)
+        if n < 128:
+            out += c.lower().encode() if c.isalpha() else b" "
+        elif 0xC0 <= n <= 0xDE and n != 0xD7:
+            out += chr(n + 32).encode()
+        elif n < 0xC0 and c not in "ªµº" or c in "×÷" or 0x2000 <= n <= 0x206F or 0x20A0 <= n <= 0x20CF or 0x2190 <= n <= 0x2BFF or 0x3000 <= n <= 0x3004 or 0x3008 <= n <= 0x3020:
+            out += b" " * len(c.encode())
+        else:
+            out += c.encode()
+
+    def margin(pair):
+        w, total = model["pairs"][pair][0], model["pairs"][pair][1]
+        for k in (2, 3):
+            runs = [out[i : i + k] for i in range(len(out) - k + 1)]
+            if runs:
+                total += sum(w[(int.from_bytes(x) * 2654435761 % 2**32 >> 21) + (k - 2) * dim // 2] for x in runs) / len(runs)
+        return total
+
+    def choose(names):
+        votes, sums, least = dict.fromkeys(names, 0), dict.fromkeys(names, 0.0), dict.fromkeys(names, math.inf)
+        for a, b in itertools.combinations(names, 2):
+            m = margin((a, b))
+            votes[a if m >= 0 else b] += 1
+            for x, s in ((a, m), (b, -m)):
+                sums[x] += s
+                least[x] = min(least[x], s)
+        best = max(names, key=lambda x: (votes[x], sums[x], names.index(x)))
+        return best, 1 / (1 + math.exp(-max(-30, min(30, 12 * least[best]))))
+
+    family, sure = choose(sorted(model["families"]))
+    lang, inner = choose(model["families"][family])
+    return lang, sure * inner

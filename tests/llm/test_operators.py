@@ -3,15 +3,16 @@ from __future__ import annotations
 import base64
 import hashlib
 import importlib
+import itertools
 import random
 import zlib
 
 import numpy as np
 import pytest
-from brute import bytes_dedup, crc, jaccard, quality, sha, tokens, vectors, water, words_dedup
+from brute import bytes_dedup, crc, jaccard, language, quality, sha, tokens, vectors, water, words_dedup
 from pyspark.sql import functions as F
 
-from llm import hashx, op1_nn_descent, op2_mixing, op3_bpe, op4_ngram_jaccard, op5_quality_rules, op6_token_output, op7_language_id, op8_suffix_dedup, op9_substring_dedup, op10_warc, registry
+from llm import hashx, op1_nn_descent, op2_mixing, op3_bpe, op4_ngram_jaccard, op5_quality_rules, op6_token_output, op7_language_id, op8_suffix_dedup, op9_substring_dedup, op10_warc, registry, shards
 from llm import textops as T
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -216,13 +217,33 @@ def test_token_file_access():
             op6_token_output.TokenFile(data[:-1] + bytes([data[-1] ^ 1])).verify()
 
 
-def test_both_tokenizers_agree():
-    t, (fast, special) = op3_bpe._tokenizer(op6_token_output.default_path()), op6_token_output._ranked(op6_token_output.default_path())
-    r = random.Random(2)
-    letters = "abcTHE  \n\t'sdlv019.,!?*#<>|éÉßñ×÷ÿ-_" + "".join(map(chr, range(0x20, 0x7F)))
-    for _ in range(2000):
-        x = "".join(r.choice(letters) for _ in range(r.randrange(60))) + r.choice(["", "<|endoftext|>", " <|endoftext|> x"])
-        assert tokens(t, x) == list(fast.encode(x, allowed_special=special)), x
+def test_long_runs(spark):
+    """A million blanks, line breaks or equal signs, and a long text that is encoded in pieces."""
+    t, r = op3_bpe._tokenizer(op6_token_output.default_path()), random.Random(3)
+    long = "".join(r.choice(["word ", "it's ", "1 ", " ", "\n", "é x ", "a b ", "<|endoftext|>", "x"]) for _ in range(200_000))
+    data = [(1, " " * 1_000_001 + "a"), (2, "\n" * 1_000_001), (3, "=" * 1_000_001), (4, long), (5, None), (6, ""), (7, "x " + long), (None, "b")]
+    want, at = [], 0
+    for i, x in sorted(data, key=KEY):
+        ids = tokens(t, x, 2)
+        want.append((i, at, len(ids), crc(ids)))
+        at += len(ids)
+    buf, offsets = np.frombuffer("".join(x or "" for _, x in data).encode(), np.uint8), np.concatenate([[0], np.cumsum([len((x or "").encode()) for _, x in data])])
+    assert len(op6_token_output.pieces(buf, offsets, op6_token_output.default_path())[0]) > len(offsets) + 10
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    same(op6_token_output.read_tokens(spark, *op6_token_output.write_tokens(df)), ["doc_id", "start", "n_tokens", "ids_crc32"], want)
+
+
+@pytest.mark.parametrize("spread", [1, 1 << 40, 1 << 61])
+def test_borders(spark, spread):
+    r = random.Random(7)
+    keys = [r.randrange(-3, 3) * spread + r.randrange(5) for _ in range(900)] + [None] * 5 + [17] * 100
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    first = shards.borders(df, "k", 50)
+    assert list(first) == sorted(set(first)) == list(shards.borders(df.repartition(5), "k", 50))
+    known = sorted(k for k in keys if k is not None)
+    parts = np.bincount(np.searchsorted(first, known, side="right"), minlength=len(first) + 1)
+    most = max(known.count(k) for k in set(known))
+    assert parts.sum() == 1000 and parts.max() <= max(50, most) and len(first) <= 64
 
 
 def test_quality_counts(docs, rows):
@@ -309,13 +330,47 @@ def test_language(spark):
     assert (none["lang_pred"], none["score"]) == ("und", 0)
 
 
-def test_vectors(spark):
+def test_language_prediction():
+    """Features, votes and scores against one text and one pair at a time."""
+    r = np.random.default_rng(11)
+    groups = {"a": ["a1", "a2", "a3"], "b": ["b1"], "c": ["c1", "c2"]}
+    pairs = [p for names in [list(groups), *groups.values()] for p in itertools.combinations(names, 2)]
+    model = {"families": groups, "pairs": {p: (r.normal(size=4096), r.normal() * 0.1) for p in pairs}}
+    pool = ["a", "B", "É", "ß", "×", "÷", "ÿ", "“x”", " — ", "…", "€", "ª", "¿que", "語", "、", "1", "\n", "zq", "ΣΑΣ", "→", "ж", "\u00ad", "𝔘"]
+    texts = ["".join(r.choice(pool, r.integers(0, 30))) for _ in range(300)] + ["", "1 2", "×", "a", "é"]
+    raw = [t.encode() for t in texts]
+    langs, score = op7_language_id.predict(model, np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])]))
+    want = [language(model, t) for t in texts]
+    assert langs == [w[0] for w in want] and score == pytest.approx([w[1] for w in want]) and len(set(langs)) == 7
+
+
+def test_language_sample(spark):
+    """At most `sample` texts a language, the same for any partitioning; copies count once; all of a small language are taken."""
+    data = [(i, f"text {i}", "en") for i in range(300)] + [(5, "text 5", "en")] * 200 + [(1000 + i, f"texte {i}", "fr") for i in range(9)] + [(None, "x", "fr"), (2000, None, "fr"), (2001, "y", None)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    found = [got(op7_language_id.sampled(d, 20), "lang", "text") for d in (df.repartition(3), df.repartition(5))]
+    assert found[0] == found[1] and [x for x, _ in found[0]].count("en") == 20 and len(set(found[0])) == len(found[0])
+    learned = {i for i, _, k in data if k == "fr" and i and zlib.crc32(str(i).encode()) % 4 != 2 and i != 2000}
+    assert [x for x, _ in found[0]].count("fr") == len(learned)
+
+
+@pytest.mark.parametrize("local", [op1_nn_descent.LOCAL, 0])
+def test_vectors_without_ids(spark, local):
+    v = [[1.0, 0.0, 0.0], [2.0, 0.0, 0.0], [0.0, 1.0, 0.0], [1.0, 0.01, 0.0], [0.0, 0.0, 1.0]]
+    data = [(7, v[0], 1), (None, v[1], 1), (7, v[2], 1), (None, v[4], 1), (9, v[3], 1), (None, v[4], 1), (None, None, 1), (3, v[0], 2), (4, v[1], 2), (2**60 + 1, v[0], None)]
+    out = op1_nn_descent.near_dedup(spark.createDataFrame(data, "vec_id long, embedding array<double>, label int").coalesce(1), local=local)
+    want = [(7, 2, 7, True), (None, 2, 7, False), (7, 0, 7, True), (None, 1, None, False), (9, 2, 7, False), (None, 1, None, False), (None, 0, None, False), (3, 1, 3, True), (4, 1, 3, False), (2**60 + 1, 0, 2**60 + 1, True)]
+    assert sorted(map(KEY, got_any(out, "vec_id", "n_links", "component_id", "kept"))) == sorted(map(KEY, want))
+
+
+@pytest.mark.parametrize("local", [op1_nn_descent.LOCAL, 0])
+def test_vectors(spark, local):
     r = np.random.default_rng(8)
     centres = r.normal(size=(12, 16))
     data = [(i, [float(x) for x in centres[k] + r.normal(size=16) * s], int(k % 3)) for i in range(240) for k, s in [(r.integers(12), r.choice([0.05, 0.1, 0.2, 1.0]))]]
     data += [(500 + i, data[0][1], data[0][2]) for i in range(90)] + [(700, None, 0), (701, [0.0] * 16, 0), (702, [float("nan")] * 16, 0), (703, [None] + [1.0] * 15, 0), (704, data[0][1], None), (705, [], 1), (706, [1e300] * 16, 1), (707, [1.0] * 16, 1), (708, [1.0] * 8, 1)]
     df = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int").withColumn("unit", F.lit(1)).repartition(3)
-    assert got(op1_nn_descent.near_dedup(df), "vec_id", "n_links", "component_id", "kept") == vectors(data)
+    assert got(op1_nn_descent.near_dedup(df, local=local), "vec_id", "n_links", "component_id", "kept") == vectors(data)
 
 
 def leaning(spark, n=3000, isolated=120, group=600):
@@ -331,7 +386,7 @@ def leaning(spark, n=3000, isolated=120, group=600):
     return x, hit, spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int").repartition(3)
 
 
-@pytest.mark.parametrize("options", [{}, {"growths": 0}])
+@pytest.mark.parametrize("options", [{}, {"growths": 0}, {"local": 0}, {"local": 0, "growths": 0}])
 def test_vectors_with_a_common_direction(spark, options):
     x, hit, df = leaning(spark)
     out = {r["vec_id"]: r for r in op1_nn_descent.near_dedup(df, **options).collect()}
@@ -344,7 +399,7 @@ def test_crowded_leaves_and_audit(spark, monkeypatch):
     x, hit, df = leaning(spark, 1500, 60, 500)
     monkeypatch.setattr(op1_nn_descent, "CROWD", 100)
     monkeypatch.setattr(op1_nn_descent, "LEAF", 20)
-    out = {r["vec_id"]: r["n_links"] for r in op1_nn_descent.near_dedup(df).collect()}
+    out = {r["vec_id"]: r["n_links"] for r in op1_nn_descent.near_dedup(df, local=0).collect()}
     assert [out[i] for i in range(len(x))] == hit.sum(1).tolist()
     nodes = spark.createDataFrame([(i, 0, 64, bytes(v.tobytes())) for i, v in enumerate(x)], "id long, label int, dim int, unit binary")
     parts = spark.createDataFrame([(i, 1000) for i in range(1000, 1500)], "id long, component_id long")
@@ -353,6 +408,23 @@ def test_crowded_leaves_and_audit(spark, monkeypatch):
     assert small[0] >= 40 and small[1] == 0 and large[0] == large[1] > 0
 
 
+def test_audit_within_a_label():
+    """Isolated pairs that are all missing fail the audit, whatever a large group holds; lists alone find nearly all links."""
+    r = np.random.default_rng(2)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    x = unit(r.normal(size=(1500, 32)))
+    x[1:600:2] = unit(x[0:600:2] + 0.02 * r.normal(size=(300, 32)))
+    x[900:] = unit(x[900] + 0.01 * r.normal(size=(600, 32)))
+    parts = np.arange(1500)
+    parts[900:] = 900
+    assert not op1_nn_descent._in_components(x, parts)
+    parts[1:600:2] = parts[0:600:2]
+    assert op1_nn_descent._in_components(x, parts)
+    part, linked = op1_nn_descent.solved(np.arange(1500), x, np.ones(1500, np.int64), op1_nn_descent.TREES, op1_nn_descent.ROUNDS, op1_nn_descent.GROWTHS)
+    hit = (x @ x.T >= 0.98) & ~np.eye(1500, dtype=bool)
+    assert linked.tolist() == hit.sum(1).tolist() and len(set(part[900:])) == 1
+
+
 def test_counted_in_blocks(spark):
     r = np.random.default_rng(9)
     x = r.normal(size=8) + r.normal(size=(70, 8)) * 0.07
@@ -384,6 +456,9 @@ def test_warc(spark):
     again, listed = op10_warc.write_warc(pages.repartition(2), **options)
     content = lambda f: sorted((r["path"].rsplit("/", 1)[-1], hashlib.sha1(r["content"]).hexdigest()) for r in spark.read.format("binaryFile").load(f).collect())
     assert content(folder) == content(again) and listed.count() > 3
+    mixed_sizes = [b"", b"x" * 3_000_000, b"y", np.random.default_rng(0).bytes(200_000), b"z" * 5000]
+    data = b"".join(op10_warc.record(k, "u", p, None, op10_warc.DATE) for k, p in enumerate(mixed_sizes))
+    assert [p for _, _, p in op10_warc.records(data)] == mixed_sizes
     with pytest.raises(ValueError):
         list(op10_warc.records(op10_warc.record(1, "u", b"abc", None, op10_warc.DATE)[:-9]))
 
