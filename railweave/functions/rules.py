@@ -59,6 +59,15 @@ def compiled(rules: Rules, text: Column, otherwise: Column | str | None) -> Colu
     return out.otherwise(F.lit(otherwise) if not isinstance(otherwise, Column) else otherwise)
 
 
+def labels_of(rules: Rules) -> list[str]:
+    return [label for label, _ in rules]
+
+
+def index_of(rules: Rules, text: Column) -> Column:
+    """The number of the first rule that holds, else null: a number costs an ordered aggregation less than a label."""
+    return compiled([(i, parts) for i, (_, parts) in enumerate(rules)], text, F.lit(None).cast("int"))
+
+
 def type_of_stop_id(stop_id: Column) -> Column:
     """CLS-01: '' where no rule holds."""
     return compiled(STOP_ID_RULES, stop_id, "")

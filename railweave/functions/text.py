@@ -35,7 +35,8 @@ def normalized_name(c: Column) -> Column:
 
 
 def _first(c: Column, pattern: str) -> Column:
-    return F.nullif(F.regexp_extract(c, pattern, 1), F.lit(""))
+    """The pattern's first group, with Unicode's digits and word borders, else null."""
+    return F.nullif(F.regexp_extract(c, f"(?U){pattern}", 1), F.lit(""))
 
 
 def uic_code(c: Column) -> Column:
@@ -54,13 +55,13 @@ def first_train_number(trip_id: Column) -> Column:
 
 
 def _no_leading_zeros(c: Column) -> Column:
-    return F.regexp_replace(c, r"^0+(?=\d)", "")
+    return F.regexp_replace(c, r"(?U)^0+(?=\d)", "")
 
 
 def short_or_train_number(short_name: Column, trip_id: Column) -> Column:
     """STR-05: the short name (a number without leading zeros), else the first four or five digits of the id, else ''."""
     name = F.regexp_replace(short_name, r"^\s+|\s+$", "")
-    number = F.when(name.rlike(r"^\d+$"), _no_leading_zeros(name)).otherwise(name)
+    number = F.when(name.rlike(r"(?U)^\d+$"), _no_leading_zeros(name)).otherwise(name)
     return F.coalesce(F.nullif(number, F.lit("")), _no_leading_zeros(_first(trip_id, r"(\d{4,5})")), F.lit(""))
 
 

@@ -24,14 +24,38 @@ def mapped_stop(times: DataFrame, stop_map: DataFrame) -> DataFrame:
 
 
 def first_by(df: DataFrame, key: str, value: Column | str, order: Sequence[Column | str], skip_null: bool = True) -> DataFrame:
-    """AGG-01 to AGG-03: a key's first value in the given order; partial results are combined map-side."""
+    """AGG-01 to AGG-03: a key's first value in the given order; partial results are combined map-side.
+
+    An integer value with one long to order by fits a hash aggregate's fixed-width buffers; other values or orders are sorted.
+    """
     value = F.col(value) if isinstance(value, str) else value
     rows = df.withColumn("_value", value)
     if skip_null:
         rows = rows.filter(F.col("_value").isNotNull())
+    kinds = dict(rows.select(F.col(key), "_value", *(F.col(o).alias(f"_o{i}") if isinstance(o, str) else o.alias(f"_o{i}") for i, o in enumerate(order))).dtypes)
+    if skip_null and len(order) == 1 and kinds["_value"] in ("int", "bigint") and kinds["_o0"] in ("int", "bigint"):
+        return rows.groupBy(key).agg(F.min_by("_value", order[0]).alias("value"))
     return rows.groupBy(key).agg(F.min_by(F.struct("_value"), F.struct(*order))["_value"].alias("value"))
 
 
+def first_label(df: DataFrame, key: str, rule: Column, labels: Sequence[str], order: str) -> DataFrame:
+    """first_by for the number of a rule (functions.rules.index_of); value is the rule's label."""
+    first = first_by(df, key, rule, [order])
+    return first.withColumn("value", F.element_at(F.array(*map(F.lit, labels)), F.col("value").cast("int") + 1))
+
+
+def times_of_stop(times: DataFrame, stop_map: DataFrame, stop_id: str) -> DataFrame:
+    """JON-01 for one canonical stop: the stop times that map to it, with it as their stop_id.
+
+    The stop is turned into its raw ids first, so the rest of the stop times is left behind at the scan.
+    """
+    m = stop_map.select("operator_id", F.col("raw_stop_id").alias("_raw"), "canonical_id")
+    raw = m.filter(F.col("canonical_id") == stop_id).select("operator_id", "_raw")
+    own = times.filter(F.coalesce("stop_id", F.lit("nan")) == stop_id).join(m, (times["operator_id"] == m["operator_id"]) & (m["_raw"] == stop_id), "left_anti")
+    hit = times.withColumn("_raw", F.coalesce("stop_id", F.lit("nan"))).join(raw, ["operator_id", "_raw"], "left_semi").drop("_raw")
+    return hit.select(*times.columns).unionByName(own.select(*times.columns)).withColumn("stop_id", F.lit(stop_id))
+
+
 def last_by(df: DataFrame, keys: Sequence[str], value: Column, order: Sequence[Column | str]) -> DataFrame:
     """AGG-08: a key's last value in the given order (a mapping that is written again and again)."""
     return df.groupBy(*keys).agg(F.max_by(F.struct(value.alias("value")), F.struct(*order))["value"].alias("value"))
@@ -62,12 +86,18 @@ def station_keys(stations: DataFrame) -> DataFrame:
     parents = last_by(stations.filter("id IS NOT NULL"), ["id"], F.col("parent_station_id"), ["_row"]).select(F.col("id").alias("_id"), F.col("value").alias("_parent"))
     joined = full.join(parents, full["id"] == F.col("_id"), "left").join(names, F.col("_parent") == F.col("_pid"), "left")
     chain = F.when(F.col("_pname").isNotNull(), F.col("_pname.name")).otherwise(F.coalesce("parent_station_name", "city"))
-    parent = F.when(F.regexp_replace(F.coalesce(chain, F.lit("")), r"^\s+|\s+$", "") != "", chain).otherwise(F.col("name"))
+    nameless = F.col("_pname").isNotNull() & F.col("_pname.name").isNull()  # a parent without a name leaves the value missing
+    parent = F.when(nameless | (F.regexp_replace(F.coalesce(chain, F.lit("")), r"^\s+|\s+$", "") != ""), chain).otherwise(F.col("name"))
     info = F.struct("name", parent.alias("parent_name"), country_code(F.col("country")).alias("country"), F.col("latitude").cast("double").alias("lat"), F.col("longitude").cast("double").alias("lon"))
     keyed = joined.select("_row", info.alias("info"), F.posexplode(code_variants(F.col("uic"), F.col("uic8_sncf"))).alias("_pos", "code"))
     return last_by(keyed, ["code"], F.col("info"), ["_row", "_pos"]).select("code", "value.*")
 
 
+def key_count(keys: DataFrame) -> DataFrame:
+    """AGG-09: how many codes the reference has."""
+    return keys.agg(F.count_distinct("code").alias("n_keys"))
+
+
 def with_station(stops: DataFrame, keys: DataFrame) -> DataFrame:
     """JON-05: names and country of the station with a stop's code, where there is one; coordinates stay the stop's own."""
     k = keys.select(F.col("code").alias("_code"), F.struct("name", "parent_name", "country").alias("_station"))

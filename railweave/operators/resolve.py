@@ -6,11 +6,15 @@ independent set of the graph "same code, or near and named alike", which is foun
 neighbour founds, and founds if no earlier neighbour is open (Blelloch, Fineman and Shun, 2012).
 
 Near pairs come from an equi-join on cells of 100 m on the sphere; equal codes are compared with their code's earliest stop, never
-pair by pair; stops without a code at the same place and of the same name are one node. Rounds are tables in the shared folder.
+pair by pair; stops without a code at the same place and of the same name are one node. Rounds are tables in the shared folder;
+once no more than LAST stops are open, with no more than 16 * LAST pairs, one task decides them in their order.
 """
 
 from __future__ import annotations
 
+import functools
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from railweave.functions.geo import around, cell, haversine_m, names_match
@@ -21,6 +25,8 @@ from railweave.sources.session import written
 RADIUS_M = 100.0
 #: Width of the ordinal ranges within which rows are numbered.
 RANGE = 1 << 16
+#: Open stops that one task decides.
+LAST = 1 << 16
 
 
 def raw_stops(stops: DataFrame, operator: str, op_idx: int) -> DataFrame:
@@ -54,25 +60,48 @@ def near_pairs(nodes: DataFrame, radius: float = RADIUS_M) -> DataFrame:
     return left.join(right, ["x", "y", "z"]).filter((F.col("a") < F.col("b")) & names_match(F.col("name_a"), F.col("name_b"))).withColumn("metres", d).filter(F.col("metres") <= radius).select("a", "b", "metres")
 
 
-def founders(nodes: DataFrame, pairs: DataFrame, max_rounds: int = 10_000) -> DataFrame:
+def founders(nodes: DataFrame, pairs: DataFrame, last: int = LAST, max_rounds: int = 10_000) -> DataFrame:
     """(ord, uic) of the stops that found a canonical stop."""
-    open_ = written(nodes.select("ord", "uic"), "open")
-    found = None
+    open_, found = nodes.select("ord", "uic"), []
     for _ in range(max_rounds):
+        if open_.count() <= last:
+            between = pairs if not found else pairs.join(open_.select(F.col("ord").alias("a")), "a", "left_semi")
+            if between.count() <= 16 * last:
+                return written(functools.reduce(DataFrame.unionAll, [*found, in_order(open_, between)]), "founders")
         by_code = open_.filter("uic <> ''").groupBy("uic").agg(F.min("ord").alias("first"))
         blocked = pairs.join(open_.select(F.col("ord").alias("a")), "a", "left_semi").select(F.col("b").alias("ord"))
         blocked = blocked.unionAll(open_.join(by_code, "uic").filter("ord > first").select("ord"))
         fresh = written(open_.join(blocked, "ord", "left_anti"), "fresh")
         codes = fresh.filter("uic <> ''").select("uic")
         out = pairs.join(fresh.select(F.col("ord").alias("a")), "a", "left_semi").select(F.col("b").alias("ord")).unionAll(open_.join(codes, "uic", "left_semi").select("ord")).unionAll(fresh.select("ord"))
-        found = fresh if found is None else found.unionAll(fresh)
+        found.append(fresh)
         open_ = written(open_.join(out, "ord", "left_anti"), "open")
-        if not open_.take(1):
-            return written(found, "founders")
     raise RuntimeError(f"resolution did not settle in {max_rounds} rounds")
 
 
-def resolve(raw: DataFrame, radius: float = RADIUS_M) -> DataFrame:
+def in_order(open_: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The founders among open stops, one by one in their order, in one task."""
+
+    def decide(table: pa.Table) -> pa.Table:
+        near, codes, found, kept = {}, set(), set(), []
+        stops = []
+        for a, b, uic in zip(*(table.column(c).to_pylist() for c in ("a", "b", "uic")), strict=True):
+            if b is None:
+                stops.append((a, uic))
+            else:
+                near.setdefault(b, []).append(a)
+        for ord_, uic in sorted(stops):
+            if not (uic and uic in codes) and not any(a in found for a in near.get(ord_, ())):
+                kept.append((ord_, uic))
+                found.add(ord_)
+                codes.add(uic)
+        return pa.table({"ord": pa.array([k[0] for k in kept], pa.int64()), "uic": pa.array([k[1] for k in kept], pa.string())})
+
+    rows = open_.select(F.lit(0).alias("all"), F.col("ord").alias("a"), F.lit(None).cast("long").alias("b"), "uic").unionAll(pairs.select(F.lit(0), "a", "b", F.lit("")))
+    return rows.groupBy("all").applyInArrow(decide, "ord long, uic string")
+
+
+def resolve(raw: DataFrame, radius: float = RADIUS_M, last: int = LAST) -> DataFrame:
     """raw with founder (the founder's ord), canonical_id and how ('founder', 'uic' or 'geo')."""
     raw = written(raw, "raw")
     placed = F.col("stop_lat").isNotNull() & F.col("stop_lon").isNotNull() & ~F.isnan("stop_lat") & ~F.isnan("stop_lon")
@@ -82,7 +111,7 @@ def resolve(raw: DataFrame, radius: float = RADIUS_M) -> DataFrame:
     later = written(alike.join(firsts, same).filter("ord > first").select("ord", "first"), "later")
     nodes = written(raw.join(later, "ord", "left_anti").select("ord", "uic", *same), "nodes")
     pairs = written(near_pairs(nodes, radius), "near")
-    found = founders(nodes, pairs)
+    found = founders(nodes, pairs, last)
     by_code = found.filter("uic <> ''").select("uic", F.col("ord").alias("code_founder"))
     by_place = pairs.join(found.select(F.col("ord").alias("a")), "a", "left_semi").groupBy("b").agg(F.min("a").alias("place_founder")).withColumnRenamed("b", "ord")
     own = found.select("ord", F.lit(True).alias("is_founder"))

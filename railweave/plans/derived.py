@@ -60,6 +60,10 @@ STOP_MAP = "SELECT 'S' || s_suppkey AS raw_stop_id, 'CANONICAL_UIC_' || lpad(CAS
 _TYPED_ID = "CASE {k} % 9 WHEN 0 THEN 'StopPoint:OCETGV INOUI-' WHEN 1 THEN 'StopPoint:OCEOUIGO-' WHEN 2 THEN 'StopPoint:OCETrain TER-' WHEN 3 THEN 'StopPoint:OCEINTERCITES-' WHEN 4 THEN 'StopPoint:OCEICE-' WHEN 5 THEN 'StopPoint:OCEThalys-' WHEN 6 THEN 'StopPoint:OCECar TER-' WHEN 7 THEN 'StopPoint:OCELyria-' ELSE 'StopArea:' END || {k}"
 
 
+#: A line item's place in its order: number, part, supplier and quantity in one long (up to 2**28 parts and 2**24 suppliers).
+LINE_ROW = "((CAST(l_linenumber AS BIGINT) * 268435456 + l_partkey) * 16777216 + l_suppkey) * 128 + CAST(l_quantity AS BIGINT)"
+
+
 def typed_stop_id(key: str) -> str:
     """An SQL expression, alike in both engines: stop ids that name train types."""
     return _TYPED_ID.format(k=key)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import zipfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,6 +13,7 @@ from railweave.functions.text import first_digits, first_train_number, prefixed,
 from railweave.functions.times import iso_date, lenient_double, minutes_of_day, strict_int
 from railweave.operators import lookups, resolve
 from railweave.sources import feeds
+from railweave.sources.session import written
 
 log = logging.getLogger("railweave")
 
@@ -28,7 +28,8 @@ def landed(catalog: DataFrame, paths: dict[str, str]) -> list[Feed]:
 
 
 def _times(spark: SparkSession, path: str) -> DataFrame:
-    rows = feeds.read_member(spark, path, "stop_times.txt", schemas.MEMBERS["stop_times.txt"])
+    """Stop times with their minutes, landed as Parquet: a member in an archive is read by one task, so it is read once."""
+    rows = written(feeds.read_member(spark, path, "stop_times.txt", schemas.MEMBERS["stop_times.txt"]), "stop_times")
     return rows.withColumns({"dep_min": minutes_of_day(F.col("departure_time")), "stop_sequence": strict_int(F.col("stop_sequence"))})
 
 
@@ -43,7 +44,9 @@ def harmonized(spark: SparkSession, sources: Sequence[Feed], stations: str | Non
     stops = resolve.canonical_stops(resolved)
     table = feeds.read_stations(spark, stations)
     if table is not None:
-        stops = lookups.with_station(stops, lookups.station_keys(table))
+        keys = written(lookups.station_keys(table), "stations")
+        log.info("%s station codes", lookups.key_count(keys).first()["n_keys"])
+        stops = lookups.with_station(stops, keys)
     parts: dict[str, list[DataFrame]] = {name: [] for name in ("routes", "trips", "stop_times", "calendar_dates")}
     mapping = resolve.stop_map(resolved)
     for op, path, _ in sources:
@@ -84,10 +87,13 @@ def _harmonized_feed(spark: SparkSession, op: str, path: str, mapping: DataFrame
 
 
 def route_types(stops: DataFrame, times: DataFrame, trips: DataFrame) -> DataFrame:
-    """AGG-01, AGG-02, JON-02 to JON-04: (route_id, value): stop ids give types to trips, and trips, active or not, to routes."""
-    typed = stops.select("stop_id", F.nullif(rules.type_of_stop_id(F.col("stop_id")), F.lit("")).alias("raw_type")).filter("raw_type IS NOT NULL").dropDuplicates(["stop_id"])
-    of_trips = lookups.first_by(times.join(typed, "stop_id"), "trip_id", "raw_type", ["_row"]).withColumnRenamed("value", "raw_type")
-    return lookups.first_by(trips.join(of_trips, "trip_id"), "route_id", "raw_type", ["_row"])
+    """AGG-01, AGG-02, JON-02 to JON-04: (route_id, value): stop ids give types to trips, and trips, active or not, to routes.
+
+    Each stop id is classified once; until routes have their type, it is the number of a rule.
+    """
+    typed = stops.select("stop_id", rules.index_of(rules.STOP_ID_RULES, F.col("stop_id")).alias("rule")).filter("rule IS NOT NULL").dropDuplicates(["stop_id"])
+    of_trips = lookups.first_by(times.join(typed, "stop_id"), "trip_id", "rule", ["_row"])
+    return lookups.first_label(trips.join(of_trips, "trip_id"), "route_id", F.col("value"), rules.labels_of(rules.STOP_ID_RULES), "_row")
 
 
 def generic_feed(spark: SparkSession, op: str, path: str, types: Sequence[str]) -> dict[str, DataFrame]:
@@ -117,13 +123,13 @@ def generic_feed(spark: SparkSession, op: str, path: str, types: Sequence[str])
 
 
 def generic(spark: SparkSession, sources: Sequence[Feed]) -> dict[str, DataFrame]:
-    """E2: the union of all feeds; one without a readable archive is logged and left out (ERR-01). What a job finds later, such
-    as a word for a number, fails the run before anything is replaced."""
+    """E2: the union of all feeds. Each feed's tables are made at once; one with any fault, be it no archive, a missing column
+    or a word for a number, is logged and left out whole (ERR-01)."""
     done = []
     for op, path, types in sources:
         try:
-            done.append(generic_feed(spark, op, path, types))
-        except (OSError, zipfile.BadZipFile) as e:
+            done.append({name: written(df, f"{op}-{name}") for name, df in generic_feed(spark, op, path, types).items()})
+        except Exception as e:  # noqa: BLE001 the other feeds go on, whatever is wrong with this one
             log.error("feed %s left out: %s", op, e)
     if not done:
         raise ValueError("no feed could be read")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from railweave.functions import geo, rules, text, times
 from railweave.operators import lookups, resolve
-from railweave.plans import derived as d, timetable
+from railweave.plans import derived as d, feed_queries, timetable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,8 +45,8 @@ def departures_board(spark: SparkSession, sf: str) -> DataFrame:
     """The next departures of a stop on services of the window (a top-k report)."""
     services = lookups.active_services(lookups.calendar_window(d.calendar(spark, sf), d.START), d.START)
     running = lookups.of_active(d.trips(spark, sf), services)
-    mapped = lookups.mapped_stop(_typed_times(spark, sf), d.stop_map(spark, sf))
-    active = mapped.join(running.select("trip_id"), "trip_id", "left_semi")
+    here = lookups.times_of_stop(_typed_times(spark, sf), d.stop_map(spark, sf), BOARD_STOP)
+    active = here.join(running.select("trip_id"), "trip_id", "left_semi")
     return timetable.departures(active, BOARD_STOP, BOARD_AFTER, BOARD_ROWS, ["trip_id", "stop_sequence"]).select("trip_id", "stop_id", "stop_sequence", "dep_min")
 
 
@@ -106,50 +107,87 @@ def train_numbers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _case(rule_set: rules.Rules, upper: str, otherwise: str) -> str:
-    return "CASE " + " ".join(f"WHEN {' OR '.join(f'contains({upper}, {chr(39)}{p}{chr(39)})' for p in parts)} THEN '{label}'" for label, parts in rule_set) + f" ELSE {otherwise} END"
+def _upper_holds(text: str, *parts: str) -> str:
+    return "(" + " OR ".join(f"contains(upper({text}), '{p}')" for p in parts) + ")"
+
+
+#: The type rules once more, written out for the SQL side.
+def _by_stop_id(x: str) -> str:
+    h = functools.partial(_upper_holds, x)
+    return f"""CASE WHEN {h('TGV')} OR {h('INOUI')} THEN 'TGV InOui' WHEN {h('OUIGO')} THEN 'OUIGO' WHEN {h('TER')} THEN 'TER' WHEN {h('INTERCITES', 'INTERCITÉS')} THEN 'Intercités'
+  WHEN {h('ICE')} THEN 'ICE' WHEN {h('TRANSILIEN', 'RER')} THEN 'Transilien' WHEN {h('EUROSTAR', 'THALYS')} THEN 'Eurostar' END"""
+
+
+def _by_stop_name(x: str, otherwise: str) -> str:
+    h = functools.partial(_upper_holds, x)
+    return f"""CASE WHEN {h('CAR TER')} THEN 'Car TER' WHEN {h('CAR À RÉSERVATION', 'CAR A RESERVATION')} THEN 'Car à réservation' WHEN {h('EUROSTAR')} THEN 'Eurostar' WHEN {h('ICE')} THEN 'ICE'
+  WHEN {h('INTERCITÉS', 'INTERCITES')} THEN 'INTERCITES' WHEN {h('LYRIA')} THEN 'Lyria' WHEN {h('OUIGO')} THEN 'OUIGO' WHEN {h('INOUI', 'TGV')} THEN 'TGV INOUI'
+  WHEN {h('TRAMTRAIN', 'TRAM TRAIN')} THEN 'TramTrain' WHEN {h('TER')} THEN 'Train TER' ELSE {otherwise} END"""
+
+
+def _by_agency(x: str, otherwise: str) -> str:
+    return f"CASE WHEN contains(upper({x}), 'EUROSTAR_CONTINENTAL') THEN 'Thalys' WHEN contains(upper({x}), 'EUROSTAR_CHANNEL') THEN 'Eurostar' ELSE {otherwise} END"
+
+
+def _by_route_names(x: str, otherwise: str) -> str:
+    h = functools.partial(_upper_holds, x)
+    return f"""CASE WHEN {h('AVE')} THEN 'AVE' WHEN {h('AVLO')} THEN 'Avlo' WHEN {h('ALVIA')} THEN 'Alvia' WHEN {h('EUROMED')} THEN 'Euromed' WHEN {h('INTERCITY')} THEN 'Intercity'
+  WHEN {h('MD', 'MEDIA')} THEN 'Media Distancia' WHEN {h('CERCANIAS', 'RODALIES')} THEN 'Cercanías' WHEN {h('REGIONAL')} THEN 'Regional' WHEN {h('TRENCELTA')} THEN 'Tren Celta' ELSE {otherwise} END"""
 
 
 _TYPED = f"SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, {d.typed_stop_id('l_suppkey')} AS stop_id, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem"
 _FIRST = "(l_linenumber, l_partkey, l_suppkey, l_quantity)"
-_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
 
 
 def _typed(spark: SparkSession, sf: str) -> DataFrame:
-    return d.load(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("trip_id"), F.expr(d.typed_stop_id("l_suppkey")).alias("stop_id"), *_ORDER)
+    """Calls with their place in the trip."""
+    return d.load(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("trip_id"), "l_suppkey", F.expr(d.LINE_ROW).alias("_row"))
 
 
-_TRIP_TYPES = f"SELECT trip_id, arg_min(ty, {_FIRST}) AS train_type FROM (SELECT *, nullif({_case(rules.STOP_ID_RULES, 'upper(stop_id)', chr(39) * 2)}, '') AS ty FROM ({_TYPED})) WHERE ty IS NOT NULL GROUP BY trip_id"
+def _first_types(spark: SparkSession, sf: str, rule_set: rules.Rules, otherwise: int | None) -> DataFrame:
+    """trip_id and the type (value) of its first call that has one: each stop is classified once, calls carry the rule's number."""
+    calls = _typed(spark, sf)
+    number = rules.index_of(rule_set, F.expr(d.typed_stop_id("l_suppkey")))
+    stops = calls.select("l_suppkey").distinct().select("l_suppkey", (number if otherwise is None else F.coalesce(number, F.lit(otherwise))).alias("rule"))
+    return lookups.first_label(calls.join(stops.filter("rule IS NOT NULL"), "l_suppkey"), "trip_id", F.col("rule"), [*rules.labels_of(rule_set), "Car TER"], "_row")
+
+
+_TRIP_TYPES = f"SELECT trip_id, arg_min(ty, {_FIRST}) AS train_type FROM (SELECT *, {_by_stop_id('stop_id')} AS ty FROM ({_TYPED})) WHERE ty IS NOT NULL GROUP BY trip_id"
 
 
 @query(_TRIP_TYPES)
 def train_types_by_stop(spark: SparkSession, sf: str) -> DataFrame:
-    kind = F.nullif(rules.type_of_stop_id(F.col("stop_id")), F.lit(""))
-    return lookups.first_by(_typed(spark, sf), "trip_id", kind, _ORDER).withColumnRenamed("value", "train_type")
+    return _first_types(spark, sf, rules.STOP_ID_RULES, None).withColumnRenamed("value", "train_type")
 
 
 @query(f"""WITH tt AS ({_TRIP_TYPES}), r AS (SELECT route_id, arg_min(train_type, row_no) AS train_type FROM ({d.TRIPS}) JOIN tt USING (trip_id) GROUP BY route_id)
 SELECT CAST(c_custkey AS VARCHAR) AS route_id, coalesce(train_type, 'Train SNCF') AS train_type FROM customer LEFT JOIN r ON r.route_id = CAST(c_custkey AS VARCHAR)""")
 def train_types_by_route(spark: SparkSession, sf: str) -> DataFrame:
-    of_trips = train_types_by_stop(spark, sf)
-    of_routes = lookups.first_by(d.trips(spark, sf).join(of_trips, "trip_id"), "route_id", "train_type", ["_row"])
+    names = rules.labels_of(rules.STOP_ID_RULES)
+    number = F.array_position(F.array(*map(F.lit, names)), F.col("train_type")) - 1
+    typed = d.trips(spark, sf).join(train_types_by_stop(spark, sf), "trip_id")
+    of_routes = lookups.first_label(typed, "route_id", number, names, "_row")
     routes = d.load(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("route_id"))
     return routes.join(of_routes, "route_id", "left").select("route_id", F.coalesce("value", F.lit("Train SNCF")).alias("train_type"))
 
 
-@query(f"""WITH f AS (SELECT trip_id, arg_min({_case(rules.STOP_NAME_RULES, 'upper(stop_id)', chr(39) + 'Car TER' + chr(39))}, {_FIRST}) AS ty FROM ({_TYPED}) GROUP BY trip_id)
-SELECT t.trip_id, coalesce(ty, {_case(rules.AGENCY_RULES, f"upper(coalesce({d.agency('CAST(route_id AS BIGINT)')}, ''))", chr(39) + 'Car TER' + chr(39))}) AS train_type FROM ({d.TRIPS}) t LEFT JOIN f USING (trip_id)""")
+@query(f"""WITH f AS (SELECT trip_id, arg_min({_by_stop_name('stop_id', "'Car TER'")}, {_FIRST}) AS ty FROM ({_TYPED}) GROUP BY trip_id)
+SELECT t.trip_id, coalesce(ty, {_by_agency(f"coalesce({d.agency('CAST(route_id AS BIGINT)')}, '')", "'Car TER'")}) AS train_type FROM ({d.TRIPS}) t LEFT JOIN f USING (trip_id)""")
 def train_types_two_level(spark: SparkSession, sf: str) -> DataFrame:
     """First stop's type, else the type of the route's agency (JON-09, AGG-03)."""
     defaults = F.array(F.lit("Car TER"))
-    first = lookups.first_by(_typed(spark, sf), "trip_id", rules.type_of_agency_or_stop(F.lit(""), F.col("stop_id"), defaults), _ORDER, skip_null=False)
+    first = _first_types(spark, sf, rules.STOP_NAME_RULES, len(rules.STOP_NAME_RULES))
     agency = F.coalesce(F.expr(d.agency("CAST(route_id AS BIGINT)")), F.lit(""))
     trips = d.trips(spark, sf).withColumn("by_agency", rules.type_of_agency_or_stop(agency, F.lit(""), defaults))
     return trips.join(first, "trip_id", "left").select("trip_id", F.coalesce("value", "by_agency").alias("train_type"))
 
 
-@query(f"""SELECT c_custkey, {_case(rules.SINGLE_FEED_RULES, f"upper(coalesce({d.agency('c_custkey')}, ''))", "'EUROSTAR'")} AS single, {_case(rules.MERGED_AGENCY_RULES, f"upper(coalesce({d.agency('c_custkey')}, ''))", "'Eurostar'")} AS merged,
-{_case(rules.ROUTE_NAME_RULES, f"upper('R ' || coalesce({d.long_name('c_custkey')}, 'nan') || ' ' || c_custkey)", f"coalesce(nullif(trim(coalesce({d.long_name('c_custkey')}, 'nan')), ''), 'Train Renfe')")} AS by_name FROM customer""")
+_AGENCY = f"coalesce({d.agency('c_custkey')}, '')"
+
+
+@query(f"""SELECT c_custkey, CASE WHEN contains(upper({_AGENCY}), 'CHANNEL') THEN 'EUROSTAR CHANNEL' WHEN contains(upper({_AGENCY}), 'CONTINENTAL') THEN 'EUROSTAR CONTINENTAL' ELSE 'EUROSTAR' END AS single,
+CASE WHEN contains(upper({_AGENCY}), 'THALYS') THEN 'Eurostar (ex-Thalys)' ELSE 'Eurostar' END AS merged,
+{_by_route_names(f"'R ' || coalesce({d.long_name('c_custkey')}, 'nan') || ' ' || c_custkey", f"coalesce(nullif(trim(coalesce({d.long_name('c_custkey')}, 'nan')), ''), 'Train Renfe')")} AS by_name FROM customer""")
 def route_types_by_rules(spark: SparkSession, sf: str) -> DataFrame:
     agency = F.coalesce(F.expr(d.agency("c_custkey")), F.lit(""))
     return d.load(spark, sf, "customer").select(
@@ -173,16 +211,22 @@ _STATIONS = """SELECT c_custkey AS _row, CAST(c_custkey % 700 AS {s}) AS id, CAS
 
 @query(f"""WITH s AS ({_STATIONS.format(s='VARCHAR')}), f AS (SELECT * FROM s WHERE trim(coalesce(name, '')) <> ''),
 n AS (SELECT id, arg_max(ROW(name), _row) AS v, arg_max(ROW(parent_station_id), _row) AS p FROM s GROUP BY id),
-j AS (SELECT f.*, CASE WHEN n2.id IS NOT NULL THEN n2.v[1] ELSE coalesce(parent_station_name, city) END AS chain FROM f LEFT JOIN n n1 ON n1.id = f.id LEFT JOIN n n2 ON n2.id = n1.p[1]),
+j AS (SELECT f.*, CASE WHEN n2.id IS NOT NULL THEN n2.v[1] ELSE coalesce(parent_station_name, city) END AS chain, n2.id IS NOT NULL AND n2.v[1] IS NULL AS nameless FROM f LEFT JOIN n n1 ON n1.id = f.id LEFT JOIN n n2 ON n2.id = n1.p[1]),
 k AS (SELECT *, trim(coalesce(uic, '')) AS u7, trim(coalesce(uic8_sncf, '')) AS u8 FROM j),
 x AS (SELECT *, unnest([nullif(u7, ''), CASE WHEN length(u7) = 7 THEN '8' || u7 END, nullif(u8, ''), CASE WHEN length(u8) = 8 AND u8[1] = '8' THEN u8[2:] END]) AS code, unnest([0, 1, 2, 3]) AS pos FROM k)
-SELECT code, arg_max(name, (_row, pos)) AS name, arg_max(CASE WHEN trim(coalesce(chain, '')) <> '' THEN chain ELSE name END, (_row, pos)) AS parent_name, arg_max(left(upper(trim(coalesce(country, ''))), 2), (_row, pos)) AS country FROM x WHERE code IS NOT NULL GROUP BY code""")
+SELECT code, arg_max(name, (_row, pos)) AS name, arg_max(ROW(CASE WHEN nameless OR trim(coalesce(chain, '')) <> '' THEN chain ELSE name END), (_row, pos))[1] AS parent_name, arg_max(left(upper(trim(coalesce(country, ''))), 2), (_row, pos)) AS country FROM x WHERE code IS NOT NULL GROUP BY code""")
 def station_reference(spark: SparkSession, sf: str) -> DataFrame:
     d.load(spark, sf, "customer").createOrReplaceTempView("_rw_customer")
     stations = spark.sql(_STATIONS.format(s="STRING").replace("FROM customer", "FROM _rw_customer"))
     return lookups.station_keys(stations).select("code", "name", "parent_name", "country")
 
 
+@query(f"""WITH s AS ({_STATIONS.format(s='VARCHAR')}), k AS (SELECT trim(coalesce(uic, '')) AS u7, trim(coalesce(uic8_sncf, '')) AS u8 FROM s WHERE trim(coalesce(name, '')) <> '')
+SELECT count(*) AS n_keys FROM (SELECT u7 AS code FROM k UNION SELECT '8' || u7 FROM k WHERE length(u7) = 7 UNION SELECT u8 FROM k UNION SELECT u8[2:] FROM k WHERE length(u8) = 8 AND u8[1] = '8') WHERE code <> ''""")
+def station_key_count(spark: SparkSession, sf: str) -> DataFrame:
+    return lookups.key_count(station_reference(spark, sf))
+
+
 _METRES = "6371000.0 * 2.0 * atan2(sqrt(h), sqrt(1.0 - h))"
 _PAIRS = f"""SELECT a, b, metres FROM (SELECT *, {_METRES} AS metres FROM (SELECT x.ord AS a, y.ord AS b,
   pow(sin(radians(y.stop_lat - x.stop_lat) / 2.0), 2) + cos(radians(x.stop_lat)) * cos(radians(y.stop_lat)) * pow(sin(radians(y.stop_lon - x.stop_lon) / 2.0), 2) AS h
@@ -299,3 +343,7 @@ def lenient_numbers(spark: SparkSession, sf: str) -> DataFrame:
   pow(sin(radians(48.8443 - stop_lat) / 2.0), 2) + cos(radians(stop_lat)) * cos(radians(48.8443)) * pow(sin(radians(2.3744 - stop_lon) / 2.0), 2) AS h FROM s)""")
 def distance_to_point(spark: SparkSession, sf: str) -> DataFrame:
     return d.geo_stops(spark, sf).select("raw_stop_id", F.round(geo.haversine_m(F.col("stop_lat"), F.col("stop_lon"), F.lit(48.8443), F.lit(2.3744)), 2).alias("metres"))
+
+
+QUERIES |= feed_queries.QUERIES
+SQL |= feed_queries.oracle(_by_stop_id, _by_route_names)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import math
+import uuid
 
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -23,18 +25,73 @@ SECOND = {"stop_times": ["trip_id", "stop_sequence"]}
 
 
 def write_tables(tables: dict[str, DataFrame], folder: str, compression: str = "gzip", check_keys: bool = True) -> dict[str, str]:
-    """Replaces all tables (SNK-04) under folder; primary keys are checked first (CHK-01). Returns their paths."""
-    paths = {}
-    for name, df in tables.items():
-        if name == "report":
-            continue
-        if check_keys and name in schemas.PRIMARY_KEYS:
-            assert_unique(df, schemas.PRIMARY_KEYS[name])
-        for suffix, order in [("", LAYOUT[name]), *((f"_by_{keys[0]}", keys) for n, keys in SECOND.items() if n == name)]:
-            order = [c for c in order if c in df.columns]
-            paths[name + suffix] = f"{folder.rstrip('/')}/{name}{suffix}"
-            df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").option("compression", compression).parquet(paths[name + suffix])
-    return paths
+    """Replaces all tables (SNK-04) under folder and returns their paths.
+
+    All tables are written beside the old ones and their primary keys checked there (CHK-01) before any is replaced; if replacing
+    fails, those replaced are put back. Each table is computed once: checks and second layouts read what was written.
+    """
+    folder, run = folder.rstrip("/"), uuid.uuid4().hex
+    staged: list[str] = []
+
+    def write(df: DataFrame, name: str, order: list[str]) -> DataFrame:
+        order, path = [c for c in order if c in df.columns], f"{folder}/_new-{run}/{name}"
+        df.repartitionByRange(*order).sortWithinPartitions(*order).write.option("compression", compression).parquet(path)
+        staged.append(name)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    try:
+        for name, df in tables.items():
+            if name == "report":
+                continue
+            back = write(df, name, LAYOUT[name])
+            if check_keys and name in schemas.PRIMARY_KEYS:
+                assert_unique(back, schemas.PRIMARY_KEYS[name])
+            if name in SECOND:
+                write(back, f"{name}_by_{SECOND[name][0]}", SECOND[name])
+        _swap(folder, run, staged)
+    finally:
+        _delete(f"{folder}/_new-{run}")
+    return {name: f"{folder}/{name}" for name in staged}
+
+
+def _swap(folder: str, run: str, names: list[str]) -> None:
+    """Puts the tables of _new-<run> in the place of those that folder has; all of them or, on a fault, none."""
+    fs, at = pyarrow.fs.FileSystem.from_uri(folder)
+    old, moved = f"{at}/_old-{run}", []
+    fs.create_dir(old, recursive=True)
+    there = [n for n in names if fs.get_file_info(f"{at}/{n}").type != pyarrow.fs.FileType.NotFound]
+    try:
+        for source, target, which in ((at, old, there), (f"{at}/_new-{run}", at, names)):
+            for n in which:
+                fs.move(f"{source}/{n}", f"{target}/{n}")
+                moved.append((f"{target}/{n}", f"{source}/{n}"))
+    except BaseException:
+        for now, before in reversed(moved):
+            fs.move(now, before)
+        raise
+    finally:
+        if not fs.get_file_info(pyarrow.fs.FileSelector(old)) or all(fs.get_file_info(f"{at}/{n}").type != pyarrow.fs.FileType.NotFound for n in names):
+            fs.delete_dir(old)
+
+
+def _delete(folder: str) -> None:
+    fs, at = pyarrow.fs.FileSystem.from_uri(folder)
+    if fs.get_file_info(at).type != pyarrow.fs.FileType.NotFound:
+        fs.delete_dir(at)
+
+
+def compact(spark: SparkSession, folder: str, name: str, target_mib: int = 128, compression: str = "gzip") -> int:
+    """SNK-06: a table's files written anew, of about target_mib each and in its layout, and swapped in; returns how many files."""
+    order = next((keys for n, keys in SECOND.items() if name == f"{n}_by_{keys[0]}"), LAYOUT.get(name, []))
+    folder, run = folder.rstrip("/"), uuid.uuid4().hex
+    df, files = spark.read.parquet(f"{folder}/{name}"), max(1, math.ceil(size_mib(f"{folder}/{name}") / target_mib))
+    order = [c for c in order if c in df.columns]
+    try:
+        df.repartitionByRange(files, *order).sortWithinPartitions(*order).write.option("compression", compression).parquet(f"{folder}/_new-{run}/{name}")
+        _swap(folder, run, [name])
+    finally:
+        _delete(f"{folder}/_new-{run}")
+    return files
 
 
 def save_as_tables(spark: SparkSession, tables: dict[str, DataFrame], database: str) -> None:

@@ -25,10 +25,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path under spark.checkpoint.dir; a temporary folder where the session names none."""
+    """A new path under spark.checkpoint.dir; where that is unset a local session gets a temporary folder, and a cluster raises."""
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         root = sc.getCheckpointDir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -30,6 +30,7 @@ def test_names(spark):
 def test_codes(spark):
     values = [None, "", "StopPoint:OCE-87686006", "1234567", "123456789", "x 12345 y", "STOP_12345", "12345é", "é12345", "123456"]
     assert column(spark, values, text.uic_code) == ["", "", "87686006", "1234567", "12345678", "7112345", "", "", "", ""]
+    assert column(spark, ["٨٧٦٨٦٠٠٦", "x ١٢٣٤٥ y"], text.uic_code) == ["٨٧٦٨٦٠٠٦", "71١٢٣٤٥"]
     assert column(spark, ["OP_12a3", "none", None], text.first_digits) == ["12", None, None]
 
 

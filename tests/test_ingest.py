@@ -74,11 +74,20 @@ def test_harmonized(spark, three, tmp_path):
 
 def test_generic(spark, three, tmp_path):
     bad = ("BAD", str(tmp_path / "none.zip"), [])
+    torn = tmp_path / "torn.zip"
+    torn.write_bytes(b"PK not an archive")
+    members = {"stops": "stop_id,stop_name,stop_lat,stop_lon\n1,A,1,2\n", "routes": "route_id\nr\n", "trips": "trip_id,route_id,service_id,trip_headsign\nt,r,s,h\n", "calendar_dates": "service_id,date,exception_type\ns,20240101,1\n"}
+    lacking = archive(tmp_path / "lacking.zip", **members, stop_times="trip_id,stop_id\nt,1\n")
+    worded = archive(tmp_path / "worded.zip", **members, stop_times="trip_id,arrival_time,departure_time,stop_id,stop_sequence\nt,1:00,1:00,1,first\n")
+    undated = archive(tmp_path / "undated.zip", **(members | {"calendar_dates": "service_id,date,exception_type\ns,soon,1\n"}))
+    faulty = [("TORN", str(torn), []), ("LACKING", lacking, []), ("WORDED", worded, []), ("UNDATED", undated, [])]
     full = archive(
         tmp_path / "d.zip", stops="stop_id,stop_name,stop_lat,stop_lon\na12b3,A,x,2\n", routes="route_id,agency_id\nr,eurostar_channel\n", trips="trip_id,route_id,service_id,trip_headsign\nt,r,s,h\n",
         stop_times="trip_id,arrival_time,departure_time,stop_id,stop_sequence\nt,1:00,1:00,a12b3,1\n", calendar_dates="service_id,date,exception_type\ns,20240101,2\n",
     )
-    out = ingest.generic(spark, [("E", full, ["Train"]), ("SNCF", full, ["Car TER"]), bad])
+    out = ingest.generic(spark, [("E", full, ["Train"]), ("SNCF", full, ["Car TER"]), bad, *faulty])
+    with pytest.raises(ValueError, match="no feed"):
+        ingest.generic(spark, [bad])
     assert rows(out["stops"], "stop_id", "stop_lat", "clean_uic") == [("E_a12b3", None, "12"), ("SNCF_a12b3", None, "12")]
     assert rows(out["trips"], "trip_id", "train_type") == [("E_t", "Eurostar"), ("SNCF_t", "Car TER")]
     assert rows(out["calendar_dates"], "service_id", "date", "exception_type") == [("E_s", "2024-01-01", 2), ("SNCF_s", "2024-01-01", 2)]
@@ -117,6 +126,32 @@ def test_sinks(spark):
         lookups.assert_unique(spark.createDataFrame([("a",), ("a",), (None,), (None,)], "stop_id string"), "stop_id")
 
 
+def test_tables_are_replaced_together(spark, three, tmp_path):
+    folder = str(tmp_path / "out")
+    out = ingest.harmonized(spark, three, today="2024-01-01")
+    paths = sinks.write_tables(out, folder)
+    assert set(paths) == {"stops", "routes", "trips", "stop_times", "stop_times_by_trip_id", "calendar_dates"}
+    before = {n: rows(spark.read.parquet(p), *spark.read.parquet(p).columns) for n, p in paths.items()}
+    fewer = {n: df.limit(1) for n, df in out.items() if n != "report"}
+    with pytest.raises(ValueError, match="occurs 2 times"):
+        sinks.write_tables(fewer | {"trips": out["trips"].unionAll(out["trips"])}, folder)
+    with pytest.raises(Exception, match="(?i)divi"):
+        sinks.write_tables(fewer | {"calendar_dates": fewer["calendar_dates"].withColumn("exception_type", F.expr("exception_type DIV 0"))}, folder)
+    assert {n: rows(spark.read.parquet(p), *spark.read.parquet(p).columns) for n, p in paths.items()} == before
+    sinks.write_tables(fewer, folder)
+    assert spark.read.parquet(paths["stops"]).count() == 1
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.name.startswith("_")) == []
+    sinks.write_tables(out, folder)
+    assert sinks.compact(spark, folder, "stop_times") == 1 and rows(spark.read.parquet(paths["stop_times"]), "trip_id", "stop_id") == rows(out["stop_times"], "trip_id", "stop_id")
+
+
+def test_parent_without_a_name(spark):
+    table = spark.createDataFrame([(0, "1", "A", "2", None, None, "8700001"), (1, "2", None, None, None, None, None), (2, "3", "C", "9", None, "X", "8700002"), (3, "4", "D", "5", None, None, "8700003"), (4, "5", " ", None, None, None, None)], "_row long, id string, name string, parent_station_id string, parent_station_name string, city string, uic string")
+    keys = lookups.station_keys(table.withColumns({c: F.lit(None).cast("string") for c in ("country", "uic8_sncf", "latitude", "longitude")}))
+    assert rows(keys.filter("length(code) = 7"), "code", "parent_name") == [("8700001", None), ("8700002", "X"), ("8700003", "D")]
+    assert lookups.key_count(keys).first()["n_keys"] == 6
+
+
 def test_landing(spark, tmp_path):
     archive(tmp_path / "in1.zip", stops="stop_id\n1\n")
     seen = []
