@@ -144,6 +144,7 @@ def write_warc(pages: DataFrame, min_bytes: int = MIN_BYTES, pages_per_shard: in
 
 def read_warc(spark: SparkSession, folder: str, manifest: DataFrame, payloads: bool = True) -> DataFrame:
     """The records (columns of RECORDS but file) of the archives that the manifest lists. A revisit's payload is null."""
+    ship(spark)
     columns = [f.split()[0] for f in RECORDS.split(", ")]
     if not manifest.take(1):
         return spark.createDataFrame([], RECORDS).drop("file")

@@ -14,10 +14,12 @@ Vectors of one label (and length) whose cosine is 0.98 or more, in double precis
     grown and the rounds go on; if that doesn't help, the label is compared with itself in pairs of blocks, exactly.
 
 Links never cross labels. A label of up to LOCAL numbers (nodes times length) is one group: its vectors move once and a task does all
-steps on them. The nodes of larger labels are dealt out by leaf, by list and by block of a component, in tables of the shared
-folder; there planes go through the centre of the label, and a leaf of more than 2 * LEAF nodes is split by further planes through
-its own centre or median. Either way no pairs of a group are emitted beyond the lists. Counting in a component takes time in
-the square of its distinct vectors, which the number of links itself may have; copies cost nothing.
+steps on them. A larger label is parted into groups of that size, PARTINGS times anew, by planes through its centre (crowded
+groups by further planes through their own); a task grows the lists of its group by steps 2 and 3, and lists are merged. If the audit
+is not content, lists go on through joins across groups, and the label is parted PARTINGS times more. Components, counts, audit and
+exact comparison of such labels are Spark jobs over tables in the shared folder. Either way no pairs of a group are emitted beyond
+the lists. Counting in a component takes time in the square of its distinct vectors, which the number of links itself may have;
+copies cost nothing.
 
 Vectors that are null, empty, zero, or hold null or non-finite components, and those with a null label, link with nothing. Rows
 with equal ids are vectors of their own, each with the component of its own links. A row without an id links like any other, stands
@@ -38,8 +40,8 @@ from llm.graph import components
 THRESHOLD, SLACK = 0.98, 0.0015
 MAYBE = THRESHOLD - SLACK
 TREES, LEAF, NEIGHBOURS, WALK, ROUNDS = 8, 256, 12, 4, 4
-#: Leaves above CROWD nodes are split by Spark, up to SPLITS times; smaller ones in their task.
-CROWD, SPLITS = 4096, 8
+#: How often a large label is parted before each audit, and how often Spark splits a crowded group anew; beyond that its task does.
+PARTINGS, SPLITS = 6, 8
 AUDIT, AUDIT_MOST, ENOUGH, SMALL, RECALL, GROWTHS = 512, 8192, 64, 64, 0.99, 3
 BLOCK = 2048
 #: Numbers (nodes times length) of the largest label that is one group.
@@ -165,8 +167,13 @@ def halved(x: np.ndarray, most: int, seed: list[int]) -> list[np.ndarray]:
     return out
 
 
-def placed(spark: SparkSession, coarse: DataFrame, trees: range) -> DataFrame:
-    """A row of PLACED per node and tree: sides of planes through the label's centre; crowded leaves, of planes through their own."""
+def group_size(dim: int, local: int) -> int:
+    """Nodes of one group at most."""
+    return max(2 * LEAF, local // dim)
+
+
+def placed(spark: SparkSession, coarse: DataFrame, trees: range, local: int) -> DataFrame:
+    """A row of PLACED per node and parting: sides of planes through the label's centre; in crowded groups, of planes through their own."""
     first, last = trees.start, trees.stop
 
     def plant(batches):
@@ -174,7 +181,7 @@ def placed(spark: SparkSession, coarse: DataFrame, trees: range) -> DataFrame:
             ids, labels, dims, counts = (b.column(i).to_numpy() for i in (0, 1, 2, 4))
             for at in (np.flatnonzero((labels == label) & (dims == dim)) for label, dim in sorted(set(zip(labels.tolist(), dims.tolist(), strict=True)))):
                 x, centre = _matrix(b.column(3).take(pa.array(at)), np.float16).astype(np.float64), np.frombuffer(b.column(5)[int(at[0])].as_py(), np.float64)
-                count = max(0, int(np.ceil(np.log2(counts[at[0]] / LEAF))))
+                count = max(0, int(np.ceil(np.log2(2 * counts[at[0]] / group_size(x.shape[1], local)))))
                 for t in range(first, last):
                     code = _sides(x, centre, count, [t, x.shape[1]])
                     yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(labels[at]), pa.array(dims[at]), pa.array(np.full(len(at), t, np.int32)), pa.array(code)], ["id", *LEAVES])
@@ -183,7 +190,7 @@ def placed(spark: SparkSession, coarse: DataFrame, trees: range) -> DataFrame:
     leaves = written(spark, coarse.join(middle, ["label", "dim"]).select("id", "label", "dim", "half", "c", "centre").mapInArrow(plant, PLACED), "leaves")
 
     for level in range(1, SPLITS + 1):
-        crowded = written(spark, leaves.groupBy(*LEAVES).agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > CROWD).drop("c"), "crowded")
+        crowded = written(spark, leaves.groupBy(*LEAVES).agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > F.greatest(F.lit(2 * LEAF), F.floor(F.lit(local) / F.col("dim")))).drop("c"), "crowded")
         if not crowded.take(1):
             break
 
@@ -195,7 +202,7 @@ def placed(spark: SparkSession, coarse: DataFrame, trees: range) -> DataFrame:
                 for g in range(groups.shape[1]):
                     at = np.flatnonzero(of.ravel() == g)
                     x, centre = _matrix(b.column(5).take(pa.array(at)), np.float16).astype(np.float64), np.frombuffer(b.column(7)[int(at[0])].as_py(), np.float64)
-                    side = _sides(x, centre, max(1, int(np.ceil(np.log2(counts[at[0]] / LEAF)))), [int(trees_[at[0]]), x.shape[1], level])
+                    side = _sides(x, centre, max(1, int(np.ceil(np.log2(2 * counts[at[0]] / group_size(x.shape[1], local))))), [int(trees_[at[0]]), x.shape[1], level])
                     code = T.mix(codes[at].view(T.U64) * T.U64(0x9E3779B97F4A7C15) ^ T.mix(side.view(T.U64) + T.U64(level))).view(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(labels[at]), pa.array(dims[at]), pa.array(trees_[at]), pa.array(code)], ["id", *LEAVES])
 
@@ -206,16 +213,25 @@ def placed(spark: SparkSession, coarse: DataFrame, trees: range) -> DataFrame:
     return leaves
 
 
-def forest(spark: SparkSession, coarse: DataFrame, trees: range) -> DataFrame:
-    """Pairs of nodes that share a leaf."""
+def forest(spark: SparkSession, coarse: DataFrame, partings: range, trees: int, rounds: int, local: int) -> DataFrame:
+    """PAIRS of the lists that groups of nodes grow, each group in a task: what may be links, and each node's WALK best."""
 
-    def compare(key: tuple, table: pa.Table) -> pa.Table:
+    def grow(key: tuple, table: pa.Table) -> pa.Table:
         ids, x = table.column("id").to_numpy(), _matrix(table.column("half"), np.float16).astype(np.float32)
-        parts = halved(x, 2 * LEAF, [key[2].as_py(), key[3].as_py() & (1 << 62) - 1])
-        return pa.concat_tables([_pairs(ids[rows], x[rows], NEIGHBOURS) for rows in parts])
+        order = np.argsort(ids, kind="stable")
+        ids, x, seed, out = ids[order], x[order], [key[2].as_py(), key[3].as_py() & (1 << 62) - 1], []
+        for rows in halved(x, group_size(x.shape[1], local), seed):
+            rows = np.sort(rows)
+            lists = Lists(x[rows])
+            lists.grow(trees, rounds, seed)
+            good = (lists.near >= 0) & ((lists.sims >= MAYBE) | (np.arange(lists.near.shape[1]) < WALK))
+            i, k = np.nonzero(good)
+            a, b = ids[rows[i]], ids[rows[lists.near[i, k]]]
+            out.append(pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "sim": lists.sims[i, k].astype(np.float64)}))
+        return pa.concat_tables(out)
 
-    dealt = placed(spark, coarse, trees).join(coarse.select("id", "half"), "id")
-    return dealt.groupBy(*LEAVES).applyInArrow(compare, PAIRS).groupBy("a", "b").agg(F.max("sim").alias("sim"))
+    dealt = placed(spark, coarse, partings, local).join(coarse.select("id", "half"), "id")
+    return dealt.groupBy(*LEAVES).applyInArrow(grow, PAIRS).groupBy("a", "b").agg(F.max("sim").alias("sim"))
 
 
 def lists(pairs: DataFrame, growth: int) -> DataFrame:
@@ -244,7 +260,8 @@ def descend(coarse: DataFrame, pairs: DataFrame, growth: int) -> DataFrame:
 def links(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """(a, b): pairs that are links; those that half precision leaves open are compared in double precision."""
     sure = pairs.filter(F.col("sim") >= THRESHOLD + SLACK).select("a", "b")
-    near = pairs.filter((F.col("sim") >= MAYBE) & (F.col("sim") < THRESHOLD + SLACK)).select("a", "b")
+    # a table of known size: where these are few, they travel to the vectors and not the vectors to them
+    near = written(nodes.sparkSession, pairs.filter((F.col("sim") >= MAYBE) & (F.col("sim") < THRESHOLD + SLACK)).select("a", "b"), "near")
     ends = [nodes.select(F.col("id").alias(k), F.col("unit").alias(f"unit_{k}")) for k in "ab"]
 
     def run(batches):
@@ -414,8 +431,18 @@ class Lists:
         if k < NEIGHBOURS << growth and (self.sims[:, -1] >= MAYBE).any():
             self.near, self.sims = np.concatenate([self.near, np.full((n, k), -1)], 1), np.concatenate([self.sims, np.full((n, k), -2, np.float32)], 1)
 
-    def linked(self) -> int:
-        return int((self.sims >= MAYBE).sum())
+    def grow(self, trees: int, rounds: int, seed: list[int]) -> None:
+        """A forest, and rounds until no further row gets a link."""
+        for t in range(trees):
+            for rows in halved(self.x, 2 * LEAF, [*seed, t]):
+                self.leaf(np.sort(rows))
+        before = -1
+        for _ in range(rounds):
+            self.widen(2)
+            if (now := int((self.sims >= MAYBE).sum())) == before:
+                break
+            before = now
+            self.walk()
 
 
 def _merged(parts: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -443,16 +470,7 @@ def solved(ids: np.ndarray, x: np.ndarray, weight: np.ndarray, trees: int, round
     n, lists = len(ids), Lists(x.astype(np.float32))
     parts = np.arange(n)
     for grown in range(growths):
-        for t in range(grown * trees, (grown + 1) * trees):
-            for rows in halved(lists.x, 2 * LEAF, [t, x.shape[1]]):
-                lists.leaf(np.sort(rows))
-        before = -1
-        for _ in range(rounds):
-            lists.widen(2)
-            if (now := lists.linked()) == before:
-                break
-            before = now
-            lists.walk()
+        lists.grow(trees, rounds, [grown, x.shape[1]])
         a, k = np.nonzero(lists.sims >= MAYBE)
         b = lists.near[a, k]
         true = np.concatenate([np.zeros(0, bool), *(np.einsum("md,md->m", x[a[i : i + 65536]], x[b[i : i + 65536]]) >= THRESHOLD for i in range(0, len(a), 65536))])
@@ -510,19 +528,18 @@ def within_labels(nodes: DataFrame, trees: int, rounds: int, growths: int) -> Da
     return nodes.groupBy("label", "dim").applyInArrow(run, FOUND)
 
 
-def across_tasks(nodes: DataFrame, trees: int, rounds: int, growths: int) -> DataFrame:
+def across_tasks(nodes: DataFrame, trees: int, rounds: int, growths: int, local: int) -> DataFrame:
     """FOUND of nodes of large labels, whose graphs grow by joins."""
     spark = nodes.sparkSession
     # nodes are told apart by numbers of their own: rows without an id, or with equal ones, may be several nodes
     nodes = written(spark, nodes.withColumnRenamed("id", "vec").withColumn("id", F.monotonically_increasing_id()), "numbered")
     coarse = written(spark, coarsened(nodes), "coarse")
-    grown, pairs, parts = 0, None, None
-    for _ in range(growths):
-        more = forest(spark, coarse, range(grown, grown + trees))
-        old, pairs = pairs, written(spark, more if pairs is None else more.unionAll(pairs).groupBy("a", "b").agg(F.max("sim").alias("sim")), "pairs")
-        dropped(*([] if old is None else [old]))
-        grown, reached = grown + trees, _reached(pairs)
-        for r in range(1, rounds + 1):
+    pairs, parts = None, None
+    for grown in range(growths):
+        old, pairs = pairs, forest(spark, coarse, range(grown * PARTINGS, (grown + 1) * PARTINGS), trees, rounds, local)
+        pairs = written(spark, pairs if old is None else pairs.unionAll(old).groupBy("a", "b").agg(F.max("sim").alias("sim")), "pairs")
+        reached = _reached(pairs) if grown else 0
+        for r in range(1, rounds + 1 if grown else 1):  # across groups
             old, pairs = pairs, written(spark, descend(coarse, pairs, min(r, 2)), "pairs")
             dropped(old)
             before, reached = reached, _reached(pairs)
@@ -551,7 +568,7 @@ def near_dedup(vectors: DataFrame, trees: int = TREES, rounds: int = ROUNDS, gro
     large = sizes.filter("large").select("label", "dim")
     found = within_labels(nodes.join(sizes.filter("NOT large").select("label", "dim"), ["label", "dim"], "left_semi"), trees, rounds, growths)
     if large.take(1):
-        found = found.unionAll(across_tasks(nodes.join(large, ["label", "dim"], "left_semi"), trees, rounds, growths))
+        found = found.unionAll(across_tasks(nodes.join(large, ["label", "dim"], "left_semi"), trees, rounds, growths, local))
     own = every.select("id", F.coalesce("label", F.lit(0)).alias("label"), "dim", "h1", "h2")
     component = F.coalesce("component_id", "id")
     return own.join(found, node, "left").select(

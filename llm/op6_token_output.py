@@ -8,8 +8,9 @@ Documents are dealt out in ranges of doc_id, sorted, encoded and written in file
 (one longer text is a file of its own); a manifest lists the files whose tasks succeeded. The reader takes files through Spark's binaryFile source and keeps what
 the manifest lists; first positions are running sums over the manifest.
 
-Ids are those of the tokenizers library. Long texts are given to it in pieces, cut before a single space between two ASCII
-letters, where byte-level BPE always cuts; a text without such a place goes whole.
+Ids are those of the tokenizers library. Byte-level BPE always cuts before a space or line break that a visible sign follows, and
+between that line break and the sign, unless the sign begins a special token. So texts are cut there and each distinct piece of
+some MB of text is encoded once, and not again while a worker remembers it. A text, or a part of one, without such a place goes whole.
 
 Null and empty texts consist of the end id alone. Rows with equal ids are all written, in an order given by their text. Null ids sort
 first and come back null. Extra columns are ignored. An empty table gives no files and no rows.
@@ -17,6 +18,8 @@ first and come back null. Extra columns are ignored. An empty table gives no fil
 
 from __future__ import annotations
 
+import functools
+import itertools
 import json
 import struct
 import zlib
@@ -35,11 +38,9 @@ END_ID, BITS, DOCS_PER_SHARD, FILE_BYTES = 2, 8, 2048, 16 << 20
 MAGIC = b"DACTOKEN"
 RANK = 512
 MANIFEST = "shard int, part int, file string, docs long, tokens long"
-#: Bytes of a piece of a long text, at least, and bytes of text encoded at once.
-PIECE = 1 << 16
-ASCII_LETTER = np.zeros(256, bool)
-ASCII_LETTER[65:91] = ASCII_LETTER[97:123] = True
-
+#: Bytes of text whose pieces are encoded together; pieces of up to SHORT characters that a worker remembers between tasks, at most.
+SLICE, SHORT, KNOWN = 8 << 20, 64, 1 << 19
+_known: dict[str, dict[str, list[int]]] = {}
 
 def default_path() -> str:
     import public_tokenizers
@@ -47,38 +48,65 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def pieces(buf: np.ndarray, offsets: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Where texts, and the pieces of long ones, begin and end, and for each text its place among these (n + 1 values)."""
-    long, more = np.flatnonzero(np.diff(offsets) > 2 * PIECE), []
-    if len(long) and _cuts_at_spaces(path):
-        for i in long:
-            b = buf[offsets[i] : offsets[i + 1]]
-            places, at = np.flatnonzero((b[1:-1] == 32) & ASCII_LETTER[b[:-2]] & ASCII_LETTER[b[2:]]) + 1, PIECE
-            while (k := np.searchsorted(places, at)) < len(places):
-                more.append(offsets[i] + places[k])
-                at = places[k] + PIECE
-    more = np.array(more, np.int64)
-    return np.sort(np.concatenate([offsets, more])), np.arange(len(offsets)) + np.searchsorted(more, offsets)
+def pieces(buf: np.ndarray, offsets: np.ndarray, path: str) -> np.ndarray:
+    """Where the pieces of texts begin, and the end of the last one."""
+    on, visible = np.zeros(len(buf) + 1, bool), _visible(path)
+    if visible is not None and len(buf) > 1:
+        follows, ends = visible[buf[1:]], offsets[(offsets > 0) & (offsets < len(buf))]
+        follows[ends - 1] = False  # nothing follows a text's last byte
+        on[:-2] = ((buf[:-1] == 32) | (buf[:-1] == 10)) & follows
+        on[1:-1] |= (buf[:-1] == 10) & follows
+    on[offsets] = True
+    return np.flatnonzero(on)
+
 
+@functools.lru_cache(2)
+def _visible(path: str) -> np.ndarray | None:
+    """Bytes with which neither white space nor a special token begins: printable ASCII, and the lead bytes of U+00C0 to U+07FF.
 
-def _cuts_at_spaces(path: str) -> bool:
-    """Whether the file is byte-level BPE by the usual pattern, with nothing that changes texts first."""
+    None if the file isn't byte-level BPE by the usual pattern, or changes texts first.
+    """
     with open(path) as f:
         spec = json.load(f)
     cut = spec["pre_tokenizer"] or {}
-    return not spec["normalizer"] and cut.get("type") == "ByteLevel" and bool(cut.get("use_regex")) and not cut.get("add_prefix_space") and all(" " not in t["content"] and not t["lstrip"] and not t["rstrip"] for t in spec["added_tokens"])
+    if spec["normalizer"] or cut.get("type") != "ByteLevel" or not cut.get("use_regex") or cut.get("add_prefix_space"):
+        return None
+    if any(" " in t["content"] or "\n" in t["content"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
+        return None
+    out = np.zeros(256, bool)
+    out[0x21:0x7F] = out[0xC3:0xE0] = True
+    out[[t["content"].encode()[0] for t in spec["added_tokens"]]] = False
+    return out
+
+
+def _ids(distinct: list[str], path: str) -> list[list[int]]:
+    """The library's ids of each piece; a piece that a worker has met of late is not encoded again."""
+    known = _known.setdefault(path, {})
+    new, long = [p for p in distinct if p not in known], {}
+    for i in range(0, len(new), 4096):
+        some = new[i : i + 4096]
+        for p, e in zip(some, _tokenizer(path).encode_batch_fast(some, add_special_tokens=False), strict=True):
+            (known if len(p) <= SHORT else long)[p] = e.ids
+    out = [known[p] if p in known else long[p] for p in distinct]
+    if len(known) > KNOWN:
+        _known[path] = {p: known[p] for p in distinct[:KNOWN] if p in known}
+    return out
 
 
 def encode(buf: np.ndarray, offsets: np.ndarray, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts end to end, each with end_id after it, and the end of each text."""
-    n, (cut, place) = len(offsets) - 1, pieces(buf, offsets, path)
-    coded = []
-    for lo, hi in T.slices(cut, 4 * PIECE):
-        raw = buf[cut[lo] : cut[hi]].tobytes()
-        texts = [raw[a:b].decode() for a, b in zip(cut[lo:hi] - cut[lo], cut[lo + 1 : hi + 1] - cut[lo], strict=True)]
-        coded += [np.array(e.ids, np.int32) for e in _tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)]
-    before = np.concatenate([[0], np.cumsum([len(c) for c in coded])]).astype(np.int64)[place]
-    ids = np.concatenate([np.zeros(0, np.int32), *coded])
+    n, cut, coded, counts = len(offsets) - 1, pieces(buf, offsets, path), [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for lo, hi in T.slices(cut, SLICE):
+        part = pa.Array.from_buffers(pa.large_string(), hi - lo, [None, pa.py_buffer(np.ascontiguousarray(cut[lo : hi + 1] - cut[lo])), pa.py_buffer(np.ascontiguousarray(buf[cut[lo] : cut[hi]]))])
+        table = part.dictionary_encode()
+        place, distinct = table.indices.to_numpy(), table.dictionary.to_pylist()
+        ids = _ids(distinct, path)
+        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(count.sum()))
+        coded.append(flat[T.gather((np.cumsum(count) - count)[place], count[place])])
+        counts.append(count[place])
+    before = np.concatenate([[0], np.cumsum(np.concatenate(counts))])[np.searchsorted(cut, offsets)]
+    ids = np.concatenate(coded)
     out = np.full(len(ids) + n, end_id, np.int32)
     out[np.arange(len(ids)) + np.repeat(np.arange(n), np.diff(before))] = ids
     return out, before[1:] + np.arange(1, n + 1)
@@ -203,6 +231,7 @@ def write_tokens(docs: DataFrame, path: str | None = None, end_id: int = END_ID,
 
 def read_tokens(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """Per document: doc_id, start, n_tokens, ids_crc32, from the files that the manifest lists."""
+    ship(spark)
     schema = "file string, doc_id long, inside long, n_tokens long, ids_crc32 long"
 
     def run(batches):

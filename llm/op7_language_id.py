@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from llm import textops as T
-from llm.common import load, ship, written
+from llm.common import dropped, load, ship, written
 
 DIM, SAMPLE = 4096, 400
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -189,6 +189,7 @@ def fit(docs: DataFrame, sample: int) -> dict:
 
     dealt = vectors.join(pairs, "lang").filter("r <= most").select("level", "a", "b", "lang", "r", "y", "x")
     found = dealt.groupBy("level", "a", "b").applyInArrow(one, "a string, b string, w binary, bias double").collect()
+    dropped(texts, vectors)
     return {"families": groups, "pairs": {(r["a"], r["b"]): (np.frombuffer(bytes(r["w"]), np.float32).astype(np.float64), r["bias"]) for r in found}}
 
 

@@ -218,7 +218,7 @@ def test_token_file_access():
 
 
 def test_long_runs(spark):
-    """A million blanks, line breaks or equal signs, and a long text that is encoded in pieces."""
+    """A million blanks, line breaks or equal signs, and a long text of odd pieces."""
     t, r = op3_bpe._tokenizer(op6_token_output.default_path()), random.Random(3)
     long = "".join(r.choice(["word ", "it's ", "1 ", " ", "\n", "é x ", "a b ", "<|endoftext|>", "x"]) for _ in range(200_000))
     data = [(1, " " * 1_000_001 + "a"), (2, "\n" * 1_000_001), (3, "=" * 1_000_001), (4, long), (5, None), (6, ""), (7, "x " + long), (None, "b")]
@@ -227,12 +227,22 @@ def test_long_runs(spark):
         ids = tokens(t, x, 2)
         want.append((i, at, len(ids), crc(ids)))
         at += len(ids)
-    buf, offsets = np.frombuffer("".join(x or "" for _, x in data).encode(), np.uint8), np.concatenate([[0], np.cumsum([len((x or "").encode()) for _, x in data])])
-    assert len(op6_token_output.pieces(buf, offsets, op6_token_output.default_path())[0]) > len(offsets) + 10
     df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
     same(op6_token_output.read_tokens(spark, *op6_token_output.write_tokens(df)), ["doc_id", "start", "n_tokens", "ids_crc32"], want)
 
 
+def test_pieces_are_where_the_tokenizer_cuts():
+    """Texts of few signs, white space of all kinds among them, encoded in pieces and whole."""
+    t, path, r = op3_bpe._tokenizer(op6_token_output.default_path()), op6_token_output.default_path(), random.Random(5)
+    signs = ["a", "B", "é", "ß", "1", ".", "'s", "'", " ", " ", " ", "\n", "\t", "\r", "\u00a0", "\u3000", "\u0085", "\u2028", "\x1c", "\x00", "—", "ж", "語", "<|endoftext|>", "𝔘", "\u0301"]
+    texts = ["".join(r.choice(signs) for _ in range(r.randrange(25))) for _ in range(4000)]
+    raw = [x.encode() for x in texts]
+    buf, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])])
+    ids, ends = op6_token_output.encode(buf, offsets, path, 2)
+    assert len(op6_token_output.pieces(buf, offsets, path)) > 1.2 * len(texts)
+    assert [ids[a:b].tolist() for a, b in zip(np.concatenate([[0], ends[:-1]]), ends, strict=True)] == [tokens(t, x, 2) for x in texts]
+
+
 @pytest.mark.parametrize("spread", [1, 1 << 40, 1 << 61])
 def test_borders(spark, spread):
     r = random.Random(7)
@@ -386,7 +396,16 @@ def leaning(spark, n=3000, isolated=120, group=600):
     return x, hit, spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int").repartition(3)
 
 
-@pytest.mark.parametrize("options", [{}, {"growths": 0}, {"local": 0}, {"local": 0, "growths": 0}])
+def test_vectors_of_a_parted_label(spark):
+    """Six groups of 512 nodes: the audit lets one link in a hundred go."""
+    x, hit, df = leaning(spark)
+    out = {r["vec_id"]: r for r in op1_nn_descent.near_dedup(df, local=0).collect()}
+    linked = np.array([out[i]["n_links"] for i in range(len(x))])
+    assert (linked <= hit.sum(1)).all() and (linked == hit.sum(1))[hit.any(1)].mean() >= 0.99
+    assert len({out[i]["component_id"] for i in range(2400, 3000)}) == 1
+
+
+@pytest.mark.parametrize("options", [{}, {"growths": 0}, {"local": 64 * 2000}, {"local": 0, "growths": 0}])
 def test_vectors_with_a_common_direction(spark, options):
     x, hit, df = leaning(spark)
     out = {r["vec_id"]: r for r in op1_nn_descent.near_dedup(df, **options).collect()}
@@ -397,7 +416,6 @@ def test_vectors_with_a_common_direction(spark, options):
 
 def test_crowded_leaves_and_audit(spark, monkeypatch):
     x, hit, df = leaning(spark, 1500, 60, 500)
-    monkeypatch.setattr(op1_nn_descent, "CROWD", 100)
     monkeypatch.setattr(op1_nn_descent, "LEAF", 20)
     out = {r["vec_id"]: r["n_links"] for r in op1_nn_descent.near_dedup(df, local=0).collect()}
     assert [out[i] for i in range(len(x))] == hit.sum(1).tolist()
