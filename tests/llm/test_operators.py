@@ -231,6 +231,15 @@ def test_long_runs(spark):
     same(op6_token_output.read_tokens(spark, *op6_token_output.write_tokens(df)), ["doc_id", "start", "n_tokens", "ids_crc32"], want)
 
 
+def test_both_tokenizers_agree():
+    t, (fast, special) = op3_bpe._tokenizer(op6_token_output.default_path()), op6_token_output._ranked(op6_token_output.default_path())
+    r = random.Random(2)
+    letters = "abcTHE  \n\t'sdlv019.,!?*#<>|éÉßñ×÷ÿ-_" + "".join(map(chr, range(0x20, 0x7F)))
+    for _ in range(2000):
+        x = "".join(r.choice(letters) for _ in range(r.randrange(60))) + r.choice(["", "<|endoftext|>", " <|endoftext|> x"])
+        assert tokens(t, x) == list(fast.encode(x, allowed_special=special)), x
+
+
 def test_pieces_are_where_the_tokenizer_cuts():
     """Texts of few signs, white space of all kinds among them, encoded in pieces and whole."""
     t, path, r = op3_bpe._tokenizer(op6_token_output.default_path()), op6_token_output.default_path(), random.Random(5)
@@ -239,7 +248,9 @@ def test_pieces_are_where_the_tokenizer_cuts():
     raw = [x.encode() for x in texts]
     buf, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])])
     ids, ends = op6_token_output.encode(buf, offsets, path, 2)
-    assert len(op6_token_output.pieces(buf, offsets, path)) > 1.2 * len(texts)
+    assert len(op6_token_output.pieces(buf, offsets, path)) > 1.2 * len(texts) and op6_token_output.plain_rows(buf, offsets).sum() > 100
+    alone, before = op6_token_output._by_pieces(buf, offsets, path)
+    assert [alone[a:b].tolist() for a, b in zip(before[:-1], before[1:], strict=True)] == [tokens(t, x) for x in texts]
     assert [ids[a:b].tolist() for a, b in zip(np.concatenate([[0], ends[:-1]]), ends, strict=True)] == [tokens(t, x, 2) for x in texts]
 
 
