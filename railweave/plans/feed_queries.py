@@ -118,11 +118,17 @@ _done: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 def _harmonized(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     key = (spark.sparkContext.applicationId, sf)
-    if key not in _done:
+    if key not in _done or not all(map(_there, _done[key].values())):
         _done[key] = {name: written(df, name) for name, df in _ingested(spark, sf).items()}
     return _done[key]
 
 
+def _there(df: DataFrame) -> bool:
+    """Whether a written table still is."""
+    fs, at = pyarrow.fs.FileSystem.from_uri(df.inputFiles()[0])
+    return fs.get_file_info(at).is_file
+
+
 def _ingested(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     path = f"{scratch(spark, 'catalog')}.json"
     fs, at = pyarrow.fs.FileSystem.from_uri(path)
