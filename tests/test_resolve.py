@@ -35,7 +35,7 @@ point = st.tuples(st.integers(0, 9), st.integers(0, 9))
 stop = st.tuples(st.sampled_from(["", "", "87000001", "87000002", "87000003"]), st.one_of(st.none(), point), st.sampled_from(NAMES), st.sampled_from(["SNCF", "EUROSTAR", "Renfe"]))
 
 
-@settings(max_examples=8, deadline=None, phases=[Phase.generate], suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, phases=[Phase.generate], suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(stop, min_size=1, max_size=40), st.sampled_from([resolve.LAST, 3, 0]))
 def test_same_as_one_by_one(spark, stops, last):
     rows = [(i, op, f"s{i}", "", name.title(), 48 + xy[0] * 4e-4 if xy else None, 2 + xy[1] * 6e-4 if xy else None, uic, name) for i, (uic, xy, name, op) in enumerate(stops)]
