@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from llm import op10_warc, op1_nn_descent, op2_mixing, op3_bpe, op4_ngram_jaccard, op5_quality_rules, op6_token_output, op7_language_id, op8_suffix_dedup, op9_substring_dedup
+from llm import op10_warc, op11_periodic_runs, op12_centroids, op13_exact_dedup, op1_nn_descent, op2_mixing, op3_bpe, op4_ngram_jaccard, op5_quality_rules, op6_token_output, op7_language_id, op8_suffix_dedup, op9_substring_dedup
 
 MODULES = {
     "op1_nn_descent": op1_nn_descent,
@@ -15,6 +15,9 @@ MODULES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_warc": op10_warc,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_centroids": op12_centroids,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 
