@@ -68,7 +68,7 @@ def restore(data: bytes) -> dict[str, np.ndarray]:
     return out
 
 
-#: What a null id counts as in comparisons: it stands last. finish gives it back as null.
+#: What stands in the place of a null id. finish gives it back as null; who compares ids asks for pairs (see unpack).
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -119,11 +119,12 @@ def _head(blob: bytes) -> tuple[dict[str, np.ndarray], bytes, int]:
     return restore(blob[8 : 8 + n]), blob[8 + n : 8 + n + m], 8 + n + m
 
 
-def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids, bytes and offsets of a batch's documents."""
+def unpack(blob: bytes, pairs: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, bytes and offsets of a batch's documents. With pairs, an id is a row (1 where it is null else 0, id): no id is reserved."""
     head, _, at = _head(blob)
     text = zstandard.ZstdDecompressor().decompress(blob[at:]) if head["lengths"].sum() else b""
-    return head["ids"], np.frombuffer(text, np.uint8), np.concatenate([[0], np.cumsum(head["lengths"])]).astype(np.int64)
+    ids = np.stack([head["null"].astype(np.int64), head["ids"]], axis=1) if pairs else head["ids"]
+    return ids, np.frombuffer(text, np.uint8), np.concatenate([[0], np.cumsum(head["lengths"])]).astype(np.int64)
 
 
 def bounds(sorted_hashes: np.ndarray, n: int) -> np.ndarray:
@@ -153,14 +154,26 @@ def _table(rows, schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[k]) for i, (_, k) in enumerate(fields)], [f for f, _ in fields])
 
 
-def ask(packed: DataFrame, request: Callable[[int, np.ndarray, np.ndarray, np.ndarray], Iterator]) -> DataFrame:
+def ranks(pairs: np.ndarray) -> np.ndarray:
+    """Numbers in the order of ids given as pairs, null ones last; equal ids have equal numbers."""
+    if not len(pairs):
+        return np.zeros(0, np.int64)
+    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+    new = np.zeros(len(order), np.int64)
+    new[1:] = (pairs[order][1:] != pairs[order][:-1]).any(1)
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
+def ask(packed: DataFrame, request: Callable[[int, np.ndarray, np.ndarray, np.ndarray], Iterator], pairs: bool = False) -> DataFrame:
     """First round: request(batch, ids, buf, offsets) yields rows of ASKED."""
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in tables:
             for batch, blob in zip(table.column(0).to_pylist(), table.column(2), strict=True):
                 release()
-                yield _table(request(batch, *unpack(blob.as_py())), ASKED)
+                yield _table(request(batch, *unpack(blob.as_py(), pairs)), ASKED)
 
     return packed.mapInArrow(run, ASKED)
 
@@ -188,18 +201,18 @@ def answered(table: pa.Table) -> dict[str, np.ndarray]:
     return {k: np.concatenate([p[k] for p in parts if k in p]) for k in dict.fromkeys(k for p in parts for k in p)}
 
 
-def ask_again(packed: DataFrame, answers: DataFrame, request: Callable[..., Iterator]) -> DataFrame:
+def ask_again(packed: DataFrame, answers: DataFrame, request: Callable[..., Iterator], pairs: bool = False) -> DataFrame:
     """A later round: request(batch, ids, buf, offsets, answers so far) yields rows of ASKED."""
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         release()
-        out = [_table(request(key[0].as_py(), *unpack(b.as_py()), answered(right)), ASKED) for b in left.column("blob")]
+        out = [_table(request(key[0].as_py(), *unpack(b.as_py(), pairs), answered(right)), ASKED) for b in left.column("blob")]
         return pa.Table.from_batches(out, schema=_table([], ASKED).schema)
 
     return packed.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(run, ASKED)
 
 
-def finish(packed: DataFrame, rounds: list[DataFrame], result: Callable[..., pa.Table], schema: str, carried: Sequence[StructField] = ()) -> DataFrame:
+def finish(packed: DataFrame, rounds: list[DataFrame], result: Callable[..., pa.Table], schema: str, carried: Sequence[StructField] = (), pairs: bool = False) -> DataFrame:
     """result(ids, buf, offsets, answers of each round) makes a row for each document of a batch, with the columns of schema.
 
     The first column is the id, null where it was; the carried columns follow those of schema.
@@ -217,7 +230,7 @@ def finish(packed: DataFrame, rounds: list[DataFrame], result: Callable[..., pa.
 
     def own(blob: bytes, given: list) -> pa.Table:
         head, more, _ = _head(blob)
-        out = result(*unpack(blob), *given)
+        out = result(*unpack(blob, pairs), *given)
         if head["null"].any():
             out = out.set_column(0, out.column_names[0], pa.array(head["ids"], mask=head["null"] > 0))
         if more:

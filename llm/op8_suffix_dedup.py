@@ -1,7 +1,8 @@
 """Suffix-array dedup: bytes covered by a string of 50 that also starts in an earlier document are cut out.
 
 Method: hash-compared suffix sort, over the suffixes that can matter. The smallest 24-byte hash of each 50-byte
-string is its anchor (leftmost and equal minima alike), so equal strings have equal anchors at equal offsets.
+string is its anchor (leftmost and equal minima alike), so equal strings have equal anchors at equal offsets. Where a text repeats itself
+after fewer than 24 bytes, anchors follow one another with the same bytes around: they are one anchor with an extent.
  1. Batches ask which anchors occur in several documents, and which whole texts (by their SHA-256). Whole copies need no more.
  2. The remaining common anchors move with their contexts: 26 bytes before, 50 from the anchor on. Each bucket
     merge-sorts the suffixes of the anchors, and likewise the reversed texts before them: prefix polynomial
@@ -17,11 +18,11 @@ string is its anchor (leftmost and equal minima alike), so equal strings have eq
 Hashes only bring strings together: whole texts are told apart by SHA-256, all else by its bytes, in batches and in buckets.
 
 Scale: text moves once, compressed; equal contexts are merged in their batch and again in their bucket before
-sorting, so a passage in a third of all documents is one context per batch. No pairs are formed. Long texts are hashed
-in pieces; a batch holds its text, its anchors (one in 14 bytes) and the contexts of the common ones.
+sorting, so a passage in a third of all documents is one context per batch. No pairs are formed. Long texts are hashed, and
+contexts told apart, in pieces; a batch holds its text, numbers of its anchors (one in 14 bytes) and its distinct common contexts.
 
-Null and empty texts keep nothing. Rows with an equal doc_id are not earlier than one another. Null ids stand last and come back
-null. Extra columns are ignored, but for those named in carry.
+Null and empty texts keep nothing. Rows with an equal doc_id are not earlier than one another. Null ids stand last, behind any other,
+and come back null. Extra columns are ignored, but for those named in carry.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ MANY = 4096
 #: Bits of an anchor's hash in the first round, a filter only.
 PROBE_BITS = 44
 CHUNK = 1 << 18
+#: Anchors around which bytes are gathered at once.
+PIECE = 1 << 16
 #: Fixed primes and bases of the prefix hashes of suffix_sort.
 PRIMES, BASES = (2147483647, 2147483629), (1103515245, 1812433253)
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept {}"
@@ -57,14 +60,20 @@ def _slide(a: np.ndarray, width: int, take) -> np.ndarray:
     return take(a[: len(a) - (width - have)], a[width - have :]) if width > have else a
 
 
-def anchors(buf: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the grams that are smallest in some string of `length` bytes of one text."""
+def anchors(buf: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions and hashes of the grams that are smallest in some string of `length` bytes of one text, and their extents.
+
+    Of anchors less than a gram apart that follow one another with equal bytes around (a text that repeats itself), only the first is
+    given; its extent is how far the last one is from it.
+    """
     n, w = len(buf), length - gram + 1
     ends = np.zeros(n + 1, np.int32)  # strings that start near a text's end don't fit
     np.add.at(ends, np.maximum(offsets[:-1], offsets[1:] - (length - 1)), 1)
     np.add.at(ends, offsets[1:], -1)
-    fits = np.cumsum(ends[:-1], dtype=np.int32) == 0
-    out_p, out_h = [], []
+    np.cumsum(ends, out=ends)
+    fits = ends[:-1] == 0
+    del ends
+    out_p, out_h, out_x, before = [], [], [], None
     for a in range(0, n - gram + 1, CHUNK):
         b = min(a + CHUNK, n - gram + 1)
         lo, hi = max(0, a - w + 1), min(n - gram + 1, b + w - 1)
@@ -79,10 +88,42 @@ def anchors(buf: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tup
         best = _slide(padded, w, np.maximum)[:count]
         p = np.flatnonzero(best == g)
         p = p[(p >= a - lo) & (p < b - lo)]
-        out_p.append(p + lo)
-        out_h.append(g[p])
+        h, p = g[p], p + lo
+        if not len(p):
+            continue
+        again = _again(buf, offsets, p, h, before, length, gram)
+        first = np.flatnonzero(~again)
+        last = np.append(first[1:], len(p)) - 1
+        if again[0]:  # goes on from the piece before
+            out_x[-1][-1] += p[first[0] - 1 if len(first) else -1] - before[0]
+        out_p.append(p[first])
+        out_h.append(h[first])
+        out_x.append(p[last] - p[first])
+        if not len(first):  # the last anchor given keeps its place at the end of the lists
+            for out in (out_p, out_h, out_x):
+                out.pop()
+        before = p[-1], h[-1]
     none = np.zeros(0, np.int64)
-    return (np.concatenate(out_p), np.concatenate(out_h)) if out_p else (none, none.astype(T.U64))
+    return (np.concatenate(out_p), np.concatenate(out_h), np.concatenate(out_x)) if out_p else (none, none.astype(T.U64), none)
+
+
+def _again(buf: np.ndarray, offsets: np.ndarray, p: np.ndarray, h: np.ndarray, before: tuple | None, length: int, gram: int) -> np.ndarray:
+    """Which anchors come less than a gram after one with the same hash and the same `length` bytes on either side, in one text."""
+    from_, hash_ = (np.concatenate([[x], y[:-1]]) for x, y in zip(before or (-gram, h[0]), (p, h), strict=True))
+    step = p - from_
+    maybe = np.flatnonzero((step < gram) & (h == hash_))
+    out = np.zeros(len(p), bool)
+    if not len(maybe):
+        return out
+    doc = np.searchsorted(offsets, p[maybe], side="right") - 1
+    maybe = maybe[(from_[maybe] - length >= offsets[doc]) & (p[maybe] + length <= offsets[doc + 1])]
+    for d in np.unique(step[maybe]):
+        at = maybe[step[maybe] == d]
+        lo, hi = p[at[0]] - d - length, p[at[-1]] + length
+        like = np.zeros(hi - d - lo + 1, np.int32)  # how many bytes before each are like those d on
+        np.cumsum(buf[lo : hi - d] == buf[lo + d : hi], out=like[1:])
+        out[at] = like[p[at] + length - d - lo] - like[p[at] - d - length - lo] == 2 * length
+    return out
 
 
 def _extension(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -217,23 +258,26 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep:
         raw = b"".join(hashlib.sha256(buf[offsets[i] : offsets[i + 1]]).digest() for i in able)
         return able, np.frombuffer(raw, "<u8").reshape(-1, 4)
 
-    def classes(ids, buf, offsets):
+    def classes(rank, buf, offsets):
         """Texts in order of digest and id, their digests, and which begin a new digest."""
         able, digest = digests(buf, offsets)
-        order = np.lexsort((ids[able], *digest.T[::-1]))
+        order = np.lexsort((rank[able], *digest.T[::-1]))
         able, digest = able[order], digest[order]
         return able, digest, _beginnings(digest)
 
     def first(buf, offsets):
-        """Anchors, their documents, the sorted distinct (shortened) hashes, each anchor's place among these, and their numbers."""
-        p, h = anchors(buf, offsets, length, gram)
-        return p, h, np.searchsorted(offsets, p, side="right") - 1, *hashx.distinct((h >> cut) << cut)
+        """Anchors, their extents and documents, the sorted distinct (shortened) hashes, each anchor's place among these, and their numbers."""
+        p, h, extent = anchors(buf, offsets, length, gram)
+        return p, h, extent, np.searchsorted(offsets, p, side="right") - 1, *hashx.distinct((h >> cut) << cut)
 
     def around(buf, offsets, p, doc):
         """The bytes around anchors (0 beyond the text), and how many there are before and from the anchor on."""
         left, right = np.minimum(p - offsets[doc], back), np.minimum(offsets[doc + 1] - p, length)
-        padded = np.concatenate([np.zeros(back, np.uint8), buf, np.zeros(length, np.uint8)])
-        rows = np.lib.stride_tricks.sliding_window_view(padded, back + length)[p]
+        width = back + length
+        begin = np.clip(p - back, 0, max(len(buf) - width, 0))
+        rows = np.lib.stride_tricks.sliding_window_view(buf if len(buf) >= width else np.pad(buf, (0, width - len(buf))), width)[begin]
+        edge = np.flatnonzero(begin != p - back)  # the window ends where the batch does
+        rows[edge] = buf[np.clip(p[edge, None] + np.arange(-back, length), 0, max(len(buf) - 1, 0))]
         short = np.flatnonzero((left < back) | (right < length))
         column = np.arange(back + length)
         rows[short] *= (column >= back - left[short, None]) & (column < back + right[short, None])
@@ -242,12 +286,17 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep:
     def context_keys(rows, left, right):
         return T.row_hashes(rows) ^ T.mix(left.astype(T.U64) * T.U64(64) + right)
 
+    def keys_around(buf, offsets, p, doc):
+        """context_keys of anchors, a piece at a time."""
+        parts = [context_keys(*around(buf, offsets, p[i : i + PIECE], doc[i : i + PIECE])) for i in range(0, len(p), PIECE)]
+        return np.concatenate([np.zeros(0, T.U64), *parts])
+
     def ask_first(batch, ids, buf, offsets):
-        able, digest, new = classes(ids, buf, offsets)
+        able, digest, new = classes(hashx.ranks(ids), buf, offsets)
         if len(able):
             for bucket, *row in hashx.ask_rows(batch, digest[new][:, 0], n, rest=digest[new][:, 1:], ids=ids[able[new]]):
                 yield n + bucket, *row
-        p, h, doc, own, place, count = first(buf, offsets)
+        p, h, _, doc, own, place, count = first(buf, offsets)
         if not len(p):
             return
         order = np.argsort(place, kind="stable")
@@ -256,7 +305,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep:
         different = np.ones(len(own), np.uint32)
         again = np.flatnonzero(count[place] > 1)
         if len(again):
-            keys = context_keys(*around(buf, offsets, p[again], doc[again])) + h[again]
+            keys = keys_around(buf, offsets, p[again], doc[again]) + h[again]
             _, key_place, _ = hashx.distinct(keys)
             one = np.zeros(key_place.max() + 1, np.int64)
             one[key_place] = place[again]
@@ -265,11 +314,12 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep:
 
     def reply_texts(requests):
         ids, rest, h = (np.concatenate([r[k] for r in requests]) for k in ("ids", "rest", "hash"))
-        order = np.lexsort((ids, *rest.T[::-1], h))
+        rank = hashx.ranks(ids)
+        order = np.lexsort((rank, *rest.T[::-1], h))
         new = _beginnings(h[order], rest[order])
         least = np.empty(len(ids), np.int64)
-        least[order] = ids[order][new][np.cumsum(new) - 1]
-        return [{"copy": hashx.bits(x)} for x in hashx.parted(least < ids, requests)]
+        least[order] = rank[order][new][np.cumsum(new) - 1]
+        return [{"copy": hashx.bits(x)} for x in hashx.parted(least < rank, requests)]
 
     def reply_first(requests):
         if "rest" in requests[0]:
@@ -280,55 +330,63 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep:
         crowded = np.bincount(place, np.maximum(different - 1, 0)) > many
         return [{"hit": x.astype(np.uint8)} for x in hashx.parted((several * (1 + crowded))[place], requests)]
 
-    def common_anchors(ids, buf, offsets, given):
-        """Which texts are later copies; the common anchors of the others, and which of these are crowded."""
-        able, _, new = classes(ids, buf, offsets)
-        copy = np.zeros(len(ids), bool)
+    def common_anchors(rank, buf, offsets, given):
+        """Which texts are later copies; the common anchors of the others with their extents, and which of these are crowded."""
+        able, _, new = classes(rank, buf, offsets)
+        copy = np.zeros(len(rank), bool)
         if len(able):
             group = np.cumsum(new) - 1
-            copy[able] = (given["copy"][group] > 0) | (ids[able] > ids[able[new]][group])
-        p, h, doc, _, place, _ = first(buf, offsets)
+            copy[able] = (given["copy"][group] > 0) | (rank[able] > rank[able[new]][group])
+        p, h, extent, doc, _, place, _ = first(buf, offsets)
         if not len(p):
-            return copy, p, h, doc, np.zeros(0, bool)
+            return copy, p, h, extent, doc, np.zeros(0, bool)
         hit = given["hit"][place]
         kept = (hit > 0) & ~copy[doc]
-        return copy, p[kept], h[kept], doc[kept], hit[kept] > 1
-
-    def contexts(ids, buf, offsets, p, h, doc):
-        """Occurrences ordered by anchor, context and id, the bytes around, and which of them begin a new context."""
-        rows, left, right = around(buf, offsets, p, doc)
-        key = context_keys(rows, left, right)
-        order = np.lexsort((ids[doc], key, h))
-        p, h, doc, key, left, right = (x[order] for x in (p, h, doc, key, left, right))
-        rows = rows[order]
-        return p, h, doc, rows, left, right, _beginnings(h, key, left, right, rows)
-
-    def strings(ids, buf, offsets, p, doc):
-        """The strings around crowded anchors, ordered by hash and id: starts, documents, hashes, bytes, and which begin a new string."""
+        return copy, p[kept], h[kept], extent[kept], doc[kept], hit[kept] > 1
+
+    def contexts(rank, buf, offsets, p, h, doc):
+        """The order of occurrences by anchor, context and id, and which of them begin a new context."""
+        order = np.lexsort((rank[doc], keys_around(buf, offsets, p, doc), h))
+        p, h, doc = p[order], h[order], doc[order]
+        new = np.ones(len(p), bool)
+        for i in range(1, len(p), PIECE):  # bytes decide, a piece at a time, each with the row before it
+            j = min(i + PIECE, len(p))
+            new[i:j] = _beginnings(h[i - 1 : j], *around(buf, offsets, p[i - 1 : j], doc[i - 1 : j]))[1:]
+        return order, new
+
+    def strings(rank, buf, offsets, p, extent, doc):
+        """The strings around crowded anchors, ordered by hash and id: starts, extents, documents, hashes, bytes, and which begin a new string."""
         before, after = p - offsets[doc], offsets[doc + 1] - p
-        on = np.zeros(len(buf) + 1, bool)
+        on = np.full(len(buf) + 1, -1, np.int32)
         for o in range(back + 1):
-            on[p[(before >= o) & (after >= length - o)] - o] = True
-        start = np.flatnonzero(on)
+            there = (before >= o) & (after >= length - o)
+            at = p[there] - o
+            on[at] = np.maximum(on[at], extent[there])
+        start = np.flatnonzero(on >= 0)
         h = [T.gram_hashes(buf[a : a + CHUNK + length - 1], length)[start[(start >= a) & (start < a + CHUNK)] - a] for a in range(0, len(buf), CHUNK)]
         h, doc = np.concatenate([np.zeros(0, T.U64), *h]), np.searchsorted(offsets, start, side="right") - 1
-        order = np.lexsort((ids[doc], h))
+        order = np.lexsort((rank[doc], h))
         start, doc, h = start[order], doc[order], h[order]
         rows = np.lib.stride_tricks.sliding_window_view(buf, length)[start] if len(start) else np.zeros((0, length), np.uint8)
-        return start, doc, h, rows, _beginnings(h, rows)
+        return start, on[start], doc, h, rows, _beginnings(h, rows)
 
     def ask_contexts(batch, ids, buf, offsets, given):
-        _, p, h, doc, crowded = common_anchors(ids, buf, offsets, given)
+        rank = hashx.ranks(ids)
+        _, p, h, extent, doc, crowded = common_anchors(rank, buf, offsets, given)
         if crowded.any():
-            _, of, hashes, rows, new = strings(ids, buf, offsets, p[crowded], doc[crowded])
+            _, _, of, hashes, rows, new = strings(rank, buf, offsets, p[crowded], extent[crowded], doc[crowded])
             for bucket, *row in hashx.ask_rows(batch, hashes[new], fine, doc=ids[of[new]], text=rows[new]):
                 yield fine + bucket, *row
         if not crowded.all():
-            p, h, doc, rows, left, right, new = contexts(ids, buf, offsets, p[~crowded], h[~crowded], doc[~crowded])
-            yield from hashx.ask_rows(batch, h[new], fine, doc=ids[doc[new]], left=left[new], right=right[new], text=rows[new])
+            p, h, doc = p[~crowded], h[~crowded], doc[~crowded]
+            order, new = contexts(rank, buf, offsets, p, h, doc)
+            p, h, doc = (x[order[new]] for x in (p, h, doc))
+            rows, left, right = around(buf, offsets, p, doc)
+            yield from hashx.ask_rows(batch, h, fine, doc=ids[doc], left=left, right=right, text=rows)
 
     def reply_strings(requests):
         h, doc, text = (np.concatenate([r[k] for r in requests]) for k in ("hash", "doc", "text"))
+        doc = hashx.ranks(doc)
         spelled = np.ascontiguousarray(text).view(f"S{length}").ravel()  # equal hashes are told apart on the bytes
         order = np.lexsort((doc, spelled, h))
         new = _beginnings(h[order], text[order])
@@ -340,6 +398,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep:
         if "left" not in requests[0]:
             return reply_strings(requests)
         h, doc, left, right, text = (np.concatenate([r[k] for r in requests]) for k in ("hash", "doc", "left", "right", "text"))
+        doc = hashx.ranks(doc)
         # equal contexts of several batches become one, with their earliest document
         key = context_keys(text, left, right)
         order = np.lexsort((doc, key, h))
@@ -357,20 +416,38 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep:
         return [{"mask": x} for x in hashx.parted(mask, requests)]
 
     def result(ids, buf, offsets, given, given_contexts):
-        copy, p, h, doc, crowded = common_anchors(ids, buf, offsets, given)
-        starts = [np.zeros(0, np.int64)]
+        rank = hashx.ranks(ids)
+        copy, p, h, extent, doc, crowded = common_anchors(rank, buf, offsets, given)
+        change, on = np.zeros(len(buf) + 1, np.int32), np.zeros(len(buf), bool)
+
+        def cut_out(start, more):
+            """The strings that begin at start, and those up to `more` further on that repeat them."""
+            on[start] = True
+            start, more = start[more > 0], more[more > 0]
+            np.add.at(change, start, 1)
+            np.add.at(change, start + length + more, -1)
+
         if crowded.any():
-            start, of, _, _, new = strings(ids, buf, offsets, p[crowded], doc[crowded])
+            start, more, of, _, _, new = strings(rank, buf, offsets, p[crowded], extent[crowded], doc[crowded])
             place = np.cumsum(new) - 1
-            later = ids[of] > ids[of[new]][place]
-            starts.append(start[later | (given_contexts["early"][place] > 0)])
+            gone = (rank[of] > rank[of[new]][place]) | (given_contexts["early"][place] > 0)
+            cut_out(start[gone], more[gone])
         if not crowded.all():
-            p, h, doc, _, left, right, new = contexts(ids, buf, offsets, p[~crowded], h[~crowded], doc[~crowded])
+            p, h, extent, doc = (x[~crowded] for x in (p, h, extent, doc))
+            order, new = contexts(rank, buf, offsets, p, h, doc)
+            p, extent, doc = p[order], extent[order], doc[order]
             place = np.cumsum(new) - 1
-            later = ids[doc] > ids[doc[new]][place]
+            left, right = p - offsets[doc], offsets[doc + 1] - p
+            later = rank[doc] > rank[doc[new]][place]
             mask = np.where(later, np.uint32((1 << back + 1) - 1), given_contexts["mask"][place])
-            starts += [p[((mask >> np.uint32(o)) & 1 > 0) & (left >= o) & (right >= length - o)] - o for o in range(back + 1)]
-        gone = T.covered(np.concatenate(starts), length, len(buf)) if len(buf) else np.zeros(0, bool)
+            for o in range(back + 1):
+                gone = ((mask >> np.uint32(o)) & 1 > 0) & (left >= o) & (right >= length - o)
+                cut_out(p[gone] - o, extent[gone])
+        start = np.flatnonzero(on)
+        change[start] += 1
+        change[start + length] -= 1
+        gone = np.cumsum(change[:-1], out=change[:-1]) > 0
+        del change, on
         size = np.diff(offsets)
         for i in np.flatnonzero(copy):
             gone[offsets[i] : offsets[i + 1]] = True
@@ -387,14 +464,14 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep:
         elif keep == "string":
             kept = pa.array([t.decode(errors="ignore") for t in left_over], pa.string())
         return pa.table({
-            "doc_id": pa.array(ids), "n_bytes": pa.array(size), "n_removed": pa.array(size - np.diff(before)), "n_spans": pa.array(T.per_row(edge, offsets)),
+            "doc_id": pa.array(ids[:, 1]), "n_bytes": pa.array(size), "n_removed": pa.array(size - np.diff(before)), "n_spans": pa.array(T.per_row(edge, offsets)),
             "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in left_over]), "kept": kept,
         })
 
     packed = hashx.pack(docs, carry=carry)
-    common = hashx.answer(hashx.ask(packed, ask_first), reply_first)
-    masks = hashx.answer(hashx.ask_again(packed, common, ask_contexts), reply_contexts)
-    return hashx.finish(packed, [common, masks], result, SCHEMA.format(keep or "binary"), [docs.schema[c] for c in carry])
+    common = hashx.answer(hashx.ask(packed, ask_first, pairs=True), reply_first)
+    masks = hashx.answer(hashx.ask_again(packed, common, ask_contexts, pairs=True), reply_contexts)
+    return hashx.finish(packed, [common, masks], result, SCHEMA.format(keep or "binary"), [docs.schema[c] for c in carry], pairs=True)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import hashlib
 import importlib
 import itertools
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -135,6 +136,67 @@ def test_suffix_dedup(docs, rows, many):
     assert got(op8_suffix_dedup.suffix_dedup(docs, many=many), *op8_suffix_dedup.DIGEST) == bytes_dedup(rows)
 
 
+def repetitive(seed=4):
+    """Texts that repeat themselves after few bytes, alone and between others, with borders of all kinds."""
+    r = random.Random(seed)
+    units = [" ", "a", "ab", "aab", "abcabd", "-=", "é", "0123456789abcdefghijklm", "0123456789abcdefghijklmn", "one line of a table | 0.00 |\n"]
+    out = []
+    for i in range(120):
+        t = "".join((r.choice(units) * 400)[: r.choice([5, 49, 50, 51, 75, 99, 100, 101, 130, 400])] + r.choice(["", "x", f"<{i}>", "the same words between them all, more than fifty bytes of them"]) for _ in range(r.randrange(1, 6)))
+        out.append((r.randrange(90), t))
+    return out
+
+
+@pytest.mark.parametrize("many", [4096, 2, -1])
+def test_suffix_dedup_of_repetitive_texts(spark, monkeypatch, many):
+    rows = repetitive()
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got(op8_suffix_dedup.suffix_dedup(frame, many=many), *op8_suffix_dedup.DIGEST) == bytes_dedup(rows)
+
+
+@pytest.mark.parametrize("chunk", [64, 200, 1 << 18])
+def test_anchors_with_extents_stand_for_all(monkeypatch, chunk):
+    """Every string of a text has an anchor, or repeats one that has and that the extent reaches."""
+    monkeypatch.setattr(op8_suffix_dedup, "CHUNK", chunk)
+    enc = [t.encode() for _, t in repetitive(9)[:40]]
+    buf, off = np.frombuffer(b"".join(enc), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in enc])])
+    p, h, extent = op8_suffix_dedup.anchors(buf, off, 50, 24)
+    assert (np.diff(p) > 0).all() and len(p) == len(h) == len(extent) and extent.max() > 200
+    reached = np.zeros(len(buf) + 1, bool)
+    for a, x in zip(p, extent, strict=True):
+        lo, hi = max(0, a - 26), a + x + 1
+        reached[lo:hi] = True
+        assert x == 0 or all(len(set(buf[k::d][: x // d].tolist())) == 1 for d in [next(d for d in range(1, 24) if (buf[a - 50 : a + x + 50 - d] == buf[a - 50 + d : a + x + 50]).all())] for k in range(a, a + d))
+    for lo, hi in zip(off[:-1], off[1:], strict=True):
+        assert reached[lo : max(lo, hi - 49)].all()
+
+
+@pytest.mark.parametrize("unit", [" ", "ab", "0123456789abcdefghijklm"])
+def test_suffix_dedup_of_long_repetitive_texts(spark, unit):
+    """16 MB that repeat a few bytes: anchors are few, and a worker holds some tens of bytes for each byte at most."""
+    n = 16 << 20
+    long = (unit * (n // len(unit) + 1))[:n]
+    tracemalloc.start()
+    p, _, extent = op8_suffix_dedup.anchors(np.frombuffer(long.encode(), np.uint8), np.array([0, n]), 50, 24)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(p) < 300 and extent.max() > n - 300 and peak < 300 << 20
+    rows = [(1, long[: n // 4]), (2, "<" + long[: n // 8] + ">"), (3, "no"), (4, long[: n // 4] + "!")]
+    out = {r["doc_id"]: r for r in op8_suffix_dedup.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string"), keep=None).collect()}
+    assert [out[i]["n_removed"] for i in (1, 2, 3, 4)] == [0, n // 8, 0, n // 4]
+    assert out[2]["kept_sha256"] == sha(b"<>") and out[4]["kept_sha256"] == sha(b"!")
+
+
+def test_suffix_dedup_of_reserved_ids(spark):
+    """The largest and the smallest id are ids like others; null stands behind them."""
+    far = " ".join(f"w{i}" for i in range(60))
+    rows = [(2**63 - 1, far), (None, far + "!"), (None, far + "?"), (-(2**63), "x" + far[:99]), (5, "w")]
+    for many in (4096, -1):
+        out = op8_suffix_dedup.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string"), keep="string", many=many)
+        seen = {(r["doc_id"], r["kept"]) for r in out.collect()}
+        assert seen == {(-(2**63), "x" + far[:99]), (2**63 - 1, far[99:]), (None, "!"), (None, "?"), (5, "w")}
+
+
 def test_suffix_sort_verifies(monkeypatch):
     """With hashes that are all equal the sort goes astray, which the bytes show."""
     r = np.random.default_rng(1)
