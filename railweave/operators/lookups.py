@@ -47,13 +47,13 @@ def first_label(df: DataFrame, key: str, rule: Column, labels: Sequence[str], or
 def times_of_stop(times: DataFrame, stop_map: DataFrame, stop_id: str) -> DataFrame:
     """JON-01 for one canonical stop: the stop times that map to it, with it as their stop_id.
 
-    The stop is turned into its raw ids first, so the rest of the stop times is left behind at the scan.
+    Only the map's rows that name the stop, as a canonical or as a raw one, meet the stop times, in one scan of these: a stop time is
+    kept where its raw id maps to the stop, or is the stop's own id and the map has nothing for it.
     """
-    m = stop_map.select("operator_id", F.col("raw_stop_id").alias("_raw"), "canonical_id")
-    raw = m.filter(F.col("canonical_id") == stop_id).select("operator_id", "_raw")
-    own = times.filter(F.coalesce("stop_id", F.lit("nan")) == stop_id).join(m, (times["operator_id"] == m["operator_id"]) & (m["_raw"] == stop_id), "left_anti")
-    hit = times.withColumn("_raw", F.coalesce("stop_id", F.lit("nan"))).join(raw, ["operator_id", "_raw"], "left_semi").drop("_raw")
-    return hit.select(*times.columns).unionByName(own.select(*times.columns)).withColumn("stop_id", F.lit(stop_id))
+    m = stop_map.filter((F.col("canonical_id") == stop_id) | (F.col("raw_stop_id") == stop_id)).select(F.col("operator_id").alias("_op"), F.col("raw_stop_id").alias("_raw"), F.col("canonical_id").alias("_canonical"))
+    raw = F.coalesce("stop_id", F.lit("nan"))
+    hit = times.join(m, (F.col("operator_id") == F.col("_op")) & (raw == F.col("_raw")), "left").filter(F.coalesce("_canonical", raw) == stop_id)
+    return hit.select(*times.columns).withColumn("stop_id", F.lit(stop_id))
 
 
 def last_by(df: DataFrame, keys: Sequence[str], value: Column, order: Sequence[Column | str]) -> DataFrame:

@@ -10,9 +10,10 @@ import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from railweave import schemas
 from railweave.operators import lookups
 from railweave.plans import derived as d, ingest, sinks
-from railweave.sources import feeds
+from railweave.sources import feeds, landed
 from railweave.sources.session import scratch, ship, written
 
 OPERATORS = ["SNCF", "EUROSTAR", "RENFE"]
@@ -112,8 +113,17 @@ def stations(spark: SparkSession, sf: str) -> str:
     return f"{folder}/{name}"
 
 
-#: Tables that a session has harmonised already, for the queries that share them.
+#: What a session has landed and harmonised already, for the queries that share it.
 _done: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_landed: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def _feeds(spark: SparkSession, sf: str) -> dict[str, str]:
+    """Landed folders of the three operators."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _landed or not all(map(landed.is_landed, _landed[key].values())):
+        _landed[key] = landed.land(spark, archives(spark, sf), scratch(spark, "landed"))
+    return _landed[key]
 
 
 def _harmonized(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -135,7 +145,7 @@ def _ingested(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
     with fs.open_output_stream(at) as out:
         out.write(json.dumps([*({"id": o, "gtfs_url": "landed", "transport_types": ["Train"]} for o in OPERATORS), {"id": "OFF", "enabled": False, "gtfs_url": "x"}, {"id": "NONE", "gtfs_url": ""}]).encode())
-    sources = ingest.landed(feeds.read_catalog(spark, path), archives(spark, sf) | {"OFF": "off.zip", "NONE": "none.zip"})
+    sources = ingest.landed(feeds.read_catalog(spark, path), _feeds(spark, sf) | {"OFF": "off.zip", "NONE": "none.zip"})
     return ingest.harmonized(spark, sources, stations(spark, sf), today=d.START)
 
 
@@ -171,7 +181,18 @@ def feed_orphans(spark: SparkSession, sf: str) -> DataFrame:
     return lookups.orphans(tables["stop_times"], tables["trips"], "trip_id").groupBy("operator_id").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (feed_stops, feed_routes, feed_trips, feed_stop_times, feed_calendar, feed_orphans)}
+def feed_trip_calls(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-05, SRC-06, SRC-08: the calls of some trips, with their places in the member; the filter reaches the source, which reads the
+    pieces of the landed member that can hold these trips."""
+    calls = feeds.read_member(spark, _feeds(spark, sf)["SNCF"], "stop_times.txt", schemas.MEMBERS["stop_times.txt"])
+    return calls.filter(F.col("trip_id").isin(*TRIPS)).select(F.col("_row").alias("place"), "trip_id", "stop_id", F.trim("stop_sequence").alias("stop_sequence"), "departure_time")
+
+
+#: Trips of feed_trip_calls.
+TRIPS = ["102", "3000", "300", "4"]
+
+
+QUERIES = {f.__name__: f for f in (feed_trip_calls, feed_stops, feed_routes, feed_trips, feed_stop_times, feed_calendar, feed_orphans)}
 
 # ------------------------------------------------------------------------------------------------ the same in SQL
 
@@ -205,6 +226,8 @@ def oracle(by_stop_id: Callable[[str], str], by_route_names: Callable[[str, str]
         "feed_trips": rf"""WITH {_BASE} SELECT op || '_' || trip_id AS trip_id, op || '_' || o_custkey AS route_id, op || '_' || o_orderkey AS service_id, CASE op WHEN 'SNCF' THEN o_orderpriority
   WHEN 'EUROSTAR' THEN coalesce(nullif(regexp_extract(trip_id, '(\d{{3,5}})', 1), ''), trip_id) ELSE coalesce(nullif(CASE WHEN regexp_matches(trim(short), '^\d+$') THEN regexp_replace(trim(short), '^0+([0-9])', '\1') ELSE trim(short) END, ''), regexp_replace(regexp_extract(trip_id, '(\d{{4,5}})', 1), '^0+([0-9])', '\1')) END AS trip_headsign, op AS operator_id FROM ac""",
         "feed_stop_times": f"WITH {_BASE} SELECT st.op || '_' || trip_id AS trip_id, canonical AS stop_id, stop_sequence, CAST(dep_min AS INTEGER) AS dep_min, st.op AS operator_id FROM st JOIN cs ON cs.op = st.op AND cs.k = l_suppkey",
+        "feed_trip_calls": f"""WITH {_BASE}, n AS (SELECT *, row_number() OVER (ORDER BY k * 16 + stop_sequence, l_partkey * 16777216 + l_suppkey) - 1 AS place FROM st WHERE op = 'SNCF')
+  SELECT place, trip_id, {_typed('l_suppkey')} AS stop_id, CAST(stop_sequence AS VARCHAR) AS stop_sequence, CASE WHEN l_partkey % 101 <> 0 THEN printf('%02d:%02d:00', dep_min // 60, dep_min % 60) END AS departure_time FROM n WHERE trip_id IN ('{"', '".join(TRIPS)}')""",
         "feed_calendar": f"WITH {_BASE} SELECT op || '_' || service_id AS service_id, date, exception_type, op AS operator_id FROM cd",
         "feed_orphans": f"WITH {_BASE} SELECT op AS operator_id, count(*) AS n FROM st WHERE k NOT IN (SELECT o_orderkey FROM ac) GROUP BY op",
     }

@@ -89,10 +89,11 @@ def _harmonized_feed(spark: SparkSession, op: str, path: str, mapping: DataFrame
 def route_types(stops: DataFrame, times: DataFrame, trips: DataFrame) -> DataFrame:
     """AGG-01, AGG-02, JON-02 to JON-04: (route_id, value): stop ids give types to trips, and trips, active or not, to routes.
 
-    Each stop id is classified once; until routes have their type, it is the number of a rule.
+    Each stop id is classified once, and the map is written before it is filtered: else the optimizer applies the rules to every stop time,
+    to filter them by the join's key. Until routes have their type, it is the number of a rule.
     """
-    typed = stops.select("stop_id", rules.index_of(rules.STOP_ID_RULES, F.col("stop_id")).alias("rule")).filter("rule IS NOT NULL").dropDuplicates(["stop_id"])
-    of_trips = lookups.first_by(times.join(typed, "stop_id"), "trip_id", "rule", ["_row"])
+    typed = written(stops.select("stop_id", rules.index_of(rules.STOP_ID_RULES, F.col("stop_id")).alias("rule")).dropDuplicates(["stop_id"]), "types")
+    of_trips = lookups.first_by(times.join(typed.filter("rule IS NOT NULL"), "stop_id"), "trip_id", "rule", ["_row"])
     return lookups.first_label(trips.join(of_trips, "trip_id"), "route_id", F.col("value"), rules.labels_of(rules.STOP_ID_RULES), "_row")
 
 

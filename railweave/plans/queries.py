@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from railweave.functions import geo, rules, text, times
 from railweave.operators import lookups, resolve
 from railweave.plans import derived as d, feed_queries, timetable
+from railweave.sources.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -145,11 +146,14 @@ def _typed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _first_types(spark: SparkSession, sf: str, rule_set: rules.Rules, otherwise: int | None) -> DataFrame:
-    """trip_id and the type (value) of its first call that has one: each stop is classified once, calls carry the rule's number."""
+    """trip_id and the type (value) of its first call that has one: each stop is classified once, calls carry the rule's number.
+
+    The map of stops is written before it is filtered: else the optimizer applies the rules to every call too, to filter them by the join's key.
+    """
     calls = _typed(spark, sf)
     number = rules.index_of(rule_set, F.expr(d.typed_stop_id("l_suppkey")))
     stops = calls.select("l_suppkey").distinct().select("l_suppkey", (number if otherwise is None else F.coalesce(number, F.lit(otherwise))).alias("rule"))
-    return lookups.first_label(calls.join(stops.filter("rule IS NOT NULL"), "l_suppkey"), "trip_id", F.col("rule"), [*rules.labels_of(rule_set), "Car TER"], "_row")
+    return lookups.first_label(calls.join(written(stops, "types").filter("rule IS NOT NULL"), "l_suppkey"), "trip_id", F.col("rule"), [*rules.labels_of(rule_set), "Car TER"], "_row")
 
 
 _TRIP_TYPES = f"SELECT trip_id, arg_min(ty, {_FIRST}) AS train_type FROM (SELECT *, {_by_stop_id('stop_id')} AS ty FROM ({_TYPED})) WHERE ty IS NOT NULL GROUP BY trip_id"

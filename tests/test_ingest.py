@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from railweave.operators import lookups
 from railweave.plans import ingest, sinks
-from railweave.sources import feeds
+from railweave.sources import feeds, landed
 from railweave.streaming import landing
 
 
@@ -19,8 +19,8 @@ def archive(path, **members):
     return str(path)
 
 
-@pytest.fixture
-def three(tmp_path):
+@pytest.fixture(params=["archives", "landed"])
+def three(tmp_path, request):
     a = archive(
         tmp_path / "a.zip",
         stops='stop_id,stop_name,stop_lat,stop_lon\nStopPoint:OCETrain TER-87686006,"Gare de Lyon, Paris",48.8443,2.3744\nStopPoint:bus-1,Lyon,45.76,4.86\nStopArea:x,NA,,\n',
@@ -44,7 +44,10 @@ def three(tmp_path):
         stop_times="trip_id,arrival_time,departure_time,stop_id,stop_sequence\nt9,10:00,10:01,12346,1\n",
         calendar_dates="service_id,date\ns,20240116\n",
     )
-    return [("SNCF", a, ["Car TER"]), ("EUROSTAR", b, ["Eurostar"]), ("RENFE", c, ["AVE"])]
+    paths = {"SNCF": a, "EUROSTAR": b, "RENFE": c}
+    if request.param == "landed":
+        paths = landed.land(request.getfixturevalue("spark"), paths, str(tmp_path / "landed"), 64)
+    return [(op, paths[op], types) for op, types in (("SNCF", ["Car TER"]), ("EUROSTAR", ["Eurostar"]), ("RENFE", ["AVE"]))]
 
 
 def rows(df, *columns):

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import math
+import random
 
+import pytest
 from hypothesis import HealthCheck, Phase, given, settings, strategies as st
 
 from railweave.operators import resolve
@@ -52,3 +54,55 @@ def test_same_as_one_by_one(spark, stops, last):
 def test_numbering_over_ranges(spark):
     df = spark.range(0, 10).selectExpr("id * 50000 AS ord")
     assert [(r["ord"], r["n"]) for r in resolve.numbered(df, "ord").orderBy("ord").collect()] == [(i * 50000, i + 1) for i in range(10)]
+
+
+def spread(n, seed, names, width, codes=0):
+    """Stops at random points of a square of so many degrees."""
+    r = random.Random(seed)
+    return [(i, "SNCF", f"s{i}", "", "N", 48 + r.random() * width, 2 + r.random() * width, f"8700{r.randrange(codes):04d}" if codes and r.random() < 0.3 else "", r.choice(names)) for i in r.sample(range(3 * n), n)]
+
+
+@pytest.mark.parametrize("last", [resolve.LAST, 40])
+def test_crowds_of_many_names(spark, last):
+    """Names that hold one another in all ways, short and empty ones among them, in a few crowded cells and over them."""
+    r = random.Random(1)
+    names = ["", "a", "b", "ab", *("".join(r.choice("ab c") for _ in range(r.randrange(1, 8))).strip() for _ in range(60))]
+    for width, codes in ((0.0012, 0), (0.01, 12)):
+        rows = spread(250, 2, names, width, codes)
+        got = resolve.resolve(spark.createDataFrame(rows, SCHEMA).repartition(3), last=last)
+        assert {x["ord"]: (x["founder"], x["how"], x["canonical_id"]) for x in got.collect()} == one_by_one(sorted(rows))
+        near = {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and metres(a[5:7], b[5:7]) <= 100 and (a[8] in b[8] or b[8] in a[8])}
+        assert {(x["a"], x["b"]) for x in resolve.near_pairs(spark.createDataFrame(rows, SCHEMA)).collect()} == near
+
+
+def test_a_crowd_on_one_square_metre(spark):
+    """50,000 stops with as many names, a third of them the same: matching names cost, pairs of stops don't."""
+    n = 50_000
+    rows = [(i, "SNCF", f"s{i}", "", "N", 48 + i % 97 * 1e-8, 2 + i % 89 * 1e-8, "", "lyon" if i % 3 == 0 else f"stop {i}") for i in range(n)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(8)
+    links = resolve.matching_groups(frame).count()
+    assert links < 2 * n
+    got = resolve.resolve(frame)
+    assert got.filter("how = 'founder'").count() == 1 + sum(1 for i in range(n) if i % 3 and not any(int(str(i)[:k]) % 3 for k in range(1, len(str(i)))))
+
+
+def test_a_chain_of_a_hundred_thousand(spark):
+    """Each stop is near the one before it: one component, whose every second stop founds."""
+    n = 100_000
+    frame = spark.range(n).selectExpr("id AS ord", "'SNCF' AS operator_id", "CAST(id AS STRING) AS raw_stop_id", "'' AS stop_code", "'N' AS raw_name", "0D AS stop_lat", "id * 0.0008 AS stop_lon", "'' AS uic", "'halt' AS norm_name")
+    got = resolve.resolve(frame)
+    assert got.filter("how = 'founder'").count() == n // 2 and got.filter("ord - founder <> ord % 2").count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 900])
+def test_components(spark, n):
+    """Paths, stars and a cycle that many tasks see in part."""
+    r = random.Random(n)
+    edges = [(i, i + 1) for i in range(n)] + [(5000, 5000 + i) for i in range(1, n)] + [(9000 + i, 9000 + (i + 1) % n) for i in range(n)]
+    r.shuffle(edges)
+    want = {}
+    for lo, hi in ((0, n), (5000, 4999 + n), (9000, 8999 + n)):
+        want |= {v: lo for v in range(lo, hi + 1) if any(v in e for e in edges)}
+    frame = spark.createDataFrame(edges, "a long, b long")
+    for parts in (1, 7):
+        assert {x["v"]: x["component"] for x in resolve.components(frame.repartition(parts)).collect()} == want
