@@ -95,7 +95,7 @@ def near_pairs(nodes: DataFrame, radius: float = RADIUS_M) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(v, component) of the vertices of edges (a, b), all longs: the component's smallest vertex.
 
-    Tasks first replace their own edges by stars. What several tasks saw is joined by labels that are handed to neighbours and to the
+    Tasks, no more than the edges' bytes ask for, first replace their own edges by stars. What several tasks saw is joined by labels that are handed to neighbours and to the
     labels' own vertices, and that jump to their label's label, so they settle in a number of rounds that is logarithmic in a path's length.
     """
     spark = edges.sparkSession
@@ -119,7 +119,7 @@ def components(edges: DataFrame) -> DataFrame:
             some = vertices[i : i + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([top(v) for v in some], pa.int64()), pa.array([part] * len(some), pa.int32())], ["v", "f", "part"])
 
-    local = written(edges.select("a", "b").mapInArrow(stars, "v long, f long, part int"), "stars")
+    local = written(edges.select("a", "b").hint("rebalance").mapInArrow(stars, "v long, f long, part int"), "stars")
     if local.agg(F.count_distinct("part")).first()[0] <= 1:
         return local.select("v", F.col("f").alias("component"))
     links = local.filter("v <> f").select(F.col("v").alias("a"), F.col("f").alias("b"))
@@ -222,8 +222,9 @@ def decided(raw: DataFrame, radius: float, last: int) -> DataFrame:
     of = lambda df, v: df.withColumn("_v", v).join(graph, "_v", "left").withColumn("component", F.coalesce("component", "_v")).drop("_v")
     parted = written(of(stops, vertex), "parted")
     sizes = parted.groupBy("component").agg(F.count("*").alias("n"))
-    large = written(sizes.filter(F.col("n") > last).select("component"), "large")
-    n, some = parted.count(), bool(large.take(1))
+    n, most = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    some = most > last
+    large = written(sizes.filter(F.col("n") > last).select("component"), "large") if some else None
     buckets = max(1, -(-n // LAST), min(n // 1000, int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     own = of(links, group)
     small, near = (df.join(large, "component", "left_anti") if some else df for df in (parted, own))

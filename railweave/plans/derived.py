@@ -37,7 +37,8 @@ TRIPS = "SELECT CAST(o_orderkey AS VARCHAR) AS trip_id, CAST(o_custkey AS VARCHA
 def stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One call per line item; hours go beyond 24, and every 101st departure is missing."""
     minute = F.col("l_partkey") * 7 % 1600
-    clock = F.format_string("%02d:%02d:00", F.expr("(l_partkey * 7 % 1600) div 60"), minute % 60)
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    clock = F.concat(two(F.expr("(l_partkey * 7 % 1600) div 60")), F.lit(":"), two(minute % 60), F.lit(":00"))
     return load(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("trip_id"), F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("stop_id"), F.col("l_linenumber").cast("string").alias("stop_sequence"),
         F.when(F.col("l_partkey") % 101 != 0, clock).alias("departure_time"), F.lit("SNCF").alias("operator_id"), "l_partkey", "l_quantity", "l_extendedprice",

@@ -84,17 +84,20 @@ def archives(spark: SparkSession, sf: str) -> dict[str, str]:
                     f.close()
 
         for b in batches:
-            for o, m, line in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            ops, members = (b.column(i).to_pylist() for i in (0, 1))
+            starts = [i for i in range(len(ops)) if not i or (ops[i], members[i]) != (ops[i - 1], members[i - 1])]
+            for i, j in zip(starts, [*starts[1:], len(ops)], strict=True):
+                o, m = ops[i], members[i]
                 if o != op:
                     close()
                     op, member, out, raw = o, None, None, fs.open_output_stream(f"{at}/{o}.zip")
-                    archive = zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED)
+                    archive = zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED, compresslevel=1)
                     done.append(o)
                 if m != member:
                     if out:
                         out.close()
                     member, out = m, archive.open(m, "w", force_zip64=True)
-                out.write((line + "\n").encode())
+                out.write(("\n".join(b.column(2).slice(i, j - i).to_pylist()) + "\n").encode())
         close()
         yield pa.RecordBatch.from_arrays([pa.array(done, pa.string())], ["op"])
 
