@@ -61,12 +61,23 @@ def _line(columns: list[str]) -> Column:
     return F.concat_ws(",", *quoted)
 
 
-def archives(spark: SparkSession, sf: str) -> dict[str, str]:
-    """Writes an archive for each operator, by a task each that streams its sorted lines; returns their paths."""
+#: Members that an operator's plain archive does not have.
+_LEFT_OUT = [("EUROSTAR", "stop_times.txt"), ("EUROSTAR", "calendar_dates.txt")]
+
+
+def archives(spark: SparkSession, sf: str, plain: bool = False) -> dict[str, str]:
+    """Writes an archive for each operator, by a task each that streams its sorted lines; returns their paths.
+
+    plain: with valid dates only, as the plans without resolution need them, and without some members.
+    """
     ship(spark)
     folder, lines = scratch(spark, "feeds"), None
     for number, (member, (df, columns)) in enumerate(_members(spark, sf).items()):
+        if plain and "date" in columns:
+            df = df.filter("date <> '19981399'")
         for op in OPERATORS:
+            if plain and (op, member) in _LEFT_OUT:
+                continue
             kept = [c for c in columns if c not in _ABSENT.get((op, member), [])]
             head = spark.createDataFrame([(op, number, member, -1, 0, ("﻿" if op == "SNCF" else "") + ",".join(kept))], "op string, number int, member string, ord long, tie long, line string")
             rows = df.filter(F.col("op") == op).select("op", F.lit(number).alias("number"), F.lit(member).alias("member"), F.col("ord").cast("long"), "tie", _line(kept).alias("line"))
@@ -195,7 +206,76 @@ def feed_trip_calls(spark: SparkSession, sf: str) -> DataFrame:
 TRIPS = ["102", "3000", "300", "4"]
 
 
-QUERIES = {f.__name__: f for f in (feed_trip_calls, feed_stops, feed_routes, feed_trips, feed_stop_times, feed_calendar, feed_orphans)}
+def feed_report(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-09, AGG-07: the counters as a JSON file, read back."""
+    path = f"{scratch(spark, 'report')}.json"
+    sinks.write_report(_harmonized(spark, sf)["report"], path)
+    return spark.read.schema("total_raw_stops long, unique_canonical_stops long, merges_uic long, merges_geoloc long").option("multiLine", True).json(path)
+
+
+def feed_stop_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-10: the source ids of canonical stops as JSON lists."""
+    return _harmonized(spark, sf)["stops"].select("stop_id", sinks.json_list(F.col("source_stop_ids")).alias("source_stop_ids"))
+
+
+def feed_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-06, SNK-08: stop times in files of about a MiB, written anew in their layout."""
+    folder = scratch(spark, "tables")
+    sinks.write_tables({name: df for name, df in _harmonized(spark, sf).items() if name == "stop_times"}, folder)
+    sinks.compact(spark, folder, "stop_times", target_mib=1)
+    return spark.read.parquet(f"{folder}/stop_times").select("trip_id", "stop_id", "stop_sequence", "dep_min", "operator_id")
+
+
+_plain: dict[tuple[str, str], tuple[dict[str, str], dict[str, DataFrame]]] = {}
+
+
+def _plain_feeds(spark: SparkSession, sf: str) -> tuple[dict[str, str], dict[str, DataFrame]]:
+    """Plain archives, and the generic plan's tables of them: the third lacks a column and a fourth its archive, so both are left out."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _plain or not all(map(_there, _plain[key][1].values())):
+        paths = archives(spark, sf, plain=True)
+        sources = [("SNCF", paths["SNCF"], ["Car TER"]), ("EUROSTAR", paths["EUROSTAR"], []), ("RENFE", paths["RENFE"], ["Train"]), ("NONE", f"{scratch(spark, 'none')}.zip", [])]
+        _plain[key] = paths, {name: written(df, name) for name, df in ingest.generic(spark, sources).items()}
+    return _plain[key]
+
+
+def generic_stops(spark: SparkSession, sf: str) -> DataFrame:
+    """E2, ERR-01: PRJ-01, STR-06, NUM-02 over archives, without those at fault."""
+    return _plain_feeds(spark, sf)[1]["stops"]
+
+
+def generic_routes(spark: SparkSession, sf: str) -> DataFrame:
+    """E2: CLS-03."""
+    return _plain_feeds(spark, sf)[1]["routes"]
+
+
+def generic_trips(spark: SparkSession, sf: str) -> DataFrame:
+    """E2: JON-09, AGG-03, CLS-06, for one operator from an archive without stop times (SRC-04)."""
+    return _plain_feeds(spark, sf)[1]["trips"]
+
+
+def generic_stop_times(spark: SparkSession, sf: str) -> DataFrame:
+    """E2: DAT-03, NUM-03."""
+    return _plain_feeds(spark, sf)[1]["stop_times"].select("trip_id", "stop_id", "stop_sequence", "dep_min")
+
+
+def generic_calendar(spark: SparkSession, sf: str) -> DataFrame:
+    """E2: DAT-02, for one operator from an archive without dates (SRC-04)."""
+    return _plain_feeds(spark, sf)[1]["calendar_dates"]
+
+
+def single_routes(spark: SparkSession, sf: str) -> DataFrame:
+    """E3: CLS-04."""
+    return ingest.single_feed(spark, _plain_feeds(spark, sf)[0]["SNCF"])["routes"]
+
+
+def single_stop_times(spark: SparkSession, sf: str) -> DataFrame:
+    """E3: ids as they are."""
+    return ingest.single_feed(spark, _plain_feeds(spark, sf)[0]["SNCF"])["stop_times"].select("trip_id", "stop_id", "stop_sequence", "dep_min")
+
+
+_GENERIC = (feed_report, feed_stop_sources, feed_compacted, generic_stops, generic_routes, generic_trips, generic_stop_times, generic_calendar, single_routes, single_stop_times)
+QUERIES = {f.__name__: f for f in (*_GENERIC, feed_trip_calls, feed_stops, feed_routes, feed_trips, feed_stop_times, feed_calendar, feed_orphans)}
 
 # ------------------------------------------------------------------------------------------------ the same in SQL
 
@@ -212,8 +292,11 @@ ac AS (SELECT * FROM tr WHERE o_orderkey IN (SELECT CAST(service_id AS BIGINT) F
 st AS (SELECT {_OP.format(k='CAST(trip_id AS BIGINT)')} AS op, CAST(trip_id AS BIGINT) AS k, {_TRIP_ID.format(op=_OP.format(k='CAST(trip_id AS BIGINT)'), k='trip_id')} AS trip_id, l_suppkey, l_partkey, l_quantity, stop_sequence, dep_min FROM ({d.STOP_TIMES}))"""
 
 
-def oracle(by_stop_id: Callable[[str], str], by_route_names: Callable[[str, str], str]) -> dict[str, str]:
+def oracle(by_stop_id: Callable[[str], str], by_route_names: Callable[[str, str], str], by_agency: Callable[[str, str], str], by_stop_name: Callable[[str, str], str]) -> dict[str, str]:
     """SQL for each query; the arguments write out the type rules for an SQL expression."""
+    agency = f"coalesce({d.agency('o_custkey')}, '')"
+    calls = "SELECT trip_id, {typed} AS stop_id, stop_sequence, CAST(dep_min AS INTEGER) AS dep_min FROM st WHERE op = 'SNCF'".format(typed=_typed("l_suppkey"))
+    default = "CASE op WHEN 'SNCF' THEN 'Car TER' ELSE 'Train' END"
     name = "CASE WHEN op = 'RENFE' THEN 'Estación ' || place ELSE s_name END"
     known = "code LIKE '87%' AND k % 5 = 0"
     long_name = d.long_name("c_custkey")
@@ -221,6 +304,17 @@ def oracle(by_stop_id: Callable[[str], str], by_route_names: Callable[[str, str]
   WHEN 'RENFE' THEN {by_route_names(f"'R ' || coalesce(nullif({long_name}, ''), 'nan') || ' ' || c_custkey", f"coalesce(nullif(trim(coalesce(nullif({long_name}, ''), 'nan')), ''), 'Train Renfe')")} ELSE coalesce(ty, 'Train SNCF') END AS train_type
   FROM customer CROSS JOIN ops LEFT JOIN rt ON rt.o_custkey = c_custkey AND op = 'SNCF'"""
     return {
+        "feed_report": f"WITH {_BASE} SELECT count(*) AS total_raw_stops, count(*) FILTER (WHERE founds) AS unique_canonical_stops, count(*) FILTER (WHERE NOT founds AND code <> '') AS merges_uic, count(*) FILTER (WHERE NOT founds AND code = '') AS merges_geoloc FROM fo",
+        "feed_stop_sources": f"""WITH {_BASE} SELECT canonical AS stop_id, '[' || string_agg('"' || op || ':' || raw || '"', ', ' ORDER BY op_no, k) || ']' AS source_stop_ids FROM cs GROUP BY canonical""",
+        "generic_stops": rf"WITH {_BASE} SELECT op || '_' || raw AS stop_id, s_name AS stop_name, CAST(NULL AS DOUBLE) AS stop_lat, CAST(NULL AS DOUBLE) AS stop_lon, nullif(regexp_extract(op || '_' || raw, '(\d+)', 1), '') AS clean_uic FROM rs WHERE op <> 'RENFE'",
+        "generic_routes": f"WITH {_BASE} SELECT op || '_' || o_custkey AS route_id, {by_agency(agency, default)} AS train_type FROM (SELECT c_custkey AS o_custkey FROM customer), ops WHERE op <> 'RENFE'",
+        "generic_trips": f"""WITH {_BASE}, f AS (SELECT k, arg_min({by_stop_name(_typed('l_suppkey'), "'Car TER'")}, (stop_sequence, l_partkey, l_suppkey)) AS ty FROM st WHERE op = 'SNCF' GROUP BY k)
+  SELECT op || '_' || trip_id AS trip_id, op || '_' || o_custkey AS route_id, op || '_' || o_orderkey AS service_id, o_orderpriority AS trip_headsign, coalesce(ty, {by_agency(agency, default)}) AS train_type, op AS operator_id FROM tr LEFT JOIN f ON k = o_orderkey WHERE op <> 'RENFE'""",
+        "generic_stop_times": f"WITH {_BASE} SELECT 'SNCF_' || trip_id AS trip_id, 'SNCF_' || stop_id AS stop_id, stop_sequence, dep_min FROM ({calls})",
+        "generic_calendar": f"SELECT 'SNCF_' || service_id AS service_id, date, exception_type FROM ({d.CALENDAR}) WHERE CAST(service_id AS BIGINT) % 3 = 0 AND date IS NOT NULL",
+        "single_routes": f"SELECT CAST(c_custkey AS VARCHAR) AS route_id, CASE WHEN contains(upper(coalesce({d.agency('c_custkey')}, '')), 'CHANNEL') THEN 'EUROSTAR CHANNEL' WHEN contains(upper(coalesce({d.agency('c_custkey')}, '')), 'CONTINENTAL') THEN 'EUROSTAR CONTINENTAL' ELSE 'EUROSTAR' END AS train_type FROM customer",
+        "single_stop_times": f"WITH {_BASE} {calls}",
+        "feed_compacted": f"WITH {_BASE} SELECT st.op || '_' || trip_id AS trip_id, canonical AS stop_id, stop_sequence, CAST(dep_min AS INTEGER) AS dep_min, st.op AS operator_id FROM st JOIN cs ON cs.op = st.op AND cs.k = l_suppkey",
         "feed_stops": f"""WITH {_BASE} SELECT canonical AS stop_id, any_value(CASE WHEN {known} THEN 'Station ' || k ELSE {name} END) FILTER (WHERE founds) AS stop_name, any_value(CASE WHEN {known} THEN 'City ' || (k % 3) ELSE {name} END) FILTER (WHERE founds) AS parent_name,
   any_value(CASE WHEN {known} THEN 'FR' ELSE '' END) FILTER (WHERE founds) AS country, any_value(code) AS uic, CAST(max(CASE WHEN op = 'SNCF' THEN 1 ELSE 0 END) AS INTEGER) AS sncf, CAST(max(CASE WHEN op = 'EUROSTAR' THEN 1 ELSE 0 END) AS INTEGER) AS eurostar,
   CAST(max(CASE WHEN op = 'RENFE' THEN 1 ELSE 0 END) AS INTEGER) AS renfe, string_agg(op || ':' || raw, ', ' ORDER BY op_no, k) AS source_stop_ids FROM cs GROUP BY canonical""",

@@ -350,4 +350,4 @@ def distance_to_point(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES |= feed_queries.QUERIES
-SQL |= feed_queries.oracle(_by_stop_id, _by_route_names)
+SQL |= feed_queries.oracle(_by_stop_id, _by_route_names, _by_agency, _by_stop_name)
