@@ -6,10 +6,13 @@ by bucket, where a bucket keeps the leading six bits of the value (relative erro
 sketches merge by adding counts, exactly and in any order, so runs agree, a hot source is pre-aggregated in the
 map tasks, and a sketch has at most some hundred rows however large its source. Sources merge into languages.
 
-A measure's limit is median + 3 * max(2 * (median - lower quartile), its least spread), which up to half of a
-group being junk cannot move, and never above twice the limit of the language as a whole; groups of under
-`min_group` documents use the language's. Mean word length also has a lower limit. The limits (a row for each
-lang and source, joined by Spark as their written size allows) then filter the documents.
+A measure's limit is its source's median times a power of the language's reach: the ratio of the 90th percentile to the median, for
+each source of `min_group` documents or more, and of these ratios the median over the language's sources. So a source's own level sets
+its limit, up to half of its documents or of its language's sources being junk cannot move it, and heavy tails widen it. A source's
+median counts as LEVEL times the language's at most; sources of fewer documents use the language's. Sketches hold ratios of counts with one
+added to both, so that documents without a symbol differ by their length instead of being all zero; documents are judged by their
+plain ratios, and limits are never below FLOOR. Mean word length has a lower limit too, by the 10th percentile. The limits (a row
+for each lang and source, joined by Spark as their written size allows) then filter the documents.
 
 Null text has no words and fails the base rules. Null lang and source are groups of their own. Repeated rows,
 and rows with an equal or null doc_id are judged each by itself. Documents that fail the base rules do not enter sketches. Extra
@@ -26,8 +29,14 @@ from pyspark.sql import types as ST
 from llm import textops as T
 from llm.common import fresh, load, ship, written
 
-#: Measure: least spread. Ratios are per 10,000; word length is in hundredths of a character.
-SPREAD = {"symbols": 500, "dup_lines": 1500, "repeats": 1200, "length": 100}
+#: Measure: power of the reach. Ratios are per 10,000; word length is in hundredths of a character.
+POWER = {"symbols": 3, "dup_lines": 3, "repeats": 4, "length": 8}
+#: How many times its language's median a source's may be.
+LEVEL = 8
+#: Measure: least limit of a ratio.
+FLOOR = {"symbols": 1000, "dup_lines": 2500, "repeats": 2000, "length": 0}
+#: Reach, per mille, of word length at least (and its inverse at most for the lower limit), and of all at most.
+LEAST_REACH, MOST_REACH, MOST = 1030, 1_000_000, 1_000_000_000
 MIN_GROUP = 30
 #: Bytes of text measured at once; one longer text is measured by itself.
 SLICE = 1 << 20
@@ -110,40 +119,56 @@ MEASURES = {
 }
 
 
+#: What sketches hold.
+SKETCHED = {
+    "symbols": "greatest(10000 * (n_symbols + 1) div (n_words + 1), 1)",
+    "dup_lines": "greatest(10000 * (n_dup_lines + 1) div (n_lines + 1), 1)",
+    "repeats": "greatest(10000 * (n_repeat_words + 1) div (n_words + 1), 1)",
+    "length": "greatest(100 * word_chars div greatest(n_words, 1), 1)",
+}
+
+
 def sketches(df: DataFrame) -> DataFrame:
     """Counts by (lang, source, measure, bucket)."""
-    stack = ", ".join(f"'{m}', {value}" for m, value in MEASURES.items())
+    stack = ", ".join(f"'{m}', {value}" for m, value in SKETCHED.items())
     shift = "greatest(length(bin(value)) - 6, 0)"
     return (
-        df.filter(f"NOT ({BASE_FAILED})").selectExpr("lang", "source", f"stack({len(MEASURES)}, {stack}) AS (measure, value)")
+        df.filter(f"NOT ({BASE_FAILED})").selectExpr("lang", "source", f"stack({len(SKETCHED)}, {stack}) AS (measure, value)")
         .selectExpr("lang", "source", "measure", f"(value >> {shift}) << {shift} AS bucket")
         .groupBy("lang", "source", "measure", "bucket").agg(F.count("*").alias("n"))
     )
 
 
-def _limits_of(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """hi, lo and n of each measure from sketches merged over what is not in by."""
-    merged = sketch.groupBy(*by, "measure", "bucket").agg(F.sum("n").alias("n"))
-    upto = f"PARTITION BY {', '.join([*by, 'measure'])}"
-    ranked = merged.selectExpr("*", f"sum(n) OVER ({upto} ORDER BY bucket) AS upto", f"sum(n) OVER ({upto}) AS total")
-    spread = F.create_map(*[F.lit(x) for kv in SPREAD.items() for x in kv])
-    q = ranked.groupBy(*by, "measure").agg(
-        F.max("total").alias("n"), F.min(F.expr("CASE WHEN 4 * upto >= total THEN bucket END")).alias("q1"), F.min(F.expr("CASE WHEN 2 * upto >= total THEN bucket END")).alias("q2"),
-    )
-    reach = 3 * F.greatest(2 * (F.col("q2") - F.col("q1")), spread[F.col("measure")])
-    return q.select(*by, "measure", "n", (F.col("q2") + reach).alias("hi"), (F.col("q2") - reach).alias("lo"))
+def _quantiles(counts: DataFrame, by: list[str], value: str, **tenths: int) -> DataFrame:
+    """The count n and the named quantiles (in tenths) of a value by its counts n."""
+    merged = counts.groupBy(*by, value).agg(F.sum("n").alias("n"))
+    upto = f"PARTITION BY {', '.join(by)}"
+    ranked = merged.selectExpr("*", f"sum(n) OVER ({upto} ORDER BY {value}) AS upto", f"sum(n) OVER ({upto}) AS total")
+    return ranked.groupBy(*by).agg(F.max("total").alias("n"), *(F.min(F.expr(f"CASE WHEN 10 * upto >= {t} * total THEN {value} END")).alias(name) for name, t in tenths.items()))
 
 
 def limits(sketch: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """A row (lang, source, hi_*, lo_length) for each language and source that has documents beyond the base rules."""
-    own, whole = _limits_of(sketch, ["lang", "source"]), _limits_of(sketch, ["lang"])
-    whole = whole.selectExpr("lang AS l", "measure AS m", "hi AS lang_hi", "lo AS lang_lo")
-    joined = own.join(whole, F.col("lang").eqNullSafe(F.col("l")) & (F.col("measure") == F.col("m")))
-    small = F.col("n") < min_group
-    hi = F.when(small, F.col("lang_hi")).otherwise(F.least("hi", 2 * F.col("lang_hi")))
-    lo = F.when(small, F.col("lang_lo")).otherwise(F.col("lo"))
-    return joined.groupBy("lang", "source").agg(
-        *(F.max(F.when(F.col("measure") == m, hi)).alias(f"hi_{m}") for m in SPREAD), F.max(F.when(F.col("measure") == "length", lo)).alias("lo_length"),
+    tenths = {"low": 1, "mid": 5, "high": 9}
+    own, whole = _quantiles(sketch, ["lang", "source", "measure"], "bucket", **tenths), _quantiles(sketch, ["lang", "measure"], "bucket", **tenths)
+    ratios = own.filter(F.col("n") >= min_group).selectExpr("lang", "measure", "1000 * high div mid AS up", "1000 * low div mid AS down", "1L AS n")
+    pooled = [_quantiles(ratios, ["lang", "measure"], c, **{c: 5}).drop("n") for c in ("up", "down")]
+    key = lambda df, p: df.withColumnsRenamed({"lang": f"{p}_lang", "measure": f"{p}_measure"})
+    on = lambda p: F.col("lang").eqNullSafe(F.col(f"{p}_lang")) & (F.col("measure") == F.col(f"{p}_measure"))
+    of = own.join(key(whole.selectExpr("lang", "measure", "low AS l_low", "mid AS l_mid", "high AS l_high"), "l"), on("l")).join(key(pooled[0], "u"), on("u"), "left").join(key(pooled[1], "d"), on("d"), "left")
+    of = of.withColumns({
+        "up": F.expr(f"least(greatest(coalesce(up, 1000 * l_high div l_mid), IF(measure = 'length', {LEAST_REACH}, 1000)), {MOST_REACH})"),
+        "down": F.expr(f"least(coalesce(down, 1000 * l_low div l_mid), 1000000 div {LEAST_REACH})"),
+        "mid": F.when(F.col("n") < min_group, F.col("l_mid")).otherwise(F.least("mid", LEVEL * F.col("l_mid"))),
+    })
+    of = of.withColumns({"hi": F.col("mid"), "lo": F.col("mid")})
+    for step in range(max(POWER.values())):  # whole numbers, so that all engines agree
+        still = F.col("measure").isin([m for m, p in POWER.items() if p > step])
+        of = of.withColumns({"hi": F.when(still, F.expr(f"least(hi * up div 1000, {MOST})")).otherwise(F.col("hi")), "lo": F.when(still, F.expr("lo * down div 1000")).otherwise(F.col("lo"))})
+    floor = F.create_map(*[F.lit(x) for kv in FLOOR.items() for x in kv])
+    of = of.withColumn("hi", F.greatest("hi", floor[F.col("measure")].cast("long")))
+    return of.groupBy("lang", "source").agg(
+        *(F.max(F.when(F.col("measure") == m, F.col("hi"))).alias(f"hi_{m}") for m in POWER), F.max(F.when(F.col("measure") == "length", F.col("lo"))).alias("lo_length"),
     )
 
 
@@ -183,20 +208,23 @@ b AS (SELECT w.doc_id, lang, source, len(ws) AS n_words, coalesce(list_sum(list_
   FROM w LEFT JOIN r USING (doc_id) LEFT JOIN l USING (doc_id)),
 m AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   10000 * n_symbols // greatest(n_words, 1) AS m1, 10000 * n_dup_lines // greatest(n_lines, 1) AS m2, 10000 * n_repeat_words // greatest(n_words, 1) AS m3, CAST(100 * word_chars AS BIGINT) // greatest(n_words, 1) AS m4 FROM b),
-v AS (SELECT lang, source, unnest([1, 2, 3, 4]) AS k, unnest([m1, m2, m3, m4]) AS v FROM m WHERE NOT base_failed),
-s AS (SELECT lang, source, k, CAST(v AS BIGINT) >> greatest(length(ltrim(CAST(CAST(v AS BIGINT) AS BIT)::VARCHAR, '0')) - 6, 0) AS h, greatest(length(ltrim(CAST(CAST(v AS BIGINT) AS BIT)::VARCHAR, '0')) - 6, 0) AS sh FROM v),
-sk AS (SELECT lang, source, k, h << sh AS bucket, count(*) AS n FROM s GROUP BY ALL),
+v AS (SELECT lang, source, unnest([1, 2, 3, 4]) AS k, unnest([10000 * (n_symbols + 1) // (n_words + 1), 10000 * (n_dup_lines + 1) // (n_lines + 1), 10000 * (n_repeat_words + 1) // (n_words + 1), m4]) AS v FROM m WHERE NOT base_failed),
+s AS (SELECT lang, source, k, greatest(CAST(v AS BIGINT), 1) AS v, greatest(length(ltrim(CAST(greatest(CAST(v AS BIGINT), 1) AS BIT)::VARCHAR, '0')) - 6, 0) AS sh FROM v),
+sk AS (SELECT lang, source, k, (v >> sh) << sh AS bucket, count(*) AS n FROM s GROUP BY ALL),
 qs AS (SELECT lang, source, k, bucket, sum(n) OVER (PARTITION BY lang, source, k ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY lang, source, k) AS total FROM sk),
-q AS (SELECT lang, source, k, max(total) AS n, min(bucket) FILTER (WHERE 4 * upto >= total) AS q1, min(bucket) FILTER (WHERE 2 * upto >= total) AS q2 FROM qs GROUP BY ALL),
+q AS (SELECT lang, source, k, max(total) AS n, min(bucket) FILTER (WHERE 10 * upto >= total) AS low, min(bucket) FILTER (WHERE 2 * upto >= total) AS mid, min(bucket) FILTER (WHERE 10 * upto >= 9 * total) AS high FROM qs GROUP BY ALL),
 ls AS (SELECT lang, k, bucket, sum(n) AS n FROM sk GROUP BY ALL),
 lqs AS (SELECT lang, k, bucket, sum(n) OVER (PARTITION BY lang, k ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY lang, k) AS total FROM ls),
-lq AS (SELECT lang, k, min(bucket) FILTER (WHERE 4 * upto >= total) AS q1, min(bucket) FILTER (WHERE 2 * upto >= total) AS q2 FROM lqs GROUP BY ALL),
-sp AS (SELECT unnest([1, 2, 3, 4]) AS k, unnest([500, 1500, 1200, 100]) AS spread),
-c AS (SELECT q.lang, q.source, k, n, q.q2 + 3 * greatest(2 * (q.q2 - q.q1), spread) AS hi, q.q2 - 3 * greatest(2 * (q.q2 - q.q1), spread) AS lo,
-  lq.q2 + 3 * greatest(2 * (lq.q2 - lq.q1), spread) AS lhi, lq.q2 - 3 * greatest(2 * (lq.q2 - lq.q1), spread) AS llo
-  FROM q JOIN sp USING (k) JOIN lq ON lq.k = q.k AND lq.lang IS NOT DISTINCT FROM q.lang),
-d AS (SELECT lang, source, k, CASE WHEN n < 30 THEN lhi ELSE least(hi, 2 * lhi) END AS hi, CASE WHEN n < 30 THEN llo ELSE lo END AS lo FROM c),
-t AS (SELECT lang, source, max(hi) FILTER (WHERE k = 1) AS h1, max(hi) FILTER (WHERE k = 2) AS h2, max(hi) FILTER (WHERE k = 3) AS h3, max(hi) FILTER (WHERE k = 4) AS h4, max(lo) FILTER (WHERE k = 4) AS l4 FROM d GROUP BY ALL)
+lq AS (SELECT lang, k, min(bucket) FILTER (WHERE 10 * upto >= total) AS low, min(bucket) FILTER (WHERE 2 * upto >= total) AS mid, min(bucket) FILTER (WHERE 10 * upto >= 9 * total) AS high FROM lqs GROUP BY ALL),
+ra AS (SELECT lang, k, 1000 * high // mid AS up, 1000 * low // mid AS down FROM q WHERE n >= 30),
+rr AS (SELECT *, row_number() OVER (PARTITION BY lang, k ORDER BY up) AS iu, row_number() OVER (PARTITION BY lang, k ORDER BY down) AS id, count(*) OVER (PARTITION BY lang, k) AS c FROM ra),
+rm AS (SELECT lang, k, min(up) FILTER (WHERE 2 * iu >= c) AS up, min(down) FILTER (WHERE 2 * id >= c) AS down FROM rr GROUP BY ALL),
+c AS (SELECT q.lang, q.source, q.k, CASE WHEN n < 30 THEN lq.mid ELSE least(q.mid, 8 * lq.mid) END AS mid,
+  least(greatest(coalesce(rm.up, 1000 * lq.high // lq.mid), CASE q.k WHEN 4 THEN 1030 ELSE 1000 END), 1000000) AS up, least(coalesce(rm.down, 1000 * lq.low // lq.mid), 1000000 // 1030) AS down
+  FROM q JOIN lq ON lq.k = q.k AND lq.lang IS NOT DISTINCT FROM q.lang LEFT JOIN rm ON rm.k = q.k AND rm.lang IS NOT DISTINCT FROM q.lang),
+d AS (SELECT lang, source, k, list_reduce(list_prepend(CAST(mid AS BIGINT), list_transform(range([3, 3, 4, 8][k]), lambda x: CAST(up AS BIGINT))), lambda a, r: least(a * r // 1000, 1000000000)) AS hi,
+  list_reduce(list_prepend(CAST(mid AS BIGINT), list_transform(range([3, 3, 4, 8][k]), lambda x: CAST(down AS BIGINT))), lambda a, r: a * r // 1000) AS lo FROM c),
+t AS (SELECT lang, source, max(greatest(hi, 1000)) FILTER (WHERE k = 1) AS h1, max(greatest(hi, 2500)) FILTER (WHERE k = 2) AS h2, max(greatest(hi, 2000)) FILTER (WHERE k = 3) AS h3, max(hi) FILTER (WHERE k = 4) AS h4, max(lo) FILTER (WHERE k = 4) AS l4 FROM d GROUP BY ALL)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
   NOT base_failed AND coalesce(m1 <= h1, true) AND coalesce(m2 <= h2, true) AND coalesce(m3 <= h3, true) AND coalesce(m4 <= h4, true) AND coalesce(m4 >= l4, true) AS kept
 FROM m LEFT JOIN t ON t.lang IS NOT DISTINCT FROM m.lang AND t.source IS NOT DISTINCT FROM m.source

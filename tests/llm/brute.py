@@ -72,31 +72,41 @@ def quality(t):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), len(lines) - len(set(lines)), len(repeated), len(lines)
 
 
-def kept_by_rules(rows, least={"s": 500, "d": 1500, "r": 1200, "l": 100}, min_group=30):  # noqa: B006
+def kept_by_rules(rows, power={"s": 3, "d": 3, "r": 4, "l": 8}, floor={"s": 1000, "d": 2500, "r": 2000, "l": 0}, min_group=30):  # noqa: B006
     """Verdict for each row (text, lang, source)."""
-    measured = []
+    measured, values = [], defaultdict(lambda: defaultdict(list))
     for t, lang, source in rows:
         n, chars, symbols, dup, rep, lines = quality(t)
         m = {"s": 10000 * symbols // max(n, 1), "d": 10000 * dup // max(lines, 1), "r": 10000 * rep // max(n, 1), "l": 100 * chars // max(n, 1)}
-        measured.append((n < 50 or 100 * rep > 50 * n, m, lang, source))
-    groups = defaultdict(list)
-    for failed, m, lang, source in measured:
+        failed = n < 50 or 100 * rep > 50 * n
+        measured.append((failed, m, lang, source))
         if not failed:
-            groups[lang, source].append(m)
-            groups[lang,].append(m)
+            smooth = {"s": 10000 * (symbols + 1) // (n + 1), "d": 10000 * (dup + 1) // (lines + 1), "r": 10000 * (rep + 1) // (n + 1), "l": m["l"]}
+            for k, v in smooth.items():
+                v = max(v, 1)
+                for of in ((lang, source), (lang,)):
+                    values[of][k].append(v >> max(v.bit_length() - 6, 0) << max(v.bit_length() - 6, 0))
 
-    def limits(ms, k):
-        values = sorted((v := m[k]) >> max(v.bit_length() - 6, 0) << max(v.bit_length() - 6, 0) for m in ms)
-        q1, q2 = values[-(-len(values) // 4) - 1], values[-(-len(values) // 2) - 1]
-        reach = 3 * max(2 * (q2 - q1), least[k])
-        return q2 - reach, q2 + reach
+    def quantile(xs, tenths):
+        return sorted(xs)[-(-len(xs) * tenths // 10) - 1]
 
-    out = []
+    def reach(lang, k, tenths):
+        ratios = [1000 * quantile(v[k], tenths) // quantile(v[k], 5) for of, v in values.items() if len(of) == 2 and of[0] == lang and len(v[k]) >= min_group]
+        own = values[lang,][k]
+        return quantile(ratios, 5) if ratios else 1000 * quantile(own, tenths) // quantile(own, 5)
+
+    out, known = [], {}
     for failed, m, lang, source in measured:
         good = not failed
-        for k in least if good else ():
-            own, whole = limits(groups[lang, source], k), limits(groups[lang,], k)
-            lo, hi = whole if len(groups[lang, source]) < min_group else (own[0], min(own[1], 2 * whole[1]))
+        for k in power if good else ():
+            if (lang, source, k) not in known:
+                own, whole = values[lang, source][k], quantile(values[lang,][k], 5)
+                hi = lo = min(quantile(own, 5), 8 * whole) if len(own) >= min_group else whole
+                up, down = min(max(reach(lang, k, 9), 1030 if k == "l" else 1000), 10**6), min(reach(lang, k, 1), 10**6 // 1030)
+                for _ in range(power[k]):
+                    hi, lo = min(hi * up // 1000, 10**9), lo * down // 1000
+                known[lang, source, k] = lo, max(hi, floor[k])
+            lo, hi = known[lang, source, k]
             good &= m[k] <= hi and (k != "l" or m[k] >= lo)
         out.append(good)
     return out

@@ -10,7 +10,7 @@ import zlib
 
 import numpy as np
 import pytest
-from brute import bytes_dedup, crc, jaccard, language, quality, sha, tokens, vectors, water, words_dedup
+from brute import bytes_dedup, crc, jaccard, kept_by_rules, language, quality, sha, tokens, vectors, water, words_dedup
 from pyspark.sql import functions as F
 
 from llm import hashx, op1_nn_descent, op2_mixing, op3_bpe, op4_ngram_jaccard, op5_quality_rules, op6_token_output, op7_language_id, op8_suffix_dedup, op9_substring_dedup, op10_warc, registry, shards
@@ -349,6 +349,24 @@ def test_quality_verdict(spark):
     assert verdict[100] == (False, False) and all(verdict[i] == (True, False) for i in (101, 102, 103))
 
 
+def test_limits_adapt(spark):
+    """Sources of one language with other levels get other limits; junk in a source does not raise its own; floors stand below."""
+    r = random.Random(7)
+
+    def say(symbols, wide=5):
+        return " ".join("".join(r.choices("abcdef", k=r.randrange(wide - 2, wide + 3))) + ("#" if r.random() < symbols else "") for _ in range(r.randrange(60, 240)))
+
+    sources = {"prose": lambda: say(0), "code": lambda: say(r.choice([0.04, 0.08, 0.12]), 7), "posts": lambda: say(r.choice([0, 0.02, 0.3])), "junk": lambda: say(0) if r.random() < 0.7 else "### " * 30 + say(2)}
+    data = [(k * 1000 + i, make(), "en", name, 0) for k, (name, make) in enumerate(sources.items()) for i in range(70)] + [(9000 + i, say(0.4), "en", "small", 0) for i in range(5)] + [(9100, say(0), None, None, 0)]
+    docs = spark.createDataFrame(data, DOCS)
+    cut = {x["source"]: x for x in op5_quality_rules.limits(op5_quality_rules.sketches(op5_quality_rules.measured(docs))).collect()}
+    assert cut["code"]["hi_symbols"] > 2 * cut["prose"]["hi_symbols"] and cut["prose"]["hi_symbols"] == op5_quality_rules.FLOOR["symbols"] == cut["junk"]["hi_symbols"]
+    assert cut["code"]["hi_length"] > cut["prose"]["hi_length"]
+    kept = {x["doc_id"]: x["kept"] for x in op5_quality_rules.quality_rules(docs, texts=False).collect()}
+    assert kept == {d[0]: k for d, k in zip(data, kept_by_rules([d[1:4] for d in data]), strict=True)}
+    assert all(kept[i] for i in range(70)) and all(kept[1000 + i] for i in range(70)) and all(kept[3000 + i] == (not d[1].startswith("#")) for i, d in enumerate(data[210:280]))
+
+
 def test_mixing(spark, docs, rows):
     out = op2_mixing.mixed(docs, block=4, shard_words=500).collect()
     sizes = {}
