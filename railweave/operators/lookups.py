@@ -5,6 +5,7 @@ Order matters to several of them: "first" and "last" follow explicit ordinals of
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -72,6 +73,30 @@ def calendar_window(calendar: DataFrame, start: str | None = None, days: int = 6
     return dated.withColumn("exception_type", strict_int(F.col("exception_type")))
 
 
+#: Days that a bitmap of days holds at most.
+MOST_DAYS = 63
+
+
+def service_days(calendar: DataFrame, start: str, days: int = 60) -> DataFrame:
+    """FLT-01, AGG-04: one row a service: bitmaps of the days from start on that list it (whatever the exception type), add or remove it.
+
+    Bit k is the day k after start. The bits are combined map-side into three longs a service, and what is asked of a calendar afterwards (is a
+    service active, does it run on a date, how often) is a test of bits in a table of one row a service.
+    """
+    if not 0 <= days < MOST_DAYS:
+        raise ValueError(f"a window of {days} days does not fit in a bitmap")
+    dated = calendar.filter(in_window(F.col("date"), start, days))
+    bit = F.expr(f"shiftleft(1L, datediff(CAST(date AS DATE), DATE '{start}'))")
+    of = lambda kind: F.coalesce(F.bit_or(F.when(F.col("exception_type") == kind, bit)), F.lit(0).cast("long"))
+    return dated.groupBy("service_id").agg(F.bit_or(bit).alias("listed"), of(1).alias("added"), of(2).alias("removed"))
+
+
+def runs_on(bitmap: Column, date: str, start: str) -> Column:
+    """Whether a bitmap of days from start on has a date."""
+    after = (datetime.date.fromisoformat(date) - datetime.date.fromisoformat(start)).days
+    return F.lit(False) if not 0 <= after < MOST_DAYS else bitmap.bitwiseAND(F.lit(1 << after)) != 0
+
+
 def of_active(trips: DataFrame, services: DataFrame) -> DataFrame:
     """FLT-02: trips of active services; all trips where no service is active."""
     if not services.take(1):

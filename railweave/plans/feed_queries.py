@@ -226,6 +226,16 @@ def feed_compacted(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/stop_times").select("trip_id", "stop_id", "stop_sequence", "dep_min", "operator_id")
 
 
+def feed_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-04: rows of each table of the newest snapshot, counted by its readers, beside what its writes observed; an older one came before."""
+    folder, tables = scratch(spark, "snapshots"), {n: t for n, t in _harmonized(spark, sf).items() if n != "report"}
+    sinks.publish({n: t.limit(0) for n, t in tables.items()}, folder)
+    sinks.publish(tables, folder)
+    told = [(name, t["rows"], t["null_keys"]) for name, t in sinks.manifest(folder)["tables"].items()]
+    counted = lookups.union_all([df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, df in sinks.snapshot(spark, folder).items()])
+    return counted.join(spark.createDataFrame(told, "name string, n_written long, null_keys long"), "name")
+
+
 _plain: dict[tuple[str, str], tuple[dict[str, str], dict[str, DataFrame]]] = {}
 
 
@@ -274,7 +284,7 @@ def single_stop_times(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.single_feed(spark, _plain_feeds(spark, sf)[0]["SNCF"])["stop_times"].select("trip_id", "stop_id", "stop_sequence", "dep_min")
 
 
-_GENERIC = (feed_report, feed_stop_sources, feed_compacted, generic_stops, generic_routes, generic_trips, generic_stop_times, generic_calendar, single_routes, single_stop_times)
+_GENERIC = (feed_snapshot, feed_report, feed_stop_sources, feed_compacted, generic_stops, generic_routes, generic_trips, generic_stop_times, generic_calendar, single_routes, single_stop_times)
 QUERIES = {f.__name__: f for f in (*_GENERIC, feed_trip_calls, feed_stops, feed_routes, feed_trips, feed_stop_times, feed_calendar, feed_orphans)}
 
 # ------------------------------------------------------------------------------------------------ the same in SQL
@@ -305,6 +315,8 @@ def oracle(by_stop_id: Callable[[str], str], by_route_names: Callable[[str, str]
   FROM customer CROSS JOIN ops LEFT JOIN rt ON rt.o_custkey = c_custkey AND op = 'SNCF'"""
     return {
         "feed_report": f"WITH {_BASE} SELECT count(*) AS total_raw_stops, count(*) FILTER (WHERE founds) AS unique_canonical_stops, count(*) FILTER (WHERE NOT founds AND code <> '') AS merges_uic, count(*) FILTER (WHERE NOT founds AND code = '') AS merges_geoloc FROM fo",
+        "feed_snapshot": f"""WITH {_BASE}, c AS (SELECT 'stops' AS name, count(DISTINCT canonical) AS n FROM cs UNION ALL SELECT 'routes', 3 * count(*) FROM customer UNION ALL SELECT 'trips', count(*) FROM ac
+  UNION ALL SELECT 'stop_times', count(*) FROM st UNION ALL SELECT 'calendar_dates', count(*) FROM cd) SELECT name, n, n AS n_written, CAST(0 AS BIGINT) AS null_keys FROM c""",
         "feed_stop_sources": f"""WITH {_BASE} SELECT canonical AS stop_id, '[' || string_agg('"' || op || ':' || raw || '"', ', ' ORDER BY op_no, k) || ']' AS source_stop_ids FROM cs GROUP BY canonical""",
         "generic_stops": rf"WITH {_BASE} SELECT op || '_' || raw AS stop_id, s_name AS stop_name, CAST(NULL AS DOUBLE) AS stop_lat, CAST(NULL AS DOUBLE) AS stop_lon, nullif(regexp_extract(op || '_' || raw, '(\d+)', 1), '') AS clean_uic FROM rs WHERE op <> 'RENFE'",
         "generic_routes": f"WITH {_BASE} SELECT op || '_' || o_custkey AS route_id, {by_agency(agency, default)} AS train_type FROM (SELECT c_custkey AS o_custkey FROM customer), ops WHERE op <> 'RENFE'",

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from railweave.functions import geo, rules, text, times
 from railweave.operators import lookups, resolve
-from railweave.plans import derived as d, feed_queries, timetable
-from railweave.sources.session import written
+from railweave.plans import derived as d, feed_queries, sinks, timetable
+from railweave.sources.session import scratch, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,7 +63,7 @@ def calendar_window(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH a AS (SELECT service_id FROM ({d.CALENDAR}) WHERE {_WINDOW}) SELECT trip_id, route_id, service_id, trip_headsign FROM ({d.TRIPS}) WHERE service_id IN (SELECT service_id FROM a) OR NOT EXISTS (SELECT 1 FROM a)")
 def active_trips(spark: SparkSession, sf: str) -> DataFrame:
-    services = lookups.active_services(lookups.calendar_window(d.calendar(spark, sf), d.START), d.START)
+    services = lookups.service_days(lookups.calendar_window(d.calendar(spark, sf), d.START), d.START).filter("listed <> 0")
     return lookups.of_active(d.trips(spark, sf), services).drop("_row")
 
 
@@ -320,7 +320,22 @@ def route_trips(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"SELECT trip_id, route_id FROM ({d.TRIPS}) WHERE service_id IN (SELECT service_id FROM ({d.CALENDAR}) WHERE date = '1998-10-05' AND exception_type = 1)")
 def service_on_date(spark: SparkSession, sf: str) -> DataFrame:
-    return timetable.running_on(d.trips(spark, sf), lookups.calendar_window(d.calendar(spark, sf), d.START), "1998-10-05").select("trip_id", "route_id")
+    days = lookups.service_days(lookups.calendar_window(d.calendar(spark, sf), d.START), d.START)
+    return timetable.running_in(d.trips(spark, sf), days, "1998-10-05", d.START).select("trip_id", "route_id")
+
+
+_DAYS = "SELECT CAST(o_custkey AS VARCHAR) AS service_id, CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date, CASE WHEN o_orderkey % 5 = 0 THEN 2 ELSE 1 END AS exception_type FROM orders"
+
+
+@query(f"""SELECT service_id, count(DISTINCT date) AS n_listed, count(DISTINCT date) FILTER (WHERE exception_type = 1) AS n_added, count(DISTINCT date) FILTER (WHERE exception_type = 2) AS n_removed,
+  min(date) FILTER (WHERE exception_type = 1) AS first_day FROM ({_DAYS}) WHERE {_WINDOW} GROUP BY service_id""")
+def days_per_service(spark: SparkSession, sf: str) -> DataFrame:
+    """How many days of the window list, add and remove a service (one a customer here), and its first day, from its bitmaps."""
+    dates = d.calendar(spark, sf).select(F.col("service_id").cast("long").alias("o_orderkey"), "date", "exception_type")
+    dates = dates.join(d.load(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("service_id")), "o_orderkey")
+    days = lookups.service_days(lookups.calendar_window(dates, d.START), d.START)
+    first = F.expr(f"CASE WHEN added <> 0 THEN date_format(date_add(DATE '{d.START}', CAST(bit_count((added & -added) - 1) AS INT)), 'yyyy-MM-dd') END")
+    return days.select("service_id", *(F.bit_count(c).cast("long").alias(f"n_{c}") for c in ("listed", "added", "removed")), first.alias("first_day"))
 
 
 @query("SELECT l_orderkey || '-' || l_linenumber AS stop_time_id, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) > 1")
@@ -349,5 +364,21 @@ def distance_to_point(spark: SparkSession, sf: str) -> DataFrame:
     return d.geo_stops(spark, sf).select("raw_stop_id", F.round(geo.haversine_m(F.col("stop_lat"), F.col("stop_lon"), F.lit(48.8443), F.lit(2.3744)), 2).alias("metres"))
 
 
+@query(SQL["od_pairs"])
+def od_pairs_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-05, IQ-2: od_pairs over a table of stop times in buckets by trip, which joins itself without a shuffle."""
+    table = sinks.save_bucketed(_typed_times(spark, sf).select("trip_id", "stop_id", "stop_sequence", "dep_min"), scratch(spark, "bucketed"), "trip_id", ["stop_sequence"])
+    return timetable.connections(spark.table(table))
+
+
+@query(SQL["orphan_audit"])
+def orphan_audit_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-05, CHK-02: orphan_audit over stop times and trips in buckets by trip, which meet without a shuffle."""
+    services = lookups.active_services(lookups.calendar_window(d.calendar(spark, sf), d.START), d.START)
+    active = lookups.of_active(d.trips(spark, sf), services)
+    child, parent = (sinks.save_bucketed(df, scratch(spark, name), "trip_id", []) for df, name in ((_typed_times(spark, sf).select("trip_id", "stop_id", "stop_sequence"), "times"), (active.select("trip_id"), "trips")))
+    return lookups.orphans(spark.table(child), spark.table(parent), "trip_id")
+
+
 QUERIES |= feed_queries.QUERIES
 SQL |= feed_queries.oracle(_by_stop_id, _by_route_names, _by_agency, _by_stop_name)

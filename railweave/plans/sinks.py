@@ -5,9 +5,11 @@ from __future__ import annotations
 import json
 import math
 import uuid
+from collections.abc import Sequence
 
 import pyarrow.fs
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from railweave import schemas
 from railweave.operators.lookups import assert_unique
@@ -94,6 +96,88 @@ def compact(spark: SparkSession, folder: str, name: str, target_mib: int = 128,
     return files
 
 
+def save_bucketed(df: DataFrame, path: str, key: str, order: Sequence[str], buckets: int | None = None, name: str | None = None) -> str:
+    """SNK-05: df as a table under path in buckets by key, sorted by key and order, one file a bucket; returns the table's name.
+
+    Tables with as many buckets join, and one aggregates, by the key without a shuffle: it is done once, here.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = name or f"bucketed_{uuid.uuid4().hex}"
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key, *order).option("path", path).saveAsTable(name)
+    return name
+
+
+def publish(tables: dict[str, DataFrame], folder: str, compression: str = "gzip", check_keys: bool = True) -> int:
+    """SNK-04: the tables as the folder's next snapshot; returns its version.
+
+    Data files never replace others. A snapshot is there once its manifest is, which is one small file put in place as a whole: readers
+    that resolve a manifest see all old or all new tables, at any moment. What a failed run wrote is deleted, and nothing refers to
+    it. The counts in the manifest are observed by the writes themselves, which read nothing again but keys.
+    """
+    folder, run = folder.rstrip("/"), uuid.uuid4().hex
+    fs, at = pyarrow.fs.FileSystem.from_uri(folder)
+    told: dict[str, dict] = {}
+    try:
+        for name, df in tables.items():
+            order = [c for c in LAYOUT.get(name, []) if c in df.columns]
+            key = schemas.PRIMARY_KEYS.get(name)
+            laid = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
+            seen = Observation()
+            counted = laid.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(key).isNull() if key else F.lit(False)).alias("null_keys"))
+            path = f"_data/{run}/{name}"
+            counted.write.option("compression", compression).parquet(f"{folder}/{path}")
+            told[name] = {"path": path, "schema": df.schema.json()} | seen.get
+            if check_keys and key:
+                assert_unique(df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{path}"), key)
+        version = max(_versions(folder), default=(0, ""))[0] + 1
+        fs.create_dir(f"{at}/_manifests", recursive=True)
+        with fs.open_output_stream(f"{at}/_manifests/_{run}") as out:
+            out.write(json.dumps({"version": version, "tables": told}).encode())
+        fs.move(f"{at}/_manifests/_{run}", f"{at}/_manifests/{version:012d}-{run}.json")
+    except BaseException:
+        _delete(f"{folder}/_data/{run}")
+        raise
+    return version
+
+
+def _versions(folder: str) -> list[tuple[int, str]]:
+    """Version and name of a folder's manifests; of two writers with the same version one comes last for all readers."""
+    fs, at = pyarrow.fs.FileSystem.from_uri(f"{folder}/_manifests")
+    files = fs.get_file_info(pyarrow.fs.FileSelector(at, allow_not_found=True))
+    return sorted((int(f.base_name.partition("-")[0]), f.base_name) for f in files if f.base_name.endswith(".json"))
+
+
+def manifest(folder: str, version: int | None = None) -> dict:
+    """The newest snapshot's manifest, or that of a version."""
+    folder = folder.rstrip("/")
+    there = [v for v in _versions(folder) if version is None or v[0] == version]
+    if not there:
+        raise FileNotFoundError(f"no snapshot in {folder}")
+    fs, at = pyarrow.fs.FileSystem.from_uri(f"{folder}/_manifests/{there[-1][1]}")
+    with fs.open_input_stream(at) as f:
+        return json.loads(f.read())
+
+
+def snapshot(spark: SparkSession, folder: str, version: int | None = None) -> dict[str, DataFrame]:
+    """The tables of one snapshot, the newest unless a version is asked for, which later snapshots don't change."""
+    folder = folder.rstrip("/")
+    return {name: spark.read.schema(StructType.fromJson(json.loads(t["schema"]))).parquet(f"{folder}/{t['path']}") for name, t in manifest(folder, version)["tables"].items()}
+
+
+def expire(folder: str, keep: int = 2) -> list[int]:
+    """Deletes all snapshots but the newest ones, manifests first, and returns their versions. Running readers need theirs kept."""
+    folder = folder.rstrip("/")
+    fs, at = pyarrow.fs.FileSystem.from_uri(folder)
+    old = _versions(folder)[: -keep or None]
+    for version, name in old:
+        paths = {t["path"].rsplit("/", 1)[0] for t in manifest(folder, version)["tables"].values()}
+        fs.delete_file(f"{at}/_manifests/{name}")
+        for p in paths:
+            _delete(f"{folder}/{p}")
+    return [v for v, _ in old]
+
+
 def save_as_tables(spark: SparkSession, tables: dict[str, DataFrame], database: str) -> None:
     """SNK-06: managed tables with statistics of all columns for the optimizer."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from railweave.operators import lookups
+
 
 def departures(times: DataFrame, stop_id: str, after: int, limit: int, order: list[str]) -> DataFrame:
     """IQ-1: the next departures of a stop from a minute of the day on."""
@@ -29,6 +31,11 @@ def running_on(trips: DataFrame, calendar: DataFrame, date: str) -> DataFrame:
     return trips.join(services, "service_id", "left_semi")
 
 
+def running_in(trips: DataFrame, days: DataFrame, date: str, start: str) -> DataFrame:
+    """IQ-3 from bitmaps (lookups.service_days): trips whose service is added on a date."""
+    return trips.join(days.filter(lookups.runs_on(F.col("added"), date, start)).select("service_id"), "service_id", "left_semi")
+
+
 def trips_of(trips: DataFrame, routes: DataFrame) -> DataFrame:
     """IQ-4."""
     return routes.join(trips, "route_id")
