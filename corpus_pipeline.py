@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from llm import op2_mixing, op3_bpe, op4_ngram_jaccard, op5_quality_rules, op8_suffix_dedup
-from llm.common import load, ship, with_row, written
+from llm.common import dropped, load, ship, with_row, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -70,5 +70,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(spark, stage(spark, docs, sf_dir), f"stage-{name}")
+        before, docs = docs, written(spark, stage(spark, docs, sf_dir), f"stage-{name}")
+        dropped(before)
     return STAGES[-1][1](spark, docs, sf_dir)
