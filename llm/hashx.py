@@ -6,8 +6,10 @@ hashes (sorted, as byte planes of their differences, compressed); the bucket's t
 hash together and answers each batch with one value per hash, in the order asked. A hash that is common in
 the corpus is asked about once per batch, never once per occurrence, so no key grows hot. Nothing
 passes through the driver but one number, the bytes of text, from which the number of buckets follows: what a bucket
-holds at once stays the same however large the corpus. Its price is a row for each batch and bucket, so batches
-(and with them executors' memory) should grow with the square root of a corpus beyond some TB (batch_bytes).
+holds at once stays the same however large the corpus. Before questions leave a task they are put together by bucket, and answers by
+batch, COMBINE bytes at a time: a round moves a row for each task and bucket, or bucket's task and batch, not one for each batch and
+bucket. Rows shrink by the batches that a task reads, so large input partitions pay; beyond some TB, batches (and with them
+executors' memory) should grow too (batch_bytes).
 """
 
 from __future__ import annotations
@@ -32,6 +34,9 @@ BATCH_BYTES = 4 << 20
 #: Bytes of text for which there is one hash bucket, at least.
 BUCKET_BYTES = 4 << 20
 
+#: Bytes of questions or answers that a task puts together before it sends them on.
+COMBINE = 32 << 20
+
 PACKED = "batch long, docs long, blob binary"
 ASKED = "bucket int, batch long, payload binary"
 ANSWERED = "batch long, bucket int, payload binary"
@@ -166,8 +171,48 @@ def ranks(pairs: np.ndarray) -> np.ndarray:
     return out
 
 
+def combined(rows: DataFrame) -> DataFrame:
+    """Rows (key, other, payload) of a task with equal keys as rows (key, payload), where `apart` finds them again."""
+    key = rows.columns[0]
+
+    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = {}, 0
+
+        def sent() -> pa.RecordBatch:
+            blobs = []
+            for some in held.values():
+                head = np.array([(o, len(x)) for o, x in some], np.int64)
+                blobs.append(struct.pack("<I", len(some)) + head.tobytes() + b"".join(x for _, x in some))
+            return pa.RecordBatch.from_arrays([pa.array(list(held), kind), pa.array(blobs, pa.binary())], [key, "payload"])
+
+        for t in tables:
+            kind = t.schema.field(0).type
+            for k, other, x in zip(*(c.to_pylist() for c in t.columns), strict=True):
+                held.setdefault(k, []).append((other, x))
+                size += len(x)
+                if size >= COMBINE:
+                    yield sent()
+                    held, size = {}, 0
+        if held:
+            yield sent()
+
+    return rows.mapInArrow(run, f"{key} {rows.schema[0].dataType.simpleString()}, payload binary")
+
+
+def apart(payloads) -> list[tuple[int, bytes]]:
+    """The (other, payload) of combined rows."""
+    out = []
+    for blob in payloads:
+        blob = blob.as_py()
+        n = struct.unpack_from("<I", blob)[0]
+        head = np.frombuffer(blob, np.int64, 2 * n, 4).reshape(n, 2)
+        ends = 4 + 16 * n + np.cumsum(head[:, 1])
+        out += [(int(o), blob[e - size : e]) for (o, size), e in zip(head.tolist(), ends.tolist(), strict=True)]
+    return out
+
+
 def ask(packed: DataFrame, request: Callable[[int, np.ndarray, np.ndarray, np.ndarray], Iterator], pairs: bool = False) -> DataFrame:
-    """First round: request(batch, ids, buf, offsets) yields rows of ASKED."""
+    """First round: request(batch, ids, buf, offsets) yields rows of ASKED, which leave combined."""
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in tables:
@@ -175,7 +220,7 @@ def ask(packed: DataFrame, request: Callable[[int, np.ndarray, np.ndarray, np.nd
                 release()
                 yield _table(request(batch, *unpack(blob.as_py(), pairs)), ASKED)
 
-    return packed.mapInArrow(run, ASKED)
+    return combined(packed.mapInArrow(run, ASKED))
 
 
 def answer(asked: DataFrame, reply: Callable[[list[dict[str, np.ndarray]]], list[dict[str, np.ndarray]]]) -> DataFrame:
@@ -183,21 +228,21 @@ def answer(asked: DataFrame, reply: Callable[[list[dict[str, np.ndarray]]], list
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         release()
-        batches = table.column("batch").to_pylist()
-        requests = [restore(x.as_py()) for x in table.column("payload")]
+        asked_by = apart(table.column("payload"))
+        batches, requests = [b for b, _ in asked_by], [restore(x) for _, x in asked_by]
+        del asked_by
         for r in requests:
             if "hash" in r:
                 r["hash"] = np.cumsum(r["hash"], dtype=U64)
         rows = [(b, key[0].as_py(), dump(**a)) for b, a in zip(batches, reply(requests), strict=True)]
         return pa.Table.from_batches([_table(rows, ANSWERED)])
 
-    return asked.groupBy("bucket").applyInArrow(run, ANSWERED).repartition("batch")
+    return combined(asked.groupBy("bucket").applyInArrow(run, ANSWERED)).repartition("batch")
 
 
 def answered(table: pa.Table) -> dict[str, np.ndarray]:
     """Answers to one batch, in the order in which it asked."""
-    order = np.argsort(table.column("bucket").to_numpy(), kind="stable")
-    parts = [restore(table.column("payload")[int(i)].as_py()) for i in order]
+    parts = [restore(x) for _, x in sorted(apart(table.column("payload")), key=lambda p: p[0])]
     return {k: np.concatenate([p[k] for p in parts if k in p]) for k in dict.fromkeys(k for p in parts for k in p)}
 
 
@@ -209,7 +254,7 @@ def ask_again(packed: DataFrame, answers: DataFrame, request: Callable[..., Iter
         out = [_table(request(key[0].as_py(), *unpack(b.as_py(), pairs), answered(right)), ASKED) for b in left.column("blob")]
         return pa.Table.from_batches(out, schema=_table([], ASKED).schema)
 
-    return packed.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(run, ASKED)
+    return combined(packed.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(run, ASKED))
 
 
 def finish(packed: DataFrame, rounds: list[DataFrame], result: Callable[..., pa.Table], schema: str, carried: Sequence[StructField] = (), pairs: bool = False) -> DataFrame:
@@ -219,7 +264,7 @@ def finish(packed: DataFrame, rounds: list[DataFrame], result: Callable[..., pa.
     """
     tagged, count = None, len(rounds)
     for i, r in enumerate(rounds):
-        r = r.selectExpr("batch", "bucket", "payload", f"{i} AS round")
+        r = r.selectExpr("batch", "payload", f"{i} AS round")
         tagged = r if tagged is None else tagged.unionAll(r)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:

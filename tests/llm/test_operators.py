@@ -593,6 +593,17 @@ def test_exchange_encoding():
     assert at[0] == 0 and at[-1] == 500 and all((int(x) * 7) >> 64 == b for b in range(7) for x in h[at[b] : at[b + 1]])
 
 
+@pytest.mark.parametrize("limit", [1, 5000, 1 << 20])
+def test_combined_rows_come_apart(spark, monkeypatch, limit):
+    """Rows of a task are one for each key, as far as the limit goes; all come back, empty ones too."""
+    monkeypatch.setattr(hashx, "COMBINE", limit)
+    rows = [(i % 7, 2**40 + i, bytes([i % 251]) * (i % 90)) for i in range(400)]
+    frame = spark.createDataFrame(rows, hashx.ASKED).repartition(3)
+    out = hashx.combined(frame).toArrow()
+    back = sorted((k, *x) for k, p in zip(out.column(0).to_pylist(), out.column(1), strict=True) for x in hashx.apart([p]))
+    assert back == sorted(rows) and (len(out) == 21 if limit > 1 << 16 else len(out) > 21)
+
+
 def test_words_and_slices():
     texts = ["a  b", "", " ", "é c\n", "d"]
     enc = [t.encode() for t in texts]
