@@ -47,12 +47,14 @@ MEMBER = "struct<id: bigint, chars: bigint, row: int>"
 LANDED = f"digest binary, file string, place long, size long, n long, best {MEMBER}, members array<{MEMBER}>"
 SLOT = f"{LANDED}, batch long, seq long, alt int"
 CLASS = "digest binary, alt int, first struct<batch: bigint, seq: bigint, file: string, place: bigint, size: bigint>"
-#: Session settings of the stateful stream: state on disk, with its memory bounded for all of an executor's stores together.
+#: Session settings of the stateful stream: state on disk, with its memory bounded for all of an executor's stores together. A store, one a
+#: shuffle partition, takes 4 MB for its manifest ahead of need unless told not to, whatever it holds.
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
+import pathlib
 import random
 import zlib
 from fractions import Fraction
@@ -225,3 +227,13 @@ def test_exact_dedup_goes_on(spark, tmp_path):
 
 def test_exact_dedup_of_nothing(spark, tmp_path):
     assert op13.exact_dedup(spark, saved(spark, [], f"{tmp_path}/docs")).collect() == []
+
+
+def test_exact_dedup_takes_no_disk_ahead_of_need(spark, tmp_path):
+    """What the state's stores take on disk follows from what they hold: a store's manifest alone took 4 MB before."""
+    local = pathlib.Path(os.environ.get("SPARK_LOCAL_DIRS", spark.conf.get("spark.local.dir")))
+    stores = lambda: set(local.rglob("MANIFEST-*"))
+    before, rows = stores(), many()
+    check_copies(op13.exact_dedup(spark, saved(spark, rows, f"{tmp_path}/docs")), rows)
+    new = stores() - before
+    assert new and sum(512 * p.stat().st_blocks for p in new) < 1 << 20
