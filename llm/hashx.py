@@ -9,7 +9,8 @@ passes through the driver but one number, the bytes of text, from which the numb
 holds at once stays the same however large the corpus. Before questions leave a task they are put together by bucket, and answers by
 batch, COMBINE bytes at a time: a round moves a row for each task and bucket, or bucket's task and batch, not one for each batch and
 bucket. Rows shrink by the batches that a task reads, so large input partitions pay; beyond some TB, batches (and with them
-executors' memory) should grow too (batch_bytes).
+executors' memory) should grow too (batch_bytes). Asking, answering and putting together are steps of one function, so that a task of a
+round has one Python worker and not a second one that receives all that the first has made.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from llm.common import ship
 from llm.textops import U64, release, utf8
@@ -37,9 +38,10 @@ BUCKET_BYTES = 4 << 20
 #: Bytes of questions or answers that a task puts together before it sends them on.
 COMBINE = 32 << 20
 
-PACKED = "batch long, docs long, blob binary"
+#: A batch's number is never null, and Spark is told so: else a join by it filters its side's rows, which no other round could reuse.
+PACKED = "batch long not null, docs long, blob binary"
 ASKED = "bucket int, batch long, payload binary"
-ANSWERED = "batch long, bucket int, payload binary"
+ANSWERED = "batch long not null, bucket int, payload binary"
 
 
 def spread(docs: DataFrame, text_col: str = "text") -> int:
@@ -154,7 +156,7 @@ def ask_rows(batch: int, hashes: np.ndarray, n: int, **more: np.ndarray) -> Iter
 
 def _table(rows, schema: str) -> pa.RecordBatch:
     kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
-    fields = [f.split() for f in schema.split(", ")]
+    fields = [f.split()[:2] for f in schema.split(", ")]
     rows = list(rows)
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[k]) for i, (_, k) in enumerate(fields)], [f for f, _ in fields])
 
@@ -171,9 +173,13 @@ def ranks(pairs: np.ndarray) -> np.ndarray:
     return out
 
 
-def combined(rows: DataFrame) -> DataFrame:
-    """Rows (key, other, payload) of a task with equal keys as rows (key, payload), where `apart` finds them again."""
-    key = rows.columns[0]
+def combined(rows: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] | None = None, made: str | None = None) -> DataFrame:
+    """Rows (key, other, payload) of a task with equal keys as rows (key, payload), where `apart` finds them again.
+
+    step: makes those rows, with the columns `made`, from what is in rows, in the same worker.
+    """
+    first = (StructType.fromDDL(made) if made else rows.schema)[0]
+    key = first.name
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = {}, 0
@@ -185,7 +191,7 @@ def combined(rows: DataFrame) -> DataFrame:
                 blobs.append(struct.pack("<I", len(some)) + head.tobytes() + b"".join(x for _, x in some))
             return pa.RecordBatch.from_arrays([pa.array(list(held), kind), pa.array(blobs, pa.binary())], [key, "payload"])
 
-        for t in tables:
+        for t in step(tables) if step else tables:
             kind = t.schema.field(0).type
             for k, other, x in zip(*(c.to_pylist() for c in t.columns), strict=True):
                 held.setdefault(k, []).append((other, x))
@@ -195,8 +201,9 @@ def combined(rows: DataFrame) -> DataFrame:
                     held, size = {}, 0
         if held:
             yield sent()
+        release()
 
-    return rows.mapInArrow(run, f"{key} {rows.schema[0].dataType.simpleString()}, payload binary")
+    return rows.mapInArrow(run, StructType([first, StructField("payload", BinaryType())]))
 
 
 def apart(payloads) -> list[tuple[int, bytes]]:
@@ -220,41 +227,59 @@ def ask(packed: DataFrame, request: Callable[[int, np.ndarray, np.ndarray, np.nd
                 release()
                 yield _table(request(batch, *unpack(blob.as_py(), pairs)), ASKED)
 
-    return combined(packed.mapInArrow(run, ASKED))
+    return combined(packed, run, ASKED)
+
+
+def gathered(tables: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[int, bytes]]]]:
+    """Of combined rows in the order of their keys, each key and all its (other, payload), which the receiver may empty."""
+    key, held = None, []
+    for t in tables:
+        for k, blob in zip(t.column(0).to_pylist(), t.column(1), strict=True):
+            if held and k != key:
+                yield key, held
+                held = []
+            key = k
+            held += apart([blob])
+    if held:
+        yield key, held
 
 
 def answer(asked: DataFrame, reply: Callable[[list[dict[str, np.ndarray]]], list[dict[str, np.ndarray]]]) -> DataFrame:
     """reply(requests of one bucket, each with its hashes, if sent, restored) returns the arrays for each asker."""
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        release()
-        asked_by = apart(table.column("payload"))
+    def own(bucket: int, asked_by: list[tuple[int, bytes]]) -> pa.RecordBatch:
         batches, requests = [b for b, _ in asked_by], [restore(x) for _, x in asked_by]
-        del asked_by
+        asked_by.clear()
         for r in requests:
             if "hash" in r:
                 r["hash"] = np.cumsum(r["hash"], dtype=U64)
-        rows = [(b, key[0].as_py(), dump(**a)) for b, a in zip(batches, reply(requests), strict=True)]
-        return pa.Table.from_batches([_table(rows, ANSWERED)])
+        return _table([(b, bucket, dump(**a)) for b, a in zip(batches, reply(requests), strict=True)], ANSWERED)
 
-    return combined(asked.groupBy("bucket").applyInArrow(run, ANSWERED)).repartition("batch")
+    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, asked_by in gathered(tables):
+            release()
+            yield own(bucket, asked_by)
+
+    return combined(asked.repartition("bucket").sortWithinPartitions("bucket"), run, ANSWERED).repartition("batch")
 
 
-def answered(table: pa.Table) -> dict[str, np.ndarray]:
+def answered(payloads) -> dict[str, np.ndarray]:
     """Answers to one batch, in the order in which it asked."""
-    parts = [restore(x) for _, x in sorted(apart(table.column("payload")), key=lambda p: p[0])]
+    parts = [restore(x) for _, x in sorted(apart(payloads), key=lambda p: p[0])]
     return {k: np.concatenate([p[k] for p in parts if k in p]) for k in dict.fromkeys(k for p in parts for k in p)}
 
 
 def ask_again(packed: DataFrame, answers: DataFrame, request: Callable[..., Iterator], pairs: bool = False) -> DataFrame:
     """A later round: request(batch, ids, buf, offsets, answers so far) yields rows of ASKED."""
 
-    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        release()
-        out = [_table(request(key[0].as_py(), *unpack(b.as_py(), pairs), answered(right)), ASKED) for b in left.column("blob")]
-        return pa.Table.from_batches(out, schema=_table([], ASKED).schema)
+    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in tables:
+            for batch, blob, given in zip(t.column("batch").to_pylist(), t.column("blob"), t.column("given"), strict=True):
+                release()
+                yield _table(request(batch, *unpack(blob.as_py(), pairs), answered(given.values if given.is_valid else [])), ASKED)
 
-    return combined(packed.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(run, ASKED))
+    given = answers.groupBy("batch").agg(F.collect_list("payload").alias("given"))
+    return combined(packed.join(given, "batch", "left"), run, ASKED)
 
 
 def finish(packed: DataFrame, rounds: list[DataFrame], result: Callable[..., pa.Table], schema: str, carried: Sequence[StructField] = (), pairs: bool = False) -> DataFrame:
@@ -270,7 +295,7 @@ def finish(packed: DataFrame, rounds: list[DataFrame], result: Callable[..., pa.
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         release()
         rounds_no = right.column("round").to_numpy()
-        given = [answered(right.filter(pa.array(rounds_no == i))) for i in range(count)]
+        given = [answered(right.filter(pa.array(rounds_no == i)).column("payload")) for i in range(count)]
         return pa.concat_tables([own(b.as_py(), given) for b in left.column("blob")])
 
     def own(blob: bytes, given: list) -> pa.Table:

@@ -5,6 +5,7 @@ import hashlib
 import importlib
 import itertools
 import random
+import re
 import tracemalloc
 import zlib
 
@@ -604,6 +605,25 @@ def test_combined_rows_come_apart(spark, monkeypatch, limit):
     assert back == sorted(rows) and (len(out) == 21 if limit > 1 << 16 else len(out) > 21)
 
 
+def test_a_task_of_a_round_has_one_worker(spark):
+    """No Python step receives what another one of the same task has made, and the texts are packed once for all rounds."""
+    docs = spark.createDataFrame([(i, f"{'a passage that all of these have in common, and more of it ' * 4}{i} {i * 7}") for i in range(40)], "doc_id long, text string")
+    for out in (op8_suffix_dedup.suffix_dedup(docs), op9_substring_dedup.substring_dedup(docs)):
+        assert len(out.collect()) == 40
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+        above, steps = [], 0
+        for line in plan.strip().splitlines():
+            if (word := re.search(r"[A-Za-z]\w+", line)) is None:
+                continue
+            while above and above[-1][0] >= word.start():
+                above.pop()
+            python, busy = "InArrow" in word[0], bool(above) and above[-1][1]
+            assert not (python and busy), plan
+            steps += python
+            above.append((word.start(), (python or busy) and "Exchange" not in word[0]))
+        assert steps >= 6 and plan.count("MapInArrow packed(") == 1, plan
+
+
 def test_words_and_slices():
     texts = ["a  b", "", " ", "é c\n", "d"]
     enc = [t.encode() for t in texts]
