@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: First day of the window that the test calendar is read by.
 START = "1998-10-01"
@@ -12,13 +12,18 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def calendar_columns() -> dict[str, Column]:
+    """What `calendar` makes of an order."""
+    return {
+        "service_id": F.col("o_orderkey").cast("string"),
+        "date": F.when(F.col("o_orderkey") % 97 == 0, "19981399").otherwise(F.date_format("o_orderdate", "yyyyMMdd")),
+        "exception_type": F.when(F.col("o_orderkey") % 5 == 0, " 2").otherwise("1 "),
+    }
+
+
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One service per order, running on its day; every fifth service is a removal, every 97th date is no date."""
-    return load(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").cast("string").alias("service_id"),
-        F.when(F.col("o_orderkey") % 97 == 0, "19981399").otherwise(F.date_format("o_orderdate", "yyyyMMdd")).alias("date"),
-        F.when(F.col("o_orderkey") % 5 == 0, " 2").otherwise("1 ").alias("exception_type"),
-    )
+    return load(spark, sf_dir, "orders").select(*(c.alias(n) for n, c in calendar_columns().items()))
 
 
 CALENDAR = """SELECT CAST(o_orderkey AS VARCHAR) AS service_id, CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date,
@@ -34,14 +39,18 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 TRIPS = "SELECT CAST(o_orderkey AS VARCHAR) AS trip_id, CAST(o_custkey AS VARCHAR) AS route_id, CAST(o_orderkey AS VARCHAR) AS service_id, o_orderpriority AS trip_headsign, o_orderkey AS row_no FROM orders"
 
 
-def stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One call per line item; hours go beyond 24, and every 101st departure is missing."""
+def departure() -> Column:
+    """A line item's departure; hours go beyond 24, and every 101st departure is missing."""
     minute = F.col("l_partkey") * 7 % 1600
     two = lambda c: F.lpad(c.cast("string"), 2, "0")
-    clock = F.concat(two(F.expr("(l_partkey * 7 % 1600) div 60")), F.lit(":"), two(minute % 60), F.lit(":00"))
+    return F.when(F.col("l_partkey") % 101 != 0, F.concat(two(F.expr("(l_partkey * 7 % 1600) div 60")), F.lit(":"), two(minute % 60), F.lit(":00")))
+
+
+def stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One call per line item."""
     return load(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("trip_id"), F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("stop_id"), F.col("l_linenumber").cast("string").alias("stop_sequence"),
-        F.when(F.col("l_partkey") % 101 != 0, clock).alias("departure_time"), F.lit("SNCF").alias("operator_id"), "l_partkey", "l_quantity", "l_extendedprice",
+        departure().alias("departure_time"), F.lit("SNCF").alias("operator_id"), "l_partkey", "l_quantity", "l_extendedprice",
     )
 
 
