@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 from concurrent.futures import ThreadPoolExecutor, as_completed
 
 from pyspark import inheritable_thread_target
@@ -36,57 +36,69 @@ def _times(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumns({"dep_min": minutes_of_day(F.col("departure_time")), "stop_sequence": strict_int(F.col("stop_sequence"))})
 
 
-def harmonized(spark: SparkSession, sources: Sequence[Feed], stations: str | None = None, today: str | None = None, days: int = 60) -> dict[str, DataFrame]:
-    """E1: canonical stops over all feeds, then routes, trips, times and dates of each; also the counters ('report')."""
-    today = today or feeds.today()
-    raw = lookups.union_all([
-        resolve.raw_stops(feeds.read_member(spark, path, "stops.txt", schemas.MEMBERS["stops.txt"], optional=schemas.MEMBERS["stops.txt"][1:]), op, i)
-        for i, (op, path, _) in enumerate(sources)
-    ])
-    resolved = resolve.resolve(raw)
-    stops = resolve.canonical_stops(resolved)
-    table = feeds.read_stations(spark, stations)
-    if table is not None:
-        keys = written(lookups.station_keys(table), "stations")
-        log.info("%s station codes", lookups.key_count(keys).first()["n_keys"])
-        stops = lookups.with_station(stops, keys)
-    parts: dict[str, list[DataFrame]] = {name: [] for name in ("routes", "trips", "stop_times", "calendar_dates")}
-    mapping = resolve.stop_map(resolved)
+def harmonized(spark: SparkSession, sources: Sequence[Feed], stations: str | None = None, today: str | None = None, days: int = 60, tables: Collection[str] | None = None) -> dict[str, DataFrame]:
+    """E1: canonical stops over all feeds, then routes, trips, times and dates of each; also the counters ('report').
+
+    tables: the names of those that are wanted, all unless given; each is whole, and what only the others need is not computed.
+    """
+    today, wanted = today or feeds.today(), set(schemas.HARMONIZED) | {"report"} if tables is None else set(tables)
+    out: dict[str, DataFrame] = {}
+    mapping = None
+    if wanted & {"stops", "stop_times", "report"}:
+        raw = lookups.union_all([
+            resolve.raw_stops(feeds.read_member(spark, path, "stops.txt", schemas.MEMBERS["stops.txt"], optional=schemas.MEMBERS["stops.txt"][1:]), op, i)
+            for i, (op, path, _) in enumerate(sources)
+        ])
+        resolved = resolve.resolve(raw)
+        mapping, out["report"] = resolve.stop_map(resolved), resolve.report(resolved)
+    if "stops" in wanted:
+        out["stops"] = resolve.canonical_stops(resolved)
+        table = feeds.read_stations(spark, stations)
+        if table is not None:
+            keys = written(lookups.station_keys(table), "stations")
+            log.info("%s station codes", lookups.key_count(keys).first()["n_keys"])
+            out["stops"] = lookups.with_station(out["stops"], keys)
+    parts: dict[str, list[DataFrame]] = {}
     for op, path, _ in sources:
-        for name, df in _harmonized_feed(spark, op, path, mapping, today, days).items():
-            parts[name].append(df)
-    out = {"stops": stops} | {name: lookups.union_all(dfs) for name, dfs in parts.items()}
-    return {name: df.select(*schemas.HARMONIZED[name].names) for name, df in out.items()} | {"report": resolve.report(resolved)}
-
-
-def _harmonized_feed(spark: SparkSession, op: str, path: str, mapping: DataFrame, today: str, days: int) -> dict[str, DataFrame]:
-    dates = feeds.read_member(spark, path, "calendar_dates.txt", schemas.MEMBERS["calendar_dates.txt"], optional=["exception_type"])
-    if not feeds.has_column(path, "calendar_dates.txt", "exception_type"):
-        dates = dates.withColumn("exception_type", F.lit("1"))
-    dates = lookups.calendar_window(dates, today, days)
-    active = dates.select("service_id").distinct()
-    times = _times(spark, path)
+        for name, df in _harmonized_feed(spark, op, path, mapping, today, days, wanted).items():
+            parts.setdefault(name, []).append(df)
+    out |= {name: lookups.union_all(dfs) for name, dfs in parts.items()}
+    return {name: out[name].select(*of.names) for name, of in schemas.HARMONIZED.items() if name in wanted} | ({"report": out["report"]} if "report" in wanted else {})
+
+
+def _harmonized_feed(spark: SparkSession, op: str, path: str, mapping: DataFrame | None, today: str, days: int, wanted: Collection[str]) -> dict[str, DataFrame]:
+    """The wanted tables of one feed."""
+    out: dict[str, DataFrame] = {}
+    if {"calendar_dates", "trips"} & wanted:
+        dates = feeds.read_member(spark, path, "calendar_dates.txt", schemas.MEMBERS["calendar_dates.txt"], optional=["exception_type"])
+        if not feeds.has_column(path, "calendar_dates.txt", "exception_type"):
+            dates = dates.withColumn("exception_type", F.lit("1"))
+        dates = lookups.calendar_window(dates, today, days)
+        out["calendar_dates"] = lookups.with_lineage(dates, op, "service_id")
+    by_times = op.upper() not in ("EUROSTAR", "RENFE")  # calls give routes their types
+    times = _times(spark, path) if "stop_times" in wanted or by_times and "routes" in wanted else None
     optional = {"trips.txt": ["trip_headsign", "trip_short_name"] if op.upper() == "RENFE" else ["trip_short_name"], "routes.txt": schemas.MEMBERS["routes.txt"][1:]}
     trips, routes = (feeds.read_member(spark, path, m, schemas.MEMBERS[m], optional=optional[m]) for m in ("trips.txt", "routes.txt"))
-    if op.upper() == "EUROSTAR":
-        routes = routes.withColumn("train_type", rules.type_of_merged_agency(F.coalesce("agency_id", F.lit(""))))
-        trips = trips.withColumn("trip_headsign", first_train_number(F.col("trip_id")))
-    elif op.upper() == "RENFE":
-        has = {c: feeds.has_column(path, "routes.txt", c) for c in ("route_short_name", "route_long_name")}
-        names = [F.col(c) if has[c] else F.lit("") for c in has]
-        routes = routes.withColumn("train_type", rules.type_of_route_names(*names, F.col("route_id")))
-        trips = trips.withColumn("trip_headsign", short_or_train_number(F.col("trip_short_name"), F.col("trip_id")))
-    else:
-        stops = feeds.read_member(spark, path, "stops.txt", ["stop_id"])
-        routes = routes.join(route_types(stops, times, trips), "route_id", "left").withColumn("train_type", F.coalesce("value", F.lit("Train SNCF")))
-    trips = lookups.of_active(trips, active)
-    out = {
-        "routes": lookups.with_lineage(routes, op, "route_id"),
-        "trips": lookups.with_lineage(trips, op, "trip_id", "route_id", "service_id"),
-        "stop_times": lookups.mapped_stop(lookups.with_lineage(times, op, "trip_id"), mapping),
-        "calendar_dates": lookups.with_lineage(dates, op, "service_id"),
-    }
-    return {name: df.select(*schemas.HARMONIZED[name].names) for name, df in out.items()}
+    if "routes" in wanted:
+        if op.upper() == "EUROSTAR":
+            typed = routes.withColumn("train_type", rules.type_of_merged_agency(F.coalesce("agency_id", F.lit(""))))
+        elif op.upper() == "RENFE":
+            has = {c: feeds.has_column(path, "routes.txt", c) for c in ("route_short_name", "route_long_name")}
+            names = [F.col(c) if has[c] else F.lit("") for c in has]
+            typed = routes.withColumn("train_type", rules.type_of_route_names(*names, F.col("route_id")))
+        else:
+            stops = feeds.read_member(spark, path, "stops.txt", ["stop_id"])
+            typed = routes.join(route_types(stops, times, trips), "route_id", "left").withColumn("train_type", F.coalesce("value", F.lit("Train SNCF")))
+        out["routes"] = lookups.with_lineage(typed, op, "route_id")
+    if "trips" in wanted:
+        if op.upper() == "EUROSTAR":
+            trips = trips.withColumn("trip_headsign", first_train_number(F.col("trip_id")))
+        elif op.upper() == "RENFE":
+            trips = trips.withColumn("trip_headsign", short_or_train_number(F.col("trip_short_name"), F.col("trip_id")))
+        out["trips"] = lookups.with_lineage(lookups.of_active(trips, dates.select("service_id").distinct()), op, "trip_id", "route_id", "service_id")
+    if "stop_times" in wanted:
+        out["stop_times"] = lookups.mapped_stop(lookups.with_lineage(times, op, "trip_id"), mapping)
+    return {name: df.select(*schemas.HARMONIZED[name].names) for name, df in out.items() if name in wanted}
 
 
 def route_types(stops: DataFrame, times: DataFrame, trips: DataFrame) -> DataFrame:
