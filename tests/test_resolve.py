@@ -5,6 +5,7 @@ import random
 
 import pytest
 from hypothesis import HealthCheck, Phase, given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from railweave.operators import resolve
 
@@ -106,3 +107,20 @@ def test_components(spark, n):
     frame = spark.createDataFrame(edges, "a long, b long")
     for parts in (1, 7):
         assert {x["v"]: x["component"] for x in resolve.components(frame.repartition(parts)).collect()} == want
+
+
+def test_pairs_of_one_place_are_made_by_many_tasks(spark):
+    """Few rows make many pairs: 300 stops in a group, in blocks or not, give each pair once, and no one task makes all."""
+    r = random.Random(5)
+    at = [(i, 48 + r.random() / 2000, 2 + r.random() / 2000, r.choice(["a", "a b", ""])) for i in range(300)] + [(300, None, 2.0, "a")]
+    nodes = spark.createDataFrame(at, "ord long, stop_lat double, stop_lon double, norm_name string")
+    got = resolve.near_pairs(nodes, block=7)
+    pairs = sorted((x["a"], x["b"]) for x in got.collect())
+    assert len(pairs) == len(set(pairs)) > 20_000 and pairs == sorted((x["a"], x["b"]) for x in resolve.near_pairs(nodes).collect())
+    d = F.col("metres") <= 100
+    x, y = (nodes.select(*(F.col(c).alias(f"{c}{i}") for c in nodes.columns)) for i in (1, 2))
+    every = x.join(y, (F.col("ord1") < F.col("ord2")) & resolve.names_match(F.col("norm_name1"), F.col("norm_name2")))
+    every = every.withColumn("metres", resolve.haversine_m(F.col("stop_lat1"), F.col("stop_lon1"), F.col("stop_lat2"), F.col("stop_lon2"))).filter(d)
+    assert pairs == sorted((x["ord1"], x["ord2"]) for x in every.collect())
+    tasks = sorted(x["count"] for x in got.groupBy(F.spark_partition_id()).count().collect())
+    assert len(tasks) > 8 and tasks[-1] < len(pairs) / 3
