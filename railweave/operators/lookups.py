@@ -68,8 +68,12 @@ def active_services(calendar: DataFrame, start: str | None = None, days: int = 6
 
 
 def calendar_window(calendar: DataFrame, start: str | None = None, days: int = 60) -> DataFrame:
-    """DAT-01, FLT-01, NUM-03: ISO dates inside the window, with whole exception types."""
-    dated = calendar.withColumn("date", iso_date(F.col("date"))).filter(in_window(F.col("date"), start, days))
+    """DAT-01, FLT-01, NUM-03: ISO dates inside the window, with whole exception types.
+
+    A date is parsed once: behind the explode of its one value the filter's comparisons don't each repeat the parsing.
+    """
+    once = calendar.select("*", F.explode(F.array(iso_date(F.col("date")))).alias("_iso")).filter(in_window(F.col("_iso"), start, days))
+    dated = once.withColumn("date", F.col("_iso")).drop("_iso")
     return dated.withColumn("exception_type", strict_int(F.col("exception_type")))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 from railweave import schemas
+from railweave.operators import lookups
 from railweave.plans import feed_queries, ingest
 from test_ingest import three  # noqa: F401 the archives of three operators
 
@@ -31,3 +32,11 @@ def test_queries_compute_what_they_return(spark, monkeypatch, query, steps):
     first = feed_queries.QUERIES[query](spark, SF).collect()
     assert seen == steps and first == feed_queries.QUERIES[query](spark, SF).collect() and seen == steps
     assert all(sorted(feed_queries.feeds.members(p)) == sorted(schemas.MEMBERS) for p in feed_queries._feeds(spark, SF).values())
+
+
+def test_dates_are_parsed_once(spark):
+    days = spark.createDataFrame([("a", "20240101", "1 "), ("b", "20240301", "2"), ("c", "20240302", "1"), ("d", "20241399", "1"), ("e", None, "1"), ("f", "20231231", "1"), ("g", "20240215", None)], "service_id string, date string, exception_type string")
+    seen = lookups.calendar_window(days, "2024-01-01")
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("date_format(") == 1 and seen.columns == days.columns
+    assert sorted(map(tuple, seen.collect())) == [("a", "2024-01-01", 1), ("b", "2024-03-01", 2), ("g", "2024-02-15", None)]
