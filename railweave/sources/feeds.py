@@ -8,6 +8,7 @@ import json
 import zipfile
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs
@@ -118,7 +119,7 @@ class FeedReader(DataSourceReader):
         self._check(names)
         for b in blocks(f, names, self.sep, [c for c in self.columns if c in names] or names[:1]):
             columns = [b.column(c) if c in b.schema.names else pa.nulls(len(b), pa.string()) for c in self.columns]
-            out = pa.RecordBatch.from_arrays([*columns, pa.array(range(at, at + len(b)), pa.int64())], [*self.columns, ROW])
+            out = pa.RecordBatch.from_arrays([*columns, pa.array(np.arange(at, at + len(b), dtype=np.int64))], [*self.columns, ROW])
             at += len(b)
             for name in self.present - set(self.wanted):
                 out = out.filter(out.column(name).is_valid())

@@ -8,13 +8,16 @@ index: a task inflates its own pieces only, numbers its rows from the counts, an
 
 from __future__ import annotations
 
+import collections
 import io
 import json
 import logging
+import struct
 import uuid
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +28,7 @@ import pyarrow.parquet
 from pyspark.sql import SparkSession
 
 from railweave import schemas
+from railweave.sources import zips
 from railweave.sources.csvs import blocks, names_of
 from railweave.sources.session import ship
 
@@ -32,6 +36,8 @@ log = logging.getLogger("railweave")
 
 #: Bytes of text between restart points.
 PIECE = 8 << 20
+#: Pieces of a member that are compressed at once.
+THREADS = 3
 INDEX = pa.schema([("start", pa.int64()), ("size", pa.int64()), ("bytes", pa.int64()), ("rows", pa.int64()), ("before", pa.int64()), ("least", pa.string()), ("most", pa.string())])
 
 
@@ -86,6 +92,18 @@ def _told(piece: bytes, names: list[str], sep: str) -> tuple[int, str, str]:
     return rows, json.dumps(least), json.dumps(most)
 
 
+def _ahead(f: Callable, items: Iterator[tuple]) -> Iterator:
+    """f of each item, in their order, a few at once: inflating and cutting go on while pieces are compressed and counted."""
+    with ThreadPoolExecutor(THREADS) as pool:
+        waiting = collections.deque()
+        for item in items:
+            waiting.append(pool.submit(f, *item))
+            if len(waiting) > THREADS:
+                yield waiting.popleft().result()
+        while waiting:
+            yield waiting.popleft().result()
+
+
 def land_member(source: str, member: str, folder: str, size: int = PIECE, sep: str = ",") -> int | None:
     """Lands one member under folder; returns its number of pieces, or None where the archive does not have it."""
     fs, at = pyarrow.fs.FileSystem.from_uri(folder)
@@ -97,36 +115,47 @@ def land_member(source: str, member: str, folder: str, size: int = PIECE, sep: s
         fs.create_dir(own, recursive=True)
         try:
             with z.open(member) as f, fs.open_output_stream(f"{own}/text", compression=None) as out:
-                press, rows, before, at_byte = zlib.compressobj(1, zlib.DEFLATED, 31), [], 0, 0
+                rows, before, at_byte, crc, size_of_text = [], 0, 0, 0, 0
 
-                def put(text: bytes, flush: int = zlib.Z_FULL_FLUSH) -> int:
-                    data = press.compress(text) + press.flush(flush)
+                def put(data: bytes) -> None:
+                    nonlocal at_byte
                     out.write(data)
-                    return len(data)
+                    at_byte += len(data)
+
+                def counted(press: zips.Press) -> None:
+                    nonlocal crc, size_of_text
+                    crc, size_of_text = zips.crc_of_both(crc, press.crc, press.text), size_of_text + press.text
 
                 head = f.readline()
                 names = names_of(head, sep)
-                at_byte += put(head)
-                cut = True
-                for text, is_whole in _pieces(f, size, ord(sep)):
-                    told = None
-                    if cut and is_whole:
+
+                def pressed(text: bytes, is_whole: bool) -> tuple[tuple[int, str, str] | None, bytes, zips.Press]:
+                    told, press = None, zips.Press()
+                    if is_whole:
                         try:
                             told = _told(text, names, sep)
                         except pa.ArrowInvalid:  # the reader will say what is wrong with these rows
-                            told = None
-                    compressed = put(text)
-                    if told:
-                        rows.append([at_byte, compressed, len(text), told[0], before, told[1], told[2]])
+                            pass
+                    return told, press.put(text) + press.end(), press
+
+                put(zips.GZIP)
+                _, data, press = pressed(head, False)
+                put(data)
+                counted(press)
+                cut = True
+                for told, data, press in _ahead(pressed, _pieces(f, size, ord(sep))):
+                    if told and cut:
+                        rows.append([at_byte, len(data), press.text, told[0], before, told[1], told[2]])
                         before += told[0]
                     elif cut:  # from here on the member is one piece
-                        rows.append([at_byte, compressed, len(text), None, before, None, None])
+                        rows.append([at_byte, len(data), press.text, None, before, None, None])
                         cut = False
                     else:
-                        rows[-1][1] += compressed
-                        rows[-1][2] += len(text)
-                    at_byte += compressed
-                put(b"", zlib.Z_FINISH)
+                        rows[-1][1] += len(data)
+                        rows[-1][2] += press.text
+                    put(data)
+                    counted(press)
+                put(zips.LAST + struct.pack("<2L", crc, size_of_text & 0xFFFFFFFF))
             index = pa.table([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(INDEX.types)], schema=INDEX).replace_schema_metadata({"names": json.dumps(names)})
             pyarrow.parquet.write_table(index, f"{own}/index", filesystem=fs)
             fs.move(f"{own}/text", f"{at}/{member}.gz")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import random
+import threading
 import zipfile
 
 import pytest
@@ -104,3 +105,20 @@ def test_one_member_is_read_by_many_tasks(spark, tmp_path):
     df = spark.read.format("gtfs").schema(feeds.member_schema(COLUMNS)).options(path=str(tmp_path / "a"), member="stop_times.txt", split_mib="2").load()
     assert df.rdd.getNumPartitions() >= 8
     assert df.selectExpr("count(*)", "count(DISTINCT _row)", "min(_row)", "max(_row)", "bool_and(trip_id = format_string('t%07d', _row div 20))").first() == (700_000, 700_000, 0, 699_999, True)
+
+
+def test_pieces_are_compressed_at_once_and_kept_in_order(tmp_path, monkeypatch):
+    """Two pieces are being pressed at the same time, which one after the other would never be, and the text stays as it was."""
+    both, real = threading.Barrier(2), landed._told
+
+    def told(*a):
+        if both.n_waiting or not both.broken and not meetings:
+            both.wait(20)
+            meetings.append(1)
+        return real(*a)
+
+    meetings: list[int] = []
+    monkeypatch.setattr(landed, "_told", told)
+    text = calls(1500)
+    assert landed.land_member(zipped(tmp_path / "a.zip", text), "stop_times.txt", str(tmp_path / "a"), 2000) > 4
+    assert len(meetings) >= 2 and gzip.open(tmp_path / "a/stop_times.txt.gz").read() == text.encode()
